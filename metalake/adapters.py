@@ -376,7 +376,7 @@ def client_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------ labelling catalogue (customers)
 
 LABEL_CATALOG_SQL = """
-SELECT id, name, displayName FROM (
+SELECT id, name, displayName, c_custkey FROM (
   SELECT 'n' || cast(c_custkey % 25 as string) || '.c' || cast(c_custkey % 40 as string) AS id,
          CASE (c_custkey % 200) % 6
               WHEN 0 THEN ''

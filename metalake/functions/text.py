@@ -77,4 +77,4 @@ def query_param(url, name: str) -> Column:
         dec(F.substring_index(p, "=", 1)).alias("k"),
         dec(F.substr(p, F.instr(p, "=") + 1)).alias("v")))
     hits = F.filter(kv, lambda e: (e["k"] == F.lit(name)) & (F.length(e["v"]) > 0))
-    return F.element_at(hits, 1)["v"]
+    return F.try_element_at(hits, F.lit(1))["v"]

@@ -35,14 +35,14 @@ def dedup_richest(df: DataFrame, key: str = "doi",
                   ) -> DataFrame:
     """One row per key: most non-NULL ``rich`` columns, then the earliest
     ``order`` values (NULLs last; ``newest=True`` takes the latest); a NULL
-    key is one group. The tie-break (hash, then the value itself) makes the
-    choice total, so repeated runs pick the same row."""
+    key is one group. The tie-break column (compared only when everything
+    else ties) makes the choice total, so repeated runs pick the same row."""
     score = richness(rich)
     seq = [score.desc()]
     for c in order:
         seq.append(F.col(c).desc_nulls_last() if newest else F.col(c).asc_nulls_last())
     if tie_break and tie_break in df.columns:
-        seq += [F.xxhash64(F.col(tie_break)).asc(), F.col(tie_break).asc_nulls_last()]
+        seq.append(F.col(tie_break).asc_nulls_last())
     return top1(df, key, seq)
 
 

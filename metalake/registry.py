@@ -1,17 +1,38 @@
 """Driver queries over the test tables and their DuckDB oracle SQL.
 
 Each query is ``(spark, sf_dir) -> DataFrame`` and runs over the whole input
-tables. Computed columns carry the same aliases in the Spark code and in
-the SQL text.
+tables (registry records, client records, catalogues and sheets are derived
+from them, see ``adapters``). Computed columns carry the same aliases in the
+Spark code and in the SQL text. Queries that exercise sinks write to a fresh
+folder under the session's checkpoint root and read the result back.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import adapters
-from .operators.flatten import flatten_items
+from .functions import canon, html_unescape, norm_date, query_param
+from .operators.aggregates import (completeness, distinct_client_ids, duplicate_stats,
+                                   providers_summary, run_summary, top_values, trend_per_year)
+from .operators.dedup import dedup_first, dedup_richest
+from .operators.flatten import flatten_clients, flatten_items
+from .operators.joins import join_on_doi, label_server_name, merge_with_sheet, new_ids
+from .operators.labels import label_records
+from .operators.ledger import (expected_vs_harvested, page_chain_problems, read_checkpoints,
+                               run_ledger, signature_hash_col)
+from .operators.quality import counts_vs_external, quality_gates, yearly_growth
+from .operators.select import by_clients, by_date_range, by_label_type, by_type
+from .operators.shards import shard_report, unify_shards
+from .plans.enrich import enrich_catalog
+from .schema import CLIENT_COLUMNS, SLIM_COLUMNS, WIDE_COLUMNS
+from .session import scratch_path
+from .sinks import write_catalog, write_chunks, write_csv, write_labelled, write_ndjson
+from .sources.files import latest_dataset, shard_files
 from .sources.items import items_from_text
+from .sources.tables import read_catalog, read_sheet
+from .streaming.ingest import maintain_best_rows, read_snapshot
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,19 +44,622 @@ def wide_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_items(items_from_text(adapters.records_from_orders(spark, sf_dir)))
 
 
+def client_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Client records from ``supplier`` x ``nation`` x ``region``, flattened."""
+    src = adapters.client_source(spark, sf_dir)
+    return flatten_clients(items_from_text(src, keep=["s_suppkey"]).select("v")), src
+
+
+def label_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Client catalogue for labelling, one row per id (first customer wins)."""
+    cat = adapters.run_sql(spark, adapters.LABEL_CATALOG_SQL,
+                           customer=table(spark, sf_dir, "customer"))
+    return dedup_first(cat, "id", ["c_custkey"]).select("id", "name", "displayName")
+
+
 WIDE_CTE = f"WITH recs AS (\n{adapters.expected_wide_sql('orders')}\n)\n"
+RICH_ORDER = ("((provider_id IS NOT NULL)::INT + (alternate_ids_json IS NOT NULL)::INT) DESC, "
+              "registered ASC NULLS LAST, updated ASC NULLS LAST, created ASC NULLS LAST, "
+              "raw_attributes_json ASC NULLS LAST")
+LABEL_CAT_CTE = (
+    "cat0 AS (" + adapters.LABEL_CATALOG_SQL.replace("@customer@", "customer") + "),\n"
+    "cat AS (SELECT id, name, displayName FROM (SELECT *, row_number() OVER "
+    "(PARTITION BY id ORDER BY c_custkey) AS rn FROM cat0) t WHERE rn = 1)\n")
+SERVER_NAME_SQL = ("coalesce(trim(CASE WHEN cat.name <> '' THEN cat.name "
+                   "WHEN cat.displayName <> '' THEN cat.displayName ELSE '' END), '')")
+CLIENTS_CTE = f"c AS ({adapters.expected_clients_sql()})\n"
+CLIENT_SELECT = ", ".join(f'"{c}"' for c in CLIENT_COLUMNS)
 
+Q = {}
+SQL = {}
 
-# ----------------------------------------------------------------- queries
 
+def query(name: str, sql: str | None = None):
+    def deco(fn):
+        Q[name] = fn
+        if sql is not None:
+            SQL[name] = sql
+        return fn
+    return deco
+
+
+# ------------------------------------------------------------ A / B / C
+
+@query("q01_flatten_records", WIDE_CTE + "SELECT * FROM recs")
 def q01_flatten_records(spark, sf_dir):
     return wide_records(spark, sf_dir)
 
 
-QUERIES = {
-    "q01_flatten_records": q01_flatten_records,
-}
+@query("q02_type_canonical", WIDE_CTE + """
+SELECT doi, client_id, resource_type_general, registered FROM recs
+WHERE lower(resource_type_general) = 'preprint'""")
+def q02_type_canonical(spark, sf_dir):
+    return (by_type(wide_records(spark, sf_dir), "canonical", "Preprint")
+            .select("doi", "client_id", "resource_type_general", "registered"))
+
+
+@query("q03_type_label", WIDE_CTE + """
+SELECT doi, client_id, resource_type, registered FROM recs
+WHERE lower(trim(resource_type)) = 'preprint'""")
+def q03_type_label(spark, sf_dir):
+    return (by_label_type(wide_records(spark, sf_dir), "preprint")
+            .select("doi", "client_id", "resource_type", "registered"))
+
+
+@query("q04_type_both", WIDE_CTE + f"""
+, sel AS (
+  SELECT * FROM recs WHERE lower(resource_type_general) = 'preprint'
+  UNION ALL
+  SELECT * FROM recs WHERE lower(trim(resource_type)) = 'preprint'
+)
+SELECT doi, client_id, provider_id, resource_type, resource_type_general, registered FROM (
+  SELECT *, row_number() OVER (PARTITION BY doi ORDER BY {RICH_ORDER}) AS rn FROM sel
+) t WHERE rn = 1""")
+def q04_type_both(spark, sf_dir):
+    sel = by_type(wide_records(spark, sf_dir), "both", "Preprint", "preprint")
+    return dedup_richest(sel).select("doi", "client_id", "provider_id", "resource_type",
+                                     "resource_type_general", "registered")
+
+
+_RANGE = ("1996-01-01", "1997-12-31")
+
+
+@query("q05_date_range", WIDE_CTE + "\nUNION ALL\n".join(
+    f"SELECT '{f}' AS date_field, doi, {f} AS date_value FROM recs "
+    f"WHERE substr({f}, 1, 10) BETWEEN '{_RANGE[0]}' AND '{_RANGE[1]}'"
+    for f in ("created", "registered", "updated")))
+def q05_date_range(spark, sf_dir):
+    wide = wide_records(spark, sf_dir)
+    parts = [by_date_range(wide, f, *_RANGE).select(F.lit(f).alias("date_field"), "doi",
+                                                    F.col(f).alias("date_value"))
+             for f in ("created", "registered", "updated")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+_CLIENTS = [f"n{i % 25}.c{i % 40}" for i in range(0, 200, 7)] + ["c3", "unknown.client"]
+
+
+@query("q06_client_filter", WIDE_CTE + "SELECT doi, client_id FROM recs WHERE client_id IN (" +
+       ", ".join(f"'{c}'" for c in _CLIENTS) + ")")
+def q06_client_filter(spark, sf_dir):
+    return by_clients(wide_records(spark, sf_dir), _CLIENTS).select("doi", "client_id")
+
+
+@query("q07_title_unescape", """
+SELECT page_id, replace(replace(replace(replace(replace(
+         regexp_extract(html, '<title>(.*?)</title>', 1),
+         '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&copy;', '©'), '&amp;', '&') AS title
+FROM pages""")
+def q07_title_unescape(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    raw = F.regexp_extract("html", r"<title>(.*?)</title>", 1)
+    return pages.select("page_id", html_unescape(raw).alias("title"))
+
+
+@query("q08_canonical_json", "SELECT event_id, json(props)::VARCHAR AS props_json FROM events")
+def q08_canonical_json(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return ev.select("event_id", F.try_parse_json("props").alias("v")) \
+        .select("event_id", canon("v", "$").alias("props_json"))
+
+
+@query("q09_prefix_provider", WIDE_CTE + "SELECT doi, prefix, client_id, provider_id FROM recs")
+def q09_prefix_provider(spark, sf_dir):
+    return wide_records(spark, sf_dir).select("doi", "prefix", "client_id", "provider_id")
+
+
+def _date_text_forms(ts):
+    """``ts`` written in seven textual date forms (by event id)."""
+    wk = F.concat(F.expr("cast(extract(YEAROFWEEK FROM ts) as string)"), F.lit("-W"),
+                  F.lpad(F.weekofyear(ts).cast("string"), 2, "0"), F.lit("-"),
+                  (((F.dayofweek(ts) + 5) % 7) + 1).cast("string"))
+    k = F.col("event_id") % 7
+    return (F.when(k == 0, F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")))
+            .when(k == 1, F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+05:30")))
+            .when(k == 2, F.date_format(ts, "yyyy-MM"))
+            .when(k == 3, F.concat(F.date_format(ts, "yyyyMMdd'T'HHmmss"), F.lit("Z")))
+            .when(k == 4, F.date_format(ts, "MM/dd/yyyy HH:mm"))
+            .when(k == 5, F.lit(""))
+            .otherwise(wk))
+
+
+@query("q10_norm_date", """
+SELECT event_id,
+       CASE event_id % 7 WHEN 2 THEN strftime(ts, '%Y-%m') WHEN 4 THEN strftime(ts, '%m/%d/%Y')
+                         WHEN 5 THEN NULL ELSE strftime(ts, '%Y-%m-%d') END AS norm_date
+FROM events""")
+def q10_norm_date(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return ev.select("event_id", norm_date(_date_text_forms(F.col("ts"))).alias("norm_date"))
+
+
+@query("q11_query_param", """
+SELECT page_id, nullif(regexp_extract(url, '[?&]page=([^&#]*)', 1), '') AS page_param FROM pages""")
+def q11_query_param(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", query_param("url", "page").alias("page_param"))
+
+
+# ------------------------------------------------------------------- D
+
+@query("q12_dedup_richest", """
+SELECT doc_id, source, lang, n_chars, quality, toxic FROM (
+  SELECT d.*, l.quality, l.toxic,
+         row_number() OVER (PARTITION BY d.text ORDER BY
+           ((l.quality IS NOT NULL)::INT + (l.toxic IS NOT NULL)::INT) DESC,
+           d.source ASC NULLS LAST, d.doc_id ASC NULLS LAST) AS rn
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+) t WHERE rn = 1""")
+def q12_dedup_richest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    best = dedup_richest(docs, key="text", rich=("quality", "toxic"), order=("source", "doc_id"),
+                         tie_break=None)
+    return best.select("doc_id", "source", "lang", "n_chars", "quality", "toxic")
+
+
+@query("q12b_dedup_records", WIDE_CTE + f"""
+SELECT doi, client_id, provider_id, alternate_ids_json, registered, updated, created FROM (
+  SELECT *, row_number() OVER (PARTITION BY doi ORDER BY {RICH_ORDER}) AS rn FROM recs
+) t WHERE rn = 1""")
+def q12b_dedup_records(spark, sf_dir):
+    return dedup_richest(wide_records(spark, sf_dir)).select(
+        "doi", "client_id", "provider_id", "alternate_ids_json", "registered", "updated", "created")
+
+
+@query("q13_dedup_first", """
+SELECT source, lang, doc_id FROM (
+  SELECT source, lang, doc_id,
+         row_number() OVER (PARTITION BY source, lang ORDER BY doc_id) AS rn FROM documents
+) t WHERE rn = 1""")
+def q13_dedup_first(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return dedup_first(docs, ["source", "lang"], ["doc_id"]).select("source", "lang", "doc_id")
+
+
+@query("q14_duplicate_rate", """
+SELECT sum(n) AS n_rows, count(*) AS n_keys, sum(n - 1) AS n_duplicates,
+       sum(n - 1) / sum(n) AS dup_rate
+FROM (SELECT text, count(*) AS n FROM documents GROUP BY text) t""")
+def q14_duplicate_rate(spark, sf_dir):
+    return duplicate_stats(table(spark, sf_dir, "documents"), "text")
+
+
+# --------------------------------------------------------- clients (E/F)
+
+@query("q15_distinct_clients", WIDE_CTE + """
+SELECT DISTINCT trim(client_id) AS client_id FROM recs WHERE trim(client_id) <> ''""")
+def q15_distinct_clients(spark, sf_dir):
+    return distinct_client_ids(wide_records(spark, sf_dir))
+
+
+@query("q16_new_clients", """
+SELECT DISTINCT cast(o_custkey AS VARCHAR) AS client_id FROM orders
+WHERE NOT EXISTS (SELECT 1 FROM customer
+                  WHERE c_custkey % 2 = 0 AND c_custkey = o_custkey)""")
+def q16_new_clients(spark, sf_dir):
+    ids = distinct_client_ids(table(spark, sf_dir, "orders")
+                              .select(F.col("o_custkey").cast("string").alias("client_id")))
+    cat = (table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 2 == 0)
+           .select(F.col("c_custkey").cast("string").alias("id")))
+    return new_ids(ids, cat)
+
+
+@query("q17_client_flatten", "WITH " + CLIENTS_CTE + f"SELECT {CLIENT_SELECT} FROM c")
+def q17_client_flatten(spark, sf_dir):
+    return client_records(spark, sf_dir)[0]
+
+
+def _fetched_sql() -> str:
+    cols = ", ".join(f"coalesce(c.\"{c}\", '') AS \"{c}\"" for c in CLIENT_COLUMNS if c != "id")
+    return (f"SELECT n.id, {cols} FROM new_ids n "
+            f"LEFT JOIN (SELECT * FROM c WHERE s_suppkey % 10 <> 9) c ON n.id = c.id")
+
+
+@query("q18_catalog_upsert", "WITH " + CLIENTS_CTE + f""",
+ids AS (SELECT DISTINCT 's' || cast(l_suppkey AS VARCHAR) AS id FROM lineitem),
+existing AS (SELECT {CLIENT_SELECT} FROM c WHERE s_suppkey % 2 = 0),
+new_ids AS (SELECT id FROM ids WHERE id NOT IN (SELECT id FROM existing)),
+fetched AS ({_fetched_sql()})
+SELECT * FROM existing UNION ALL SELECT * FROM fetched""")
+def q18_catalog_upsert(spark, sf_dir):
+    flat, _ = client_records(spark, sf_dir)
+    num = F.regexp_extract("id", r"^s(\d+)$", 1).cast("bigint")
+    path = scratch_path(spark, "q18-catalog") + "/clients_catalog.csv"
+    write_catalog(flat.filter(num % 2 == 0), path)
+    existing = read_catalog(spark, path)
+    api = flat.filter(num % 10 != 9)
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("client_id"))
+    return enrich_catalog(rows, existing, api)
+
+
+@query("q19_providers_summary", "WITH " + CLIENTS_CTE + """
+SELECT provider_id, count(*) AS n_clients FROM c WHERE provider_id <> '' GROUP BY provider_id""")
+def q19_providers_summary(spark, sf_dir):
+    return providers_summary(client_records(spark, sf_dir)[0])
+
+
+@query("q20_label_server_name", WIDE_CTE + ", " + LABEL_CAT_CTE + f"""
+SELECT recs.doi, recs.client_id, {SERVER_NAME_SQL} AS server_name
+FROM recs LEFT JOIN cat ON trim(recs.client_id) = cat.id""")
+def q20_label_server_name(spark, sf_dir):
+    rows = wide_records(spark, sf_dir).select("doi", "client_id")
+    return label_server_name(rows, label_catalog(spark, sf_dir))
+
+
+def _year_sql(c: str) -> str:
+    return f"CASE WHEN regexp_matches({c}, '^[0-9]{{4}}') THEN substr({c}, 1, 4) END"
+
+
+@query("q21_labelled_slim", WIDE_CTE + ", " + LABEL_CAT_CTE + "SELECT " + ", ".join(
+    [f"recs.{c}" for c in SLIM_COLUMNS[:14]] +
+    [f"{SERVER_NAME_SQL} AS server_name", f"{_year_sql('recs.created')} AS created_year",
+     f"{_year_sql('recs.registered')} AS registered_year"]) +
+    "\nFROM recs LEFT JOIN cat ON trim(recs.client_id) = cat.id")
+def q21_labelled_slim(spark, sf_dir):
+    labelled = label_records(wide_records(spark, sf_dir), label_catalog(spark, sf_dir))
+    path = scratch_path(spark, "q21-labelled")
+    write_labelled(labelled, path, "parquet")
+    return spark.read.parquet(path)
+
+
+# --------------------------------------------------------------- sheets
+
+_SHEET_EXTRA = [("x1", "1", "0", "Lx1", -5), ("x2", "0", "1", "Lx2", -4), ("x3", "1", "1", "Lx3", -6),
+                ("", "0", "0", "Lblank_a", -3), ("", "1", "1", "Lblank_b", -2)]
+_CAT_EXTRA = [("", "blank1", "xx"), ("", "blank2", "xx")]
+
+SHEET_CTE = ("WITH cat AS (SELECT cast(doc_id AS VARCHAR) AS id, source AS name, lang FROM documents" +
+             "".join(f" UNION ALL SELECT '{a}', '{b}', '{c}'" for a, b, c in _CAT_EXTRA) + "),\n"
+             "sheet0 AS (SELECT cast(doc_id AS VARCHAR) AS source_id, cast(quality AS VARCHAR) AS quality, "
+             "cast(toxic AS VARCHAR) AS toxic, 'L' || cast(doc_id AS VARCHAR) AS name, doc_id * 10 AS ord "
+             "FROM labels UNION ALL SELECT cast(doc_id AS VARCHAR), '9', '9', 'Ldup', doc_id * 10 + 5 "
+             "FROM labels WHERE doc_id % 50 = 0" +
+             "".join(f" UNION ALL SELECT '{a}', '{b}', '{c}', '{d}', {e}" for a, b, c, d, e in _SHEET_EXTRA) +
+             "),\nsheet AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY ord) "
+             "AS rn FROM sheet0) t WHERE rn = 1)\n")
+SHEET_SELECT = ("SELECT cat.id, cat.name AS name_x, cat.lang, sheet.source_id, sheet.quality, "
+                "sheet.toxic, sheet.name AS name_y FROM cat ")
+
+
+def _sheet_inputs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    cat = docs.select(F.col("doc_id").cast("string").alias("id"), F.col("source").alias("name"), "lang")
+    cat = cat.unionByName(spark.createDataFrame(_CAT_EXTRA, "id string, name string, lang string"))
+    labels = table(spark, sf_dir, "labels")
+    s = lambda c: F.col(c).cast("string")
+    main = labels.select(s("doc_id").alias("source_id"), s("quality").alias("quality"),
+                         s("toxic").alias("toxic"),
+                         F.concat(F.lit("L"), s("doc_id")).alias("name"),
+                         (F.col("doc_id") * 10).alias("_ord"))
+    dup = labels.filter(F.col("doc_id") % 50 == 0).select(
+        s("doc_id").alias("source_id"), F.lit("9").alias("quality"), F.lit("9").alias("toxic"),
+        F.lit("Ldup").alias("name"), (F.col("doc_id") * 10 + 5).alias("_ord"))
+    extra = spark.createDataFrame(_SHEET_EXTRA, "source_id string, quality string, toxic string, "
+                                                "name string, _ord long")
+    sheet_rows = main.unionByName(dup).unionByName(extra).orderBy("_ord").drop("_ord")
+    path = scratch_path(spark, "sheet") + "/sheet.csv"
+    write_csv(sheet_rows, path, single_file=True)
+    return cat, read_sheet(spark, path)
+
+
+def _sheet_query(how):
+    def run(spark, sf_dir):
+        cat, sheet = _sheet_inputs(spark, sf_dir)
+        return merge_with_sheet(cat, sheet, "id", "source_id", ["quality", "toxic", "name"], how)
+    return run
+
+
+_JOIN_SQL = {"left": "LEFT JOIN", "right": "RIGHT JOIN", "inner": "JOIN", "outer": "FULL OUTER JOIN"}
+for _how, _name in (("left", "q22_sheet_left"), ("right", "q23_sheet_right"),
+                    ("inner", "q24_sheet_inner"), ("outer", "q25_sheet_outer")):
+    query(_name, SHEET_CTE + SHEET_SELECT + f"{_JOIN_SQL[_how]} sheet ON cat.id = sheet.source_id")(
+        _sheet_query(_how))
+
+
+# --------------------------------------------------------------- shards
+
+def _shard_frames(orders: DataFrame):
+    k = F.col("o_orderkey")
+    base = [F.expr(adapters.DOI).alias("doi"), F.expr(adapters.CID).alias("client_id"),
+            F.expr(adapters.DAY).alias("registered")]
+    year = F.year("o_orderdate")
+    a = orders.filter(k % 3 == 0).select(*base, year.cast("bigint").alias("published_year"),
+                                         F.lit(None).cast("int").alias("language"),
+                                         F.lit("[]").alias("url_alternate_json"))
+    b = orders.filter(k % 3 == 1).select(*base, F.when(k % 7 != 0, year).cast("double")
+                                         .alias("published_year"),
+                                         (k % 10).cast("int").alias("score"),
+                                         F.lit("[]").alias("url_alternate_json"))
+    c = orders.filter(k % 3 == 2).select(*base, year.cast("bigint").alias("published_year"))
+    return [a, b, c, a.limit(0)]
+
+
+SHARDS_SQL = f"""
+SELECT {adapters.DOI} AS doi, {adapters.CID} AS client_id, {adapters.DAY} AS registered,
+       CAST(year(o_orderdate) AS BIGINT) AS published_year, CAST(NULL AS VARCHAR) AS language,
+       '[]' AS url_alternate_json, CAST(NULL AS DOUBLE) AS score
+FROM orders WHERE o_orderkey % 3 = 0
+UNION ALL BY NAME
+SELECT {adapters.DOI} AS doi, {adapters.CID} AS client_id, {adapters.DAY} AS registered,
+       CAST(CASE WHEN o_orderkey % 7 <> 0 THEN year(o_orderdate) END AS BIGINT) AS published_year,
+       CAST(o_orderkey % 10 AS DOUBLE) AS score, '[]' AS url_alternate_json
+FROM orders WHERE o_orderkey % 3 = 1
+UNION ALL BY NAME
+SELECT {adapters.DOI} AS doi, {adapters.CID} AS client_id, {adapters.DAY} AS registered,
+       CAST(year(o_orderdate) AS BIGINT) AS published_year
+FROM orders WHERE o_orderkey % 3 = 2"""
+
+
+def _write_shards(spark, sf_dir) -> str:
+    root = scratch_path(spark, "shards")
+    for i, df in enumerate(_shard_frames(table(spark, sf_dir, "orders"))):
+        df.write.mode("overwrite").parquet(f"{root}/run_2020-01-01_2020-12-31/batches/chunk_{i:05d}")
+    return root
+
+
+@query("q26_unify_shards", SHARDS_SQL)
+def q26_unify_shards(spark, sf_dir):
+    root = _write_shards(spark, sf_dir)
+    return unify_shards(spark, shard_files(spark, [root, f"{root}/run_2020-01-01_2020-12-31"])).data
+
+
+# ------------------------------------------------------- quality (F/G)
+
+@query("q27_trend_per_year", WIDE_CTE + """
+SELECT published_year, count(*) AS n_records FROM recs
+WHERE published_year IS NOT NULL GROUP BY published_year""")
+def q27_trend_per_year(spark, sf_dir):
+    return trend_per_year(wide_records(spark, sf_dir))
+
+
+@query("q28_top_providers", WIDE_CTE + """
+SELECT provider_id, count(*) AS n_records FROM recs WHERE provider_id IS NOT NULL
+GROUP BY provider_id ORDER BY n_records DESC, provider_id ASC LIMIT 20""")
+def q28_top_providers(spark, sf_dir):
+    return top_values(wide_records(spark, sf_dir), "provider_id", n=20)
+
+
+@query("q29_completeness", WIDE_CTE + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", count(*) AS n_rows, count_if({c} IS NULL) AS n_null, "
+    f"count_if({c} IS NULL) / count(*) AS null_share FROM recs" for c in WIDE_COLUMNS))
+def q29_completeness(spark, sf_dir):
+    return completeness(wide_records(spark, sf_dir))
+
+
+def _gates_sql() -> str:
+    from .schema import COVERAGE_TARGETS, DATE_COLUMNS, REQUIRED_COLUMNS
+    parts = []
+    for c in REQUIRED_COLUMNS:
+        parts.append(f"SELECT 'required' AS \"check\", '{c}' AS \"column\", count(*) AS n_rows, "
+                     f"count_if({c} IS NULL) AS n_hits, CAST(NULL AS DOUBLE) AS target, "
+                     f"count_if({c} IS NULL) = 0 AS passed FROM recs")
+    for c, t in COVERAGE_TARGETS:
+        parts.append(f"SELECT 'coverage', '{c}', count(*), count({c}), CAST({t} AS DOUBLE), "
+                     f"count({c}) > {t} * count(*) FROM recs")
+    for c in DATE_COLUMNS:
+        bad = f"count_if({c} IS NOT NULL AND NOT regexp_matches({c}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$'))"
+        parts.append(f"SELECT 'dates', '{c}', count(*), {bad}, CAST(NULL AS DOUBLE), {bad} = 0 FROM recs")
+    return WIDE_CTE + "\nUNION ALL\n".join(parts)
+
+
+@query("q30_quality_gates", _gates_sql())
+def q30_quality_gates(spark, sf_dir):
+    return quality_gates(wide_records(spark, sf_dir))
+
+
+@query("q31_doi_join", WIDE_CTE + f"""
+, ext AS (
+  SELECT {adapters.DOI} AS doi, count(*) AS n_lines, CAST(sum(l_quantity) AS BIGINT) AS quantity
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1
+)
+SELECT recs.doi, recs.client_id, ext.n_lines, ext.quantity FROM recs JOIN ext ON recs.doi = ext.doi""")
+def q31_doi_join(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    orders = table(spark, sf_dir, "orders")
+    ext = (li.join(orders, li.l_orderkey == orders.o_orderkey)
+           .groupBy(F.expr(adapters.DOI).alias("doi"))
+           .agg(F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").cast("bigint").alias("quantity")))
+    recs = wide_records(spark, sf_dir).select("doi", "client_id")
+    return join_on_doi(recs, ext)
+
+
+@query("q32_growth_surge", """
+SELECT year, n_records, prev_n,
+       CASE WHEN prev_n > 0 THEN (n_records - prev_n) / prev_n END AS growth,
+       coalesce(n_records > 2.0 * prev_n, false) AS surge
+FROM (SELECT year, n_records, lag(n_records) OVER (ORDER BY year) AS prev_n
+      FROM (SELECT year(l_shipdate) AS year, count(*) AS n_records FROM lineitem
+            WHERE l_shipdate IS NOT NULL GROUP BY 1) a) b""")
+def q32_growth_surge(spark, sf_dir):
+    return yearly_growth(table(spark, sf_dir, "lineitem"), F.year("l_shipdate"), 2.0)
+
+
+@query("q33_counts_vs_external", """
+SELECT coalesce(a.source, b.source) AS source, coalesce(a.n, 0) AS n_ours,
+       coalesce(b.n, 0) AS n_external, coalesce(a.n, 0) - coalesce(b.n, 0) AS diff,
+       CASE WHEN coalesce(b.n, 0) > 0 THEN coalesce(a.n, 0) / b.n END AS ratio
+FROM (SELECT source, count(*) AS n FROM documents GROUP BY source) a
+FULL OUTER JOIN (SELECT d.source, count(*) AS n FROM labels l JOIN documents d ON l.doc_id = d.doc_id
+                 GROUP BY d.source) b ON a.source = b.source""")
+def q33_counts_vs_external(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    theirs = table(spark, sf_dir, "labels").join(docs.select("doc_id", "source"), "doc_id")
+    return counts_vs_external(docs.select("source"), theirs.select("source"), "source")
+
+
+# --------------------------------------------------------- ledger (H)
+
+_DROPPED_TURN = 3
+PAGES_CTE = f"""WITH mx AS (SELECT conv_id, max(turn) AS mt FROM conversations GROUP BY conv_id),
+pages AS (SELECT c.conv_id, c.turn, CASE WHEN c.turn < mx.mt THEN c.turn + 1 END AS next_cursor,
+                 mx.mt + 1 AS expected
+          FROM conversations c JOIN mx ON c.conv_id = mx.conv_id WHERE c.turn <> {_DROPPED_TURN})
+"""
+
+
+def _pages(spark, sf_dir):
+    conv = table(spark, sf_dir, "conversations")
+    mx = conv.groupBy("conv_id").agg(F.max("turn").alias("_mt"))
+    return (conv.join(mx, "conv_id").filter(F.col("turn") != _DROPPED_TURN)
+            .select("conv_id", "turn",
+                    F.when(F.col("turn") < F.col("_mt"), F.col("turn") + 1).alias("next_cursor"),
+                    (F.col("_mt") + 1).alias("expected")))
+
+
+@query("q34_page_chain", PAGES_CTE + """
+SELECT p.conv_id, p.turn, p.next_cursor, 'gap' AS problem FROM pages p
+WHERE p.next_cursor IS NOT NULL AND NOT EXISTS (
+  SELECT 1 FROM pages q WHERE q.conv_id = p.conv_id AND q.turn = p.next_cursor)
+UNION ALL SELECT conv_id, turn, next_cursor, 'not_advancing' FROM pages WHERE next_cursor <= turn
+UNION ALL SELECT conv_id, max(turn), NULL, 'open_end' FROM pages WHERE next_cursor IS NULL
+GROUP BY conv_id HAVING count(*) > 1""")
+def q34_page_chain(spark, sf_dir):
+    return page_chain_problems(_pages(spark, sf_dir), "conv_id", "turn", "next_cursor")
+
+
+@query("q35_shard_report", """
+SELECT count(*) AS n_rows, 0 AS n_over_limit, 0 AS n_empty, 0 AS n_unreadable FROM orders""")
+def q35_shard_report(spark, sf_dir):
+    root = scratch_path(spark, "chunks")
+    rows = table(spark, sf_dir, "orders").select(
+        F.expr(adapters.DOI).alias("doi"), F.expr(adapters.CID).alias("client_id"))
+    write_chunks(rows, f"{root}/batches", max_rows=1000)
+    rep = shard_report(unify_shards(spark, shard_files(spark, root), with_source=True), 1000)
+    return rep.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("n_rows"),
+                   F.count_if("over_limit").alias("n_over_limit"),
+                   F.count_if("empty").alias("n_empty"),
+                   F.count_if(~F.col("readable")).alias("n_unreadable"))
+
+
+_FOLDER = ("1800-01-01", "2025-11-07")
+
+
+@query("q36_run_ledger", WIDE_CTE + f"""
+, c AS (SELECT trim(client_id) AS cid, min(registered) AS dfrom, max(registered) AS duntil,
+               count(*) AS n, max(doi) AS mdoi
+        FROM recs WHERE client_id LIKE '%.%' AND registered IS NOT NULL GROUP BY 1)
+SELECT cid AS client_id, CAST(NULL AS VARCHAR) AS query, 'preprint' AS resource_type_id,
+       dfrom AS date_from, dfrom IS NULL AS no_range, duntil AS date_until, false AS finished,
+       cast(n AS VARCHAR) || ',' || mdoi AS cursor_decoded, true AS hash_ok,
+       substr(sha1('{{"client-id": "' || cid || '", "from-registered-date": "' || dfrom ||
+                   '", "resource-type-id": "preprint", "until-registered-date": "' || duntil || '"}}'),
+              1, 12) AS signature_hash,
+       '{_FOLDER[0]}' AS folder_start, '{_FOLDER[1]}' AS folder_end
+FROM c
+UNION ALL
+SELECT cid, 'types.resourceType:"preprint"', CAST(NULL AS VARCHAR), dfrom, dfrom IS NULL, duntil, true,
+       CAST(NULL AS VARCHAR), true,
+       substr(sha1('{{"client-id": "' || cid || '", "from-registered-date": "' || dfrom ||
+                   '", "query": "types.resourceType:\\"preprint\\"", "until-registered-date": "' ||
+                   duntil || '"}}'), 1, 12),
+       '{_FOLDER[0]}', '{_FOLDER[1]}'
+FROM c""")
+def q36_run_ledger(spark, sf_dir):
+    wide = wide_records(spark, sf_dir).filter(F.col("client_id").contains(".")
+                                              & F.col("registered").isNotNull())
+    per = wide.groupBy(F.trim("client_id").alias("cid")).agg(
+        F.min("registered").alias("dfrom"), F.max("registered").alias("duntil"),
+        F.count(F.lit(1)).alias("n"), F.max("doi").alias("mdoi"))
+    base = {"from-registered-date": F.col("dfrom"), "until-registered-date": F.col("duntil"),
+            "client-id": F.col("cid")}
+
+    def sig(extra):
+        items = {**base, **extra}
+        return F.create_map(*[x for k, v in items.items() for x in (F.lit(k), v)])
+
+    canonical = per.select(sig({"resource-type-id": F.lit("preprint")}).alias("signature"),
+                           F.base64(F.encode(F.concat(F.col("n").cast("string"), F.lit(","),
+                                                      F.col("mdoi")), "UTF-8")).alias("next_cursor"))
+    label = per.select(sig({"query": F.lit('types.resourceType:"preprint"')}).alias("signature"),
+                       F.lit(None).cast("string").alias("next_cursor"))
+    docs = canonical.unionByName(label).withColumn("saved_at", F.lit("2025-11-07T00:00:00+00:00")) \
+        .withColumn("checkpoint", signature_hash_col("signature"))
+    root = f"{scratch_path(spark, 'ledger')}/{_FOLDER[0]}_{_FOLDER[1]}/checkpoints"
+    docs.write.partitionBy("checkpoint").mode("overwrite").json(root)
+    led = run_ledger(read_checkpoints(spark, root))
+    return led.select("client_id", "query", "resource_type_id", "date_from",
+                      F.col("date_from").isNull().alias("no_range"), "date_until", "finished",
+                      "cursor_decoded", "hash_ok", "signature_hash", "folder_start", "folder_end")
+
+
+@query("q37_stream_ingest", """
+SELECT user_id, event_id, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY
+    ((props IS NOT NULL)::INT + (value IS NOT NULL)::INT) DESC,
+    ts ASC NULLS LAST, event_id ASC NULLS LAST) AS rn FROM events
+) t WHERE rn = 1""")
+def q37_stream_ingest(spark, sf_dir):
+    root = scratch_path(spark, "stream")
+    fmt = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+    ev = table(spark, sf_dir, "events")
+    ev.repartitionByRange(4, "event_id").write.option("timestampFormat", fmt).json(f"{root}/landing")
+    stream = (spark.readStream.schema(ev.schema).option("timestampFormat", fmt)
+              .option("maxFilesPerTrigger", 1).json(f"{root}/landing"))
+    maintain_best_rows(spark, stream, f"{root}/snapshot", f"{root}/_checkpoint", key="user_id",
+                       rich=("props", "value"), order=("ts", "event_id"), tie_break=None)
+    return read_snapshot(spark, f"{root}/snapshot").select("user_id", "event_id", "event_type", "value")
+
+
+@query("q38_latest_dataset", """
+SELECT 'merged_20240103_000000.parquet' AS name, count(*) AS n_rows FROM orders
+WHERE o_orderkey % 3 = 2""")
+def q38_latest_dataset(spark, sf_dir):
+    root = scratch_path(spark, "merged")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    for i in range(3):
+        orders.filter(F.col("o_orderkey") % 3 == i).write.parquet(
+            f"{root}/merged_2024010{i + 1}_000000.parquet")
+    top = latest_dataset(spark, root, "merged_", ".parquet").collect()[0]
+    return spark.read.parquet(top["path"]).agg(F.lit(top["name"]).alias("name"),
+                                               F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("q39_expected_vs_harvested", PAGES_CTE + """
+SELECT conv_id, max(expected) AS expected, count(*) AS harvested,
+       max(expected) - count(*) AS missing, max(expected) - count(*) = 0 AS complete
+FROM pages GROUP BY conv_id""")
+def q39_expected_vs_harvested(spark, sf_dir):
+    pages = _pages(spark, sf_dir)
+    exp = pages.groupBy("conv_id").agg(F.max("expected").alias("expected"))
+    return expected_vs_harvested(exp, pages.select("conv_id"), "conv_id")
+
+
+@query("q39b_run_summary", WIDE_CTE + ", " + LABEL_CAT_CTE + """
+, ids AS (SELECT trim(client_id) AS id, count(*) AS n FROM recs
+          WHERE trim(client_id) <> '' GROUP BY 1)
+SELECT CAST(sum(n) AS BIGINT) AS scanned_rows, count(*) AS unique_client_ids,
+       count_if(cat.id IS NULL) AS new_clients FROM ids LEFT JOIN cat ON ids.id = cat.id""")
+def q39b_run_summary(spark, sf_dir):
+    return run_summary(wide_records(spark, sf_dir), label_catalog(spark, sf_dir))
+
+
+@query("q40_ndjson_roundtrip", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def q40_ndjson_roundtrip(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "ndjson")
+    write_ndjson(docs, path, gzip=True)
+    return spark.read.schema(docs.schema).json(path).select("doc_id", "text", "lang", "source", "n_chars")
+
 
-ORACLE = {
-    "q01_flatten_records": WIDE_CTE + "SELECT * FROM recs",
-}
+QUERIES = Q
+ORACLE = SQL

@@ -1,0 +1,7 @@
+"""Structured Streaming jobs: resumable ingest (H1) and best-row snapshot (H2)."""
+
+from .ingest import (ingest_records, maintain_best_rows, merge_batch, read_snapshot,
+                     record_stream)
+
+__all__ = ["ingest_records", "maintain_best_rows", "merge_batch", "read_snapshot",
+           "record_stream"]
