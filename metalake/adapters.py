@@ -290,7 +290,8 @@ def run_sql(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:
 
 def records_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON record per order in column ``raw`` (see ``records_sql``)."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    from .session import spread
+    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet"))
     return run_sql(spark, records_sql("spark", "@orders@"), orders=orders)
 
 

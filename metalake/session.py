@@ -67,6 +67,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def spread(df, min_partitions: int | None = None):
+    """Round-robin repartition when ``df`` has fewer partitions than cores.
+
+    For inputs that are small on disk but expand into heavy per-row work
+    (JSON text -> VARIANT -> 38 columns), a single small file would
+    otherwise be processed by one task. Large inputs already arrive in many
+    splits and pass through unchanged (no extra shuffle).
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/metalake-scratch/{name}-{uuid.uuid4().hex[:12]}"

@@ -45,9 +45,11 @@ def items_from_text(df: DataFrame, text_col: str = "raw", keep=()) -> DataFrame:
     Rows whose text does not parse get ``v`` = NULL; ``quarantine`` returns
     them so they are reported, never silently dropped.
     """
-    parsed = df.select(F.try_parse_json(F.col(text_col)).alias("v"), F.col(text_col), *keep)
-    ok = parsed.filter(F.col("v").isNotNull()).select(_explode_pages(F.col("v")).alias("v"), *keep)
-    return ok
+    # Parse once: the NULL filter runs after the explode, so it cannot be
+    # pushed below the projection (which would parse every record twice).
+    parsed = df.select(F.try_parse_json(F.col(text_col)).alias("v"), *keep)
+    return (parsed.select(_explode_pages(F.col("v")).alias("v"), *keep)
+            .filter(F.col("v").isNotNull()))
 
 
 def quarantine(df: DataFrame, text_col: str = "raw") -> DataFrame:
