@@ -37,10 +37,12 @@ def dedup_richest(df: DataFrame, key: str = "doi",
     ``order`` values (NULLs last; ``newest=True`` takes the latest); a NULL
     key is one group. The tie-break column (compared only when everything
     else ties) makes the choice total, so repeated runs pick the same row."""
-    score = richness(rich)
+    have = set(df.columns)
+    score = richness([c for c in rich if c in have])  # absent columns count as NULL
     seq = [score.desc()]
     for c in order:
-        seq.append(F.col(c).desc_nulls_last() if newest else F.col(c).asc_nulls_last())
+        if c in have:
+            seq.append(F.col(c).desc_nulls_last() if newest else F.col(c).asc_nulls_last())
     if tie_break and tie_break in df.columns:
         seq.append(F.col(tie_break).asc_nulls_last())
     return top1(df, key, seq)

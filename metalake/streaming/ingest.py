@@ -48,8 +48,9 @@ def ingest_records(spark: SparkSession, landing_dir: str, out_dir: str, checkpoi
          .outputMode("append").trigger(availableNow=True).start(out_dir))
     q.awaitTermination()
     progress = q.recentProgress
+    # Input rows of a file stream are landed documents (pages), not items.
     return {"batches": len(progress),
-            "rows": int(sum(p.get("numInputRows", 0) for p in progress))}
+            "input_docs": int(sum(p.get("numInputRows", 0) for p in progress))}
 
 
 # ------------------------------------------------------------------ H2

@@ -1,0 +1,102 @@
+"""Readers and sinks: landed pages, page metadata, CSV catalogue/sheet,
+NDJSON, chunked Parquet, latest dataset."""
+
+from __future__ import annotations
+
+import gzip
+import json
+import os
+import time
+
+import pytest
+
+from metalake.operators.flatten import flatten_items
+from metalake.schema import CLIENT_COLUMNS
+from metalake.sinks import write_catalog, write_chunks, write_ndjson
+from metalake.sources import (latest_dataset, page_meta, read_catalog, read_client_ids, read_items,
+                              read_pages, read_sheet)
+
+
+def test_read_items_pages_and_ndjson(spark, tmp_dir):
+    page = {"data": [{"attributes": {"doi": "10.1/a"}}, {"attributes": {"doi": "10.1/b"}}],
+            "meta": {"total": 5},
+            "links": {"next": "https://api.example.org/dois?page%5Bcursor%5D=XY%3D%3D&page%5Bsize%5D=1000"}}
+    with open(os.path.join(tmp_dir, "p1.json"), "w") as fh:
+        fh.write(json.dumps(page) + "\n")
+    with gzip.open(os.path.join(tmp_dir, "items.ndjson.gz"), "wt") as fh:
+        fh.write(json.dumps({"attributes": {"doi": "10.1/c"}}) + "\n")
+        fh.write(json.dumps({"id": "no-attributes"}) + "\n")
+    items = read_items(spark, tmp_dir)
+    assert items.count() == 4
+    assert sorted(r[0] for r in flatten_items(items).select("doi").collect()) == ["10.1/a", "10.1/b", "10.1/c"]
+    meta = page_meta(read_pages(spark, os.path.join(tmp_dir, "p1.json"))).collect()[0]
+    assert (meta["total"], meta["n_items"], meta["next_cursor"]) == (5, 2, "XY==")
+
+
+def test_read_items_pretty_printed(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "p.json"), "w") as fh:
+        json.dump({"data": [{"attributes": {"doi": "10.1/x"}}]}, fh, indent=2)
+    assert read_items(spark, tmp_dir, multiline=True).count() == 1
+
+
+def test_catalog_csv_roundtrip(spark, tmp_dir):
+    schema = ", ".join(f"`{c}` string" for c in CLIENT_COLUMNS)
+    row = ["a.b", "clients", 'Name, with "quotes"', "Line1\nLine2"] + ["NA"] + [""] * 14 + ['{"k": "v, w"}']
+    df = spark.createDataFrame([tuple(row), tuple(["c.d"] + [None] * 19)], schema)
+    path = os.path.join(tmp_dir, "catalog.csv")
+    write_catalog(df, path)
+    back = {r["id"]: r.asDict() for r in read_catalog(spark, path).collect()}
+    assert back["a.b"]["name"] == 'Name, with "quotes"'
+    assert back["a.b"]["displayName"] == "Line1\nLine2"
+    assert back["a.b"]["symbol"] == "NA"  # only empty fields are missing
+    assert back["a.b"]["raw_json"] == '{"k": "v, w"}'
+    assert all(back["c.d"][c] == "" for c in CLIENT_COLUMNS if c != "id")
+
+
+def test_missing_catalog_is_empty(spark, tmp_dir):
+    cat = read_catalog(spark, os.path.join(tmp_dir, "nope.csv"))
+    assert cat.columns == CLIENT_COLUMNS and cat.count() == 0
+
+
+def test_sheet_keeps_file_order(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "sheet.csv")
+    with open(path, "w") as fh:
+        fh.write('source_id,Server Main Page Link,note\n1,"https://a, b",x\n,blank,\n1,dup,"multi\nline"\n')
+    sheet = read_sheet(spark, path)
+    got = [(r["source_id"], r["Server Main Page Link"], r["note"]) for r in sheet.orderBy("_line").collect()]
+    assert got == [("1", "https://a, b", "x"), ("", "blank", ""), ("1", "dup", "multi\nline")]
+
+
+def test_client_ids_scan_is_pruned(spark, tmp_dir):
+    df = spark.createDataFrame([("c.a", "x" * 10), (" c.b ", "y")], "client_id string, other string")
+    df.write.parquet(os.path.join(tmp_dir, "m.parquet"))
+    ids = read_client_ids(spark, os.path.join(tmp_dir, "m.parquet"))
+    plan = ids._jdf.queryExecution().executedPlan().toString()
+    assert "other" not in plan.split("ReadSchema")[-1].split("\n")[0]
+
+
+def test_ndjson_keeps_nulls(spark, tmp_dir):
+    df = spark.createDataFrame([("x", None, "é")], "a string, b string, c string")
+    write_ndjson(df, os.path.join(tmp_dir, "o"), gzip=True)
+    files = sorted(f for f in os.listdir(os.path.join(tmp_dir, "o")) if f.endswith(".gz"))
+    text = "".join(gzip.open(os.path.join(tmp_dir, "o", f), "rt").read() for f in files)
+    assert '"b":null' in text and "é" in text
+
+
+def test_chunks_bounded(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "chunks")
+    write_chunks(spark.range(2500).coalesce(1), out, max_rows=1000)
+    write_chunks(spark.range(10).coalesce(1), out, max_rows=1000)  # resumed run appends
+    counts = sorted(spark.read.parquet(out).groupBy("_metadata.file_name").count().collect(),
+                    key=lambda r: r[1])
+    assert [r[1] for r in counts] == [10, 500, 1000, 1000]
+
+
+def test_latest_dataset(spark, tmp_dir):
+    for i, name in enumerate(["merged_1.parquet", "merged_3.parquet", "merged_2.parquet"]):
+        spark.range(i + 1).write.parquet(os.path.join(tmp_dir, name))
+        time.sleep(1.1)
+    top = latest_dataset(spark, tmp_dir, "merged_", ".parquet").collect()[0]
+    assert top["name"] == "merged_2.parquet"
+    with pytest.raises(FileNotFoundError):
+        latest_dataset(spark, tmp_dir, "other_", ".parquet")
