@@ -28,5 +28,8 @@ def _unescape(s: pd.Series) -> pd.Series:
 
 
 def html_unescape(c) -> Column:
+    # Values without "&" reach the UDF as NULL, so the Arrow batches carry
+    # only the titles that may hold entities.
     s = col_(c)
-    return F.when(F.instr(s, "&") > 0, _unescape(s)).otherwise(s)
+    has_entity = F.instr(s, "&") > 0
+    return F.when(has_entity, _unescape(F.when(has_entity, s))).otherwise(s)

@@ -32,7 +32,8 @@ from .sinks import write_catalog, write_chunks, write_csv, write_labelled, write
 from .sources.files import latest_dataset, shard_files
 from .sources.items import items_from_text
 from .sources.tables import read_catalog, read_sheet
-from .streaming.ingest import maintain_best_rows, read_snapshot
+from .streaming.ingest import (maintain_best_rows, maintain_best_rows_state, read_best_rows,
+                               read_snapshot)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -620,6 +621,20 @@ def q37_stream_ingest(spark, sf_dir):
     return read_snapshot(spark, f"{root}/snapshot").select("user_id", "event_id", "event_type", "value")
 
 
+@query("q37b_stream_best_rows_state", SQL["q37_stream_ingest"])
+def q37b_stream_best_rows_state(spark, sf_dir):
+    root = scratch_path(spark, "stream-state")
+    fmt = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+    ev = table(spark, sf_dir, "events")
+    ev.repartitionByRange(4, "event_id").write.option("timestampFormat", fmt).json(f"{root}/landing")
+    stream = (spark.readStream.schema(ev.schema).option("timestampFormat", fmt)
+              .option("maxFilesPerTrigger", 1).json(f"{root}/landing"))
+    maintain_best_rows_state(spark, stream, f"{root}/log", f"{root}/_checkpoint", key="user_id",
+                             rich=("props", "value"), order=("ts", "event_id"))
+    return read_best_rows(spark, f"{root}/log", "user_id").select("user_id", "event_id", "event_type",
+                                                                  "value")
+
+
 @query("q38_latest_dataset", """
 SELECT 'merged_20240103_000000.parquet' AS name, count(*) AS n_rows FROM orders
 WHERE o_orderkey % 3 = 2""")

@@ -7,7 +7,10 @@
   which sink files were committed, so a restart continues where it stopped
   and never duplicates rows (the position bookkeeping of a page-cursor
   harvester, done by the engine).
-* H2 ``maintain_best_rows``: ``foreachBatch`` merges each batch into a
+* H2 ``maintain_best_rows_state`` (scales with the number of keys): a
+  streaming ``min_by`` aggregation keeps the best row per key in the state
+  store (RocksDB), and each batch appends only the keys it changed.
+* H2 ``maintain_best_rows`` (small snapshots): ``foreachBatch`` merges each batch into a
   versioned snapshot: only the snapshot rows of keys present in the batch
   are re-ranked with the batch (D1); the rest are carried over. A version is
   written per batch id (overwrite = idempotent on replay) and registered in
@@ -16,10 +19,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dedup import dedup_richest
+from ..operators.dedup import dedup_richest, richness, top1
 from ..operators.flatten import flatten_items
 from ..sources.items import _explode_pages
 
@@ -111,3 +114,55 @@ def maintain_best_rows(spark: SparkSession, stream: DataFrame, snapshot_dir: str
     progress = q.recentProgress
     return {"batches": len(progress),
             "rows": int(sum(p.get("numInputRows", 0) for p in progress))}
+
+
+# ----------------------------------------------- H2 on the state store
+
+def best_row_order(rich, order, tie_break: str | None = None, columns=None) -> Column:
+    """An orderable struct whose minimum is the D1 winner: fewest missing
+    ``rich`` values first, then each ``order`` column ascending with NULLs
+    last, then the tie-break. Absent columns count as NULL."""
+    have = set(columns) if columns is not None else None
+    ok = (lambda c: have is None or c in have)
+    parts = [(-richness([c for c in rich if ok(c)])).alias("_score")]
+    seq = [c for c in order if ok(c)] + ([tie_break] if tie_break and ok(tie_break) else [])
+    for i, c in enumerate(seq):
+        parts += [F.col(c).isNull().alias(f"_n{i}"), F.col(c).alias(f"_v{i}")]
+    return F.struct(*parts)
+
+
+def best_row_updates(stream: DataFrame, key: str, rich, order,
+                     tie_break: str | None = None) -> DataFrame:
+    """Streaming aggregation: the current best row per key (``min_by`` over
+    the D1 order). Spark keeps one row per key in the state store, so a
+    micro-batch only touches the keys it contains; in update mode each batch
+    emits just the keys whose best row may have changed."""
+    cols = [c for c in stream.columns if c != key]
+    rank = best_row_order(rich, order, tie_break, stream.columns)
+    best = stream.groupBy(key).agg(F.min_by(F.struct(*cols), rank).alias("_best"))
+    return best.select(key, "_best.*")
+
+
+def maintain_best_rows_state(spark: SparkSession, stream: DataFrame, log_dir: str,
+                             checkpoint_dir: str, key: str, rich, order,
+                             tie_break: str | None = None) -> dict:
+    """H2 with per-key state: every micro-batch's updated best rows are
+    written to ``log_dir/batch_id=N`` (dynamic partition overwrite, so a
+    replayed batch replaces its own output). ``read_best_rows`` returns the
+    latest row per key."""
+    updates = best_row_updates(stream, key, rich, order, tie_break)
+
+    def _fn(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").partitionBy("batch_id").parquet(log_dir))
+
+    q = (updates.writeStream.outputMode("update").foreachBatch(_fn)
+         .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return {"batches": len(q.recentProgress)}
+
+
+def read_best_rows(spark: SparkSession, log_dir: str, key: str) -> DataFrame:
+    """Latest emitted row per key (each emission is the best so far)."""
+    log = spark.read.parquet(log_dir)
+    return top1(log, key, [F.col("batch_id").desc()]).drop("batch_id")

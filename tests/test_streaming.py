@@ -55,3 +55,27 @@ def test_best_rows_equal_batch_result(spark, tmp_dir):
     batch = dedup_richest(spark.createDataFrame(rows, schema), rich=("provider_id",),
                           order=("registered",), tie_break=None)
     assert snap == sorted(map(tuple, batch.collect()), key=repr)
+
+
+def test_state_store_best_rows_equal_batch_result(spark, tmp_dir):
+    from metalake.streaming import maintain_best_rows_state, read_best_rows
+    land = os.path.join(tmp_dir, "landing")
+    os.makedirs(land)
+    rows = [("k1", None, "2021"), ("k1", "p", "2022"), ("k2", "p", "2020"), ("k1", "p", "2019"),
+            ("k2", None, "2018"), (None, None, "2017"), (None, "p", "2016"), ("k3", None, None),
+            ("k3", None, "2014")]
+    for i in range(0, len(rows), 2):
+        with open(os.path.join(land, f"part_{i:03d}.json"), "w") as fh:
+            for k, p, r in rows[i:i + 2]:
+                fh.write(json.dumps({"doi": k, "provider_id": p, "registered": r}) + "\n")
+    schema = "doi string, provider_id string, registered string"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(land)
+    log = os.path.join(tmp_dir, "log")
+    res = maintain_best_rows_state(spark, stream, log, os.path.join(tmp_dir, "ck"), key="doi",
+                                   rich=("provider_id",), order=("registered",))
+    assert res["batches"] >= 4
+    got = sorted(map(tuple, read_best_rows(spark, log, "doi")
+                     .select("doi", "provider_id", "registered").collect()), key=repr)
+    batch = dedup_richest(spark.createDataFrame(rows, schema), rich=("provider_id",),
+                          order=("registered",), tie_break=None)
+    assert got == sorted(map(tuple, batch.collect()), key=repr)
