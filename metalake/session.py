@@ -25,6 +25,10 @@ SQL_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Wide projections (38 VARIANT lookups) generate methods too large for
+    # the HotSpot JIT (8000 bytes); above that size run that subtree without
+    # whole-stage fusion instead of interpreting one huge method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Streaming state (best row per key) lives in RocksDB, off the JVM heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
