@@ -65,13 +65,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     folder is created and registered, so lineage cuts and scratch tables
     always land on storage every executor can reach.
     """
+    sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="metalake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    if root:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(root)
+        return root.rstrip("/")
+    if sc.getCheckpointDir() is None:  # unset: tests / local use only
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="metalake-ckpt-"))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def spread(df, min_partitions: int | None = None):

@@ -18,10 +18,9 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
+    # Scratch output goes under the session's spark.checkpoint.dir; when the
+    # session names none, metalake.session registers a private temp folder.
     s = build_session("local[4]", shuffle_partitions=4)
-    # Tests get their own shared folder when the session names none.
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="metalake-test-"))
     yield s
 
 
