@@ -208,7 +208,7 @@ def record_node(dialect: str) -> Node:
 
 def records_sql(dialect: str = "spark", table: str = "orders") -> str:
     """``raw`` JSON text per order (one registry item per row)."""
-    return f"SELECT {render(record_node(dialect), canonical=False)} AS raw FROM {table}"
+    return f"SELECT {K}, {render(record_node(dialect), canonical=False)} AS raw FROM {table}"
 
 
 def expected_wide_sql(table: str = "orders") -> str:
@@ -389,3 +389,42 @@ SELECT id, name, displayName, c_custkey FROM (
   WHERE c_custkey % 200 < 170
 ) t
 """
+
+
+# ------------------------------------------------ landed API pages (orders)
+
+PAGE_SIZE = 1000
+NEXT_URL = "https://api.example.org/dois?page%5Bcursor%5D="
+
+
+def pages_from_orders(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SIZE) -> DataFrame:
+    """API pages as the harvester lands them: ``{"data": [...], "meta":
+    {"total", "page"}, "links": {"next"}}``, one JSON document per row in
+    column ``value``. A page holds the records of ``page_size`` consecutive
+    order keys (a bounded group); the next link carries the base64 cursor
+    of the following page, percent-encoded."""
+    from pyspark.sql import functions as F
+    recs = records_from_orders(spark, sf_dir)
+    stats = recs.agg(F.count(F.lit(1)).alias("n"), F.max(K).alias("mx")).collect()[0]
+    last_page = int(stats["mx"]) // page_size if stats["mx"] is not None else 0
+    page_no = F.expr(f"{K} div {page_size}")
+    pages = recs.groupBy(page_no.alias("page_no")).agg(
+        F.concat_ws(", ", F.collect_list("raw")).alias("items"))
+    cursor = F.base64(F.encode(((F.col("page_no") + 1) * page_size).cast("string"), "UTF-8"))
+    nxt = F.when(F.col("page_no") < last_page,
+                 F.concat(F.lit('"' + NEXT_URL), F.url_encode(cursor),
+                          F.lit(f'&page%5Bsize%5D={page_size}"'))).otherwise(F.lit("null"))
+    value = F.concat(F.lit('{"data": ['), F.col("items"), F.lit('], "meta": {"total": '),
+                     F.lit(str(stats["n"])), F.lit(', "page": '), F.col("page_no").cast("string"),
+                     F.lit('}, "links": {"next": '), nxt, F.lit("}}"))
+    return pages.select("page_no", value.alias("value"))
+
+
+def expected_page_meta_sql(page_size: int = PAGE_SIZE) -> str:
+    return f"""
+WITH p AS (SELECT {K} // {page_size} AS page_no, count(*) AS n_items FROM orders GROUP BY 1),
+t AS (SELECT count(*) AS total, max({K}) // {page_size} AS last_page FROM orders)
+SELECT p.page_no, t.total, p.n_items,
+       CASE WHEN p.page_no < t.last_page
+            THEN to_base64(encode(cast((p.page_no + 1) * {page_size} AS VARCHAR))) END AS next_cursor
+FROM p CROSS JOIN t"""

@@ -30,10 +30,10 @@ from .schema import CLIENT_COLUMNS, SLIM_COLUMNS, WIDE_COLUMNS
 from .session import scratch_path
 from .sinks import write_catalog, write_chunks, write_csv, write_labelled, write_ndjson
 from .sources.files import latest_dataset, shard_files
-from .sources.items import items_from_text
+from .sources.items import items_from_text, page_meta, read_items, read_pages
 from .sources.tables import read_catalog, read_sheet
-from .streaming.ingest import (maintain_best_rows, maintain_best_rows_state, read_best_rows,
-                               read_snapshot)
+from .streaming.ingest import (ingest_records, maintain_best_rows, maintain_best_rows_state,
+                               read_best_rows, read_snapshot)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -676,5 +676,34 @@ def q40_ndjson_roundtrip(spark, sf_dir):
     return spark.read.schema(docs.schema).json(path).select("doc_id", "text", "lang", "source", "n_chars")
 
 
+# ------------------------------------------------ landed pages (A1, A2, H1)
+
+def _land_pages(spark, sf_dir, n_files: int = 4) -> str:
+    path = scratch_path(spark, "landing") + "/pages"
+    pages = adapters.pages_from_orders(spark, sf_dir)
+    pages.repartition(n_files, "page_no").select("value").write.text(path)
+    return path
+
+
+@query("q41_landed_items", SQL["q01_flatten_records"])
+def q41_landed_items(spark, sf_dir):
+    return flatten_items(read_items(spark, _land_pages(spark, sf_dir)))
+
+
+@query("q42_page_meta", adapters.expected_page_meta_sql())
+def q42_page_meta(spark, sf_dir):
+    pages = read_pages(spark, _land_pages(spark, sf_dir))
+    pages = pages.withColumn("page_no", F.try_variant_get("v", "$.meta.page", "bigint"))
+    return page_meta(pages, keep=["page_no"]).select("page_no", "total", "n_items", "next_cursor")
+
+
+@query("q43_stream_ingest_records", SQL["q01_flatten_records"])
+def q43_stream_ingest_records(spark, sf_dir):
+    landing = _land_pages(spark, sf_dir)
+    root = scratch_path(spark, "ingest")
+    ingest_records(spark, landing, f"{root}/out", f"{root}/_checkpoint", max_files_per_trigger=2)
+    return spark.read.parquet(f"{root}/out")
+
+
 QUERIES = Q
 ORACLE = SQL

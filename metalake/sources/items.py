@@ -62,11 +62,12 @@ def with_attributes(items: DataFrame, v: str = "v") -> DataFrame:
     return items.filter(~is_missing(vget(v, "$.attributes")))
 
 
-def page_meta(pages: DataFrame, v: str = "v") -> DataFrame:
+def page_meta(pages: DataFrame, v: str = "v", keep=()) -> DataFrame:
     """A2: per landed page the announced total, item count, next link and
     the decoded ``page[cursor]`` of the next link."""
     nxt = vstring(v, "$.links.next")
     return pages.select(
+        *keep,
         vget(v, "$.meta.total", "bigint").alias("total"),
         F.size(F.try_variant_get(F.col(v), "$.data", "array<variant>")).alias("n_items"),
         nxt.alias("next_url"),
