@@ -30,10 +30,29 @@ def is_missing(x: Column) -> Column:
     return x.isNull() | F.is_variant_null(x)
 
 
+# Control characters Python escapes as \u00xx with lowercase hex digits
+# (Spark writes uppercase); the short escapes \b \t \n \f \r agree.
+_HEX_LETTER_CONTROLS = ["000B", "000E", "000F", "001A", "001B", "001C", "001D", "001E", "001F"]
+
+
+def _python_escapes(text: Column) -> Column:
+    r"""Lowercase the hex digits of ``\u00XX`` escapes (not of an escaped
+    backslash followed by ``u00XX``); only values holding ``\u00`` are
+    rewritten."""
+    fixed = text
+    for code in _HEX_LETTER_CONTROLS:
+        fixed = F.regexp_replace(fixed, r"(?<!\\)((?:\\\\)*)\\u" + code, "$1\\\\u" + code.lower())
+    return F.when(F.instr(text, "\\u00") > 0, fixed).otherwise(text)
+
+
+def _to_json(x: Column) -> Column:
+    return _python_escapes(F.to_json(x))
+
+
 def canon(v, path: str = "$") -> Column:
     """Canonical JSON text of the value at ``path``; NULL if absent or null."""
     x = vget(v, path)
-    return F.when(is_missing(x), F.lit(None).cast("string")).otherwise(F.to_json(x))
+    return F.when(is_missing(x), F.lit(None).cast("string")).otherwise(_to_json(x))
 
 
 def canon_or(v, path: str, default: str) -> Column:
@@ -43,7 +62,7 @@ def canon_or(v, path: str, default: str) -> Column:
     ``false`` and ``0`` all give the default.
     """
     x = vget(v, path)
-    text = F.to_json(x)
+    text = _to_json(x)
     return F.when(is_missing(x) | text.isin(_FALSY_JSON), F.lit(default)).otherwise(text)
 
 

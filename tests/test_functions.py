@@ -31,6 +31,12 @@ NORM_DATE_CASES = [
     ("2021-W53-1", "2021-W53-1"),
     ("07/15/2024 10:00", "07/15/2024"),
     ("2024-07-15 10:00", "2024-07-15"),
+    ("00010101T24:00:00", "00010101T2"),
+    ("20240101x1030", "2024-01-01"),
+    ("20240101T10:3000", "20240101T1"),
+    ("00000101", "00000101"),
+    ("2024-W031", "2024-W031"),
+    ("0348W541", "0348W541"),
     ("", None),
     (None, None),
 ]
