@@ -45,6 +45,10 @@ def dedup_richest(df: DataFrame, key: str = "doi",
             seq.append(F.col(c).desc_nulls_last() if newest else F.col(c).asc_nulls_last())
     if tie_break and tie_break in df.columns:
         seq.append(F.col(tie_break).asc_nulls_last())
+    elif tie_break:
+        # No tie-break column (e.g. merged shards): a hash of the whole row
+        # still makes the pick independent of input order.
+        seq.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).asc())
     return top1(df, key, seq)
 
 

@@ -31,7 +31,7 @@ from .session import scratch_path
 from .sinks import write_catalog, write_chunks, write_csv, write_labelled, write_ndjson
 from .sources.files import latest_dataset, shard_files
 from .sources.items import items_from_text, page_meta, read_items, read_pages
-from .sources.tables import read_catalog, read_sheet
+from .sources.tables import read_catalog, read_client_ids, read_sheet
 from .streaming.ingest import (ingest_records, maintain_best_rows, maintain_best_rows_state,
                                read_best_rows, read_snapshot)
 
@@ -252,6 +252,13 @@ def q15_distinct_clients(spark, sf_dir):
     return distinct_client_ids(wide_records(spark, sf_dir))
 
 
+@query("q15b_client_ids_landed", SQL["q15_distinct_clients"])
+def q15b_client_ids_landed(spark, sf_dir):
+    path = scratch_path(spark, "merged") + "/merged.parquet"
+    wide_records(spark, sf_dir).write.parquet(path)
+    return distinct_client_ids(read_client_ids(spark, path))
+
+
 @query("q16_new_clients", """
 SELECT DISTINCT cast(o_custkey AS VARCHAR) AS client_id FROM orders
 WHERE NOT EXISTS (SELECT 1 FROM customer

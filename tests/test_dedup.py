@@ -63,3 +63,13 @@ def test_dedup_first(spark):
     assert got == {"k": "first", "j": "only"}
     src = dedup_first(df.withColumn("_src", F.when(F.col("v") == "later", 0).otherwise(1)), "k", ["_src"])
     assert {r["k"]: r["v"] for r in src.collect()}["k"] == "later"
+
+
+def test_tie_break_fallback_is_order_independent(spark):
+    rows = [("a", None, None, "2020", None, None, "x1", 1), ("a", None, None, "2020", None, None, "x2", 2)]
+    df = spark.createDataFrame(rows, "doi string, provider_id string, alternate_ids_json string, "
+                                     "registered string, updated string, created string, other string, n int")
+    df = df.drop("created")  # no raw_attributes_json either
+    picks = {tuple(dedup_richest(df.repartition(k)).collect()[0]) for k in (1, 2, 3)}
+    picks |= {tuple(dedup_richest(df.orderBy(F.desc("n"))).collect()[0])}
+    assert len(picks) == 1
