@@ -54,9 +54,10 @@ def infer_provider(rel_provider, attr_provider, client_id) -> Column:
 
 
 def year_from_iso(c) -> Column:
-    """First four characters when they are all digits, else NULL (a string)."""
+    """First four characters when they are all digits (any Unicode decimal
+    digit, like ``str.isdigit``), else NULL; the result is a string."""
     s = col_(c)
-    return F.when(s.rlike(r"^[0-9]{4}"), F.substring(s, 1, 4))
+    return F.when(s.rlike(r"^\p{Nd}{4}"), F.substring(s, 1, 4))
 
 
 def query_param(url, name: str) -> Column:

@@ -93,8 +93,8 @@ def test_strip_matches_python(spark):
 
 
 def test_year_from_iso(spark):
-    assert _eval(spark, year_from_iso, ["2024-07-15", "n.d.", "202", "1999", None]) == \
-        ["2024", None, None, "1999", None]
+    assert _eval(spark, year_from_iso, ["2024-07-15", "n.d.", "202", "1999", None, "２０２４-01"]) == \
+        ["2024", None, None, "1999", None, "２０２４"]
 
 
 def test_query_param(spark):
