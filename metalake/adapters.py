@@ -424,7 +424,7 @@ def expected_page_meta_sql(page_size: int = PAGE_SIZE) -> str:
     return f"""
 WITH p AS (SELECT {K} // {page_size} AS page_no, count(*) AS n_items FROM orders GROUP BY 1),
 t AS (SELECT count(*) AS total, max({K}) // {page_size} AS last_page FROM orders)
-SELECT p.page_no, t.total, p.n_items,
+SELECT p.page_no, t.total, CAST(p.n_items AS INTEGER) AS n_items,
        CASE WHEN p.page_no < t.last_page
             THEN to_base64(encode(cast((p.page_no + 1) * {page_size} AS VARCHAR))) END AS next_cursor
 FROM p CROSS JOIN t"""

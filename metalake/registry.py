@@ -237,7 +237,7 @@ def q13_dedup_first(spark, sf_dir):
 
 
 @query("q14_duplicate_rate", """
-SELECT sum(n) AS n_rows, count(*) AS n_keys, sum(n - 1) AS n_duplicates,
+SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_keys, CAST(sum(n - 1) AS BIGINT) AS n_duplicates,
        sum(n - 1) / sum(n) AS dup_rate
 FROM (SELECT text, count(*) AS n FROM documents GROUP BY text) t""")
 def q14_duplicate_rate(spark, sf_dir):
@@ -448,7 +448,7 @@ def q28_top_providers(spark, sf_dir):
 
 
 @query("q29_completeness", WIDE_CTE + "\nUNION ALL\n".join(
-    f"SELECT '{c}' AS \"column\", count(*) AS n_rows, count_if({c} IS NULL) AS n_null, "
+    f"SELECT '{c}' AS \"column\", count(*) AS n_rows, CAST(count_if({c} IS NULL) AS BIGINT) AS n_null, "
     f"count_if({c} IS NULL) / count(*) AS null_share FROM recs" for c in WIDE_COLUMNS))
 def q29_completeness(spark, sf_dir):
     return completeness(wide_records(spark, sf_dir))
@@ -459,14 +459,15 @@ def _gates_sql() -> str:
     parts = []
     for c in REQUIRED_COLUMNS:
         parts.append(f"SELECT 'required' AS \"check\", '{c}' AS \"column\", count(*) AS n_rows, "
-                     f"count_if({c} IS NULL) AS n_hits, CAST(NULL AS DOUBLE) AS target, "
+                     f"CAST(count_if({c} IS NULL) AS BIGINT) AS n_hits, CAST(NULL AS DOUBLE) AS target, "
                      f"count_if({c} IS NULL) = 0 AS passed FROM recs")
     for c, t in COVERAGE_TARGETS:
         parts.append(f"SELECT 'coverage', '{c}', count(*), count({c}), CAST({t} AS DOUBLE), "
                      f"count({c}) > {t} * count(*) FROM recs")
     for c in DATE_COLUMNS:
         bad = f"count_if({c} IS NOT NULL AND NOT regexp_matches({c}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$'))"
-        parts.append(f"SELECT 'dates', '{c}', count(*), {bad}, CAST(NULL AS DOUBLE), {bad} = 0 FROM recs")
+        parts.append(f"SELECT 'dates', '{c}', count(*), CAST({bad} AS BIGINT), CAST(NULL AS DOUBLE), "
+                     f"{bad} = 0 FROM recs")
     return WIDE_CTE + "\nUNION ALL\n".join(parts)
 
 
@@ -496,7 +497,7 @@ SELECT year, n_records, prev_n,
        CASE WHEN prev_n > 0 THEN (n_records - prev_n) / prev_n END AS growth,
        coalesce(n_records > 2.0 * prev_n, false) AS surge
 FROM (SELECT year, n_records, lag(n_records) OVER (ORDER BY year) AS prev_n
-      FROM (SELECT year(l_shipdate) AS year, count(*) AS n_records FROM lineitem
+      FROM (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS n_records FROM lineitem
             WHERE l_shipdate IS NOT NULL GROUP BY 1) a) b""")
 def q32_growth_surge(spark, sf_dir):
     return yearly_growth(table(spark, sf_dir, "lineitem"), F.year("l_shipdate"), 2.0)
@@ -546,7 +547,8 @@ def q34_page_chain(spark, sf_dir):
 
 
 @query("q35_shard_report", """
-SELECT count(*) AS n_rows, 0 AS n_over_limit, 0 AS n_empty, 0 AS n_unreadable FROM orders""")
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_over_limit, CAST(0 AS BIGINT) AS n_empty,
+       CAST(0 AS BIGINT) AS n_unreadable FROM orders""")
 def q35_shard_report(spark, sf_dir):
     root = scratch_path(spark, "chunks")
     rows = table(spark, sf_dir, "orders").select(
@@ -670,7 +672,7 @@ def q39_expected_vs_harvested(spark, sf_dir):
 , ids AS (SELECT trim(client_id) AS id, count(*) AS n FROM recs
           WHERE trim(client_id) <> '' GROUP BY 1)
 SELECT CAST(sum(n) AS BIGINT) AS scanned_rows, count(*) AS unique_client_ids,
-       count_if(cat.id IS NULL) AS new_clients FROM ids LEFT JOIN cat ON ids.id = cat.id""")
+       CAST(count_if(cat.id IS NULL) AS BIGINT) AS new_clients FROM ids LEFT JOIN cat ON ids.id = cat.id""")
 def q39b_run_summary(spark, sf_dir):
     return run_summary(wide_records(spark, sf_dir), label_catalog(spark, sf_dir))
 

@@ -71,3 +71,16 @@ def compare(spark_df, con, sql: str):
         only_d = [r for r in dr if r not in set(sr)][:3]
         report["only_spark"], report["only_oracle"] = only_s, only_d
     return report
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp": "TIMESTAMP", "date": "DATE", "float": "FLOAT"}
+
+
+def type_mismatches(spark_df, con, sql: str) -> dict:
+    """Columns whose Spark type does not map to the DuckDB result type."""
+    st = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+          for f in spark_df.schema.fields}
+    rel = con.sql(sql)
+    dt = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    return {c: (st.get(c), dt.get(c)) for c in set(st) | set(dt) if st.get(c) != dt.get(c)}

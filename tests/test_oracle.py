@@ -31,6 +31,7 @@ def test_every_query_has_oracle():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF01)
+    assert oracle.type_mismatches(df, con, SQL[name]) == {}
     report = oracle.compare(df, con, SQL[name])
     assert report["ok"], report
     assert report["spark_rows"] >= 1
