@@ -141,3 +141,31 @@ def test_dedup_richest_property(spark, rows):
                                      "registered string, updated string, raw_attributes_json string")
     got = sorted((tuple(r) for r in dedup_richest(df, order=("registered", "updated")).collect()), key=repr)
     assert got == _brute(rows)
+
+
+# --------------------------------------------------------- merge_with_sheet
+
+keys = st.sampled_from(["", "1", "2", "3"])
+
+
+@SETTINGS
+@given(st.lists(st.tuples(keys, st.sampled_from(["a", "b"])), max_size=8),
+       st.lists(st.tuples(keys, st.sampled_from(["x", "y", "z"])), max_size=8),
+       st.sampled_from(["left", "right", "inner", "outer"]))
+def test_sheet_merge_matches_pandas(spark, cat_rows, sheet_rows, how):
+    import pandas as pd
+
+    from metalake.operators.joins import merge_with_sheet
+
+    cat = pd.DataFrame(cat_rows, columns=["id", "name"])
+    sheet = pd.DataFrame(sheet_rows, columns=["source_id", "name"])
+    want_df = cat.merge(sheet.drop_duplicates(subset=["source_id"], keep="first"), how=how,
+                        left_on="id", right_on="source_id")
+    want = sorted((tuple(None if pd.isna(v) else v for v in r)
+                   for r in want_df[["id", "name_x", "source_id", "name_y"]].itertuples(index=False)), key=repr)
+    cdf = spark.createDataFrame(cat_rows, "id string, name string")
+    sdf = spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(sheet_rows)],
+                                "source_id string, name string, _line long")
+    got = sorted((tuple(r) for r in merge_with_sheet(cdf, sdf, "id", "source_id", ["name"], how)
+                  .select("id", "name_x", "source_id", "name_y").collect()), key=repr)
+    assert got == want
