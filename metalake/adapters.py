@@ -132,7 +132,7 @@ def _attributes(dialect: str) -> Node:
                            default=S(f"'Publisher ' || cast({C} % 5 as string)"))),
         ("language", CASE((_k(4), S("'en'")), (_k(4, "=", 1), LIT("null")))),
         ("version", CASE((_k(5), S(f"'1.' || cast({K} % 3 as string)")))),
-        ("schemaVersion", S("'http://datacite.org/schema/kernel-4'")),
+        ("schemaVersion", S("'http://schema.example.org/kernel-4'")),
         ("state", S("'findable'")),
         ("prefix", CASE((_k(3, "=", 1), S("''")), (_k(3, "=", 2), S(DOI_PREFIX)))),
         ("suffix", S(f"'o.' || cast({K} % 4000 as string)")),
@@ -233,7 +233,7 @@ def expected_wide_sql(table: str = "orders") -> str:
                       f"cast({C} % 5 as string) || '\"}}' ELSE 'Publisher ' || cast({C} % 5 as string) END"),
         "language": f"CASE WHEN {_k(4)} THEN 'en' END",
         "version": f"CASE WHEN {_k(5)} THEN '1.' || cast({K} % 3 as string) END",
-        "schema_version": "'http://datacite.org/schema/kernel-4'",
+        "schema_version": "'http://schema.example.org/kernel-4'",
         "state": "'findable'",
         "prefix": DOI_PREFIX,
         "client_id": client,

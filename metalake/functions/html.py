@@ -27,9 +27,26 @@ def _unescape(s: pd.Series) -> pd.Series:
     return out
 
 
+# Titles whose every "&" starts one of these complete references are decoded
+# on the JVM; the result equals html.unescape because "&amp;" is replaced
+# last (one left-to-right pass never re-reads its own output).
+_SIMPLE = r"^[^&]*(?:&(?:amp|lt|gt|quot|apos|#39|#x27|#X27);[^&]*)*$"
+_SIMPLE_REFS = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"),
+                ("&#x27;", "'"), ("&#X27;", "'"), ("&amp;", "&")]
+
+
+def _decode_simple(s: Column) -> Column:
+    for ref, ch in _SIMPLE_REFS:
+        s = F.replace(s, F.lit(ref), F.lit(ch))
+    return s
+
+
 def html_unescape(c) -> Column:
-    # Values without "&" reach the UDF as NULL, so the Arrow batches carry
-    # only the titles that may hold entities.
+    # Only titles with other references reach the UDF; all other rows pass
+    # NULL, so the Arrow batches stay small.
     s = col_(c)
-    has_entity = F.instr(s, "&") > 0
-    return F.when(has_entity, _unescape(F.when(has_entity, s))).otherwise(s)
+    has_ref = F.instr(s, "&") > 0
+    simple = s.rlike(_SIMPLE)
+    return (F.when(~has_ref, s)
+            .when(simple, _decode_simple(s))
+            .otherwise(_unescape(F.when(has_ref & ~simple, s))))

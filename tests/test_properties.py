@@ -169,3 +169,19 @@ def test_sheet_merge_matches_pandas(spark, cat_rows, sheet_rows, how):
     got = sorted((tuple(r) for r in merge_with_sheet(cdf, sdf, "id", "source_id", ["name"], how)
                   .select("id", "name_x", "source_id", "name_y").collect()), key=repr)
     assert got == want
+
+
+# --------------------------------------------------------------- html_unescape
+
+html_piece = st.sampled_from(["a", " ", "&", ";", "#", "x", "&amp;", "&amp", "&lt;", "&gt;", "&quot;",
+                              "&apos;", "&#39;", "&#x27;", "&#233;", "&#128;", "&eacute;", "&copy",
+                              "&notit;", "&bogus;", "&#xZZ;", "AT&T"])
+
+
+@SETTINGS
+@given(st.lists(st.lists(html_piece, max_size=8).map("".join), min_size=20, max_size=60))
+def test_html_unescape_property(spark, values):
+    import html
+
+    from metalake.functions import html_unescape
+    assert _col(spark, values, html_unescape) == [html.unescape(v) for v in values]
