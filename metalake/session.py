@@ -65,17 +65,27 @@ def checkpoint_root(spark: SparkSession) -> str:
     folder is created and registered, so lineage cuts and scratch tables
     always land on storage every executor can reach.
     """
-    sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
     if root:
-        if sc.getCheckpointDir() is None:
+        if sc is not None and sc.getCheckpointDir() is None:
             sc.setCheckpointDir(root)
         return root.rstrip("/")
+    if sc is None:
+        global _LOCAL_ROOT
+        _LOCAL_ROOT = _LOCAL_ROOT or tempfile.mkdtemp(prefix="metalake-ckpt-")
+        return _LOCAL_ROOT
     if sc.getCheckpointDir() is None:  # unset: tests / local use only
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="metalake-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 
 
+_LOCAL_ROOT: str | None = None
+
+
 def spread(df, min_partitions: int | None = None):
     """Round-robin repartition when ``df`` has fewer partitions than cores.
 
@@ -84,9 +94,12 @@ def spread(df, min_partitions: int | None = None):
     otherwise be processed by one task. Large inputs already arrive in many
     splits and pass through unchanged (no extra shuffle).
     """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # Spark Connect: leave partitioning to the server
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
