@@ -47,8 +47,7 @@ def wide_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def client_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Client records from ``supplier`` x ``nation`` x ``region``, flattened."""
-    src = adapters.client_source(spark, sf_dir)
-    return flatten_clients(items_from_text(src, keep=["s_suppkey"]).select("v")), src
+    return flatten_clients(items_from_text(adapters.client_source(spark, sf_dir)))
 
 
 def label_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,7 +272,7 @@ def q16_new_clients(spark, sf_dir):
 
 @query("q17_client_flatten", "WITH " + CLIENTS_CTE + f"SELECT {CLIENT_SELECT} FROM c")
 def q17_client_flatten(spark, sf_dir):
-    return client_records(spark, sf_dir)[0]
+    return client_records(spark, sf_dir)
 
 
 def _fetched_sql() -> str:
@@ -289,7 +288,7 @@ new_ids AS (SELECT id FROM ids WHERE id NOT IN (SELECT id FROM existing)),
 fetched AS ({_fetched_sql()})
 SELECT * FROM existing UNION ALL SELECT * FROM fetched""")
 def q18_catalog_upsert(spark, sf_dir):
-    flat, _ = client_records(spark, sf_dir)
+    flat = client_records(spark, sf_dir)
     num = F.regexp_extract("id", r"^s(\d+)$", 1).cast("bigint")
     path = scratch_path(spark, "q18-catalog") + "/clients_catalog.csv"
     write_catalog(flat.filter(num % 2 == 0), path)
@@ -303,7 +302,7 @@ def q18_catalog_upsert(spark, sf_dir):
 @query("q19_providers_summary", "WITH " + CLIENTS_CTE + """
 SELECT provider_id, count(*) AS n_clients FROM c WHERE provider_id <> '' GROUP BY provider_id""")
 def q19_providers_summary(spark, sf_dir):
-    return providers_summary(client_records(spark, sf_dir)[0])
+    return providers_summary(client_records(spark, sf_dir))
 
 
 @query("q20_label_server_name", WIDE_CTE + ", " + LABEL_CAT_CTE + f"""
