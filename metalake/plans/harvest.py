@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.dedup import dedup_richest
 from ..operators.flatten import flatten_items
 from ..operators.select import by_clients, by_date_range, by_type, check_type_mode
+from ..session import spread
 from ..sinks import write_chunks, write_ndjson
 from ..sources.items import read_items
 
@@ -44,7 +45,9 @@ def harvest(spark: SparkSession, landing, newest: bool = False, multiline: bool
             **selection) -> DataFrame:
     """The harvested, de-duplicated wide table for a selection."""
     check_type_mode(selection.get("type_mode", "canonical"), selection.get("label"))
-    wide = flatten_items(read_items(spark, landing, multiline=multiline))
+    # A few large gzip files arrive as one task each; spread the flatten
+    # (a no-op when the landing already splits into many partitions).
+    wide = flatten_items(spread(read_items(spark, landing, multiline=multiline)))
     return dedup_richest(select_records(wide, **selection), newest=newest)
 
 

@@ -86,6 +86,33 @@ def checkpoint_root(spark: SparkSession) -> str:
 _LOCAL_ROOT: str | None = None
 
 
+MB = 1 << 20
+
+
+def scale_conf(shuffle_bytes: int, total_cores: int, target_partition_mb: int = 256,
+               max_partitions: int = 50_000) -> dict:
+    """Shuffle sizing for a given expected shuffle volume.
+
+    One initial shuffle partition per ``target_partition_mb`` of shuffled
+    data (at least two per core, capped so map x reduce block counts stay
+    manageable); AQE then coalesces small partitions toward the same
+    advisory size and splits partitions over 4x that size in joins. Scan
+    splits stay at 256 MB so each task's input fits comfortably in memory.
+    Example: 30 TB shuffled on 8 000 cores -> 50 000 partitions (~600 MB
+    each before AQE splitting).
+    """
+    target = target_partition_mb * MB
+    n = max(2 * total_cores, -(-shuffle_bytes // target))
+    n = min(n, max_partitions)
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target),
+        "spark.sql.files.maxPartitionBytes": str(256 * MB),
+    }
+
+
 def spread(df, min_partitions: int | None = None):
     """Round-robin repartition when ``df`` has fewer partitions than cores.
 

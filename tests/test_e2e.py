@@ -129,3 +129,12 @@ def test_yearly_growth_surge(spark):
     df = spark.createDataFrame([(y,) for y, n in ((2019, 2), (2020, 5), (2021, 6)) for _ in range(n)], "y int")
     got = [(r["year"], r["prev_n"], r["surge"]) for r in yearly_growth(df, F.col("y"), 2.0).collect()]
     assert got == [(2019, None, False), (2020, 2, True), (2021, 5, False)]
+
+
+def test_scale_conf():
+    from metalake.session import scale_conf
+    big = scale_conf(30 * 10**12, 8000)
+    assert big["spark.sql.shuffle.partitions"] == "50000"
+    small = scale_conf(10**6, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert int(big["spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"]) == 4 * 256 * (1 << 20)
