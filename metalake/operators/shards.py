@@ -88,16 +88,20 @@ def unify_shards(spark: SparkSession, listing: DataFrame, target_types=default_t
                  with_source: bool = False) -> ShardSet:
     """One DataFrame over all readable shards under a fixed schema."""
     files = footer_schemas(listing).cache()
+    # One row per distinct footer layout (a handful), never a per-group
+    # list built inside one task.
     groups = (files.filter("readable").groupBy("schema_key")
-              .agg(F.min("path").alias("rep"), F.collect_list("path").alias("paths"))
-              .orderBy("rep").collect())
+              .agg(F.min("path").alias("rep")).orderBy("rep").collect())
     if not groups:
         raise RuntimeError("No readable .parquet files found.")
     parts = []
     for g in groups:
         schema = spark.read.parquet(g["rep"]).schema
-        df = spark.read.schema(schema).parquet(*sorted(g["paths"]))
-        parts.append((schema, df))
+        # The group's paths are streamed to the driver, which is where any
+        # Spark file index keeps its file list anyway.
+        paths = [r["path"] for r in files.filter(F.col("schema_key") == g["schema_key"])
+                 .select("path").toLocalIterator()]
+        parts.append((schema, spark.read.schema(schema).parquet(*sorted(paths))))
     # Target: fixed types where known, else the widest type seen; columns in
     # first-seen order.
     order, seen = [], {}
