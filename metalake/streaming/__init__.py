@@ -1,8 +1,8 @@
 """Structured Streaming jobs: resumable ingest (H1) and best-row snapshot (H2)."""
 
-from .ingest import (best_row_updates, ingest_records, maintain_best_rows,
+from .ingest import (best_row_updates, compact_best_rows, ingest_records, maintain_best_rows,
                      maintain_best_rows_state, merge_batch, read_best_rows, read_snapshot,
                      record_stream)
 
-__all__ = ["best_row_updates", "ingest_records", "maintain_best_rows", "maintain_best_rows_state",
+__all__ = ["best_row_updates", "compact_best_rows", "ingest_records", "maintain_best_rows", "maintain_best_rows_state",
            "merge_batch", "read_best_rows", "read_snapshot", "record_stream"]

@@ -162,7 +162,45 @@ def maintain_best_rows_state(spark: SparkSession, stream: DataFrame, log_dir: st
     return {"batches": len(q.recentProgress)}
 
 
-def read_best_rows(spark: SparkSession, log_dir: str, key: str) -> DataFrame:
-    """Latest emitted row per key (each emission is the best so far)."""
+def _compaction_log(log_dir: str) -> str:
+    return f"{log_dir}_compacted/_versions_log"
+
+
+def _latest_compaction(spark: SparkSession, log_dir: str):
+    try:
+        log = spark.read.schema("upto long, path string").json(_compaction_log(log_dir))
+    except Exception:
+        return None
+    row = log.orderBy(F.desc("upto")).limit(1).collect()
+    return (row[0]["upto"], row[0]["path"]) if row else None
+
+
+def _best_with_batch(spark: SparkSession, log_dir: str, key: str) -> DataFrame:
     log = spark.read.parquet(log_dir)
-    return top1(log, key, [F.col("batch_id").desc()]).drop("batch_id")
+    last = _latest_compaction(spark, log_dir)
+    if last is not None:
+        upto, path = last
+        # Only log partitions after the compaction are scanned (partition
+        # pruning on batch_id), so reads stay bounded by snapshot + recent.
+        log = spark.read.parquet(path).unionByName(log.filter(F.col("batch_id") > upto))
+    return top1(log, key, [F.col("batch_id").desc()])
+
+
+def read_best_rows(spark: SparkSession, log_dir: str, key: str) -> DataFrame:
+    """Latest emitted row per key (each emission is the best so far), read
+    from the newest compaction plus the updates logged after it."""
+    return _best_with_batch(spark, log_dir, key).drop("batch_id")
+
+
+def compact_best_rows(spark: SparkSession, log_dir: str, key: str) -> str | None:
+    """Write the current best rows as a compacted base (``upto`` = last
+    logged batch) and register it; later reads skip the older log."""
+    upto = spark.read.parquet(log_dir).agg(F.max("batch_id")).collect()[0][0]
+    if upto is None:
+        return None
+    path = f"{log_dir}_compacted/upto={int(upto):012d}"
+    _best_with_batch(spark, log_dir, key).filter(F.col("batch_id") <= upto) \
+        .write.mode("overwrite").parquet(path)
+    spark.createDataFrame([(int(upto), path)], "upto long, path string") \
+        .coalesce(1).write.mode("append").json(_compaction_log(log_dir))
+    return path

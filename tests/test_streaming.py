@@ -78,4 +78,16 @@ def test_state_store_best_rows_equal_batch_result(spark, tmp_dir):
                      .select("doi", "provider_id", "registered").collect()), key=repr)
     batch = dedup_richest(spark.createDataFrame(rows, schema), rich=("provider_id",),
                           order=("registered",), tie_break=None)
-    assert got == sorted(map(tuple, batch.collect()), key=repr)
+    want = sorted(map(tuple, batch.collect()), key=repr)
+    assert got == want
+    # compaction keeps the answer; later batches are read on top of it
+    from metalake.streaming import compact_best_rows
+    assert compact_best_rows(spark, log, "doi") is not None
+    with open(os.path.join(land, "part_999.json"), "w") as fh:
+        fh.write(json.dumps({"doi": "k3", "provider_id": "p", "registered": "2030"}) + "\n")
+    maintain_best_rows_state(spark, spark.readStream.schema(schema).json(land), log,
+                             os.path.join(tmp_dir, "ck"), key="doi", rich=("provider_id",),
+                             order=("registered",))
+    after = {r["doi"]: (r["provider_id"], r["registered"]) for r in read_best_rows(spark, log, "doi").collect()}
+    assert after["k3"] == ("p", "2030") and after["k1"] == ("p", "2019")
+    assert len(after) == len(want)
