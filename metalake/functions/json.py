@@ -39,10 +39,17 @@ def _python_escapes(text: Column) -> Column:
     r"""Lowercase the hex digits of ``\u00XX`` escapes (not of an escaped
     backslash followed by ``u00XX``); only values holding ``\u00`` are
     rewritten."""
-    fixed = text
-    for code in _HEX_LETTER_CONTROLS:
-        fixed = F.regexp_replace(fixed, r"(?<!\\)((?:\\\\)*)\\u" + code, "$1\\\\u" + code.lower())
-    return F.when(F.instr(text, "\\u00") > 0, fixed).otherwise(text)
+    def fix(t: Column) -> Column:
+        fixed = t
+        for code in _HEX_LETTER_CONTROLS:
+            fixed = F.regexp_replace(fixed, r"(?<!\\)((?:\\\\)*)\\u" + code, "$1\\\\u" + code.lower())
+        return F.when(F.instr(t, "\\u00") > 0, fixed).otherwise(t)
+
+    # Evaluated through a one-element higher-order function: the regex chain,
+    # needed only for rare control characters, then stays out of the
+    # generated code of every JSON column (measured at sf0.1: 20 JSON
+    # columns 4.1 s -> 3.3 s, without the fix 2.4 s).
+    return F.transform(F.array(text), fix).getItem(0)
 
 
 def _to_json(x: Column) -> Column:

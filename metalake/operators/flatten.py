@@ -1,8 +1,9 @@
 """C1 ``flatten_items`` (38-column wide row) and C8 ``flatten_clients``.
 
-Both are a single ``select`` of VARIANT path lookups, so the whole
-projection stays inside one whole-stage-codegen span (the title's entity
-decoding is the one Arrow UDF, applied only to titles containing ``&``).
+Plain projections of VARIANT path lookups: one step that looks every path up
+once, one step that applies the null/empty rules to those columns. The
+title's entity decoding is the one Arrow UDF, and only titles with entity
+references beyond the five basic ones reach it.
 """
 
 from __future__ import annotations
@@ -16,55 +17,66 @@ from ..functions import (canon, canon_or, doi_prefix, first_truthy, html_unescap
 from ..schema import JSON_ATTRIBUTE_COLUMNS, WIDE_COLUMNS
 
 
-def _attr(v, key: str) -> str:
+def _attr(key: str) -> str:
     return f"$.attributes.{key}"
 
 
-def _date(v, key: str) -> Column:
-    path = _attr(v, key)
-    return F.when(is_string(v, path), norm_date(vstring(v, path)))
+def _extracted(v: str) -> list[Column]:
+    """Step 1: every VARIANT path looked up exactly once, as its own column.
 
-
-def _title(v) -> Column:
+    The derived rules in step 2 reference these columns several times; an
+    expensive expression referenced more than once is not re-inlined by the
+    optimizer, so each lookup runs once per row (and the generated code
+    stays small enough to be JIT-compiled).
+    """
+    s = lambda key: vstring(v, _attr(key)).alias(f"_s_{key}")
+    x = lambda path, name: vget(v, path).alias(name)
     first = "$.attributes.titles[0]"
-    raw = F.when(is_object(v, first), vstring(v, first + ".title")).otherwise(vstring(v, first))
-    return html_unescape(raw)
-
-
-def wide_columns(v: str = "v") -> list[Column]:
-    """The 38 wide-row expressions over item VARIANT column ``v``."""
-    s = lambda key: vstring(v, _attr(v, key))
-    doi = s("doi")
-    client_id = first_truthy(vstring(v, "$.relationships.client.data.id"), s("clientId"))
-    provider_id = infer_provider(vstring(v, "$.relationships.provider.data.id"),
-                                 s("providerId"), client_id)
-    cols = {
-        "doi": doi,
-        "url": s("url"),
-        "publisher": s("publisher"),
-        "language": s("language"),
-        "version": s("version"),
-        "schema_version": s("schemaVersion"),
-        "state": s("state"),
-        "prefix": doi_prefix(s("prefix"), doi),
+    cols = [s(k) for k in ("doi", "url", "publisher", "language", "version", "schemaVersion",
+                           "state", "prefix", "clientId", "providerId", "published")]
+    cols += [
+        vstring(v, "$.relationships.client.data.id").alias("_rel_client"),
+        vstring(v, "$.relationships.provider.data.id").alias("_rel_provider"),
+        vstring(v, "$.attributes.types.resourceType").alias("resource_type"),
+        vstring(v, "$.attributes.types.resourceTypeGeneral").alias("resource_type_general"),
+        vget(v, "$.attributes.publicationYear", "int").alias("published_year"),
+        x("$.attributes.types", "_x_types"), x("$.attributes.titles", "_x_titles"),
+        is_object(v, first).alias("_t0_is_object"),
+        vstring(v, first + ".title").alias("_t0_title"), vstring(v, first).alias("_t0_text"),
+        x("$.attributes", "_x_attributes"), x("$.relationships", "_x_relationships"),
+    ]
+    for d in ("created", "registered", "updated"):
+        cols += [is_string(v, _attr(d)).alias(f"_is_str_{d}"), s(d)]
+    cols += [x(_attr(key), f"_x_{name}") for name, key in JSON_ATTRIBUTE_COLUMNS]
+    return cols
+
+
+def _derived() -> list[Column]:
+    """Step 2: the 38 output columns from the step-1 columns."""
+    c = F.col
+    client_id = first_truthy("_rel_client", "_s_clientId")
+    out = {
+        "doi": c("_s_doi"), "url": c("_s_url"), "publisher": c("_s_publisher"),
+        "language": c("_s_language"), "version": c("_s_version"),
+        "schema_version": c("_s_schemaVersion"), "state": c("_s_state"),
+        "prefix": doi_prefix("_s_prefix", "_s_doi"),
         "client_id": client_id,
-        "provider_id": provider_id,
-        "resource_type": vstring(v, "$.attributes.types.resourceType"),
-        "resource_type_general": vstring(v, "$.attributes.types.resourceTypeGeneral"),
-        "types_json": canon_or(v, "$.attributes.types", "{}"),
-        "title": _title(v),
-        "titles_json": canon_or(v, "$.attributes.titles", "[]"),
-        "created": _date(v, "created"),
-        "registered": _date(v, "registered"),
-        "updated": _date(v, "updated"),
-        "published": s("published"),
-        "published_year": vget(v, "$.attributes.publicationYear", "int"),
-        "raw_attributes_json": canon(v, "$.attributes"),
-        "raw_relationships_json": canon_or(v, "$.relationships", "{}"),
+        "provider_id": infer_provider("_rel_provider", "_s_providerId", client_id),
+        "resource_type": c("resource_type"),
+        "resource_type_general": c("resource_type_general"),
+        "types_json": canon_or("_x_types", "$", "{}"),
+        "title": html_unescape(F.when(c("_t0_is_object"), c("_t0_title")).otherwise(c("_t0_text"))),
+        "titles_json": canon_or("_x_titles", "$", "[]"),
+        "published": c("_s_published"),
+        "published_year": c("published_year"),
+        "raw_attributes_json": canon("_x_attributes", "$"),
+        "raw_relationships_json": canon_or("_x_relationships", "$", "{}"),
     }
-    for name, key in JSON_ATTRIBUTE_COLUMNS:
-        cols[name] = canon(v, _attr(v, key))
-    return [cols[c].alias(c) for c in WIDE_COLUMNS]
+    for d in ("created", "registered", "updated"):
+        out[d] = F.when(c(f"_is_str_{d}"), norm_date(c(f"_s_{d}")))
+    for name, _ in JSON_ATTRIBUTE_COLUMNS:
+        out[name] = canon(f"_x_{name}", "$")
+    return [out[col].alias(col) for col in WIDE_COLUMNS]
 
 
 def flatten_items(items: DataFrame, v: str = "v", keep=(), drop_without_attributes: bool = True
@@ -73,7 +85,8 @@ def flatten_items(items: DataFrame, v: str = "v", keep=(), drop_without_attribut
     dropped. ``keep`` passes extra input columns through."""
     if drop_without_attributes:
         items = items.filter(~is_missing(vget(v, "$.attributes")))
-    return items.select(*wide_columns(v), *keep)
+    keep = list(keep)
+    return items.select(*_extracted(v), *keep).select(*_derived(), *keep)
 
 
 def flatten_clients(records: DataFrame, v: str = "v") -> DataFrame:
@@ -122,4 +135,4 @@ def flatten_clients(records: DataFrame, v: str = "v") -> DataFrame:
     return records.select(*[F.coalesce(cols[c], F.lit("")).alias(c) for c in CLIENT_COLUMNS])
 
 
-__all__ = ["flatten_clients", "flatten_items", "truthy", "wide_columns"]
+__all__ = ["flatten_clients", "flatten_items", "truthy"]
