@@ -104,9 +104,15 @@ def maintain_best_rows(spark: SparkSession, stream: DataFrame, snapshot_dir: str
     snapshot; returns batch/row counts. Read the result with
     ``read_snapshot``."""
     def _fn(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        merge_batch(spark, batch, snapshot_dir, batch_id, key, rich, order, tie_break)
+        # The batch is read three times (emptiness, touched keys, merge):
+        # keep it for the duration of this function only. Losing it to an
+        # executor failure just recomputes it from the source files.
+        batch = batch.persist()
+        try:
+            if not batch.isEmpty():
+                merge_batch(spark, batch, snapshot_dir, batch_id, key, rich, order, tie_break)
+        finally:
+            batch.unpersist()
 
     q = (stream.writeStream.foreachBatch(_fn).option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True).start())
