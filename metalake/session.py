@@ -74,12 +74,17 @@ def checkpoint_root(spark: SparkSession) -> str:
         if sc is not None and sc.getCheckpointDir() is None:
             sc.setCheckpointDir(root)
         return root.rstrip("/")
+    if sc is not None and sc.getCheckpointDir() is not None:
+        return sc.getCheckpointDir().rstrip("/")
+    master = spark.conf.get("spark.master", "local")
+    if not master.startswith("local"):
+        # A driver-local folder is invisible to executors on a cluster.
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     if sc is None:
         global _LOCAL_ROOT
         _LOCAL_ROOT = _LOCAL_ROOT or tempfile.mkdtemp(prefix="metalake-ckpt-")
         return _LOCAL_ROOT
-    if sc.getCheckpointDir() is None:  # unset: tests / local use only
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="metalake-ckpt-"))
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="metalake-ckpt-"))  # local runs and tests only
     return sc.getCheckpointDir().rstrip("/")
 
 
