@@ -45,3 +45,25 @@ def test_selection_pushed_to_parquet_scan(spark, tmp_dir):
     assert "In(client_id" in scan
     read_schema = scan.split("ReadSchema: ")[1]
     assert "title" not in read_schema and "raw_attributes_json" not in read_schema
+
+
+def test_hot_key_is_pruned_before_the_shuffle(spark):
+    from pyspark.sql import functions as F
+    n = 30_000
+    df = (spark.range(n).repartition(8)
+          .select(F.when(F.col("id") % 3 == 0, F.lit("10.1/hot"))
+                  .otherwise(F.concat(F.lit("10.1/"), F.col("id").cast("string"))).alias("doi"),
+                  F.when(F.col("id") == 2999, F.lit("p")).alias("provider_id"),
+                  F.lit(None).cast("string").alias("alternate_ids_json"),
+                  F.format_string("2020-%02d-01", (F.col("id") % 12 + 1).cast("int")).alias("registered"),
+                  F.lit(None).cast("string").alias("updated"), F.lit(None).cast("string").alias("created"),
+                  F.col("id").cast("string").alias("raw_attributes_json")))
+    best = dedup_richest(df)
+    p = plan(best)
+    lines = p.split("\n")
+    partial = next(i for i, l in enumerate(lines) if "WindowGroupLimit" in l and "Partial" in l)
+    exchange = next(i for i, l in enumerate(lines) if "Exchange hashpartitioning(doi" in l)
+    assert exchange < partial  # the partial limit sits below (before) the shuffle
+    hot = best.filter(F.col("doi") == "10.1/hot").collect()
+    assert len(hot) == 1 and hot[0]["raw_attributes_json"] == "0"  # earliest date, then text order
+    assert best.count() == n - n // 3 + 1
