@@ -97,10 +97,11 @@ def unify_shards(spark: SparkSession, listing: DataFrame, target_types=default_t
     parts = []
     for g in groups:
         schema = spark.read.parquet(g["rep"]).schema
-        # The group's paths are streamed to the driver, which is where any
-        # Spark file index keeps its file list anyway.
+        # The group's paths come back from all tasks in one job (no task
+        # assembles the list); the driver is where any Spark file index keeps
+        # its file list anyway.
         paths = [r["path"] for r in files.filter(F.col("schema_key") == g["schema_key"])
-                 .select("path").toLocalIterator()]
+                 .select("path").collect()]
         parts.append((schema, spark.read.schema(schema).parquet(*sorted(paths))))
     # Target: fixed types where known, else the widest type seen; columns in
     # first-seen order.
