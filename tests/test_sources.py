@@ -100,3 +100,10 @@ def test_latest_dataset(spark, tmp_dir):
     assert top["name"] == "merged_2.parquet"
     with pytest.raises(FileNotFoundError):
         latest_dataset(spark, tmp_dir, "other_", ".parquet")
+
+
+def test_file_reader_duplicate_keys_keep_last(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "p.json"), "w") as fh:
+        fh.write('{"attributes": {"doi": "x", "doi": "10.9/y"}}\n{"attributes": {"doi": "10.1/ok"}}\n')
+    got = sorted(r[0] for r in flatten_items(read_items(spark, tmp_dir)).select("doi").collect())
+    assert got == ["10.1/ok", "10.9/y"]
