@@ -33,7 +33,7 @@ from .sources.files import latest_dataset, shard_files
 from .sources.items import items_from_text, page_meta, read_items, read_pages
 from .sources.tables import read_catalog, read_client_ids, read_sheet
 from .streaming.ingest import (ingest_records, maintain_best_rows, maintain_best_rows_state,
-                               read_best_rows, read_snapshot)
+                               read_best_rows, read_snapshot, record_stream)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -713,5 +713,19 @@ def q43_stream_ingest_records(spark, sf_dir):
     return spark.read.parquet(f"{root}/out")
 
 
+@query("q44_stream_dedup_records", SQL["q12b_dedup_records"])
+def q44_stream_dedup_records(spark, sf_dir):
+    """The harvest as a stream: landed pages -> items -> wide rows -> best row
+    per DOI kept in the state store, equal to the batch flagship (q12b)."""
+    landing = _land_pages(spark, sf_dir)
+    root = scratch_path(spark, "stream-harvest")
+    wide = flatten_items(record_stream(spark, landing, max_files_per_trigger=2))
+    maintain_best_rows_state(spark, wide, f"{root}/log", f"{root}/_checkpoint", key="doi",
+                             rich=("provider_id", "alternate_ids_json"),
+                             order=("registered", "updated", "created"), tie_break="raw_attributes_json")
+    return read_best_rows(spark, f"{root}/log", "doi").select(
+        "doi", "client_id", "provider_id", "alternate_ids_json", "registered", "updated", "created")
+
+
 QUERIES = Q
 ORACLE = SQL
