@@ -638,7 +638,8 @@ def q37b_stream_best_rows_state(spark, sf_dir):
     stream = (spark.readStream.schema(ev.schema).option("timestampFormat", fmt)
               .option("maxFilesPerTrigger", 1).json(f"{root}/landing"))
     maintain_best_rows_state(spark, stream, f"{root}/log", f"{root}/_checkpoint", key="user_id",
-                             rich=("props", "value"), order=("ts", "event_id"))
+                             rich=("props", "value"), order=("ts", "event_id"),
+                             state_partitions=spark.sparkContext.defaultParallelism)
     return read_best_rows(spark, f"{root}/log", "user_id").select("user_id", "event_id", "event_type",
                                                                   "value")
 
@@ -722,7 +723,8 @@ def q44_stream_dedup_records(spark, sf_dir):
     wide = flatten_items(record_stream(spark, landing, max_files_per_trigger=2))
     maintain_best_rows_state(spark, wide, f"{root}/log", f"{root}/_checkpoint", key="doi",
                              rich=("provider_id", "alternate_ids_json"),
-                             order=("registered", "updated", "created"), tie_break="raw_attributes_json")
+                             order=("registered", "updated", "created"), tie_break="raw_attributes_json",
+                             state_partitions=spark.sparkContext.defaultParallelism)
     return read_best_rows(spark, f"{root}/log", "doi").select(
         "doi", "client_id", "provider_id", "alternate_ids_json", "registered", "updated", "created")
 

@@ -151,19 +151,32 @@ def best_row_updates(stream: DataFrame, key: str, rich, order,
 
 def maintain_best_rows_state(spark: SparkSession, stream: DataFrame, log_dir: str,
                              checkpoint_dir: str, key: str, rich, order,
-                             tie_break: str | None = None) -> dict:
+                             tie_break: str | None = None,
+                             state_partitions: int | None = None) -> dict:
     """H2 with per-key state: every micro-batch's updated best rows are
     written to ``log_dir/batch_id=N`` (dynamic partition overwrite, so a
     replayed batch replaces its own output). ``read_best_rows`` returns the
-    latest row per key."""
+    latest row per key.
+
+    ``state_partitions`` fixes the number of state-store partitions (each
+    one is a RocksDB instance per micro-batch; AQE cannot coalesce them).
+    It applies when the query first starts and is then kept in the
+    checkpoint; size it to the cluster, not to the session default.
+    """
     updates = best_row_updates(stream, key, rich, order, tie_break)
 
     def _fn(batch: DataFrame, batch_id: int) -> None:
         (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
          .write.mode("overwrite").partitionBy("batch_id").parquet(log_dir))
 
-    q = (updates.writeStream.outputMode("update").foreachBatch(_fn)
-         .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        q = (updates.writeStream.outputMode("update").foreachBatch(_fn)
+             .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
     q.awaitTermination()
     return {"batches": len(q.recentProgress)}
 
