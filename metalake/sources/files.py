@@ -6,6 +6,8 @@ only file metadata is read, on the cluster, from any Hadoop file system.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,7 +70,6 @@ def batch_files(spark: SparkSession, base: str, leaf_name: str,
 
 
 def _re_escape(s: str) -> str:
-    import re
     return re.escape(s)
 
 
@@ -108,8 +109,9 @@ def latest_dataset(spark: SparkSession, directory: str, prefix: str, ext: str) -
     """
     directory = directory.rstrip("/")
     files = list_files(spark, directory)
-    entry = F.regexp_extract("path", r"^(.*?/" + _re_escape(directory.split("/")[-1]) +
-                             r"/[^/]+)", 1)
+    # The listing returns qualified URIs; match on the directory's path part.
+    dir_path = re.sub(r"^[a-zA-Z][\w+.-]*:(//[^/]*)?", "", directory) or "/"
+    entry = F.regexp_extract("path", r"^(.*?" + _re_escape(dir_path) + r"/[^/]+)", 1)
     cand = (files.withColumn("entry", entry)
             .withColumn("name", file_name("entry"))
             .filter(F.col("name").startswith(prefix) & F.col("name").endswith(ext))
