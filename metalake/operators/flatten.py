@@ -89,50 +89,45 @@ def flatten_items(items: DataFrame, v: str = "v", keep=(), drop_without_attribut
     return items.select(*_extracted(v), *keep).select(*_derived(), *keep)
 
 
+_CLIENT_PATHS = {
+    "id": "$.id", "type": "$.type",
+    **{k: f"$.attributes.{k}" for k in ("name", "displayName", "symbol", "clientType", "isActive",
+                                        "year", "description", "systemEmail", "contactEmail",
+                                        "url", "domains", "createdAt", "updatedAt")},
+    "provider_id": "$.relationships.provider.data.id",
+    "provider_type": "$.relationships.provider.data.type",
+    "member_id": "$.relationships.member.data.id",
+    "member_type": "$.relationships.member.data.type",
+}
+
+
 def flatten_clients(records: DataFrame, v: str = "v") -> DataFrame:
     """Client records -> the 20 catalogue columns, missing -> ``""``.
 
     ``displayName`` falls back to ``name``; a ``domains`` list is joined with
     ``", "`` (``[]`` -> ``""``), a plain string is kept; booleans are written
     ``True``/``False`` as the catalogue CSV holds them. ``raw_json`` is the
-    canonical JSON of the record (sorted keys, compact separators).
+    canonical JSON of the record (sorted keys, compact separators). Like
+    ``flatten_items``, every path is looked up once, then formatted.
     """
-    a = lambda key: f"$.attributes.{key}"
-
-    def text(path: str) -> Column:
-        x = vget(v, path)
-        t = vstring(v, path)
-        is_bool = F.schema_of_variant(x) == F.lit("BOOLEAN")
-        return F.when(is_bool, F.initcap(t)).otherwise(t)
-
-    domains_list = F.try_variant_get(F.col(v), a("domains"), "array<string>")
-    domains = F.when(domains_list.isNotNull(), F.array_join(domains_list, ", ")) \
-        .otherwise(text(a("domains")))
-    name = text(a("name"))
-    cols = {
-        "id": text("$.id"),
-        "type": text("$.type"),
-        "name": name,
-        "displayName": first_truthy(text(a("displayName")), name),
-        "symbol": text(a("symbol")),
-        "clientType": text(a("clientType")),
-        "isActive": text(a("isActive")),
-        "year": text(a("year")),
-        "description": text(a("description")),
-        "systemEmail": text(a("systemEmail")),
-        "contactEmail": text(a("contactEmail")),
-        "url": text(a("url")),
-        "domains": domains,
-        "createdAt": text(a("createdAt")),
-        "updatedAt": text(a("updatedAt")),
-        "provider_id": text("$.relationships.provider.data.id"),
-        "provider_type": text("$.relationships.provider.data.type"),
-        "member_id": text("$.relationships.member.data.id"),
-        "member_type": text("$.relationships.member.data.type"),
-        "raw_json": canon(v, "$"),
-    }
+    step1 = [col for name, path in _CLIENT_PATHS.items() for col in (
+        vstring(v, path).alias(f"_t_{name}"),
+        (F.schema_of_variant(vget(v, path)) == F.lit("BOOLEAN")).alias(f"_b_{name}"))]
+    step1 += [F.try_variant_get(F.col(v), "$.attributes.domains", "array<string>").alias("_domains"),
+              canon(v, "$").alias("raw_json")]
+
+    def text(name: str) -> Column:
+        t = F.col(f"_t_{name}")
+        return F.when(F.col(f"_b_{name}"), F.initcap(t)).otherwise(t)
+
+    cols = {name: text(name) for name in _CLIENT_PATHS}
+    cols["displayName"] = first_truthy(text("displayName"), text("name"))
+    cols["domains"] = F.when(F.col("_domains").isNotNull(), F.array_join("_domains", ", ")) \
+        .otherwise(text("domains"))
+    cols["raw_json"] = F.col("raw_json")
     from ..schema import CLIENT_COLUMNS
-    return records.select(*[F.coalesce(cols[c], F.lit("")).alias(c) for c in CLIENT_COLUMNS])
+    return records.select(*step1).select(
+        *[F.coalesce(cols[c], F.lit("")).alias(c) for c in CLIENT_COLUMNS])
 
 
 __all__ = ["flatten_clients", "flatten_items", "truthy"]
