@@ -44,7 +44,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     for k, v in {**SQL_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    apply_sql_conf(spark)
+    prepare(spark)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -58,6 +58,43 @@ def apply_sql_conf(spark: SparkSession) -> None:
             pass
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``metalake`` importable in Python workers (the title UDF and the
+    footer reader run there). Spark distributes the zipped package through
+    ``addPyFile``; on a cluster the package may instead be installed on the
+    executors or passed with ``--py-files``."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: ship with the server's artifact mechanism instead
+        return
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    import zipfile
+
+    import metalake
+    pkg_dir = os.path.dirname(os.path.abspath(metalake.__file__))
+    zpath = os.path.join(tempfile.mkdtemp(prefix="metalake-pyfiles-"), "metalake.zip")
+    with zipfile.ZipFile(zpath, "w") as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(key)
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Runtime SQL settings plus the package on the Python workers."""
+    apply_sql_conf(spark)
+    ship_package(spark)
+    return spark
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
