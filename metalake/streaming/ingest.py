@@ -41,10 +41,16 @@ def record_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger:
 
 def ingest_records(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint_dir: str,
                    max_files_per_trigger: int | None = None, multiline: bool = False,
-                   max_rows_per_file: int = 100_000) -> dict:
+                   max_rows_per_file: int = 100_000, partitions: int | None = None) -> dict:
     """H1: flatten everything landed so far into ``out_dir`` and stop
-    (``availableNow``); run again later to pick up only new files."""
+    (``availableNow``); run again later to pick up only new files.
+
+    ``partitions`` round-robins each micro-batch's items before the flatten,
+    for landings of a few large gzip files (one task per file otherwise).
+    """
     items = record_stream(spark, landing_dir, max_files_per_trigger, multiline)
+    if partitions:
+        items = items.repartition(partitions)
     q = (flatten_items(items).writeStream.format("parquet")
          .option("checkpointLocation", checkpoint_dir)
          .option("maxRecordsPerFile", max_rows_per_file)

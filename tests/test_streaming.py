@@ -31,7 +31,7 @@ def test_ingest_resumes_without_duplicates(spark, tmp_dir):
     # a new page arrives: only it is processed
     with open(os.path.join(land, "page_0003.json"), "w") as fh:
         fh.write(json.dumps(_page(["10.1/a"], ["2019-01-01"])) + "\n")
-    r3 = ingest_records(spark, land, out, ck)
+    r3 = ingest_records(spark, land, out, ck, partitions=4)
     assert r3["input_docs"] == 1
     assert spark.read.parquet(out).count() == 4
 
