@@ -10,6 +10,12 @@ from metalake.llm.exact_dedup import drop_exact_duplicates
 from metalake.llm.packing import pack_documents
 from metalake.llm.queries import tokenizer_file
 from metalake.llm.simhash import drop_near_duplicates
+from metalake.llm.toxicity import drop_toxic
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted toxic go."""
+    return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,6 +34,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", toxicity),
     ("exact_dedup", exact_duplicates),
     ("simhash_near_dedup", near_duplicates),
     ("packing", packing),
