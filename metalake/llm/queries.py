@@ -5,13 +5,17 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .ann import nearest_neighbours
 from .common import table
 from .exact_dedup import exact_dedup
 from .language import identify
 from .packing import pack_documents
+from .pii import personal_data
 from .simhash import simhash_groups
 from .toxicity import score_toxicity
+from .url_filter import judge_urls, parse_rules, url_path
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -51,6 +55,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query()
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
@@ -67,3 +76,71 @@ FROM t JOIN g ON t.text_sha256 = g.text_sha256
 """)
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
+
+
+RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
+         ("block", "com/de/")]
+
+
+def _op10_sql() -> str:
+    """The same hierarchy in SQL: one block of shrinkage per level."""
+    def level(keys, prior, source):
+        k = ", ".join(keys)
+        name = keys[-1]
+        return f"""
+{name}_n AS (SELECT {k}, sum(good) AS good, sum(n) AS n FROM hosts GROUP BY {k}),
+{name}_p AS (SELECT x.*, {prior} AS prior FROM {name}_n x {source}),
+{name}_s AS (
+  SELECT *, (SELECT CASE WHEN coalesce(s, 0) / t <= 1 / 10001.0 OR t IS NULL OR t = 0 THEN 10000.0
+                         ELSE greatest(1.0, t / s - 1) END
+             FROM (SELECT sum(CASE WHEN n > 0 THEN n * pow(good / n - prior, 2) - prior * (1 - prior) END) AS s,
+                          sum(CASE WHEN n > 1 THEN (n - 1) * prior * (1 - prior) END) AS t FROM {name}_p)) AS m
+  FROM {name}_p),
+{name}_r AS (
+  SELECT *, a / (a + b) AS mean, sqrt(a * b / (a + b + 1)) / (a + b) AS sd
+  FROM (SELECT *, prior * m + good AS a, (1 - prior) * m + n - good AS b FROM {name}_s))"""
+
+    fits = [(f"((host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}'))", r)
+            for r in parse_rules(RULES)]
+    rule = " ".join(f"WHEN {f} THEN '{r.text}'" for f, r in fits)
+    verdict = " ".join(f"WHEN {f} THEN '{r.verdict}'" for f, r in fits)
+    url = r"(?s)^.*?://([^/?#]*)([^?#]*)"
+    return f"""
+WITH marks AS (SELECT doc_id, sum(quality) AS good, count(quality) AS n FROM labels
+               WHERE doc_id IS NOT NULL GROUP BY doc_id),
+base AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '{url}', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '{url}', 2) AS path FROM pages),
+judged AS (
+  SELECT base.*, coalesce(good, 0) AS good, coalesce(n, 0) AS n
+  FROM base LEFT JOIN marks ON marks.doc_id = TRY_CAST(regexp_extract(path, '/([0-9]+)(\\.html)?/?$', 1) AS BIGINT)),
+hosts AS (
+  SELECT host, sum(good)::DOUBLE AS good, sum(n)::DOUBLE AS n, regexp_extract(host, '[^.]*$', 0) AS suffix,
+         CASE WHEN contains(host, '.') THEN regexp_extract(host, '[^.]*\\.[^.]*$', 0) ELSE host END AS domain
+  FROM judged GROUP BY host),
+whole AS (SELECT (coalesce(sum(good), 0) + 1) / (coalesce(sum(n), 0) + 2) AS mean FROM hosts),
+{level(["suffix"], "(SELECT mean FROM whole)", "")},
+{level(["suffix", "domain"], "u.mean", "JOIN suffix_r u ON u.suffix = x.suffix")},
+{level(["suffix", "domain", "host"], "u.mean", "JOIN domain_r u ON u.suffix = x.suffix AND u.domain = x.domain")}
+SELECT page_id, judged.host, path, CASE {rule} END AS rule,
+       coalesce(CASE {verdict} END, CASE WHEN r.mean - 1.645 * r.sd < 0.6 THEN 'block' ELSE 'allow' END) AS verdict
+FROM (SELECT * FROM judged) judged JOIN (SELECT host AS h, mean, sd FROM host_r) r ON judged.host = r.h
+"""
+
+
+@query(_op10_sql())
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's labels are those of the document it was made from, whose
+    number ends the path."""
+    marks = (table(spark, sf_dir, "labels").where("doc_id IS NOT NULL").groupBy("doc_id")
+             .agg(F.sum("quality").alias("good"), F.count("quality").alias("n")))
+    number = F.regexp_extract(url_path(F.col("url")), r"/([0-9]+)(\.html)?/?$", 1)
+    pages = (table(spark, sf_dir, "pages").select("page_id", "url", number.try_cast("long").alias("doc_id"))
+             .join(marks, "doc_id", "left"))
+    return judge_urls(pages, parse_rules(RULES), F.col("good"), F.col("n"))
+
+
+@query()
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
