@@ -14,6 +14,7 @@ from .language import identify
 from .packing import pack_documents
 from .pii import personal_data
 from .simhash import simhash_groups
+from .subword import round_trip
 from .toxicity import score_toxicity
 from .url_filter import judge_urls, parse_rules, url_path
 
@@ -60,6 +61,11 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
 @query()
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
