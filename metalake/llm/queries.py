@@ -15,6 +15,7 @@ from .packing import pack_documents
 from .pii import personal_data
 from .simhash import simhash_groups
 from .subword import round_trip
+from .suffix_dedup import remove_repeats
 from .toxicity import score_toxicity
 from .url_filter import judge_urls, parse_rules, url_path
 
@@ -51,6 +52,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
