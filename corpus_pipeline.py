@@ -4,10 +4,12 @@ personal data, packing. Each stage calls one operator of ``metalake.llm``."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from metalake.llm.common import materialise, table
 from metalake.llm.exact_dedup import drop_exact_duplicates
 from metalake.llm.packing import pack_documents
+from metalake.llm.pii import redact
 from metalake.llm.queries import tokenizer_file
 from metalake.llm.simhash import drop_near_duplicates
 from metalake.llm.toxicity import drop_toxic
@@ -28,6 +30,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return drop_near_duplicates(docs)
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; its personal data are replaced by their kind in
+    brackets, and ``n_chars`` follows the new text."""
+    return redact(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 ids."""
     return pack_documents(docs, tokenizer_file("byte_bpe_50k.json"))
@@ -37,6 +45,7 @@ STAGES = [
     ("toxicity", toxicity),
     ("exact_dedup", exact_duplicates),
     ("simhash_near_dedup", near_duplicates),
+    ("pii", personal_data),
     ("packing", packing),
 ]
 
