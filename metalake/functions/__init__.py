@@ -1,6 +1,6 @@
 """Column functions (scalar, JVM-side except ``html_unescape``)."""
 
-from .dates import is_full_date, norm_date
+from .dates import norm_date
 from .html import html_unescape
 from .json import (canon, canon_or, is_missing, is_object, is_string, json_string_literal,
                    python_sorted_json, vget, vstring)
@@ -9,7 +9,7 @@ from .text import (doi_prefix, first_truthy, infer_provider, query_param, strip,
 
 __all__ = [
     "canon", "canon_or", "doi_prefix", "first_truthy", "html_unescape", "infer_provider",
-    "is_full_date", "is_missing", "is_object", "is_string", "json_string_literal",
+    "is_missing", "is_object", "is_string", "json_string_literal",
     "norm_date", "python_sorted_json", "query_param", "strip", "truthy", "vget", "vstring",
     "year_from_iso",
 ]

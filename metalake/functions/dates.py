@@ -1,7 +1,7 @@
 """Date text normalisation.
 
-``norm_date`` reproduces ``datetime.fromisoformat(s.replace("Z", "+00:00"))
-.date().isoformat()`` with a fallback to the first ten characters:
+``norm_date`` gives the calendar day of an ISO 8601 date text, as written
+(no time-zone shift), or else the text's first ten characters:
 
 * falsy (NULL, ``""``) -> NULL;
 * extended dates ``YYYY-MM-DD...`` -> the date as written (no time-zone
@@ -62,7 +62,3 @@ def norm_date(c) -> Column:
             .when(s.rlike(_WEEK), F.coalesce(_iso_week_date(s), head))
             .otherwise(head))
 
-
-def is_full_date(c) -> Column:
-    """True when the text is a complete ``YYYY-MM-DD`` date."""
-    return col_(c).rlike(r"^\d{4}-\d{2}-\d{2}$")

@@ -47,20 +47,11 @@ def test_norm_date(spark):
     assert got == [c[1] for c in NORM_DATE_CASES]
 
 
-def test_norm_date_matches_python_for_valid_forms(spark):
-    from datetime import datetime
-
-    def ref(s):
-        if not s:
-            return None
-        try:
-            return datetime.fromisoformat(s.replace("Z", "+00:00")).date().isoformat()
-        except Exception:
-            return s[:10]
-
-    vals = ["2019-02-28T00:00:00Z", "2019-02-29T00:00:00Z", "20190229", "20200229T000000",
-            "2019-W01-1", "2019-W52-7", "1999-12-31T23:59:59.999999+14:00", "abc", "2019-1-1"]
-    assert _eval(spark, norm_date, vals) == [ref(v) for v in vals]
+def test_norm_date_more_forms(spark):
+    cases = {"2019-02-28T00:00:00Z": "2019-02-28", "2019-02-29T00:00:00Z": "2019-02-29", "20190229": "20190229",
+             "20200229T000000": "2020-02-29", "2019-W01-1": "2018-12-31", "2019-W52-7": "2019-12-29",
+             "1999-12-31T23:59:59.999999+14:00": "1999-12-31", "abc": "abc", "2019-1-1": "2019-1-1"}
+    assert _eval(spark, norm_date, list(cases)) == list(cases.values())
 
 
 def test_prefix_rules(spark):
