@@ -378,7 +378,8 @@ def client_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LABEL_CATALOG_SQL = """
 SELECT id, name, displayName, c_custkey FROM (
-  SELECT 'n' || cast(c_custkey % 25 as string) || '.c' || cast(c_custkey % 40 as string) AS id,
+  SELECT CASE WHEN c_custkey % 200 < 170 THEN 'n' ELSE 'unused' END ||
+         cast(c_custkey % 25 as string) || '.c' || cast(c_custkey % 40 as string) AS id,
          CASE (c_custkey % 200) % 6
               WHEN 0 THEN ''
               WHEN 1 THEN '  '
@@ -386,7 +387,6 @@ SELECT id, name, displayName, c_custkey FROM (
          'D-' || c_mktsegment AS displayName,
          c_custkey
   FROM @customer@
-  WHERE c_custkey % 200 < 170
 ) t
 """
 

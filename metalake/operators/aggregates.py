@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .dedup import sorted_distinct
-from .joins import size_checked_broadcast
 from .select import nonblank_ids
 
 
@@ -33,10 +32,9 @@ def providers_summary(catalog: DataFrame) -> DataFrame:
 
 def run_summary(rows: DataFrame, catalog: DataFrame, column: str = "client_id") -> DataFrame:
     """scanned (non-blank) rows, unique ids, ids new to the catalogue, in
-    one aggregation chain (per-id counts, one broadcast lookup, one sum)."""
+    one aggregation chain (per-id counts, one lookup join, one sum)."""
     per_id = nonblank_ids(rows, column).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    known = size_checked_broadcast(
-        catalog.select(F.col("id").alias("_known")).distinct()).withColumn("_hit", F.lit(1))
+    known = catalog.select(F.col("id").alias("_known")).distinct().withColumn("_hit", F.lit(1))
     flagged = per_id.join(known, F.col(column) == F.col("_known"), "left")
     return flagged.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("scanned_rows"),

@@ -28,6 +28,10 @@ def top1(df: DataFrame, key, order: list[Column]) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
+def tie_hash(column: str) -> Column:
+    return F.sha2(F.col(column).cast("string").cast("binary"), 256)
+
+
 def dedup_richest(df: DataFrame, key: str = "doi",
                   rich=("provider_id", "alternate_ids_json"),
                   order=("registered", "updated", "created"),
@@ -35,8 +39,9 @@ def dedup_richest(df: DataFrame, key: str = "doi",
                   ) -> DataFrame:
     """One row per key: most non-NULL ``rich`` columns, then the earliest
     ``order`` values (NULLs last; ``newest=True`` takes the latest); a NULL
-    key is one group. The tie-break column (compared only when everything
-    else ties) makes the choice total, so repeated runs pick the same row."""
+    key is one group. The SHA-256 of the tie-break column (compared only when
+    everything else ties) makes the choice total, so repeated runs pick the
+    same row without the text itself in the sort or the shuffle."""
     have = set(df.columns)
     score = richness([c for c in rich if c in have])  # absent columns count as NULL
     seq = [score.desc()]
@@ -44,7 +49,7 @@ def dedup_richest(df: DataFrame, key: str = "doi",
         if c in have:
             seq.append(F.col(c).desc_nulls_last() if newest else F.col(c).asc_nulls_last())
     if tie_break and tie_break in df.columns:
-        seq.append(F.col(tie_break).asc_nulls_last())
+        seq.append(tie_hash(tie_break).asc_nulls_last())
     elif tie_break:
         # No tie-break column (e.g. merged shards): a hash of the whole row
         # still makes the pick independent of input order.

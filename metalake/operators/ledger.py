@@ -42,6 +42,23 @@ def read_checkpoints(spark: SparkSession, path) -> DataFrame:
             .withColumn("file", F.col("_metadata.file_path")))
 
 
+def decoded_cursor(c: Column) -> Column:
+    """The text inside a base64 cursor; NULL where it is neither base64 nor
+    UTF-8."""
+    return F.try_validate_utf8(F.try_to_binary(c, F.lit("base64")).cast("string"))
+
+
+def cursor_order(c: Column, is_text: bool) -> Column:
+    """What page cursors are ordered by: a number as it is; a text cursor by
+    the number it starts with, then by the rest (``<time>,<doi>``), after
+    decoding. A cursor of another form is ordered by its text."""
+    if not is_text:
+        return F.struct(c.cast("decimal(38,0)").alias("n"), F.lit("").alias("rest"))
+    text = F.when(c.rlike("^[0-9]+$"), c).otherwise(F.coalesce(decoded_cursor(c), c))
+    return F.struct(F.regexp_extract(text, "^([0-9]+)", 1).try_cast("decimal(38,0)").alias("n"),
+                    F.regexp_replace(text, "^[0-9]+,?", "").alias("rest"))
+
+
 def run_ledger(checkpoints: DataFrame) -> DataFrame:
     """H4: one row per checkpoint: stored vs recomputed hash, finished or
     open, the signature's date field and range, the range in the folder
@@ -65,7 +82,7 @@ def run_ledger(checkpoints: DataFrame) -> DataFrame:
         sig.getItem("client-id").alias("client_id"),
         F.col("next_cursor"),
         F.col("next_cursor").isNull().alias("finished"),
-        F.decode(F.try_to_binary(F.col("next_cursor"), F.lit("base64")), "UTF-8").alias("cursor_decoded"),
+        decoded_cursor(F.col("next_cursor")).alias("cursor_decoded"),
         "saved_at",
     ).withColumn("hash_ok", F.col("hash_in_name") == F.col("signature_hash"))
 
@@ -76,16 +93,18 @@ def page_chain_problems(pages: DataFrame, group_cols, cursor: str = "cursor",
 
     * ``gap``: a page's next cursor is no other page's cursor (left anti
       self join on group + cursor);
-    * ``not_advancing``: next cursor not greater than the page's cursor;
+    * ``not_advancing``: next cursor not after the page's cursor
+      (``cursor_order``);
     * ``open_end``: more than one page without a next cursor.
     """
     group_cols = [group_cols] if isinstance(group_cols, str) else list(group_cols)
     linked = pages.filter(F.col(next_cursor).isNotNull())
-    targets = pages.select(*group_cols, F.col(cursor).alias("_target")).distinct()
+    targets = pages.select(*group_cols, F.col(cursor).alias("_target"))
+    text = pages.schema[cursor].dataType.simpleString() == "string"
     gaps = (linked.join(targets, [*[linked[c] == targets[c] for c in group_cols],
                                   linked[next_cursor] == targets["_target"]], "left_anti")
             .select(*group_cols, cursor, next_cursor, F.lit("gap").alias("problem")))
-    back = (linked.filter(F.col(next_cursor) <= F.col(cursor))
+    back = (linked.filter(cursor_order(F.col(next_cursor), text) <= cursor_order(F.col(cursor), text))
             .select(*group_cols, cursor, next_cursor, F.lit("not_advancing").alias("problem")))
     ends = (pages.filter(F.col(next_cursor).isNull()).groupBy(*group_cols)
             .agg(F.count(F.lit(1)).alias("_n"), F.max(cursor).alias(cursor))

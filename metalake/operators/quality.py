@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .aggregates import duplicate_stats
 from ..schema import COVERAGE_TARGETS, DATE_COLUMNS, REQUIRED_COLUMNS, WIDE_COLUMNS
 
 DATE_RE = r"^\d{4}-\d{2}-\d{2}$"
@@ -84,3 +85,23 @@ def counts_vs_external(ours: DataFrame, theirs: DataFrame, key: str,
             .withColumn(theirs_col, F.coalesce(F.col(theirs_col), F.lit(0)).cast("bigint"))
             .withColumn("diff", F.col(ours_col) - F.col(theirs_col))
             .withColumn("ratio", F.when(F.col(theirs_col) > 0, F.col(ours_col) / F.col(theirs_col))))
+
+
+def duplicate_gate(df: DataFrame, key: str = "doi", limit: float = 0.01) -> DataFrame:
+    """Whether the share of rows beyond the first per key stays under ``limit``."""
+    return (duplicate_stats(df, key).withColumn("limit_rate", F.lit(float(limit)))
+            .withColumn("passed", F.coalesce(F.col("dup_rate") < limit, F.lit(True))))
+
+
+def share_vs_expected(df: DataFrame, expected: DataFrame, column: str = "provider_id",
+                      tolerance: float = 0.05) -> DataFrame:
+    """The share of rows each value holds against the share expected of it
+    (``value``, ``expected_share``); values on one side only count as 0 on the
+    other. NULLs belong to no value but to the whole."""
+    got = df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n_records"))
+    whole = got.agg(F.sum("n_records").alias("n")).first()["n"] or 0
+    both = got.where("value IS NOT NULL").join(expected, "value", "full_outer")
+    share = F.coalesce(F.col("n_records"), F.lit(0)) / F.lit(float(max(whole, 1)))
+    want = F.coalesce(F.col("expected_share"), F.lit(0.0))
+    return both.select("value", F.coalesce("n_records", F.lit(0)).cast("bigint").alias("n_records"), share.alias("share"),
+                       want.alias("expected_share"), (F.abs(share - want) <= tolerance).alias("passed"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import strip
@@ -16,19 +16,24 @@ from ..functions import strip
 TYPE_MODES = ("canonical", "label", "both")
 DATE_FIELDS = ("created", "registered", "updated")
 
-# Client lists up to this length become an IN-list; longer ones a semi join.
-MAX_INLIST = 1000
+
+def _canonical(type_id: str) -> Column:
+    return F.lower(F.col("resource_type_general")) == type_id.lower()
+
+
+def _label(label: str) -> Column:
+    return F.lower(F.trim(F.col("resource_type"))) == label.lower()
 
 
 def by_canonical_type(df: DataFrame, type_id: str) -> DataFrame:
     """B1: ``resource_type_general`` equals the type id, case-insensitive."""
-    return df.filter(F.lower(F.col("resource_type_general")) == type_id.lower())
+    return df.filter(_canonical(type_id))
 
 
 def by_label_type(df: DataFrame, label: str) -> DataFrame:
     """B2: the free-text ``resource_type`` label equals ``label`` (trimmed,
     case-insensitive)."""
-    return df.filter(F.lower(F.trim(F.col("resource_type"))) == label.lower())
+    return df.filter(_label(label))
 
 
 def check_type_mode(mode: str, label: str | None = None) -> None:
@@ -49,7 +54,9 @@ def by_type(df: DataFrame, mode: str = "canonical", type_id: str = "Preprint",
         return by_canonical_type(df, type_id)
     if mode == "label":
         return by_label_type(df, label)
-    return by_canonical_type(df, type_id).unionByName(by_label_type(df, label))
+    # One pass: a row comes once for each selection it matches.
+    times = F.coalesce(_canonical(type_id), F.lit(False)).cast("int") + F.coalesce(_label(label), F.lit(False)).cast("int")
+    return df.withColumn("_times", F.explode(F.array_repeat(F.lit(0), times))).drop("_times")
 
 
 def by_date_range(df: DataFrame, field: str = "registered", start: str | None = None,
@@ -67,25 +74,18 @@ def by_date_range(df: DataFrame, field: str = "registered", start: str | None =
 
 
 def by_clients(df: DataFrame, client_ids, column: str = "client_id") -> DataFrame:
-    """Keep the given clients; ``None``/empty keeps all.
+    """Keep the given clients. ``None`` is no selection and keeps all; an
+    empty list or table of ids keeps nothing.
 
-    A short Python list becomes an IN predicate (pushed to the scan); a long
-    list or a DataFrame of ids becomes a left-semi join, so the list never
-    has to fit in the plan.
+    A list of the caller's becomes an IN predicate, which reaches the scan;
+    ids that come as data are a DataFrame and become a left-semi join.
     """
     if client_ids is None:
         return df
     if isinstance(client_ids, DataFrame):
-        ids = client_ids.select(F.col(client_ids.columns[0]).alias("_cid")).distinct()
+        ids = client_ids.select(F.col(client_ids.columns[0]).alias("_cid"))
         return df.join(ids, F.col(column) == F.col("_cid"), "left_semi")
-    ids = list(client_ids)
-    if not ids:
-        return df
-    if len(ids) <= MAX_INLIST:
-        return df.filter(F.col(column).isin(ids))
-    spark = df.sparkSession
-    ids_df = spark.createDataFrame([(i,) for i in ids], "_cid string")
-    return df.join(ids_df, F.col(column) == F.col("_cid"), "left_semi")
+    return df.filter(F.col(column).isin(list(client_ids)))
 
 
 def nonblank_ids(df: DataFrame, column: str = "client_id") -> DataFrame:

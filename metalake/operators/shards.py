@@ -24,14 +24,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import SHARD_TYPE_OVERRIDES, WIDE_COLUMNS
-from ..session import local_path
+from ..session import local_path, scratch_path
 from ..sources.files import file_name
 from .aggregates import union_all
 
 FOOTER_SCHEMA = "path string, schema_key string, readable boolean, error string"
 
 
+#: Hadoop's names of file systems that the footer reader knows by another name.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs"}
+
+
 def _read_footers(batches):
+    import pyarrow as pa
     import pyarrow.parquet as pq
     for pdf in batches:
         out = []
@@ -42,12 +47,15 @@ def _read_footers(batches):
                     sch = pq.read_schema(lp)
                 else:
                     import pyarrow.fs as pafs
-                    fs, inner = pafs.FileSystem.from_uri(p)
+                    # An unknown or unreachable file system fails the job: it is
+                    # no property of the file.
+                    scheme, rest = p.split("://", 1)
+                    fs, inner = pafs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}://{rest}")
                     sch = pq.read_schema(inner, filesystem=fs)
                 key = "|".join(f"{f.name}:{f.type}" for f in sch)
                 out.append((p, key, True, None))
-            except Exception as exc:  # reported per file (G3)
-                out.append((p, None, False, f"{type(exc).__name__}: {exc}"[:500]))
+            except pa.ArrowInvalid as exc:  # not a readable Parquet file: reported per file (G3)
+                out.append((p, None, False, f"{type(exc).__name__}: {exc}"))
         yield pd.DataFrame(out, columns=["path", "schema_key", "readable", "error"])
 
 
@@ -82,12 +90,16 @@ class ShardSet:
     data: DataFrame        # unified rows (``_source_file`` when requested)
     files: DataFrame       # per file: path, schema_key, readable, error
     target: T.StructType   # the unified schema
+    rejects: DataFrame     # per file and column: values that do not fit the target
 
 
 def unify_shards(spark: SparkSession, listing: DataFrame, target_types=default_target,
                  with_source: bool = False) -> ShardSet:
     """One DataFrame over all readable shards under a fixed schema."""
-    files = footer_schemas(listing).cache()
+    # Footers are read once and kept in the shared folder for the reports.
+    kept = scratch_path(spark, "shard-footers")
+    footer_schemas(listing).write.parquet(kept)
+    files = spark.read.schema(FOOTER_SCHEMA).parquet(kept)
     # One row per distinct footer layout (a handful), never a per-group
     # list built inside one task.
     groups = (files.filter("readable").groupBy("schema_key")
@@ -114,22 +126,38 @@ def unify_shards(spark: SparkSession, listing: DataFrame, target_types=default_t
             seen[f.name].append(f.dataType)
     target = T.StructType([T.StructField(c, (target_types(c) if target_types else None)
                                          or _widen(seen[c]), True) for c in order])
-    frames = []
+    frames, misfits = [], []
     for schema, df in parts:
         have = set(schema.fieldNames())
-        cols = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) if f.name in have
-                else F.lit(None).cast(f.dataType).alias(f.name) for f in target.fields]
+        made = {f.name: _fitted(schema[f.name], f) if f.name in have else F.lit(None).cast(f.dataType)
+                for f in target.fields}
+        cols = [c.alias(n) for n, c in made.items()]
         if with_source:
             cols.append(F.col("_metadata.file_path").alias("_source_file"))
         frames.append(df.select(*cols))
-    return ShardSet(union_all(frames), files, target)
+        lost = [F.struct(F.lit(n).alias("column"), (F.col(f"`{n}`").isNotNull() & c.isNull()).alias("lost"))
+                for n, c in made.items() if n in have]
+        misfits.append(df.select(F.col("_metadata.file_path").alias("path"), F.explode(F.array(*lost)).alias("x"))
+                       .where("x.lost").groupBy("path", "x.column").agg(F.count(F.lit(1)).alias("n_rejected")))
+    return ShardSet(union_all(frames), files, target, union_all(misfits))
+
+
+def _fitted(have: T.StructField, want: T.StructField):
+    """A value under the target type: nested ones as JSON text, and NULL (a
+    reject) where the value does not fit."""
+    c = F.col(f"`{have.name}`")
+    nested = isinstance(have.dataType, (T.StructType, T.ArrayType, T.MapType))
+    if nested and isinstance(want.dataType, T.StringType):
+        return F.to_json(c)
+    return F.lit(None).cast(want.dataType) if nested else c.try_cast(want.dataType)
 
 
 def shard_report(shards: ShardSet, max_rows: int | None = None,
                  chunk_pattern: str = r"chunk_(\d+)") -> DataFrame:
     """F4 + G8 per file: rows (0 for empty files, NULL when unreadable), empty
     and over-limit flags, chunk index from the name, a gap before it within
-    its folder, and repeated file names.
+    its folder, repeated file names, and whether its columns and types are
+    those of most files.
 
     Needs ``unify_shards(..., with_source=True)``.
     """
@@ -144,6 +172,9 @@ def shard_report(shards: ShardSet, max_rows: int | None = None,
            .withColumn("chunk_index", F.when(idx != "", idx.cast("bigint"))))
     w = Window.partitionBy("folder").orderBy("chunk_index")
     wn = Window.partitionBy("file_name")
+    common = (rep.where("readable").groupBy("schema_key").count()
+              .orderBy(F.desc("count"), "schema_key").limit(1).select(F.col("schema_key").alias("_common")))
+    rep = rep.join(F.broadcast(common), F.col("schema_key") == F.col("_common"), "left")  # one row
     limit_ok = (F.col("n_rows") <= F.lit(max_rows)) if max_rows else F.lit(True)
     return rep.select(
         "path", "file_name", "folder", "readable", "error", "schema_key", "n_rows",
@@ -153,4 +184,5 @@ def shard_report(shards: ShardSet, max_rows: int | None = None,
         F.coalesce(F.col("chunk_index") - F.lag("chunk_index").over(w) > 1, F.lit(False))
         .alias("gap_before"),
         (F.count(F.lit(1)).over(wn) > 1).alias("repeated_name"),
+        F.col("_common").isNotNull().alias("schema_equal"),
     )

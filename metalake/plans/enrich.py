@@ -13,6 +13,8 @@ from ..operators.joins import attach_clients, new_ids
 from ..operators.labels import label_records
 from ..schema import CLIENT_COLUMNS
 from ..sinks import write_catalog, write_labelled
+from ..sources.files import latest_dataset
+from ..sources.tables import read_catalog
 
 
 def upsert_catalog(catalog: DataFrame, fetched: DataFrame) -> DataFrame:
@@ -38,13 +40,30 @@ def enrich_and_label(spark: SparkSession, rows: DataFrame, catalog: DataFrame,
                      client_records: DataFrame, out_catalog: str | None = None,
                      out_labelled: str | None = None, fmt: str = "parquet",
                      max_clients: int | None = None) -> dict:
+    """Catalogue, labelled rows and summaries. ``out_catalog`` may be the very
+    catalogue that ``catalog`` was read from; the run summary compares with
+    the catalogue as it was before."""
+    summary = run_summary(rows, catalog)
     updated = enrich_catalog(rows, catalog, client_records, max_clients)
     if out_catalog:
+        summary = spark.createDataFrame(summary.collect(), summary.schema)  # one row, before the swap
         write_catalog(updated, out_catalog)
-        updated = spark.read.option("header", True).option("multiLine", True) \
-            .option("escape", '"').csv(out_catalog).na.fill("")
+        updated = read_catalog(spark, out_catalog)
     labelled = label_records(rows, updated, keep_existing=(fmt == "csv"))
     if out_labelled:
         write_labelled(labelled, out_labelled, fmt)
     return {"catalog": updated, "labelled": labelled,
-            "providers": providers_summary(updated), "summary": run_summary(rows, catalog)}
+            "providers": providers_summary(updated), "summary": summary}
+
+
+def enrich_folder(spark: SparkSession, folder: str, prefix: str, catalog_path: str, client_records: DataFrame,
+                  max_clients: int | None = None) -> dict:
+    """The usual run over a folder of merged datasets: the newest one's client
+    ids extend the catalogue in place, and the dataset labelled from it is
+    written beside it as ``<name>_labeled.parquet``."""
+    newest = latest_dataset(spark, folder, prefix, ".parquet").first()
+    rows = spark.read.parquet(newest["path"])
+    out = f"{folder.rstrip('/')}/{newest['name'].removesuffix('.parquet')}_labeled.parquet"
+    done = enrich_and_label(spark, rows, read_catalog(spark, catalog_path), client_records,
+                            out_catalog=catalog_path, out_labelled=out, max_clients=max_clients)
+    return {**done, "dataset": newest["path"], "labelled_path": out}

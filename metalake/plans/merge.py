@@ -29,4 +29,6 @@ def merge_shards(spark: SparkSession, parents=None, out_base: str | None = None,
     if dedup and "doi" in data.columns:
         data = dedup_richest(data)
     path = write_merged(data, out_base) if out_base else None
-    return {"data": data, "report": report, "parquet": path, "target": shards.target}
+    rows = spark.read.parquet(path).count() if path else None
+    return {"data": data, "report": report, "rejects": shards.rejects, "parquet": path, "rows_written": rows,
+            "inputs": report.count(), "target": shards.target}

@@ -18,4 +18,5 @@ def merge_catalog_with_sheet(spark: SparkSession, catalog_csv: str, sheet_csv: s
     sheet = read_sheet(spark, sheet_csv)
     merged = merge_with_sheet(catalog, sheet, on_left, on_right, select_cols, how)
     written = write_enriched(merged, out_csv, out_parquet)
-    return {"data": merged, **written, "cols": len(merged.columns)}
+    rows = spark.read.parquet(written["out_parquet"]).count() if out_parquet else merged.count()
+    return {"data": merged, **written, "rows": rows, "cols": len(merged.columns)}

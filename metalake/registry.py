@@ -22,18 +22,20 @@ from .operators.joins import join_on_doi, label_server_name, merge_with_sheet, n
 from .operators.labels import label_records
 from .operators.ledger import (expected_vs_harvested, page_chain_problems, read_checkpoints,
                                run_ledger, signature_hash_col)
-from .operators.quality import counts_vs_external, quality_gates, yearly_growth
+from .operators.quality import (column_check, counts_vs_external, duplicate_gate, quality_gates, share_vs_expected,
+                                yearly_growth)
 from .operators.select import by_clients, by_date_range, by_label_type, by_type
 from .operators.shards import shard_report, unify_shards
 from .plans.enrich import enrich_catalog
+from .plans.merge import merge_shards
 from .schema import CLIENT_COLUMNS, SLIM_COLUMNS, WIDE_COLUMNS
 from .session import scratch_path
 from .sinks import write_catalog, write_chunks, write_csv, write_labelled, write_ndjson
 from .sources.files import latest_dataset, shard_files
-from .sources.items import items_from_text, page_meta, read_items, read_pages
+from .sources.items import items_from_text, page_meta, read_items, read_pages, read_rejects
 from .sources.tables import read_catalog, read_client_ids, read_sheet
-from .streaming.ingest import (ingest_records, maintain_best_rows, maintain_best_rows_state,
-                               read_best_rows, read_snapshot, record_stream)
+from .streaming.ingest import (compact_best_rows, ingest_records, maintain_best_rows,
+                               read_best_rows, record_stream)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,7 +62,7 @@ def label_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 WIDE_CTE = f"WITH recs AS (\n{adapters.expected_wide_sql('orders')}\n)\n"
 RICH_ORDER = ("((provider_id IS NOT NULL)::INT + (alternate_ids_json IS NOT NULL)::INT) DESC, "
               "registered ASC NULLS LAST, updated ASC NULLS LAST, created ASC NULLS LAST, "
-              "raw_attributes_json ASC NULLS LAST")
+              "sha256(raw_attributes_json) ASC NULLS LAST")
 LABEL_CAT_CTE = (
     "cat0 AS (" + adapters.LABEL_CATALOG_SQL.replace("@customer@", "customer") + "),\n"
     "cat AS (SELECT id, name, displayName FROM (SELECT *, row_number() OVER "
@@ -260,13 +262,14 @@ def q15b_client_ids_landed(spark, sf_dir):
 
 @query("q16_new_clients", """
 SELECT DISTINCT cast(o_custkey AS VARCHAR) AS client_id FROM orders
-WHERE NOT EXISTS (SELECT 1 FROM customer
-                  WHERE c_custkey % 2 = 0 AND c_custkey = o_custkey)""")
+WHERE cast(o_custkey AS VARCHAR) NOT IN (
+  SELECT CASE WHEN c_custkey % 2 = 0 THEN '' ELSE 'x' END || cast(c_custkey AS VARCHAR) FROM customer)""")
 def q16_new_clients(spark, sf_dir):
     ids = distinct_client_ids(table(spark, sf_dir, "orders")
                               .select(F.col("o_custkey").cast("string").alias("client_id")))
-    cat = (table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 2 == 0)
-           .select(F.col("c_custkey").cast("string").alias("id")))
+    key = F.col("c_custkey").cast("string")  # half of the catalogue goes by other ids
+    cat = table(spark, sf_dir, "customer").select(
+        F.when(F.col("c_custkey") % 2 == 0, key).otherwise(F.concat(F.lit("x"), key)).alias("id"))
     return new_ids(ids, cat)
 
 
@@ -278,7 +281,8 @@ def q17_client_flatten(spark, sf_dir):
 def _fetched_sql() -> str:
     cols = ", ".join(f"coalesce(c.\"{c}\", '') AS \"{c}\"" for c in CLIENT_COLUMNS if c != "id")
     return (f"SELECT n.id, {cols} FROM new_ids n "
-            f"LEFT JOIN (SELECT * FROM c WHERE s_suppkey % 10 <> 9) c ON n.id = c.id")
+            f"LEFT JOIN (SELECT * REPLACE (CASE WHEN s_suppkey % 10 = 9 THEN 'x' ELSE '' END || id AS id) FROM c) c "
+            f"ON n.id = c.id")
 
 
 @query("q18_catalog_upsert", "WITH " + CLIENTS_CTE + f""",
@@ -293,7 +297,8 @@ def q18_catalog_upsert(spark, sf_dir):
     path = scratch_path(spark, "q18-catalog") + "/clients_catalog.csv"
     write_catalog(flat.filter(num % 2 == 0), path)
     existing = read_catalog(spark, path)
-    api = flat.filter(num % 10 != 9)
+    # one in ten records answers to another id: its client gets a placeholder
+    api = flat.withColumn("id", F.when(num % 10 == 9, F.concat(F.lit("x"), "id")).otherwise(F.col("id")))
     rows = table(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("client_id"))
     return enrich_catalog(rows, existing, api)
@@ -363,9 +368,9 @@ def _sheet_inputs(spark, sf_dir):
         F.lit("Ldup").alias("name"), (F.col("doc_id") * 10 + 5).alias("_ord"))
     extra = spark.createDataFrame(_SHEET_EXTRA, "source_id string, quality string, toxic string, "
                                                 "name string, _ord long")
-    sheet_rows = main.unionByName(dup).unionByName(extra).orderBy("_ord").drop("_ord")
+    sheet_rows = main.unionByName(dup).unionByName(extra).withColumnRenamed("_ord", "_line")
     path = scratch_path(spark, "sheet") + "/sheet.csv"
-    write_csv(sheet_rows, path, single_file=True)
+    write_csv(sheet_rows, path)
     return cat, read_sheet(spark, path)
 
 
@@ -517,21 +522,23 @@ def q33_counts_vs_external(spark, sf_dir):
 
 # --------------------------------------------------------- ledger (H)
 
-_DROPPED_TURN = 3
+_LOST_TURN = 3  # the page of this turn lies under another cursor (and another run)
 PAGES_CTE = f"""WITH mx AS (SELECT conv_id, max(turn) AS mt FROM conversations GROUP BY conv_id),
-pages AS (SELECT c.conv_id, c.turn, CASE WHEN c.turn < mx.mt THEN c.turn + 1 END AS next_cursor,
-                 mx.mt + 1 AS expected
-          FROM conversations c JOIN mx ON c.conv_id = mx.conv_id WHERE c.turn <> {_DROPPED_TURN})
+pages AS (SELECT c.conv_id, CASE WHEN c.turn = {_LOST_TURN} THEN 1000 + c.turn ELSE c.turn END AS turn,
+                 CASE WHEN c.turn < mx.mt THEN c.turn + 1 END AS next_cursor,
+                 CASE WHEN c.turn = {_LOST_TURN} THEN -1 - c.conv_id ELSE c.conv_id END AS run
+          FROM conversations c JOIN mx ON c.conv_id = mx.conv_id)
 """
 
 
 def _pages(spark, sf_dir):
     conv = table(spark, sf_dir, "conversations")
     mx = conv.groupBy("conv_id").agg(F.max("turn").alias("_mt"))
-    return (conv.join(mx, "conv_id").filter(F.col("turn") != _DROPPED_TURN)
-            .select("conv_id", "turn",
-                    F.when(F.col("turn") < F.col("_mt"), F.col("turn") + 1).alias("next_cursor"),
-                    (F.col("_mt") + 1).alias("expected")))
+    lost = F.col("turn") == _LOST_TURN
+    return conv.join(mx, "conv_id").select(
+        "conv_id", F.when(lost, F.col("turn") + 1000).otherwise(F.col("turn")).alias("turn"),
+        F.when(F.col("turn") < F.col("_mt"), F.col("turn") + 1).alias("next_cursor"),
+        F.when(lost, -1 - F.col("conv_id")).otherwise(F.col("conv_id")).alias("run"))
 
 
 @query("q34_page_chain", PAGES_CTE + """
@@ -611,37 +618,38 @@ def q36_run_ledger(spark, sf_dir):
                       "cursor_decoded", "hash_ok", "signature_hash", "folder_start", "folder_end")
 
 
-@query("q37_stream_ingest", """
+BEST_EVENTS_SQL = """
 SELECT user_id, event_id, event_type, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY
     ((props IS NOT NULL)::INT + (value IS NOT NULL)::INT) DESC,
     ts ASC NULLS LAST, event_id ASC NULLS LAST) AS rn FROM events
-) t WHERE rn = 1""")
-def q37_stream_ingest(spark, sf_dir):
-    root = scratch_path(spark, "stream")
+) t WHERE rn = 1"""
+
+
+def _best_events(spark, sf_dir, name: str, compact: bool):
+    root = scratch_path(spark, name)
     fmt = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
     ev = table(spark, sf_dir, "events")
-    ev.repartitionByRange(4, "event_id").write.option("timestampFormat", fmt).json(f"{root}/landing")
+    ev.repartitionByRange("event_id").write.option("timestampFormat", fmt).json(f"{root}/landing")
     stream = (spark.readStream.schema(ev.schema).option("timestampFormat", fmt)
-              .option("maxFilesPerTrigger", 1).json(f"{root}/landing"))
-    maintain_best_rows(spark, stream, f"{root}/snapshot", f"{root}/_checkpoint", key="user_id",
-                       rich=("props", "value"), order=("ts", "event_id"), tie_break=None)
-    return read_snapshot(spark, f"{root}/snapshot").select("user_id", "event_id", "event_type", "value")
+              .option("maxFilesPerTrigger", spark.sparkContext.defaultParallelism).json(f"{root}/landing"))
+    maintain_best_rows(spark, stream, f"{root}/log", f"{root}/_checkpoint", key="user_id",
+                       rich=("props", "value"), order=("ts", "event_id"),
+                       state_partitions=spark.sparkContext.defaultParallelism)
+    if compact:
+        compact_best_rows(spark, f"{root}/log", "user_id")
+    return read_best_rows(spark, f"{root}/log", "user_id").select("user_id", "event_id", "event_type", "value")
+
+
+@query("q37_stream_ingest", BEST_EVENTS_SQL)
+def q37_stream_ingest(spark, sf_dir):
+    return _best_events(spark, sf_dir, "stream", compact=False)
 
 
-@query("q37b_stream_best_rows_state", SQL["q37_stream_ingest"])
+@query("q37b_stream_best_rows_state", BEST_EVENTS_SQL)
 def q37b_stream_best_rows_state(spark, sf_dir):
-    root = scratch_path(spark, "stream-state")
-    fmt = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
-    ev = table(spark, sf_dir, "events")
-    ev.repartitionByRange(4, "event_id").write.option("timestampFormat", fmt).json(f"{root}/landing")
-    stream = (spark.readStream.schema(ev.schema).option("timestampFormat", fmt)
-              .option("maxFilesPerTrigger", 1).json(f"{root}/landing"))
-    maintain_best_rows_state(spark, stream, f"{root}/log", f"{root}/_checkpoint", key="user_id",
-                             rich=("props", "value"), order=("ts", "event_id"),
-                             state_partitions=spark.sparkContext.defaultParallelism)
-    return read_best_rows(spark, f"{root}/log", "user_id").select("user_id", "event_id", "event_type",
-                                                                  "value")
+    """The same, read from a compacted base."""
+    return _best_events(spark, sf_dir, "stream-state", compact=True)
 
 
 @query("q38_latest_dataset", """
@@ -658,14 +666,16 @@ def q38_latest_dataset(spark, sf_dir):
                                                F.count(F.lit(1)).alias("n_rows"))
 
 
-@query("q39_expected_vs_harvested", PAGES_CTE + """
-SELECT conv_id, max(expected) AS expected, count(*) AS harvested,
-       max(expected) - count(*) AS missing, max(expected) - count(*) = 0 AS complete
-FROM pages GROUP BY conv_id""")
+@query("q39_expected_vs_harvested", PAGES_CTE + """,
+e AS (SELECT conv_id, max(turn) + 1 AS n FROM conversations GROUP BY conv_id),
+h AS (SELECT run, count(*) AS n FROM pages GROUP BY run)
+SELECT coalesce(e.conv_id, h.run) AS run, coalesce(e.n, 0) AS expected, coalesce(h.n, 0) AS harvested,
+       coalesce(e.n, 0) - coalesce(h.n, 0) AS missing, coalesce(e.n, 0) = coalesce(h.n, 0) AS complete
+FROM e FULL OUTER JOIN h ON e.conv_id = h.run""")
 def q39_expected_vs_harvested(spark, sf_dir):
-    pages = _pages(spark, sf_dir)
-    exp = pages.groupBy("conv_id").agg(F.max("expected").alias("expected"))
-    return expected_vs_harvested(exp, pages.select("conv_id"), "conv_id")
+    announced = (table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("run"))
+                 .agg((F.max("turn") + 1).alias("expected")))
+    return expected_vs_harvested(announced, _pages(spark, sf_dir).select("run"), "run")
 
 
 @query("q39b_run_summary", WIDE_CTE + ", " + LABEL_CAT_CTE + """
@@ -687,10 +697,9 @@ def q40_ndjson_roundtrip(spark, sf_dir):
 
 # ------------------------------------------------ landed pages (A1, A2, H1)
 
-def _land_pages(spark, sf_dir, n_files: int = 4) -> str:
+def _land_pages(spark, sf_dir) -> str:
     path = scratch_path(spark, "landing") + "/pages"
-    pages = adapters.pages_from_orders(spark, sf_dir)
-    pages.repartition(n_files, "page_no").select("value").write.text(path)
+    adapters.pages_from_orders(spark, sf_dir).select("value").write.text(path)
     return path
 
 
@@ -721,13 +730,204 @@ def q44_stream_dedup_records(spark, sf_dir):
     landing = _land_pages(spark, sf_dir)
     root = scratch_path(spark, "stream-harvest")
     wide = flatten_items(record_stream(spark, landing, max_files_per_trigger=2))
-    maintain_best_rows_state(spark, wide, f"{root}/log", f"{root}/_checkpoint", key="doi",
-                             rich=("provider_id", "alternate_ids_json"),
-                             order=("registered", "updated", "created"), tie_break="raw_attributes_json",
-                             state_partitions=spark.sparkContext.defaultParallelism)
+    maintain_best_rows(spark, wide, f"{root}/log", f"{root}/_checkpoint", key="doi",
+                       rich=("provider_id", "alternate_ids_json"),
+                       order=("registered", "updated", "created"), tie_break="raw_attributes_json",
+                       state_partitions=spark.sparkContext.defaultParallelism)
     return read_best_rows(spark, f"{root}/log", "doi").select(
         "doi", "client_id", "provider_id", "alternate_ids_json", "registered", "updated", "created")
 
 
+# ------------------------------------- catalogue, rejects and lookups
+
+@query("q45_catalog_in_place", SQL["q18_catalog_upsert"])
+def q45_catalog_in_place(spark, sf_dir):
+    """The usual run, twice: the catalogue is read from, extended and replaced
+    at one path."""
+    flat = client_records(spark, sf_dir)
+    num = F.regexp_extract("id", r"^s(\d+)$", 1).cast("bigint")
+    path = scratch_path(spark, "q45-catalog") + "/clients_catalog.csv"
+    write_catalog(flat.filter(num % 2 == 0), path)
+    api = flat.withColumn("id", F.when(num % 10 == 9, F.concat(F.lit("x"), "id")).otherwise(F.col("id")))
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("client_id"))
+    for _ in range(2):
+        write_catalog(enrich_catalog(rows, read_catalog(spark, path), api), path)
+    return read_catalog(spark, path)
+
+
+@query("q46_quarantine", f"""
+SELECT CASE o_orderkey % 10 WHEN 1 THEN 'malformed' WHEN 2 THEN 'error' ELSE 'kept' END AS reason,
+       {adapters.DOI} AS doi FROM orders""")
+def q46_quarantine(spark, sf_dir):
+    """Landed lines of which some are cut off and some are error answers."""
+    line = F.expr(f"""CASE o_orderkey % 10
+      WHEN 1 THEN '{{"id": "' || {adapters.DOI} || '", "attributes": {{'
+      WHEN 2 THEN '{{"errors": [{{"status": "404", "title": "' || {adapters.DOI} || '"}}]}}'
+      ELSE '{{"id": "' || {adapters.DOI} || '", "attributes": {{"doi": "x"}}}}' END""")
+    path = scratch_path(spark, "q46") + "/landing"
+    table(spark, sf_dir, "orders").select(line.alias("value")).write.text(path)
+    bad = read_rejects(spark, path).select("reason", F.regexp_extract("raw", '"(?:id|title)": "([^"]*)"', 1).alias("doi"))
+    good = read_items(spark, path).select(F.lit("kept").alias("reason"),
+                                          F.try_variant_get("v", "$.id", "string").alias("doi"))
+    return bad.unionByName(good)
+
+
+@query("q47_client_lookup_docs", SQL["q17_client_flatten"])
+def q47_client_lookup_docs(spark, sf_dir):
+    """Client records landed as answers to single lookups."""
+    path = scratch_path(spark, "q47") + "/lookups"
+    answers = adapters.client_source(spark, sf_dir).select(F.concat(F.lit('{"data": '), "raw", F.lit("}")).alias("value"))
+    answers.write.text(path)
+    return flatten_clients(read_items(spark, path))
+
+
+# --------------------------------------------- shards with faults
+
+def _faulty_shards(spark, sf_dir) -> str:
+    root = scratch_path(spark, "faulty-shards")
+    orders = table(spark, sf_dir, "orders")
+    doi, year, k = F.expr(adapters.DOI).alias("doi"), F.year("o_orderdate"), F.col("o_orderkey")
+    text_year = F.when(k % 5 == 0, F.lit("n.d.")).otherwise(year.cast("string"))
+    orders.filter(k % 2 == 0).select(doi, text_year.alias("published_year")).write.parquet(f"{root}/a")
+    orders.filter(k % 2 == 1).select(doi, year.cast("bigint").alias("published_year"), F.struct(
+        F.col("o_orderstatus").alias("en")).alias("publisher")).write.parquet(f"{root}/b")
+    orders.select("o_orderstatus").write.text(f"{root}/c")  # no Parquet file at all
+    return root
+
+
+@query("q48_drifting_shards", f"""
+SELECT {adapters.DOI} AS doi,
+       CASE WHEN o_orderkey % 2 = 1 OR o_orderkey % 5 <> 0 THEN CAST(year(o_orderdate) AS BIGINT) END AS published_year,
+       CASE WHEN o_orderkey % 2 = 1 THEN '{{"en":"' || o_orderstatus || '"}}' END AS publisher
+FROM orders""")
+def q48_drifting_shards(spark, sf_dir):
+    files = shard_files(spark, _faulty_shards(spark, sf_dir), glob="part-*")
+    return unify_shards(spark, files).data.select("doi", "published_year", "publisher")
+
+
+@query("q48b_shard_faults", """
+SELECT 'published_year' AS "column", count(*) AS n_rejected, true AS some_unreadable FROM orders
+WHERE o_orderkey % 2 = 0 AND o_orderkey % 5 = 0""")
+def q48b_shard_faults(spark, sf_dir):
+    shards = unify_shards(spark, shard_files(spark, _faulty_shards(spark, sf_dir), glob="part-*"))
+    unreadable = shards.files.where(~F.col("readable") & F.col("error").isNotNull()).limit(1).count() > 0
+    return (shards.rejects.groupBy("column").agg(F.sum("n_rejected").alias("n_rejected"))
+            .withColumn("some_unreadable", F.lit(unreadable)))
+
+
+_CHUNK_ROWS = 3000
+
+
+@query("q52_shard_checks", f"""
+WITH c AS (
+  SELECT 'main' AS folder, o_orderkey % 6 + CASE WHEN o_orderkey % 6 >= 3 THEN 2 ELSE 0 END AS chunk_index FROM orders
+  UNION ALL SELECT 'odd', 0 FROM orders),
+n AS (SELECT folder, chunk_index, count(*) AS n_rows FROM c GROUP BY ALL)
+SELECT folder, chunk_index, n_rows, n_rows > {_CHUNK_ROWS} AS over_limit, n_rows = 0 AS empty,
+       folder = 'main' AND chunk_index = 5 AS gap_before, folder = 'main' AS schema_equal FROM n""")
+def q52_shard_checks(spark, sf_dir):
+    """Chunks with a gap, one over the limit and one of another layout."""
+    root = scratch_path(spark, "q52")
+    k = F.col("o_orderkey") % 6
+    place = F.when(k >= 3, k + 2).otherwise(k).cast("int")
+    orders = table(spark, sf_dir, "orders")
+    orders.select(F.expr(adapters.DOI).alias("doi"), place.alias("n")).repartitionById(8, F.col("n")).select("doi") \
+        .write.parquet(f"{root}/main")
+    orders.select(F.expr(adapters.DOI).alias("doi"), F.lit(0).alias("n")).repartitionById(1, F.col("n")) \
+        .write.parquet(f"{root}/odd")
+    shards = unify_shards(spark, shard_files(spark, root), with_source=True)
+    rep = shard_report(shards, max_rows=_CHUNK_ROWS, chunk_pattern=r"part-(\d+)")
+    return rep.select(F.regexp_extract("folder", "([^/]*)$", 1).alias("folder"), "chunk_index", "n_rows", "over_limit",
+                      "empty", "gap_before", "schema_equal")
+
+
+@query("q53_merged_output", SHARDS_SQL)
+def q53_merged_output(spark, sf_dir):
+    """Batch folders of a name are merged, written and read again."""
+    done = merge_shards(spark, base_dir=_write_shards(spark, sf_dir), leaf_name="batches", dedup=False,
+                        out_base=scratch_path(spark, "q53") + "/merged")
+    return spark.read.parquet(done["parquet"])
+
+
+@query("q54_first_clients", WIDE_CTE + """
+SELECT DISTINCT trim(client_id) AS client_id FROM recs WHERE trim(client_id) <> '' ORDER BY client_id LIMIT 25""")
+def q54_first_clients(spark, sf_dir):
+    return distinct_client_ids(wide_records(spark, sf_dir), max_clients=25)
+
+
+@query("q55_keep_server_name", WIDE_CTE + "SELECT doi, client_id, upper(client_id) AS server_name FROM recs")
+def q55_keep_server_name(spark, sf_dir):
+    rows = wide_records(spark, sf_dir).select("doi", "client_id", F.upper("client_id").alias("server_name"))
+    return label_server_name(rows, label_catalog(spark, sf_dir), keep_existing=True)
+
+
+@query("q56_column_check", "SELECT 'unexpected' AS problem, 'o_comment' AS \"column\"" + "".join(
+    f" UNION ALL SELECT 'missing', '{c}'" for c in WIDE_COLUMNS if c not in ("doi", "client_id")))
+def q56_column_check(spark, sf_dir):
+    return column_check(table(spark, sf_dir, "orders").select(
+        F.expr(adapters.DOI).alias("doi"), F.expr(adapters.CID).alias("client_id"), F.lit("").alias("o_comment")))
+
+
+# ------------------------------------------------- landed pages: chain and totals
+
+_CUT, _BACK = 3, 5  # of seven pages, one leads to no page and one to itself
+
+
+@query("q49_landed_page_chain", f"""
+WITH p AS (SELECT DISTINCT {adapters.K} // {adapters.PAGE_SIZE} AS n FROM orders),
+l AS (SELECT n, n < (SELECT max(n) FROM p) AS linked FROM p),
+c AS (SELECT n, to_base64(encode(cast(n * {adapters.PAGE_SIZE} AS VARCHAR))) AS cursor,
+             to_base64(encode(cast(n * {adapters.PAGE_SIZE} + 1 AS VARCHAR))) AS lost FROM l WHERE linked)
+SELECT 'gap' AS problem, cursor, lost AS next_cursor FROM c WHERE n % 7 = {_CUT}
+UNION ALL SELECT 'not_advancing', cursor, cursor FROM c WHERE n % 7 = {_BACK}""")
+def q49_landed_page_chain(spark, sf_dir):
+    n = F.col("page_no")
+
+    def cursor(number):
+        return F.base64(F.encode(number.cast("string"), "UTF-8"))
+
+    to = F.when(n % 7 == _CUT, n * adapters.PAGE_SIZE + 1).when(n % 7 == _BACK, n * adapters.PAGE_SIZE)
+    link = F.concat(F.lit("page%5Bcursor%5D="), F.url_encode(cursor(to)))
+    path = scratch_path(spark, "q49") + "/pages"
+    adapters.pages_from_orders(spark, sf_dir).select(F.when(
+        to.isNotNull(), F.regexp_replace("value", F.lit('page%5Bcursor%5D=[^&"]*'), link)).otherwise(
+        F.col("value")).alias("value")).write.text(path)
+    pages = read_pages(spark, path).withColumn("page_no", F.try_variant_get("v", "$.meta.page", "bigint"))
+    meta = page_meta(pages, keep=["page_no"]).select(
+        F.lit("run").alias("run"), cursor(n * adapters.PAGE_SIZE).alias("cursor"), "next_cursor")
+    return page_chain_problems(meta, "run").select("problem", "cursor", "next_cursor")
+
+
+@query("q50_landed_totals", """
+SELECT 'run' AS run, count(*) AS expected, count(*) AS harvested, CAST(0 AS BIGINT) AS missing, true AS complete
+FROM orders""")
+def q50_landed_totals(spark, sf_dir):
+    path = _land_pages(spark, sf_dir)
+    announced = (page_meta(read_pages(spark, path)).agg(F.max("total").alias("expected"))
+                 .select(F.lit("run").alias("run"), "expected"))
+    return expected_vs_harvested(announced, read_items(spark, path).select(F.lit("run").alias("run")), "run")
+
+
+@query("q51_release_gates", """
+WITH d AS (SELECT count(*) AS n, count(DISTINCT coalesce(text, '')) AS k FROM documents),
+g AS (SELECT source AS value, count(*) AS n_records FROM documents GROUP BY source)
+SELECT 'duplicates' AS gate, CAST(NULL AS VARCHAR) AS value, n - k AS n_records, (n - k) / n AS share,
+       CAST(0.01 AS DOUBLE) AS expected_share, (n - k) / n < 0.01 AS passed FROM d
+UNION ALL
+SELECT 'provider_share', value, n_records, n_records / n, CAST(0.05 AS DOUBLE), abs(n_records / n - 0.05) <= 0.05
+FROM g, d""")
+def q51_release_gates(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    dup = duplicate_gate(docs.withColumn("text", F.coalesce("text", F.lit(""))), "text", 0.01).select(
+        F.lit("duplicates").alias("gate"), F.lit(None).cast("string").alias("value"),
+        F.col("n_duplicates").alias("n_records"), F.col("dup_rate").alias("share"),
+        F.col("limit_rate").alias("expected_share"), "passed")
+    want = docs.select(F.col("source").alias("value")).distinct().withColumn("expected_share", F.lit(0.05))
+    share = share_vs_expected(docs, want, "source", 0.05).select(
+        F.lit("provider_share").alias("gate"), "value", "n_records", "share", "expected_share", "passed")
+    return dup.unionByName(share)
+
+
 QUERIES = Q
 ORACLE = SQL

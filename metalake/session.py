@@ -52,10 +52,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def apply_sql_conf(spark: SparkSession) -> None:
     """Apply the runtime SQL settings to an existing session (cluster case)."""
     for k, v in SQL_CONF.items():
-        try:
+        if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
-        except Exception:  # static or locked settings stay as the platform set them
-            pass
 
 
 _SHIPPED: set = set()
@@ -136,16 +134,14 @@ def scale_conf(shuffle_bytes: int, total_cores: int, target_partition_mb: int =
     """Shuffle sizing for a given expected shuffle volume.
 
     One initial shuffle partition per ``target_partition_mb`` of shuffled
-    data (at least two per core, capped so map x reduce block counts stay
-    manageable); AQE then coalesces small partitions toward the same
-    advisory size and splits partitions over 4x that size in joins. Scan
-    splits stay at 256 MB so each task's input fits comfortably in memory.
-    Example: 30 TB shuffled on 8 000 cores -> 50 000 partitions (~600 MB
-    each before AQE splitting).
+    data (at least two per core), so a partition stays that size at any
+    volume; AQE then coalesces small partitions toward the same advisory
+    size and splits partitions over 4x that size in joins. Scan splits stay
+    at 256 MB so each task's input fits comfortably in memory.
+    Example: 30 TB shuffled on 8 000 cores -> 111 759 partitions.
     """
     target = target_partition_mb * MB
     n = max(2 * total_cores, -(-shuffle_bytes // target))
-    n = min(n, max_partitions)
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),

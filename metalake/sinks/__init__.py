@@ -3,9 +3,10 @@ there is no temp-file-then-rename step."""
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..schema import CLIENT_COLUMNS, SLIM_COLUMNS
 
@@ -31,15 +32,38 @@ def _csv_writer(df: DataFrame, mode: str):
             .option("escape", '"').option("quoteAll", False))
 
 
-def write_catalog(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """The client catalogue as one CSV file (a catalogue holds one row per
-    registry client, a bounded dimension; one file keeps it a single sheet)."""
-    _csv_writer(df.select(*CLIENT_COLUMNS).coalesce(1), mode).csv(path)
+def swap_in(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put the finished dataset ``fresh`` in the place of ``path``.
+
+    The old dataset is moved aside first and deleted last, so that at every
+    moment a complete copy is on the disk: a job that dies on the way leaves
+    ``<path>.before-*`` beside it.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    new, old = jvm.org.apache.hadoop.fs.Path(fresh), jvm.org.apache.hadoop.fs.Path(path)
+    fs = old.getFileSystem(conf)
+    aside = jvm.org.apache.hadoop.fs.Path(f"{path}.before-{uuid.uuid4().hex[:12]}")
+    had = fs.exists(old)
+    if had and not fs.rename(old, aside):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(new, old):
+        raise OSError(f"cannot move {fresh} to {path}")
+    if had:
+        fs.delete(aside, True)
+
+
+def write_catalog(df: DataFrame, path: str) -> str:
+    """The client catalogue as CSV files of one folder. The rows may come
+    from ``path`` itself: they are written beside it and swapped in when they
+    are complete."""
+    fresh = f"{path.rstrip('/')}.next-{uuid.uuid4().hex[:12]}"
+    _csv_writer(df.select(*CLIENT_COLUMNS), "errorifexists").csv(fresh)
+    swap_in(df.sparkSession, fresh, path.rstrip("/"))
     return path
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False) -> str:
-    _csv_writer(df.coalesce(1) if single_file else df, mode).csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+    _csv_writer(df, mode).csv(path)
     return path
 
 
@@ -70,7 +94,7 @@ def write_enriched(df: DataFrame, csv_path: str | None = None,
     """Enriched catalogue sinks."""
     out = {"out_csv": None, "out_parquet": None}
     if csv_path:
-        out["out_csv"] = write_csv(df, csv_path, single_file=True)
+        out["out_csv"] = write_csv(df, csv_path)
     if parquet_path:
         df.write.mode("overwrite").parquet(parquet_path)
         out["out_parquet"] = parquet_path

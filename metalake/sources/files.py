@@ -11,6 +11,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 LISTING_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
@@ -34,8 +35,8 @@ def list_files(spark: SparkSession, roots, glob: str | None = None,
             reader = reader.option("pathGlobFilter", glob)
         try:
             frames.append(reader.load(root).select("path", "modificationTime", "length"))
-        except Exception as exc:  # missing root: reported by the caller, not fatal
-            if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+        except AnalysisException as e:  # missing root: reported by the caller, not fatal
+            if e.getCondition() != "PATH_NOT_FOUND":
                 raise
     if not frames:
         return spark.createDataFrame([], LISTING_SCHEMA)

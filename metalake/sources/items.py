@@ -1,65 +1,94 @@
 """Registry records: landed API pages or NDJSON items -> one VARIANT per row.
 
-A1 ``read_items`` and A2 ``page_meta``. A landed file holds either API pages
-(``{"data": [item, ...], "meta": {...}, "links": {...}}``) or one item per
-line; gzip is handled by the reader. Parsing happens once, into VARIANT, so
-all later field access is binary path lookups without re-parsing text.
+A1 ``read_items`` and A2 ``page_meta``. A landed file holds API pages
+(``{"data": [item, ...], "meta": {...}, "links": {...}}``), lookups of one
+record (``{"data": {...}}``) or one item per line; gzip is handled by the
+reader. Parsing happens once, into VARIANT, so all later field access is
+binary path lookups without re-parsing text. What cannot be parsed and error
+answers of the registry (``{"errors": ...}``) are never dropped silently:
+``read_rejects`` lists them with their file and reason.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import is_missing, query_param, vget, vstring
+from ..functions import query_param, vget, vstring
 
 
-def _explode_pages(v) -> "F.Column":
-    data = F.try_variant_get(v, "$.data", "array<variant>")
-    return F.explode(F.when(data.isNotNull(), data).otherwise(F.array(v)))
+def _kind(v: Column) -> Column:
+    """``malformed``, ``error``, ``page``, ``lookup`` or ``item`` (the commonest
+    kind is told by one path lookup)."""
+    def has(path, type_="variant"):
+        return F.try_variant_get(v, path, type_).isNotNull()
+
+    return (F.when(v.isNull(), "malformed").when(has("$.attributes"), "item")
+            .when(has("$.data", "array<variant>"), "page").when(has("$.data", "map<string,variant>"), "lookup")
+            .when(has("$.errors"), "error").when(has("$", "map<string,variant>"), "item").otherwise("malformed"))
+
+
+def parsed_documents(lines: DataFrame, text_col: str = "value", source: bool = True) -> DataFrame:
+    """``raw``, parsed ``v`` and ``kind`` of landed text; blank lines are no
+    documents. With ``source``, the file as ``source_file``."""
+    extra = [F.col("_metadata.file_path").alias("source_file")] if source else []
+    parsed = lines.select(F.col(text_col).alias("raw"), F.try_parse_json(F.col(text_col)).alias("v"), *extra)
+    return parsed.where(~F.col("raw").rlike(r"^\s*$")).withColumn("kind", _kind(F.col("v")))
+
+
+def items_of(documents: DataFrame) -> DataFrame:
+    """One item per row (``v``) of readable documents, with their other columns."""
+    v, kind = F.col("v"), F.col("kind")
+    found = (F.when(kind == "page", F.try_variant_get(v, "$.data", "array<variant>"))
+             .when(kind == "lookup", F.array(F.try_variant_get(v, "$.data", "variant"))).otherwise(F.array(v)))
+    keep = [c for c in documents.columns if c not in ("v", "raw", "kind")]
+    return documents.where(kind.isin("page", "lookup", "item")).select(F.explode(found).alias("v"), *keep)
+
+
+def rejected_of(documents: DataFrame) -> DataFrame:
+    """Documents that hold no item: whole text, reason and other columns."""
+    keep = [c for c in documents.columns if c not in ("v", "raw", "kind")]
+    return documents.where(F.col("kind").isin("malformed", "error")).select("raw", F.col("kind").alias("reason"), *keep)
+
+
+def read_documents(spark: SparkSession, path, multiline: bool = False) -> DataFrame:
+    """Landed documents, one per line (``multiline``: one per file)."""
+    return parsed_documents(spark.read.text(path, wholetext=multiline))
 
 
 def read_pages(spark: SparkSession, path, multiline: bool = False,
                with_source: bool = False) -> DataFrame:
-    """Raw landed documents (pages or items), one VARIANT column ``v``."""
-    reader = spark.read.option("singleVariantColumn", "v")
-    if multiline:
-        reader = reader.option("multiLine", True)
-    df = reader.json(path)
-    if with_source:
-        df = df.select("v", F.col("_metadata.file_path").alias("source_file"))
-    return df
+    """Readable landed documents (pages, lookups or items), one VARIANT ``v``."""
+    docs = read_documents(spark, path, multiline).where(F.col("kind").isin("page", "lookup", "item"))
+    return docs.select("v", *(["source_file"] if with_source else []))
 
 
 def read_items(spark: SparkSession, path, multiline: bool = False,
                with_source: bool = False) -> DataFrame:
-    """A1: one registry item per row in column ``v`` (pages are exploded)."""
-    pages = read_pages(spark, path, multiline, with_source)
-    extra = ["source_file"] if with_source else []
-    return pages.select(_explode_pages(F.col("v")).alias("v"), *extra)
+    """A1: one registry item per row in column ``v`` (pages are exploded, a
+    lookup is its one record)."""
+    items = items_of(read_documents(spark, path, multiline))
+    return items if with_source else items.select("v")
 
 
-def items_from_text(df: DataFrame, text_col: str = "raw", keep=()) -> DataFrame:
-    """Parse JSON text (pages or items) into one item VARIANT per row.
-
-    Rows whose text does not parse get ``v`` = NULL; ``quarantine`` returns
-    them so they are reported, never silently dropped.
-    """
-    # Parse once: the NULL filter runs after the explode, so it cannot be
-    # pushed below the projection (which would parse every record twice).
-    parsed = df.select(F.try_parse_json(F.col(text_col)).alias("v"), *keep)
-    return (parsed.select(_explode_pages(F.col("v")).alias("v"), *keep)
-            .filter(F.col("v").isNotNull()))
+def read_rejects(spark: SparkSession, path, multiline: bool = False) -> DataFrame:
+    """``raw, reason, source_file`` of the landed documents ``read_items`` leaves out."""
+    return rejected_of(read_documents(spark, path, multiline))
 
 
-def quarantine(df: DataFrame, text_col: str = "raw") -> DataFrame:
-    """Input rows whose JSON text does not parse."""
-    return df.filter(F.col(text_col).isNotNull() & F.try_parse_json(F.col(text_col)).isNull())
+def items_from_text(df: DataFrame, text_col: str = "raw", keep=()) -> DataFrame:
+    """Parse a JSON text column (pages, lookups or items) into one item
+    VARIANT per row; ``quarantine`` returns the rows that hold none."""
+    # Parse once: the filter reads the parsed value, so it cannot be pushed
+    # below the projection (which would parse every record twice).
+    parsed = df.select(F.try_parse_json(F.col(text_col)).alias("v"), *keep).withColumn("kind", _kind(F.col("v")))
+    return items_of(parsed)
 
 
-def with_attributes(items: DataFrame, v: str = "v") -> DataFrame:
-    """Keep items that carry an ``attributes`` value."""
-    return items.filter(~is_missing(vget(v, "$.attributes")))
+def quarantine(df: DataFrame, text_col: str = "raw") -> DataFrame:
+    """Input rows whose JSON text does not parse or is an error answer."""
+    kind = _kind(F.try_parse_json(F.col(text_col)))
+    return df.filter(F.col(text_col).isNotNull() & kind.isin("malformed", "error"))
 
 
 def page_meta(pages: DataFrame, v: str = "v", keep=()) -> DataFrame:

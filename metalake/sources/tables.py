@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ..schema import CLIENT_COLUMNS, CLIENT_SCHEMA
 
@@ -19,11 +20,15 @@ def _csv(spark: SparkSession):
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path is there. Any other failure (no access, unknown file
+    system) is raised: taken for "empty", it would cost a catalogue its rows."""
     try:
         spark.read.format("binaryFile").load(path).select("path").limit(1).collect()
         return True
-    except Exception:
-        return False
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def read_client_ids(spark: SparkSession, path: str) -> DataFrame:
@@ -50,10 +55,14 @@ def read_catalog(spark: SparkSession, path: str | None) -> DataFrame:
 def read_sheet(spark: SparkSession, path: str) -> DataFrame:
     """An exported sheet CSV, all strings, NULL -> ``""``.
 
-    ``_line`` preserves file order (a multi-line CSV file is read by one
-    task, so the generated id follows the lines) for keep-first rules.
+    ``_line`` is the order for keep-first rules: a column of that name in the
+    sheet (a sheet written as several files carries one), else the order in
+    the file (a multi-line CSV file is read by one task, so the generated id
+    follows its lines).
     """
     df = _csv(spark).csv(path)
-    cols = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns]
+    cols = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns if c != "_line"]
+    if "_line" in df.columns:
+        return df.select(*cols, F.lit("").alias("_file"), F.col("_line").cast("long").alias("_line"))
     return df.select(*cols, F.col("_metadata.file_path").alias("_file"),
                      F.monotonically_increasing_id().alias("_line"))

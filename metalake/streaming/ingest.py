@@ -1,131 +1,112 @@
 """H1/H2: resumable incremental ingest and a continuously maintained
-"best row per key" snapshot, on Structured Streaming.
+"best row per key", on Structured Streaming.
 
 * H1 ``ingest_records``: the landing folder is a file stream; every
   micro-batch is exploded, flattened and appended to a Parquet table by the
   file sink. The checkpoint location records which files were consumed and
   which sink files were committed, so a restart continues where it stopped
   and never duplicates rows (the position bookkeeping of a page-cursor
-  harvester, done by the engine).
-* H2 ``maintain_best_rows_state`` (scales with the number of keys): a
-  streaming ``min_by`` aggregation keeps the best row per key in the state
-  store (RocksDB), and each batch appends only the keys it changed.
-* H2 ``maintain_best_rows`` (small snapshots): ``foreachBatch`` merges each batch into a
-  versioned snapshot: only the snapshot rows of keys present in the batch
-  are re-ranked with the batch (D1); the rest are carried over. A version is
-  written per batch id (overwrite = idempotent on replay) and registered in
-  a small version log after it committed.
+  harvester, done by the engine). Documents that cannot be read go to a
+  reject table by a second stream with a checkpoint of its own.
+* H2 ``maintain_best_rows``: a streaming ``min_by`` aggregation keeps the
+  best row per key in the state store (RocksDB), and each batch appends only
+  the keys it changed.
 """
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.utils import AnalysisException
 
-from ..operators.dedup import dedup_richest, richness, top1
+from ..operators.dedup import richness, tie_hash, top1
 from ..operators.flatten import flatten_items
-from ..sources.items import _explode_pages
+from ..sources.items import items_of, parsed_documents, rejected_of
 
 
-def record_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None,
-                  multiline: bool = False) -> DataFrame:
-    """Streaming items (``v``) from landed pages / NDJSON files."""
-    reader = spark.readStream.format("json").option("singleVariantColumn", "v")
+class _Totals(StreamingQueryListener):
+    """Batches and input rows of one query, counted event by event: a query's
+    own progress history keeps only its last entries."""
+
+    def __init__(self, name: str):
+        self.name, self.run, self.batches, self.rows = name, None, 0, 0
+        self.ended = threading.Event()
+
+    def onQueryStarted(self, event):
+        if event.name == self.name:
+            self.run = event.runId
+
+    def onQueryProgress(self, event):
+        if event.progress.runId == self.run:
+            self.batches += 1
+            self.rows += event.progress.numInputRows
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        if event.runId == self.run:
+            self.ended.set()
+
+
+def run_available(spark: SparkSession, writer, start) -> dict:
+    """Run a stream over everything available and return its totals."""
+    totals = _Totals(f"available-{threading.get_ident()}-{id(writer)}")
+    spark.streams.addListener(totals)
+    try:
+        start(writer.queryName(totals.name).trigger(availableNow=True)).awaitTermination()
+        totals.ended.wait(60)  # events arrive after the query itself has ended
+    finally:
+        spark.streams.removeListener(totals)
+    return {"batches": totals.batches, "rows": totals.rows}
+
+
+def document_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None,
+                    multiline: bool = False) -> DataFrame:
+    """Landed documents (``raw``, parsed ``v``, ``source_file``) as a stream."""
+    reader = spark.readStream.format("text")
     if multiline:
-        reader = reader.option("multiLine", True)
+        reader = reader.option("wholetext", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    pages = reader.load(landing_dir)
-    return pages.select(_explode_pages(F.col("v")).alias("v"))
+    return parsed_documents(reader.load(landing_dir))
+
+
+def record_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None,
+                  multiline: bool = False) -> DataFrame:
+    """Streaming items (``v``) from landed pages / NDJSON files."""
+    return items_of(document_stream(spark, landing_dir, max_files_per_trigger, multiline)).select("v")
 
 
 def ingest_records(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint_dir: str,
                    max_files_per_trigger: int | None = None, multiline: bool = False,
-                   max_rows_per_file: int = 100_000, partitions: int | None = None) -> dict:
+                   max_rows_per_file: int = 100_000, partitions: int | None = None,
+                   reject_dir: str | None = None) -> dict:
     """H1: flatten everything landed so far into ``out_dir`` and stop
     (``availableNow``); run again later to pick up only new files.
 
-    ``partitions`` round-robins each micro-batch's items before the flatten,
-    for landings of a few large gzip files (one task per file otherwise).
+    Malformed and error documents go to ``reject_dir`` (default:
+    ``<out_dir>_rejects``) with file and reason. ``partitions`` round-robins
+    each micro-batch's items before the flatten, for landings of a few large
+    gzip files (one task per file otherwise).
     """
     items = record_stream(spark, landing_dir, max_files_per_trigger, multiline)
     if partitions:
         items = items.repartition(partitions)
-    q = (flatten_items(items).writeStream.format("parquet")
-         .option("checkpointLocation", checkpoint_dir)
-         .option("maxRecordsPerFile", max_rows_per_file)
-         .outputMode("append").trigger(availableNow=True).start(out_dir))
-    q.awaitTermination()
-    progress = q.recentProgress
-    # Input rows of a file stream are landed documents (pages), not items.
-    return {"batches": len(progress),
-            "input_docs": int(sum(p.get("numInputRows", 0) for p in progress))}
-
-
-# ------------------------------------------------------------------ H2
-
-def _log_path(snapshot_dir: str) -> str:
-    return f"{snapshot_dir}/_versions_log"
-
-
-def latest_version(spark: SparkSession, snapshot_dir: str):
-    try:
-        log = spark.read.schema("batch_id long, path string").json(_log_path(snapshot_dir))
-    except Exception:
-        return None
-    row = log.orderBy(F.desc("batch_id")).limit(1).collect()
-    return row[0]["path"] if row else None
-
-
-def read_snapshot(spark: SparkSession, snapshot_dir: str) -> DataFrame:
-    path = latest_version(spark, snapshot_dir)
-    if path is None:
-        raise FileNotFoundError(f"no committed snapshot under {snapshot_dir}")
-    return spark.read.parquet(path)
-
-
-def merge_batch(spark: SparkSession, batch: DataFrame, snapshot_dir: str, batch_id: int,
-                key: str, rich, order, tie_break: str | None) -> None:
-    prev = latest_version(spark, snapshot_dir)
-    out = f"{snapshot_dir}/v={batch_id:012d}"
-    if prev is None:
-        merged = dedup_richest(batch, key, rich, order, tie_break=tie_break)
-    else:
-        old = spark.read.parquet(prev)
-        touched = batch.select(F.col(key).alias("_k")).distinct()
-        hit = old[key].eqNullSafe(touched["_k"])
-        old_touched = old.join(touched, hit, "left_semi")
-        old_rest = old.join(touched, hit, "left_anti")
-        best = dedup_richest(old_touched.unionByName(batch), key, rich, order, tie_break=tie_break)
-        merged = old_rest.unionByName(best)
-    merged.write.mode("overwrite").parquet(out)
-    spark.createDataFrame([(batch_id, out)], "batch_id long, path string") \
-        .coalesce(1).write.mode("append").json(_log_path(snapshot_dir))
-
-
-def maintain_best_rows(spark: SparkSession, stream: DataFrame, snapshot_dir: str,
-                       checkpoint_dir: str, key: str, rich, order,
-                       tie_break: str | None = None) -> dict:
-    """H2: process everything available, merging each micro-batch into the
-    snapshot; returns batch/row counts. Read the result with
-    ``read_snapshot``."""
-    def _fn(batch: DataFrame, batch_id: int) -> None:
-        # The batch is read three times (emptiness, touched keys, merge):
-        # keep it for the duration of this function only. Losing it to an
-        # executor failure just recomputes it from the source files.
-        batch = batch.persist()
-        try:
-            if not batch.isEmpty():
-                merge_batch(spark, batch, snapshot_dir, batch_id, key, rich, order, tie_break)
-        finally:
-            batch.unpersist()
-
-    q = (stream.writeStream.foreachBatch(_fn).option("checkpointLocation", checkpoint_dir)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    progress = q.recentProgress
-    return {"batches": len(progress),
-            "rows": int(sum(p.get("numInputRows", 0) for p in progress))}
+    writer = (flatten_items(items).writeStream.format("parquet")
+              .option("checkpointLocation", checkpoint_dir)
+              .option("maxRecordsPerFile", max_rows_per_file).outputMode("append"))
+    done = run_available(spark, writer, lambda w: w.start(out_dir))
+    reject_dir = reject_dir or f"{out_dir.rstrip('/')}_rejects"
+    bad = rejected_of(document_stream(spark, landing_dir, max_files_per_trigger, multiline))
+    run_available(spark, bad.writeStream.format("json").outputMode("append")
+                  .option("checkpointLocation", f"{checkpoint_dir.rstrip('/')}_rejects"),
+                  lambda w: w.start(reject_dir))
+    # Input rows of a text stream are landed documents (pages), not items.
+    return {"batches": done["batches"], "input_docs": done["rows"], "rejects": reject_dir}
 
 
 # ----------------------------------------------- H2 on the state store
@@ -137,9 +118,9 @@ def best_row_order(rich, order, tie_break: str | None = None, columns=None) -> C
     have = set(columns) if columns is not None else None
     ok = (lambda c: have is None or c in have)
     parts = [(-richness([c for c in rich if ok(c)])).alias("_score")]
-    seq = [c for c in order if ok(c)] + ([tie_break] if tie_break and ok(tie_break) else [])
+    seq = [F.col(c) for c in order if ok(c)] + ([tie_hash(tie_break)] if tie_break and ok(tie_break) else [])
     for i, c in enumerate(seq):
-        parts += [F.col(c).isNull().alias(f"_n{i}"), F.col(c).alias(f"_v{i}")]
+        parts += [c.isNull().alias(f"_n{i}"), c.alias(f"_v{i}")]
     return F.struct(*parts)
 
 
@@ -155,14 +136,14 @@ def best_row_updates(stream: DataFrame, key: str, rich, order,
     return best.select(key, "_best.*")
 
 
-def maintain_best_rows_state(spark: SparkSession, stream: DataFrame, log_dir: str,
-                             checkpoint_dir: str, key: str, rich, order,
-                             tie_break: str | None = None,
-                             state_partitions: int | None = None) -> dict:
+def maintain_best_rows(spark: SparkSession, stream: DataFrame, log_dir: str,
+                       checkpoint_dir: str, key: str, rich, order,
+                       tie_break: str | None = None,
+                       state_partitions: int | None = None) -> dict:
     """H2 with per-key state: every micro-batch's updated best rows are
-    written to ``log_dir/batch_id=N`` (dynamic partition overwrite, so a
-    replayed batch replaces its own output). ``read_best_rows`` returns the
-    latest row per key.
+    written to ``log_dir/batch_id=N``, and only that partition is replaced
+    when a batch is replayed, whatever the session's overwrite mode.
+    ``read_best_rows`` returns the latest row per key.
 
     ``state_partitions`` fixes the number of state-store partitions (each
     one is a RocksDB instance per micro-batch; AQE cannot coalesce them).
@@ -173,59 +154,57 @@ def maintain_best_rows_state(spark: SparkSession, stream: DataFrame, log_dir: st
 
     def _fn(batch: DataFrame, batch_id: int) -> None:
         (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").partitionBy("batch_id").parquet(log_dir))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(log_dir))
 
     previous = spark.conf.get("spark.sql.shuffle.partitions")
     if state_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     try:
-        q = (updates.writeStream.outputMode("update").foreachBatch(_fn)
-             .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
+        return run_available(spark, updates.writeStream.outputMode("update").foreachBatch(_fn)
+                             .option("checkpointLocation", checkpoint_dir), lambda w: w.start())
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", previous)
-    q.awaitTermination()
-    return {"batches": len(q.recentProgress)}
-
-
-def _compaction_log(log_dir: str) -> str:
-    return f"{log_dir}_compacted/_versions_log"
 
 
-def _latest_compaction(spark: SparkSession, log_dir: str):
+def _compacted(spark: SparkSession, log_dir: str) -> DataFrame | None:
+    """The compacted bases, one partition ``upto`` each. Only a folder that is
+    not there means that there are none; any other failure is raised."""
     try:
-        log = spark.read.schema("upto long, path string").json(_compaction_log(log_dir))
-    except Exception:
-        return None
-    row = log.orderBy(F.desc("upto")).limit(1).collect()
-    return (row[0]["upto"], row[0]["path"]) if row else None
+        return spark.read.parquet(f"{log_dir}_compacted")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
-def _best_with_batch(spark: SparkSession, log_dir: str, key: str) -> DataFrame:
+def _best_with_batch(spark: SparkSession, log_dir: str, key: str) -> tuple[DataFrame, int]:
     log = spark.read.parquet(log_dir)
-    last = _latest_compaction(spark, log_dir)
-    if last is not None:
-        upto, path = last
+    base, upto = _compacted(spark, log_dir), -1
+    if base is not None:
+        upto = base.agg(F.max("upto")).first()[0]
         # Only log partitions after the compaction are scanned (partition
-        # pruning on batch_id), so reads stay bounded by snapshot + recent.
-        log = spark.read.parquet(path).unionByName(log.filter(F.col("batch_id") > upto))
-    return top1(log, key, [F.col("batch_id").desc()])
+        # pruning on batch_id), so reads stay bounded by base + recent.
+        log = (base.where(F.col("upto") == upto).drop("upto")
+               .unionByName(log.filter(F.col("batch_id") > upto)))
+    return top1(log, key, [F.col("batch_id").desc()]), upto
 
 
 def read_best_rows(spark: SparkSession, log_dir: str, key: str) -> DataFrame:
     """Latest emitted row per key (each emission is the best so far), read
     from the newest compaction plus the updates logged after it."""
-    return _best_with_batch(spark, log_dir, key).drop("batch_id")
-
-
-def compact_best_rows(spark: SparkSession, log_dir: str, key: str) -> str | None:
-    """Write the current best rows as a compacted base (``upto`` = last
-    logged batch) and register it; later reads skip the older log."""
-    upto = spark.read.parquet(log_dir).agg(F.max("batch_id")).collect()[0][0]
-    if upto is None:
-        return None
-    path = f"{log_dir}_compacted/upto={int(upto):012d}"
-    _best_with_batch(spark, log_dir, key).filter(F.col("batch_id") <= upto) \
-        .write.mode("overwrite").parquet(path)
-    spark.createDataFrame([(int(upto), path)], "upto long, path string") \
-        .coalesce(1).write.mode("append").json(_compaction_log(log_dir))
-    return path
+    return _best_with_batch(spark, log_dir, key)[0].drop("batch_id")
+
+
+def compact_best_rows(spark: SparkSession, log_dir: str, key: str) -> int | None:
+    """Write the current best rows as a base of their own (partition
+    ``upto`` = last logged batch), which later reads start from. A base is
+    never overwritten: with no batch since the last one nothing happens."""
+    last = spark.read.parquet(log_dir).agg(F.max("batch_id")).first()[0]
+    best, upto = _best_with_batch(spark, log_dir, key)
+    if last is None or last <= upto:
+        return None if last is None else int(upto)
+    (best.filter(F.col("batch_id") <= last).withColumn("upto", F.lit(int(last)).cast("long"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("upto").parquet(f"{log_dir}_compacted"))
+    return int(last)

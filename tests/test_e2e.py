@@ -134,7 +134,7 @@ def test_yearly_growth_surge(spark):
 def test_scale_conf():
     from metalake.session import scale_conf
     big = scale_conf(30 * 10**12, 8000)
-    assert big["spark.sql.shuffle.partitions"] == "50000"
+    assert big["spark.sql.shuffle.partitions"] == str(-(-30 * 10**12 // (256 << 20)))
     small = scale_conf(10**6, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
     assert int(big["spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"]) == 4 * 256 * (1 << 20)

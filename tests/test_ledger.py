@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import base64
 import json
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
-from metalake.operators.ledger import (expected_vs_harvested, page_chain_problems, read_checkpoints,
+from metalake.operators.ledger import (decoded_cursor, expected_vs_harvested, page_chain_problems, read_checkpoints,
                                        run_ledger, signature_hash, signature_hash_col)
 
 # Golden samples: the filter objects of three real runs and the 12-hex hash
@@ -72,5 +73,17 @@ def test_expected_vs_harvested(spark):
 
 
 def test_cursor_decode_invalid_is_null(spark):
-    df = spark.createDataFrame([("!!not base64!!",)], "c string")
-    assert df.select(F.decode(F.try_to_binary("c", F.lit("base64")), "UTF-8")).collect()[0][0] is None
+    df = spark.createDataFrame([("!!not base64!!",), ("/////w==",), ("MTAsYQ==",), (None,)], "c string")
+    assert [r[0] for r in df.select(decoded_cursor(F.col("c"))).collect()] == [None, None, "10,a", None]
+
+
+def test_base64_cursors_are_ordered_by_their_number(spark):
+    def cur(n, doi):
+        return base64.b64encode(f"{n},{doi}".encode()).decode()
+    pages = spark.createDataFrame([
+        ("a", "1", cur(9, "10.1/z")), ("a", cur(9, "10.1/z"), cur(10, "10.1/a")), ("a", cur(10, "10.1/a"), None),
+        ("b", cur(10, "10.1/a"), cur(9, "10.1/z")), ("b", cur(9, "10.1/z"), None),
+        ("c", cur(5, "10.1/a"), cur(5, "10.1/b")), ("c", cur(5, "10.1/b"), cur(7, "10.1/x")),
+    ], "g string, cursor string, next_cursor string")
+    got = sorted((r["g"], r["problem"]) for r in page_chain_problems(pages, "g").collect())
+    assert got == [("b", "not_advancing"), ("c", "gap")]

@@ -15,8 +15,10 @@ spec = importlib.util.spec_from_file_location("spark_entry", os.path.join(ROOT,
 entry_mod = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(entry_mod)
 
-QUERIES = entry_mod.queries()
-SQL = entry_mod.oracle_sql()
+from metalake.registry import ORACLE as SQL  # noqa: E402
+from metalake.registry import QUERIES as BASE  # noqa: E402
+
+QUERIES = {name: fn for name, fn in entry_mod.queries().items() if name in BASE}
 
 
 @pytest.fixture(scope="module")

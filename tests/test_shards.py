@@ -62,6 +62,19 @@ def test_unify_and_report(spark, tmp_dir):
     bad = rep["chunk_00006.parquet"]
     assert not bad["readable"] and bad["error"] and bad["n_rows"] is None
     assert not any(r["repeated_name"] for r in rep.values())
+    assert sum(r["schema_equal"] for r in rep.values()) == 1  # five layouts, none of them common
+
+
+def test_misfits_are_counted_and_nested_values_kept(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "batches")
+    os.makedirs(d)
+    pd.DataFrame({"doi": ["a", "b"], "published_year": ["2020", "n.d."]}).to_parquet(f"{d}/chunk_00000.parquet")
+    pd.DataFrame({"doi": ["c"], "published_year": [2021], "publisher": [{"en": "P"}]}).to_parquet(f"{d}/chunk_00001.parquet")
+    shards = unify_shards(spark, shard_files(spark, d))
+    got = sorted(tuple(r) for r in shards.data.select("doi", "published_year", "publisher").collect())
+    assert got == [("a", 2020, None), ("b", None, None), ("c", 2021, '{"en":"P"}')]
+    bad = [(os.path.basename(r["path"]), r["column"], r["n_rejected"]) for r in shards.rejects.collect()]
+    assert bad == [("chunk_00000.parquet", "published_year", 1)]
 
 
 def test_merge_plan_dedups(spark, tmp_dir):

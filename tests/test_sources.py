@@ -53,6 +53,43 @@ def test_catalog_csv_roundtrip(spark, tmp_dir):
     assert all(back["c.d"][c] == "" for c in CLIENT_COLUMNS if c != "id")
 
 
+def test_unreachable_catalog_is_an_error(spark):
+    with pytest.raises(Exception, match="nofs"):
+        read_catalog(spark, "nofs://bucket/catalog.csv").count()
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_catalog_is_extended_in_place(spark, tmp_dir, adaptive):
+    from metalake.plans import enrich_catalog
+    schema = ", ".join(f"`{c}` string" for c in CLIENT_COLUMNS)
+    path = os.path.join(tmp_dir, "catalog.csv")
+    write_catalog(spark.createDataFrame([tuple(["a", "clients", "A"] + [""] * 17)], schema), path)
+    records = spark.createDataFrame([tuple(["b", "clients", "B"] + [""] * 17)], schema)
+    rows = spark.createDataFrame([("a",), ("b",), ("c",)], "client_id string")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        for _ in range(2):  # a repeated run changes nothing
+            write_catalog(enrich_catalog(rows, read_catalog(spark, path), records), path)
+            assert {r["id"]: r["name"] for r in read_catalog(spark, path).collect()} == {"a": "A", "b": "B", "c": ""}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sorted(os.listdir(tmp_dir)) == ["catalog.csv"]
+
+
+def test_newest_folder_is_enriched_and_labelled(spark, tmp_dir):
+    from metalake.plans import enrich_folder
+    schema = ", ".join(f"`{c}` string" for c in CLIENT_COLUMNS)
+    for n, client in ((1, "old.one"), (2, "b.two")):
+        spark.createDataFrame([("10.1/x", client)], "doi string, client_id string").write.parquet(
+            os.path.join(tmp_dir, f"merged_2024010{n}_000000.parquet"))
+        time.sleep(1.1)
+    records = spark.createDataFrame([tuple(["b.two", "clients", "Two"] + [""] * 17)], schema)
+    done = enrich_folder(spark, tmp_dir, "merged_", os.path.join(tmp_dir, "catalog.csv"), records)
+    assert done["labelled_path"].endswith("merged_20240102_000000_labeled.parquet")
+    assert spark.read.parquet(done["labelled_path"]).first()["server_name"] == "Two"
+    assert [r["id"] for r in read_catalog(spark, os.path.join(tmp_dir, "catalog.csv")).collect()] == ["b.two"]
+
+
 def test_missing_catalog_is_empty(spark, tmp_dir):
     cat = read_catalog(spark, os.path.join(tmp_dir, "nope.csv"))
     assert cat.columns == CLIENT_COLUMNS and cat.count() == 0

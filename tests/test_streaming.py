@@ -7,7 +7,7 @@ import json
 import os
 
 from metalake.operators.dedup import dedup_richest
-from metalake.streaming import ingest_records, maintain_best_rows, read_snapshot
+from metalake.streaming import compact_best_rows, ingest_records, maintain_best_rows, read_best_rows
 
 
 def _page(dois, registered):
@@ -36,29 +36,56 @@ def test_ingest_resumes_without_duplicates(spark, tmp_dir):
     assert spark.read.parquet(out).count() == 4
 
 
-def test_best_rows_equal_batch_result(spark, tmp_dir):
+def test_totals_go_beyond_the_progress_history(spark, tmp_dir):
+    """More batches than the query's own history keeps are still all counted."""
     land = os.path.join(tmp_dir, "landing")
     os.makedirs(land)
-    rows = [("k1", None, "2021"), ("k1", "p", "2022"), ("k2", "p", "2020"), ("k1", "p", "2019"),
-            ("k2", None, "2018"), (None, None, "2017"), (None, "p", "2016"), ("k3", "p", "2015")]
-    for i in range(0, len(rows), 3):
-        with open(os.path.join(land, f"part_{i:03d}.json"), "w") as fh:
-            for k, p, r in rows[i:i + 3]:
-                fh.write(json.dumps({"doi": k, "provider_id": p, "registered": r}) + "\n")
-    schema = "doi string, provider_id string, registered string"
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(land)
-    res = maintain_best_rows(spark, stream, os.path.join(tmp_dir, "snap"), os.path.join(tmp_dir, "ck"),
-                             key="doi", rich=("provider_id",), order=("registered",))
-    assert res["batches"] >= 3
-    snap = sorted(map(tuple, read_snapshot(spark, os.path.join(tmp_dir, "snap"))
-                      .select("doi", "provider_id", "registered").collect()), key=repr)
-    batch = dedup_richest(spark.createDataFrame(rows, schema), rich=("provider_id",),
-                          order=("registered",), tie_break=None)
-    assert snap == sorted(map(tuple, batch.collect()), key=repr)
+    for i in range(6):
+        with open(os.path.join(land, f"p{i}.json"), "w") as fh:
+            fh.write(json.dumps(_page([f"10.1/{i}"], ["2020-01-01"])) + "\n")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        done = ingest_records(spark, land, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"),
+                              max_files_per_trigger=1)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert done["input_docs"] == 6 and done["batches"] >= 6
+
+
+def test_rejects_of_a_stream(spark, tmp_dir):
+    land, out = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "out")
+    os.makedirs(land)
+    with open(os.path.join(land, "p.json"), "w") as fh:
+        fh.write(json.dumps(_page(["10.1/a"], ["2020-01-01"])) + "\n{broken\n\n")
+        fh.write(json.dumps({"errors": [{"status": "404"}]}) + "\n" + json.dumps({"data": {"attributes": {"doi": "10.1/b"}}}) + "\n")
+    done = ingest_records(spark, land, out, os.path.join(tmp_dir, "ck"))
+    assert sorted(r[0] for r in spark.read.parquet(out).select("doi").collect()) == ["10.1/a", "10.1/b"]
+    bad = spark.read.json(done["rejects"]).collect()
+    assert sorted((r["reason"], r["raw"][:7]) for r in bad) == [("error", '{"error'), ("malformed", "{broken")]
+    assert all(r["source_file"].endswith("p.json") for r in bad)
+
+
+def test_static_overwrite_mode_loses_no_batch(spark, tmp_dir):
+    land, log = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "log")
+    os.makedirs(land)
+    for i in range(3):
+        with open(os.path.join(land, f"{i}.json"), "w") as fh:
+            fh.write(json.dumps({"doi": f"k{i}", "provider_id": "p", "registered": "2020"}) + "\n")
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        stream = (spark.readStream.schema("doi string, provider_id string, registered string")
+                  .option("maxFilesPerTrigger", 1).json(land))
+        done = maintain_best_rows(spark, stream, log, os.path.join(tmp_dir, "ck"), key="doi", rich=("provider_id",),
+                                  order=("registered",))
+        assert done["rows"] == 3 and read_best_rows(spark, log, "doi").count() == 3
+        assert compact_best_rows(spark, log, "doi") == compact_best_rows(spark, log, "doi")
+        assert read_best_rows(spark, log, "doi").count() == 3
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
 
 
 def test_state_store_best_rows_equal_batch_result(spark, tmp_dir):
-    from metalake.streaming import maintain_best_rows_state, read_best_rows
     land = os.path.join(tmp_dir, "landing")
     os.makedirs(land)
     rows = [("k1", None, "2021"), ("k1", "p", "2022"), ("k2", "p", "2020"), ("k1", "p", "2019"),
@@ -71,7 +98,7 @@ def test_state_store_best_rows_equal_batch_result(spark, tmp_dir):
     schema = "doi string, provider_id string, registered string"
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(land)
     log = os.path.join(tmp_dir, "log")
-    res = maintain_best_rows_state(spark, stream, log, os.path.join(tmp_dir, "ck"), key="doi",
+    res = maintain_best_rows(spark, stream, log, os.path.join(tmp_dir, "ck"), key="doi",
                                    rich=("provider_id",), order=("registered",))
     assert res["batches"] >= 4
     got = sorted(map(tuple, read_best_rows(spark, log, "doi")
@@ -81,11 +108,10 @@ def test_state_store_best_rows_equal_batch_result(spark, tmp_dir):
     want = sorted(map(tuple, batch.collect()), key=repr)
     assert got == want
     # compaction keeps the answer; later batches are read on top of it
-    from metalake.streaming import compact_best_rows
     assert compact_best_rows(spark, log, "doi") is not None
     with open(os.path.join(land, "part_999.json"), "w") as fh:
         fh.write(json.dumps({"doi": "k3", "provider_id": "p", "registered": "2030"}) + "\n")
-    maintain_best_rows_state(spark, spark.readStream.schema(schema).json(land), log,
+    maintain_best_rows(spark, spark.readStream.schema(schema).json(land), log,
                              os.path.join(tmp_dir, "ck"), key="doi", rich=("provider_id",),
                              order=("registered",))
     after = {r["doi"]: (r["provider_id"], r["registered"]) for r in read_best_rows(spark, log, "doi").collect()}
