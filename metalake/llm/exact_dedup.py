@@ -142,7 +142,7 @@ def _groups(rows: DataFrame, *by: str) -> DataFrame:
 
 # --- snapshot and screening ---------------------------------------------------
 
-def shards_for(n: int, keys_per_shard: int = 100_000) -> int:
+def shards_for(n: int, keys_per_shard: int = 16_384) -> int:
     return max(1, -(-n // keys_per_shard))
 
 
@@ -180,7 +180,7 @@ def screen(incoming: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
 
 # --- the operator -------------------------------------------------------------
 
-def exact_dedup(docs: DataFrame, digest_bytes: int = 32, keys_per_shard: int = 100_000) -> DataFrame:
+def exact_dedup(docs: DataFrame, digest_bytes: int = 32, keys_per_shard: int = 16_384) -> DataFrame:
     """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``.
 
     Texts are equal when identical after lower-casing A-Z; null equals empty.
