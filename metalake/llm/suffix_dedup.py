@@ -272,8 +272,11 @@ def remove_repeats(docs: DataFrame, width: int = 400, gram: int = 200, piece_row
     found = materialise(stretches(base, width, gram), "suffix-stretches")
 
     # 1. screening: anchors seen more than once, and whether their stretches differ
-    often = (found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("bytes").alias("a"), F.max("bytes").alias("b"))
-             .where("n > 1").select("anchor", (F.col("a") != F.col("b")).alias("mixed")))
+    # (counts are written before they are joined: both sides of the join are
+    # then plain shuffles, and Spark can split an anchor that holds many rows)
+    often = materialise(found.groupBy("anchor")
+                        .agg(F.count(F.lit(1)).alias("n"), F.min("bytes").alias("a"), F.max("bytes").alias("b"))
+                        .where("n > 1").select("anchor", (F.col("a") != F.col("b")).alias("mixed")), "suffix-often")
     suspects = materialise(found.join(often, "anchor"), "suffix-suspects")
     where = F.struct("doc_id", "tid", "lo", "hi", "at")
     kinds = materialise(suspects.where("mixed").groupBy("anchor", "bytes")
@@ -281,7 +284,8 @@ def remove_repeats(docs: DataFrame, width: int = 400, gram: int = 200, piece_row
     equal = suspects.join(kinds.where("n > 1").select("anchor", "bytes"), ["anchor", "bytes"], "left_semi")
     whole = (suspects.where("NOT mixed").unionByName(equal)
              .select("doc_id", "tid", F.col("lo").alias("start"), (F.col("hi") + width).alias("stop")))
-    sizes = kinds.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / piece_rows).alias("pieces"))
+    sizes = materialise(kinds.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / piece_rows).alias("pieces")),
+                        "suffix-sizes")
     shown = (kinds.join(sizes, "anchor")
              .select("one.*", "anchor", (F.col("n") > 1).alias("settled"), "pieces",
                      F.pmod(F.xxhash64("bytes", F.lit(9)), F.col("pieces")).alias("piece")))
