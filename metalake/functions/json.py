@@ -56,9 +56,14 @@ def _to_json(x: Column) -> Column:
     return _python_escapes(F.to_json(x))
 
 
+def _at(v, path: str) -> Column:
+    """The value at ``path``; a value already looked up (``$``) is taken as it is."""
+    return col_(v) if path == "$" else vget(v, path)
+
+
 def canon(v, path: str = "$") -> Column:
     """Canonical JSON text of the value at ``path``; NULL if absent or null."""
-    x = vget(v, path)
+    x = _at(v, path)
     return F.when(is_missing(x), F.lit(None).cast("string")).otherwise(_to_json(x))
 
 
@@ -68,7 +73,7 @@ def canon_or(v, path: str, default: str) -> Column:
     Mirrors ``json(value or default)``: absent, null, ``""``, ``[]``, ``{}``,
     ``false`` and ``0`` all give the default.
     """
-    x = vget(v, path)
+    x = _at(v, path)
     text = _to_json(x)
     return F.when(is_missing(x) | text.isin(_FALSY_JSON), F.lit(default)).otherwise(text)
 

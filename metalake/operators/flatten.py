@@ -51,9 +51,13 @@ def _extracted(v: str) -> list[Column]:
     return cols
 
 
-def _derived() -> list[Column]:
-    """Step 2: the 38 output columns from the step-1 columns."""
+def _derived(render: bool = True) -> list[Column]:
+    """Step 2: the 38 output columns from the step-1 columns. Without
+    ``render`` no JSON or title text is made: such a column is ``""`` where it
+    would hold a text and NULL where it would be NULL."""
     c = F.col
+    js, js_or, decoded = (canon, canon_or, html_unescape) if render else (
+        lambda x, _: F.when(~is_missing(c(x)), ""), lambda *_: F.lit(""), lambda x: x)
     client_id = first_truthy("_rel_client", "_s_clientId")
     out = {
         "doi": c("_s_doi"), "url": c("_s_url"), "publisher": c("_s_publisher"),
@@ -64,29 +68,30 @@ def _derived() -> list[Column]:
         "provider_id": infer_provider("_rel_provider", "_s_providerId", client_id),
         "resource_type": c("resource_type"),
         "resource_type_general": c("resource_type_general"),
-        "types_json": canon_or("_x_types", "$", "{}"),
-        "title": html_unescape(F.when(c("_t0_is_object"), c("_t0_title")).otherwise(c("_t0_text"))),
-        "titles_json": canon_or("_x_titles", "$", "[]"),
+        "types_json": js_or("_x_types", "$", "{}"),
+        "title": decoded(F.when(c("_t0_is_object"), c("_t0_title")).otherwise(c("_t0_text"))),
+        "titles_json": js_or("_x_titles", "$", "[]"),
         "published": c("_s_published"),
         "published_year": c("published_year"),
-        "raw_attributes_json": canon("_x_attributes", "$"),
-        "raw_relationships_json": canon_or("_x_relationships", "$", "{}"),
+        "raw_attributes_json": js("_x_attributes", "$"),
+        "raw_relationships_json": js_or("_x_relationships", "$", "{}"),
     }
     for d in ("created", "registered", "updated"):
         out[d] = F.when(c(f"_is_str_{d}"), norm_date(c(f"_s_{d}")))
     for name, _ in JSON_ATTRIBUTE_COLUMNS:
-        out[name] = canon(f"_x_{name}", "$")
+        out[name] = js(f"_x_{name}", "$")
     return [out[col].alias(col) for col in WIDE_COLUMNS]
 
 
-def flatten_items(items: DataFrame, v: str = "v", keep=(), drop_without_attributes: bool = True
-                  ) -> DataFrame:
+def flatten_items(items: DataFrame, v: str = "v", keep=(), drop_without_attributes: bool = True,
+                  render: bool = True) -> DataFrame:
     """C1 (+B7): one wide row per item; items without ``attributes`` are
-    dropped. ``keep`` passes extra input columns through."""
+    dropped. ``keep`` passes extra input columns through. ``render=False``
+    serves counts of missing values (F7): texts are left empty."""
     if drop_without_attributes:
         items = items.filter(~is_missing(vget(v, "$.attributes")))
     keep = list(keep)
-    return items.select(*_extracted(v), *keep).select(*_derived(), *keep)
+    return items.select(*_extracted(v), *keep).select(*_derived(render), *keep)
 
 
 _CLIENT_PATHS = {

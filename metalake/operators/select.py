@@ -59,18 +59,20 @@ def by_type(df: DataFrame, mode: str = "canonical", type_id: str = "Preprint",
     return df.withColumn("_times", F.explode(F.array_repeat(F.lit(0), times))).drop("_times")
 
 
-def by_date_range(df: DataFrame, field: str = "registered", start: str | None = None,
-                  end: str | None = None) -> DataFrame:
-    """Inclusive range on a date field; ``end`` defaults to today; rows
-    with a NULL date drop out."""
+def in_range(field: str, start: str | None = None, end: str | None = None) -> Column:
+    """B5 as a condition: the field's date lies in the inclusive range; ``end``
+    defaults to today; a NULL date lies in none."""
     if field not in DATE_FIELDS:
         raise ValueError(f"date field must be one of {DATE_FIELDS}")
-    end = end or date.today().isoformat()
     d = F.substring(F.col(field), 1, 10)
-    cond = d <= F.lit(str(end))
-    if start:
-        cond = cond & (d >= F.lit(str(start)))
-    return df.filter(cond)
+    cond = d <= F.lit(str(end or date.today().isoformat()))
+    return cond & (d >= F.lit(str(start))) if start else cond
+
+
+def by_date_range(df: DataFrame, field: str = "registered", start: str | None = None,
+                  end: str | None = None) -> DataFrame:
+    """Rows whose date lies in the inclusive range (``in_range``)."""
+    return df.filter(in_range(field, start, end))
 
 
 def by_clients(df: DataFrame, client_ids, column: str = "client_id") -> DataFrame:
