@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import arrow_rows, held_out, prepare
 
@@ -193,7 +194,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, columns: bool = False, **
         names = ["row", "predicted"]
         rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                            F.col("text").cast("string").alias("text"))
-        return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, predicted int")
+        return rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField("predicted", T.IntegerType())]))
     names = ["doc_id", "held_out", "score", "predicted"]
     return (base.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "text")
             .mapInArrow(run, _SCHEMA))

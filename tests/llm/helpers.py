@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import duckdb
 
-DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, `grp` string, digest string, fp long"
+DOC_SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, `grp` string, `row.id, x` string, "
+              "fp long")
 
 LONG = " ".join(f"w{i % 997}x{i}" for i in range(30_000))
 AWKWARD = [
