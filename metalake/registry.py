@@ -931,5 +931,22 @@ def q51_release_gates(spark, sf_dir):
     return dup.unionByName(share)
 
 
+@query("q57_canonical_json_of_texts", """
+SELECT doc_id, '{"a":' || CAST(n_chars // 4 AS VARCHAR) ||
+       CASE n_chars % 4 WHEN 0 THEN '' WHEN 1 THEN '.25' WHEN 2 THEN '.5' ELSE '.75' END ||
+       ',"b":["back\\\\slash","tab\\t","quo\\"te"],"z":' || CAST(to_json(text) AS VARCHAR) ||
+       ',"é\\"k":null}' AS canonical FROM documents""")
+def q57_canonical_json_of_texts(spark, sf_dir):
+    """Whole document texts, decimals with needless zeros, escapes and keys out of order."""
+    n = F.col("n_chars")
+    number = F.concat((n / 4).cast("bigint").cast("string"), F.element_at(
+        F.array(*[F.lit(x) for x in (".00", ".25", ".50", ".75")]), (n % 4 + 1).cast("int")))
+    text = F.to_json(F.struct(F.col("text").alias("t")))
+    raw = F.concat(F.lit('{"\u00e9\\"k": null, "z": '), F.expr("substr(t, 6, length(t) - 6)"),
+                   F.lit(', "b": ["back\\\\slash", "tab\\t", "quo\\"te"], "a": '), number, F.lit("}"))
+    docs = table(spark, sf_dir, "documents").withColumn("t", text)
+    return docs.select("doc_id", canon(F.try_parse_json(raw), "$").alias("canonical"))
+
+
 QUERIES = Q
 ORACLE = SQL
