@@ -83,17 +83,6 @@ def duplicate_stats(df: DataFrame, key: str = "doi") -> DataFrame:
     ).withColumn("dup_rate", F.when(F.col("n_rows") > 0, F.col("n_duplicates") / F.col("n_rows")))
 
 
-def rows_per_file(df: DataFrame, listing: DataFrame | None = None) -> DataFrame:
-    """rows per input file; with a file listing, files without rows
-    appear with 0 (a group-by alone would drop them)."""
-    counts = (df.select(F.col("_metadata.file_path").alias("path"))
-              .groupBy("path").agg(F.count(F.lit(1)).alias("n_rows")))
-    if listing is None:
-        return counts
-    return (listing.select("path").join(counts, "path", "left")
-            .withColumn("n_rows", F.coalesce(F.col("n_rows"), F.lit(0)).cast("bigint")))
-
-
 def union_all(frames) -> DataFrame:
     """UNION ALL by column name; columns missing on one side are NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), list(frames))

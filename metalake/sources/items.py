@@ -36,19 +36,28 @@ def parsed_documents(lines: DataFrame, text_col: str = "value", source: bool = T
     return parsed.where(~F.col("raw").rlike(r"^\s*$")).withColumn("kind", _kind(F.col("v")))
 
 
+def _only(documents: DataFrame, kinds: tuple, made: Column, name: str, keep: list[str]) -> DataFrame:
+    """``made`` (an array) of the documents of some kinds, one row per element.
+    Other documents give an empty array: a filter on the kind would be pushed
+    below the parse and repeat it."""
+    empty = F.slice(made, 1, 0)
+    return documents.select(F.explode(F.when(F.col("kind").isin(*kinds), made).otherwise(empty)).alias(name), *keep)
+
+
 def items_of(documents: DataFrame) -> DataFrame:
     """One item per row (``v``) of readable documents, with their other columns."""
     v, kind = F.col("v"), F.col("kind")
-    found = (F.when(kind == "page", F.try_variant_get(v, "$.data", "array<variant>"))
-             .when(kind == "lookup", F.array(F.try_variant_get(v, "$.data", "variant"))).otherwise(F.array(v)))
+    found = (F.when(kind == "item", F.array(v)).when(kind == "page", F.try_variant_get(v, "$.data", "array<variant>"))
+             .when(kind == "lookup", F.array(F.try_variant_get(v, "$.data", "variant"))))
     keep = [c for c in documents.columns if c not in ("v", "raw", "kind")]
-    return documents.where(kind.isin("page", "lookup", "item")).select(F.explode(found).alias("v"), *keep)
+    return documents.select(F.explode(found).alias("v"), *keep)  # NULL (a reject) gives no row
 
 
 def rejected_of(documents: DataFrame) -> DataFrame:
     """Documents that hold no item: whole text, reason and other columns."""
     keep = [c for c in documents.columns if c not in ("v", "raw", "kind")]
-    return documents.where(F.col("kind").isin("malformed", "error")).select("raw", F.col("kind").alias("reason"), *keep)
+    row = F.array(F.struct("raw", F.col("kind").alias("reason")))
+    return _only(documents, ("malformed", "error"), row, "x", keep).select("x.raw", "x.reason", *keep)
 
 
 def read_documents(spark: SparkSession, path, multiline: bool = False) -> DataFrame:
@@ -59,8 +68,8 @@ def read_documents(spark: SparkSession, path, multiline: bool = False) -> DataFr
 def read_pages(spark: SparkSession, path, multiline: bool = False,
                with_source: bool = False) -> DataFrame:
     """Readable landed documents (pages, lookups or items), one VARIANT ``v``."""
-    docs = read_documents(spark, path, multiline).where(F.col("kind").isin("page", "lookup", "item"))
-    return docs.select("v", *(["source_file"] if with_source else []))
+    return _only(read_documents(spark, path, multiline), ("page", "lookup", "item"), F.array(F.col("v")), "v",
+                 ["source_file"] if with_source else [])
 
 
 def read_items(spark: SparkSession, path, multiline: bool = False,
