@@ -10,7 +10,8 @@ lies in the visited leaves.
 
 Leaves are cut into blocks of bounded size, and so are the queries that visit
 a leaf; each task scores one block of vectors against one block of queries
-and passes on the best of each query.
+and passes on the best of each query: after a few leaves only what reaches the
+score that the query's best already have.
 """
 
 from __future__ import annotations
@@ -202,7 +203,7 @@ def _spread(salt: Column, blocks: Column) -> Column:
 
 def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, per_leaf: int = 256,
                        sample: int = 32_768, calibration: int = 128, recall: float = 0.97,
-                       block: int = 4096) -> DataFrame:
+                       block: int = 4096, first: int = 8) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest of each query by
     inner product, ties to the smaller id.
 
@@ -256,19 +257,8 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, per_le
                                              names=["vec_id", "embedding", "leaves"])
 
     asked = (queries.mapInArrow(walk, "vec_id long, embedding array<double>, leaves array<long>")
-             .select(F.col("vec_id").alias("query_id"), "embedding", F.explode("leaves").alias("leaf")))
+             .select(F.col("vec_id").alias("query_id"), "embedding", F.posexplode("leaves").alias("visit", "leaf")))
     asked = materialise(asked, "ann-visits")
-    # blocks of a leaf's vectors and of its queries: one row per leaf of a tree of bounded size
-    counts = (indexed.groupBy("leaf").count().withColumnRenamed("count", "held")
-              .join(asked.groupBy("leaf").count().withColumnRenamed("count", "visited"), "leaf")
-              .select("leaf", F.ceil(F.col("held") / block).alias("vs"), F.ceil(F.col("visited") / block).alias("qs")))
-    counts = F.broadcast(counts)
-    left = (asked.join(counts, "leaf").withColumn("q", _spread(F.col("query_id"), F.col("qs")))
-            .select("leaf", F.explode(F.sequence(F.lit(0), F.col("vs") - 1)).alias("v"), "q", "query_id", "embedding"))
-    right = (indexed.withColumn("nth", F.monotonically_increasing_id()).join(counts, "leaf")
-             .withColumn("v", _spread(F.col("nth"), F.col("vs")))
-             .select("leaf", "v", F.explode(F.sequence(F.lit(0), F.col("qs") - 1)).alias("q"), "vec_id", "embedding"))
-
     def score(key: tuple[pa.Scalar, ...], asks: pa.Table, held: pa.Table) -> pa.Table:
         cols: list[list] = [[], [], []]
         if asks.num_rows and held.num_rows:
@@ -279,7 +269,10 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, per_le
             ids = np.array([last if i is None else i for i in raw])
             for at in range(0, len(qs), 256):
                 rough = qs[at:at + 256] @ x.T
+                floors = asks["floor"][at:at + 256].to_pylist()
                 for j, own in enumerate(asks["query_id"][at:at + 256].to_pylist()):
+                    if floors[j] is not None:  # what cannot enter the query's best is not passed on
+                        rough[j][rough[j] < floors[j] - 1e-9 * max(1.0, abs(floors[j]))] = -np.inf
                     got, value = _top(ids, x, qs[at + j], own, rough[j], k)
                     cols[0] += [own] * len(got)
                     cols[1] += [None if i == last else i for i in got.tolist()]
@@ -287,6 +280,27 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, per_le
         return pa.table({"query_id": pa.array(cols[0], pa.int64()), "vec_id": pa.array(cols[1], pa.int64()),
                          "score": pa.array(cols[2], pa.float64())})
 
-    by = ["leaf", "v", "q"]
-    found = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(score, "query_id long, vec_id long, score double")
-    return _best_of(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    def visit(some: DataFrame) -> DataFrame:
+        """The best of each query and block over some visits (``floor``: the
+        score that a query's best already reach). Leaves and queries come in
+        blocks; their counts are one row per leaf of a tree of bounded size."""
+        counts = F.broadcast(
+            indexed.groupBy("leaf").count().withColumnRenamed("count", "held")
+            .join(some.groupBy("leaf").count().withColumnRenamed("count", "visited"), "leaf")
+            .select("leaf", F.ceil(F.col("held") / block).alias("vs"), F.ceil(F.col("visited") / block).alias("qs")))
+        left = (some.join(counts, "leaf").withColumn("q", _spread(F.col("query_id"), F.col("qs")))
+                .select("leaf", F.explode(F.sequence(F.lit(0), F.col("vs") - 1)).alias("v"), "q", "query_id", "embedding", "floor"))
+        right = (indexed.withColumn("nth", F.monotonically_increasing_id()).join(counts, "leaf")
+                 .withColumn("v", _spread(F.col("nth"), F.col("vs")))
+                 .select("leaf", "v", F.explode(F.sequence(F.lit(0), F.col("qs") - 1)).alias("q"), "vec_id", "embedding"))
+        by = ["leaf", "v", "q"]
+        return (left.groupBy(*by).cogroup(right.groupBy(*by))
+                .applyInArrow(score, "query_id long, vec_id long, score double"))
+
+    # The first few visits give each query a floor; later leaves pass on only what reaches it.
+    near = materialise(_best_of(visit(asked.where(F.col("visit") < first).withColumn("floor", F.lit(None).cast("double"))), k)
+                       .drop("rank"), "ann-near")
+    floors = (near.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("low"))
+              .select("query_id", F.when(F.col("n") >= k, F.col("low")).alias("floor")))
+    far = visit(asked.where(F.col("visit") >= first).join(floors, "query_id", "left"))
+    return _best_of(near.unionByName(far), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
