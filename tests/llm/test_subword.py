@@ -30,6 +30,14 @@ def test_decodes_to_itself(text, key):
     assert DROPPED.decode(DROPPED.encode(text, key)) == text
 
 
+@settings(max_examples=150, deadline=None)
+@given(ANY, st.integers(0, 3))
+def test_list_and_heap_agendas_merge_alike(text, key):
+    symbols = [SPACE if c == " " else None if c == SPACE else c for c in text]
+    for codec in (PLAIN, DROPPED):
+        assert codec._short(list(symbols), key) == codec._long(list(symbols), key)
+
+
 def test_every_piece_of_a_segmentation_is_reachable_by_merges():
     ids = DROPPED.encode("the internationalisation of the internationalisation", 1)
     names = {i: p for p, i in DROPPED.pieces.items()}
