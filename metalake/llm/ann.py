@@ -203,7 +203,7 @@ def _spread(salt: Column, blocks: Column) -> Column:
 
 def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, per_leaf: int = 256,
                        sample: int = 32_768, calibration: int = 128, recall: float = 0.97,
-                       block: int = 4096, first: int = 8) -> DataFrame:
+                       block: int = 4096, first: int = 2, widen: int = 4) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest of each query by
     inner product, ties to the smaller id.
 
@@ -297,10 +297,17 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, per_le
         return (left.groupBy(*by).cogroup(right.groupBy(*by))
                 .applyInArrow(score, "query_id long, vec_id long, score double"))
 
-    # The first few visits give each query a floor; later leaves pass on only what reaches it.
-    near = materialise(_best_of(visit(asked.where(F.col("visit") < first).withColumn("floor", F.lit(None).cast("double"))), k)
-                       .drop("rank"), "ann-near")
-    floors = (near.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("low"))
-              .select("query_id", F.when(F.col("n") >= k, F.col("low")).alias("floor")))
-    far = visit(asked.where(F.col("visit") >= first).join(floors, "query_id", "left"))
-    return _best_of(near.unionByName(far), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    # Visits widen by a factor; after each round a query's best set the floor
+    # that candidates of further leaves have to reach to be passed on.
+    best, low, high = None, 0, first
+    while low < visits:
+        some = asked.where((F.col("visit") >= low) & (F.col("visit") < high))
+        if best is None:
+            some = some.withColumn("floor", F.lit(None).cast("double"))
+        else:
+            some = some.join(best.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("worst"))
+                             .select("query_id", F.when(F.col("n") >= k, F.col("worst")).alias("floor")), "query_id", "left")
+        found = visit(some)
+        best = materialise(_best_of(found if best is None else best.unionByName(found), k).drop("rank"), "ann-best")
+        low, high = high, high * widen
+    return _best_of(best, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
