@@ -31,6 +31,8 @@ from .common import arrow_rows, prepare
 
 SPACE = "▁"
 _MASK = (1 << 64) - 1
+# Odd multipliers of 64-bit multiply-shift mixing.
+_PLACE, _MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _NEVER = float("inf")
 _STRETCH = re.compile(r" *[^ ]+| +")
 
@@ -58,8 +60,7 @@ class Codec:
                 self.pieces[name] = i
                 self.raw.append(name.replace(SPACE, " ").encode())
         self.limit = int(dropout * (1 << 64))
-        # keyed hashing by tables: a random number for each place and each piece
-        self.of_place = [xxhash.xxh64_intdigest(f"place {i}", seed) for i in range(4096)]
+        # keyed hashing: a random number for each piece, mixed with key and place in _skips
         self.of_piece = [xxhash.xxh64_intdigest(f"piece {i}", seed) for i in range(len(self.raw))]
         self.wide = [i.to_bytes(4, "little") for i in range(len(self.raw))]
         self.seed, self.variants, self.room = seed, variants if dropout else 1, room
@@ -84,14 +85,17 @@ class Codec:
 
     def _skips(self, key: int, place: int, piece: int) -> bool:
         """Whether the candidate for ``piece`` at the character ``place`` is dropped."""
-        return key ^ self.of_place[place & 4095] ^ self.of_piece[piece] ^ place >> 12 < self.limit
+        # Mixed after combining: a bare XOR would tie the candidates of one key to each other.
+        h = (key ^ place * _PLACE ^ self.of_piece[piece]) & _MASK
+        h = (h ^ h >> 32) * _MIX & _MASK
+        h = (h ^ h >> 29) * _MIX & _MASK
+        return h ^ h >> 32 < self.limit
 
     def _short(self, symbols: list[str | None], key: int) -> list[str | None]:
         """The agenda as a list with one entry per neighbouring pair: its least
         entry (the first of equal ones) comes next. For words this is faster
         than a heap; the merges are the same."""
         find, rank, limit = self.pieces.get, self.rank, self.limit
-        of_place, of_piece = self.of_place, self.of_piece
         ids = [None if a is None or b is None else find(a + b) for a, b in zip(symbols, symbols[1:])]
         agenda = [_NEVER if i is None else rank[i] for i in ids]
         place = list(range(len(symbols)))
@@ -100,7 +104,7 @@ class Codec:
             if best == _NEVER:
                 break
             k = agenda.index(best)
-            if limit and key ^ of_place[place[k]] ^ of_piece[ids[k]] < limit:
+            if limit and self._skips(key, place[k], ids[k]):
                 agenda[k] = _NEVER
                 continue
             joined = symbols[k] = symbols[k] + symbols[k + 1]

@@ -61,6 +61,16 @@ def test_share_of_skipped_merges():
     assert abs(split - 0.3) < 0.05
 
 
+def test_two_candidates_of_one_word_are_skipped_independently():
+    codec, rnd = Codec(FILE, dropout=0.1), np.random.default_rng(3)
+    keys = [int(k) for k in rnd.integers(0, 1 << 64, 2000, dtype=np.uint64)]
+    for a, b in [((0, 300), (1, 300)), ((0, 300), (2, 4000)), ((5, 900), (6, 901)), ((3, 20_000), (9_000, 20_000)),
+                 ((9_000, 700), (9_001, 700)), ((4_000, 700), (4_000 + 4096, 700))]:
+        one, two = (np.array([codec._skips(k, *c) for k in keys]) for c in (a, b))
+        assert abs(one.mean() - 0.1) < 0.03 and abs(two.mean() - 0.1) < 0.03
+        assert 0.003 < (one & two).mean() < 0.02
+
+
 def test_query_is_lossless_on_the_whole_table(spark):
     got = {r.doc_id: r for r in op6_sentencepiece(spark, SF001).collect()}
     for i, t in texts(SF001):
