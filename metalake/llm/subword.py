@@ -2,12 +2,17 @@
 
 A text's characters are merged by an agenda (best piece first, ties to the
 left). Every candidate merge that reaches the head of the agenda is skipped
-with a given probability, decided by a hash keyed with seed, variant, stretch
-of text, place and piece: the same key always gives the same segmentation, on
-any machine and after any retry. Pieces never run past the end of a word, so
-stretches (the spaces before a word, and the word) are encoded on their own
-and remembered; the variant of each stretch is drawn from the document and the
-stretch's number, so that a word is segmented differently from place to place.
+with a given probability, decided by a hash keyed with seed, document, number
+of the stretch in its text, place and piece: the same key always gives the same
+segmentation, on any machine and after any retry. Pieces never run past the end
+of a word, so stretches (the spaces before a word, and the word) are encoded on
+their own, and every occurrence draws its own skips.
+
+What is remembered are merges by the skips that led to them, as a tree for each
+stretch: a node holds the ids and the candidates met if nothing more is skipped,
+and a child for each candidate whose skip has occurred. The candidates' hashes
+of a whole text are tested at once; only outcomes not met before are merged.
+The memory decides nothing: with any room the ids are the same.
 
 Without dropout the ids are those of the SentencePiece library, except that
 the character U+2581 itself, which the library turns into a space, is kept by
@@ -19,6 +24,7 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,12 +41,22 @@ _MASK = (1 << 64) - 1
 _PLACE, _MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _NEVER = float("inf")
 _STRETCH = re.compile(r" *[^ ]+| +")
+#: Stretches up to this length are remembered; longer ones are merged each time.
+_WORD = 48
+_LONG: list = [b"", b"", 0, {}, ()]
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """The mixing of ``Codec._skips`` for many values."""
+    x = (x ^ x >> np.uint64(32)) * np.uint64(_MIX)
+    x = (x ^ x >> np.uint64(29)) * np.uint64(_MIX)
+    return x ^ x >> np.uint64(32)
 
 
 class Codec:
     """Encoder and decoder of one model file."""
 
-    def __init__(self, path: str, dropout: float = 0.1, seed: int = 0, variants: int = 4, room: int = 150_000):
+    def __init__(self, path: str, dropout: float = 0.1, seed: int = 0, room: int = 400_000):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -63,17 +79,15 @@ class Codec:
         # keyed hashing: a random number for each piece, mixed with key and place in _skips
         self.of_piece = [xxhash.xxh64_intdigest(f"piece {i}", seed) for i in range(len(self.raw))]
         self.wide = [i.to_bytes(4, "little") for i in range(len(self.raw))]
-        self.seed, self.variants, self.room = seed, variants if dropout else 1, room
-        self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+        self.room, self.nodes = room, 0
+        self.known: dict[str, list] = {}
 
-    def merge(self, stretch: str, variant: int) -> list[int]:
-        """Ids of one stretch; its spaces are still spaces."""
+    def _symbols(self, stretch: str) -> list[str | None]:
         if SPACE in stretch:  # a literal U+2581 is no space: it takes part in no merge and is written by its bytes
-            symbols = [SPACE if c == " " else None if c == SPACE else c for c in stretch]
-        else:
-            symbols = list(stretch.replace(" ", SPACE))
-        key = xxhash.xxh64_intdigest(stretch, self.seed * 1_000_003 + variant) if self.limit else 0
-        merged = self._short(symbols, key) if len(symbols) <= 48 else self._long(symbols, key)
+            return [SPACE if c == " " else None if c == SPACE else c for c in stretch]
+        return list(stretch.replace(" ", SPACE))
+
+    def _ids(self, merged: list[str | None]) -> list[int]:
         out, find = [], self.pieces.get
         for s in merged:
             i = None if s is None else find(s)
@@ -83,6 +97,11 @@ class Codec:
                 out.append(i)
         return out
 
+    def merge(self, stretch: str, key: int) -> list[int]:
+        """Ids of one stretch; its spaces are still spaces."""
+        symbols = self._symbols(stretch)
+        return self._ids(self._short(symbols, key) if len(symbols) <= _WORD else self._long(symbols, key))
+
     def _skips(self, key: int, place: int, piece: int) -> bool:
         """Whether the candidate for ``piece`` at the character ``place`` is dropped."""
         # Mixed after combining: a bare XOR would tie the candidates of one key to each other.
@@ -91,10 +110,12 @@ class Codec:
         h = (h ^ h >> 29) * _MIX & _MASK
         return h ^ h >> 32 < self.limit
 
-    def _short(self, symbols: list[str | None], key: int) -> list[str | None]:
+    def _short(self, symbols: list[str | None], key: int, skipped: tuple[int, ...] = (),
+               met: list[int] | None = None) -> list[str | None]:
         """The agenda as a list with one entry per neighbouring pair: its least
         entry (the first of equal ones) comes next. For words this is faster
-        than a heap; the merges are the same."""
+        than a heap; the merges are the same. With ``met`` the candidates are
+        noted there, and those numbered in ``skipped`` are dropped instead."""
         find, rank, limit = self.pieces.get, self.rank, self.limit
         ids = [None if a is None or b is None else find(a + b) for a, b in zip(symbols, symbols[1:])]
         agenda = [_NEVER if i is None else rank[i] for i in ids]
@@ -104,7 +125,12 @@ class Codec:
             if best == _NEVER:
                 break
             k = agenda.index(best)
-            if limit and self._skips(key, place[k], ids[k]):
+            if met is not None:
+                drop = len(met) in skipped
+                met.append(place[k] * _PLACE & _MASK ^ self.of_piece[ids[k]])
+            else:
+                drop = limit and self._skips(key, place[k], ids[k])
+            if drop:
                 agenda[k] = _NEVER
                 continue
             joined = symbols[k] = symbols[k] + symbols[k + 1]
@@ -148,27 +174,60 @@ class Codec:
             offer(a, right[a])
         return [s for s in symbols if s != ""]
 
-    def _of(self, stretch: str, variant: int) -> bytes:
-        known = self.known[variant]
-        ids = known.get(stretch)
-        if ids is None:
-            ids = b"".join([self.wide[i] for i in self.merge(stretch, variant)])
-            if len(stretch) <= 48:
-                if len(known) >= self.room:
-                    known.clear()
-                known[stretch] = ids
-        return ids
+    def _node(self, stretch: str, skipped: tuple[int, ...] = ()) -> list:
+        """Ids, candidates met after the last skip, their number, children by
+        skipped candidate, and the skips so far."""
+        met: list[int] | None = [] if self.limit else None
+        merged = self._short(self._symbols(stretch), 0, skipped, met)
+        rest = met[skipped[-1] + 1 if skipped else 0:] if met else []
+        self.nodes += 1
+        return [b"".join([self.wide[i] for i in self._ids(merged)]), array("Q", rest).tobytes(), len(rest), {}, skipped]
+
+    def _root(self, stretch: str) -> list:
+        if len(stretch) > _WORD:
+            return _LONG
+        node = self.known[stretch] = self._node(stretch)
+        return node
 
     def encode(self, text: str, key: int = 0) -> np.ndarray:
-        """Ids of a whole text; ``key`` (a document's number) draws the variants."""
+        """Ids of a whole text; ``key`` (a document's number) draws the skips."""
         if not text:
             return np.zeros(0, "<i4")
+        if self.nodes >= self.room:
+            self.known.clear()
+            self.nodes = 0
         stretches = _STRETCH.findall(" " + text)  # the model's dummy prefix
-        at = np.arange(len(stretches), dtype=np.uint64) + np.uint64(key & _MASK)
-        h = (at ^ (at >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        which = ((h >> np.uint64(33)) % np.uint64(self.variants)).tolist()
-        known, of = self.known, self._of
-        return np.frombuffer(b"".join([known[v].get(s) or of(s, v) for s, v in zip(stretches, which)]), "<i4")
+        known, root = self.known.get, self._root
+        nodes = [known(s) or root(s) for s in stretches]
+        out = [n[0] for n in nodes]
+        keys = _mixed(np.arange(len(nodes), dtype=np.uint64) * np.uint64(_PLACE) ^ np.uint64(key & _MASK))
+        if max(map(len, stretches)) > _WORD:
+            for i, s in enumerate(stretches):
+                if len(s) > _WORD:
+                    out[i] = b"".join([self.wide[x] for x in self.merge(s, int(keys[i]))])
+        at, limit = np.arange(len(nodes)), np.uint64(max(0, self.limit - 1))
+        while self.limit:  # each round finds the next skip of every stretch that had one in the last
+            sizes = np.array([n[2] for n in nodes])
+            met = np.frombuffer(b"".join([n[1] for n in nodes]), np.uint64)
+            hits = np.flatnonzero(_mixed(np.repeat(keys[at], sizes) ^ met) <= limit)
+            if not len(hits):
+                break
+            ends = np.cumsum(sizes)
+            owner = np.searchsorted(ends, hits, "right")
+            first = np.append(True, owner[1:] != owner[:-1])
+            owner, hits = owner[first], hits[first]
+            at, below = at[owner], []
+            for i, o, j in zip(at.tolist(), owner.tolist(), (hits - (ends - sizes)[owner]).tolist()):
+                n = nodes[o]
+                child = n[3].get(j)
+                if child is None:
+                    skipped = n[4]
+                    step = j + (skipped[-1] + 1 if skipped else 0)
+                    child = n[3][j] = self._node(stretches[i], (*skipped, step))
+                out[i] = child[0]
+                below.append(child)
+            nodes = below
+        return np.frombuffer(b"".join(out), "<i4")
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.raw.__getitem__, ids.tolist()))[1:].decode("utf-8")

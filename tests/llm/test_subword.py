@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from metalake.llm.queries import op6_sentencepiece, tokenizer_file
-from metalake.llm.subword import SPACE, Codec, decode_documents, encode_documents, round_trip
+from metalake.llm.subword import _PLACE, _STRETCH, SPACE, Codec, _mixed, decode_documents, encode_documents, round_trip
 
 FILE = tokenizer_file("piece_bpe_32k.model")
 LIBRARY = sentencepiece.SentencePieceProcessor(model_file=FILE)
@@ -71,6 +71,22 @@ def test_two_candidates_of_one_word_are_skipped_independently():
         assert 0.003 < (one & two).mean() < 0.02
 
 
+def test_segmentations_of_a_word_grow_with_its_occurrences():
+    """Each occurrence draws its own skips, whatever is remembered."""
+    codec = Codec(FILE, dropout=0.3, seed=4)
+    drawn = [codec.encode("internationalisation", key).tobytes() for key in range(2000)]
+    assert len(set(drawn[:200])) > 20 and len(set(drawn)) > 2 * len(set(drawn[:200]))
+
+
+@settings(max_examples=150, deadline=None)
+@given(ANY, st.integers(0, 5))
+def test_remembered_merges_are_the_direct_ones(text, key):
+    stretches = _STRETCH.findall(" " + text) if text else []
+    keys = _mixed(np.arange(len(stretches), dtype=np.uint64) * np.uint64(_PLACE) ^ np.uint64(key))
+    direct = [i for s, k in zip(stretches, keys.tolist()) for i in DROPPED.merge(s, k)]
+    assert DROPPED.encode(text, key).tolist() == direct
+
+
 def test_query_is_lossless_on_the_whole_table(spark):
     got = {r.doc_id: r for r in op6_sentencepiece(spark, SF001).collect()}
     for i, t in texts(SF001):
