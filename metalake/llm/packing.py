@@ -55,12 +55,14 @@ class _Chunks(dict):
 
 
 class Encoder:
-    """Ids of whole texts under one public tokenizer file.
+    """Ids of whole texts under one public tokenizer file, as
+    ``encode(text, add_special_tokens=False)`` gives them.
 
     Plain Latin chunks, nearly all there are, go through a second library that
     is given the file's own vocabulary (a byte-level BPE merges in the order of
     its ids) and does less for each call; others, on whose letters the two
-    libraries' character tables may differ, go through the first.
+    libraries' character tables may differ, go through the first. So do, uncut,
+    texts that spell one of the file's added tokens.
     """
 
     # Fixed value: the pattern by which this kind of tokenizer cuts a text before merging.
@@ -71,7 +73,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         letters = {c: b for b, c in enumerate(_byte_letters())}
         ranks = {bytes(letters[c] for c in piece): i
@@ -90,6 +92,8 @@ class Encoder:
     def __call__(self, text: str) -> bytes:
         if not text:
             return b""
+        if any(t in text for t in self.added):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
         head, *more = text.split(" ")
         try:
             return self.first[head] + b"".join(map(self.spaced.__getitem__, more))

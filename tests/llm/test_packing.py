@@ -76,6 +76,21 @@ def test_chunked_encoding_is_the_tokenizer(text):
 ENC = Encoder(FILE)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext", "a", " ", "é", "b c", "\n", "中", "  ", "|>"]), max_size=12))
+def test_added_tokens_are_matched_as_by_the_file(parts):
+    from tokenizers import Tokenizer
+    text = "".join(parts)
+    want = Tokenizer.from_file(FILE).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(ENC(text), ENC.dtype).tolist() == want
+
+
+def test_added_token_is_one_id(spark):
+    assert np.frombuffer(ENC("a <|endoftext|> b"), ENC.dtype).tolist() == [64, 220, 50256, 275]
+    got = pack_documents(docs(spark, [(1, "a <|endoftext|> b")]), FILE).collect()
+    assert {r.doc_tokens for r in got} == {5}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 64), max_size=60))
 def test_first_fit_decreasing_by_brute_force(sizes):
