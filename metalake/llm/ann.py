@@ -211,10 +211,10 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, per_le
     commonest take no part. Queries are the rows where ``is_query`` holds; of
     rows repeated under one query id the smallest vector asks, and no row of
     that id is a candidate. Other repeated rows are candidates of their own; a
-    null id is a candidate and comes last among ties. With fewer candidates
-    than ``k`` all that lie in visited leaves are returned (all of them, where
-    the index has no more than ``k`` vectors a leaf visit could miss). An
-    empty table gives no rows; other columns are ignored.
+    null id is a candidate and comes last among ties. Every query goes on
+    visiting leaves until they hold ``k`` candidates, so fewer rows are
+    returned only where there are fewer candidates. An empty table gives no
+    rows; other columns are ignored.
     """
     spark = vectors.sparkSession
     prepare(spark)
@@ -237,23 +237,29 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, per_le
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(leaf, pa.int64())], names=["vec_id", "embedding", "leaf"])
 
     indexed = materialise(good.mapInArrow(place, "vec_id long, embedding array<double>, leaf long"), "ann-index")
-    queries = (good.where(is_query & F.col("vec_id").isNotNull()).groupBy("vec_id")
-               .agg(F.min("embedding").alias("embedding")))
+    held = {r["leaf"]: r["count"] for r in indexed.groupBy("leaf").count().collect()}  # one row per leaf
+    queries = (good.where(F.col("vec_id").isNotNull()).groupBy("vec_id")
+               .agg(F.min(F.when(is_query, F.col("embedding"))).alias("embedding"), F.count(F.lit(1)).alias("own"))
+               .where(F.col("embedding").isNotNull()))
     trial = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(calibration).collect()
     if not trial:
         return spark.createDataFrame([], RESULT)
     visits, _ = calibrate(tree, indexed, [(r["vec_id"], list(r["embedding"])) for r in trial], k, recall)
-    visits = tree.leaves if n <= 2 * k else visits
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
             bins = []
-            for q in _matrix(b.column(1), dim):
-                order = shipped.value.best_bins(q)
-                bins.append([leaf for _, leaf in zip(range(visits), order)])
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(bins, pa.list_(pa.int64()))],
+            for q, own in zip(_matrix(b.column(1), dim), b.column(2).to_pylist()):
+                leaves, others = [], -own  # own rows may lie in any leaf
+                for leaf in shipped.value.best_bins(q):
+                    if len(leaves) >= visits and others >= k:
+                        break
+                    leaves.append(leaf)
+                    others += held.get(leaf, 0)
+                bins.append(leaves)
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(bins, pa.list_(pa.int64()))],
                                              names=["vec_id", "embedding", "leaves"])
 
     asked = (queries.mapInArrow(walk, "vec_id long, embedding array<double>, leaves array<long>")

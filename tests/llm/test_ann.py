@@ -5,6 +5,7 @@ import pytest
 from conftest import SF01
 from pyspark.sql import functions as F
 
+from metalake.llm import ann
 from metalake.llm.ann import grow, nearest_neighbours
 from metalake.llm.queries import op8_ann
 
@@ -75,6 +76,16 @@ def test_equal_vectors_in_many_blocks(spark):
     assert [r.vec_id for r in got[0]] == [1, 2, 3, 4, 5] and [r.vec_id for r in got[20]] == [0, 1, 2, 3, 4]
 
 
+def test_queries_in_tiny_leaves_get_k_rows(spark, monkeypatch):
+    """However few visits calibration asks for; one query starts in a group of three."""
+    monkeypatch.setattr(ann, "calibrate", lambda *a: (1, 1.0))
+    rng = np.random.default_rng(5)
+    axes = np.repeat(np.arange(41), [60] * 40 + [3])
+    rows = [(20 * 150 if i == 2400 else i, (rng.normal(0, 1e-4, 41) + np.eye(41)[a]).tolist()) for i, a in enumerate(axes)]
+    got = ranked(nearest_neighbours(table(spark, rows), F.col("vec_id") % 20 == 0, k=10, per_leaf=60))
+    assert len(got) == 121 and all(len(v) == 10 for v in got.values())
+
+
 def test_tree_walk_reaches_every_leaf_once():
     x = np.random.default_rng(0).normal(size=(2000, 6))
     tree = grow(x, 50)
