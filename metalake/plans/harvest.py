@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.dedup import dedup_richest
 from ..operators.flatten import flatten_items
-from ..operators.select import by_clients, by_date_range, by_type, check_type_mode
+from ..operators.select import (LABEL_KEY, TYPE_KEY, by_clients, by_date_range, by_type, check_type_mode,
+                                with_type_keys)
 from ..session import spread
 from ..sinks import write_chunks, write_ndjson
 from ..sources.items import read_items
@@ -41,6 +42,19 @@ def select_records(wide: DataFrame, type_mode: str = "canonical", type_id: str =
     return by_type(sel, type_mode, type_id, label)
 
 
+def land(wide: DataFrame, path: str, date_field: str = "registered", max_rows: int = 100_000) -> str:
+    """Wide rows as Parquet that selections can prune: folded type columns
+    beside the rows, and files and row groups that each cover a short range of
+    one date. The range shuffle is paid once, at landing."""
+    keyed = with_type_keys(wide).repartitionByRange(date_field).sortWithinPartitions(date_field, TYPE_KEY)
+    return write_chunks(keyed, path, max_rows)
+
+
+def select_landed(spark: SparkSession, path: str, **selection) -> DataFrame:
+    """B1-B6 over rows landed by ``land``; the selection reaches the scan."""
+    return select_records(spark.read.parquet(path), **selection).drop(TYPE_KEY, LABEL_KEY)
+
+
 def harvest(spark: SparkSession, landing, newest: bool = False, multiline: bool = False,
             **selection) -> DataFrame:
     """The harvested, de-duplicated wide table for a selection."""

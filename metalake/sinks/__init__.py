@@ -1,14 +1,14 @@
-"""Writers. Spark's output committer makes every write atomic per job, so
-there is no temp-file-then-rename step."""
+"""Writers. Spark's output committer makes every write atomic per job; a
+dataset that is replaced in place goes through ``versions``."""
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from ..schema import CLIENT_COLUMNS, SLIM_COLUMNS
+from ..versions import replace
 
 
 def write_chunks(df: DataFrame, path: str, max_rows: int = 100_000, mode: str = "append") -> str:
@@ -32,33 +32,12 @@ def _csv_writer(df: DataFrame, mode: str):
             .option("escape", '"').option("quoteAll", False))
 
 
-def swap_in(spark: SparkSession, fresh: str, path: str) -> None:
-    """Put the finished dataset ``fresh`` in the place of ``path``.
-
-    The old dataset is moved aside first and deleted last, so that at every
-    moment a complete copy is on the disk: a job that dies on the way leaves
-    ``<path>.before-*`` beside it.
-    """
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    new, old = jvm.org.apache.hadoop.fs.Path(fresh), jvm.org.apache.hadoop.fs.Path(path)
-    fs = old.getFileSystem(conf)
-    aside = jvm.org.apache.hadoop.fs.Path(f"{path}.before-{uuid.uuid4().hex[:12]}")
-    had = fs.exists(old)
-    if had and not fs.rename(old, aside):
-        raise OSError(f"cannot move {path} aside")
-    if not fs.rename(new, old):
-        raise OSError(f"cannot move {fresh} to {path}")
-    if had:
-        fs.delete(aside, True)
-
-
 def write_catalog(df: DataFrame, path: str) -> str:
-    """The client catalogue as CSV files of one folder. The rows may come
-    from ``path`` itself: they are written beside it and swapped in when they
-    are complete."""
-    fresh = f"{path.rstrip('/')}.next-{uuid.uuid4().hex[:12]}"
-    _csv_writer(df.select(*CLIENT_COLUMNS), "errorifexists").csv(fresh)
-    swap_in(df.sparkSession, fresh, path.rstrip("/"))
+    """The client catalogue as CSV files of one folder, replaced as a
+    whole (``versions.replace``). The rows may come from ``path`` itself, and
+    a job that dies on the way leaves the old rows or the new ones."""
+    rows = df.select(*CLIENT_COLUMNS)
+    replace(df.sparkSession, path, lambda folder: _csv_writer(rows, "errorifexists").csv(folder))
     return path
 
 

@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..schema import CLIENT_COLUMNS, CLIENT_SCHEMA
+from ..versions import current
 
 
 def _csv(spark: SparkSession):
@@ -19,18 +19,6 @@ def _csv(spark: SparkSession):
             .option("multiLine", True).option("escape", '"').option("quote", '"'))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether the path is there. Any other failure (no access, unknown file
-    system) is raised: taken for "empty", it would cost a catalogue its rows."""
-    try:
-        spark.read.format("binaryFile").load(path).select("path").limit(1).collect()
-        return True
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-
-
 def read_client_ids(spark: SparkSession, path: str) -> DataFrame:
     """The single ``client_id`` column of a Parquet or CSV dataset
     (column pruning keeps the scan to that one column)."""
@@ -42,11 +30,15 @@ def read_client_ids(spark: SparkSession, path: str) -> DataFrame:
 def read_catalog(spark: SparkSession, path: str | None) -> DataFrame:
     """The client catalogue CSV as 20 strings, NULL -> ``""``.
 
-    A missing file gives an empty catalogue with the 20 columns.
+    A path that never held one gives an empty catalogue with the 20 columns.
+    Any other failure (no access, unknown file system, the remains of a broken
+    replacement) is raised: taken for "empty", it would cost a catalogue its
+    rows.
     """
-    if not path or not _exists(spark, path):
+    where = current(spark, path) if path else None
+    if where is None:
         return spark.createDataFrame([], CLIENT_SCHEMA)
-    df = _csv(spark).csv(path)
+    df = _csv(spark).csv(where)
     cols = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) if c in df.columns
             else F.lit("").alias(c) for c in CLIENT_COLUMNS]
     return df.select(*cols)

@@ -7,10 +7,12 @@ import hashlib
 import os
 import re
 
+import pytest
 from conftest import SF001
 
 from metalake.operators.dedup import dedup_richest
-from metalake.plans.harvest import select_records
+from metalake.operators.select import by_canonical_type
+from metalake.plans.harvest import land, select_landed, select_records
 from metalake.registry import QUERIES, wide_records
 
 
@@ -34,19 +36,54 @@ def test_label_join_is_broadcast(spark):
     assert "BroadcastHashJoin" in plan(QUERIES["q20_label_server_name"](spark, SF001))
 
 
-def test_selection_pushed_to_parquet_scan(spark, tmp_dir):
+def scan_rows(df) -> int:
+    """Rows that the Parquet scan of a plan without shuffles hands on: those of the row groups it did not skip."""
+    execution = df._jdf.queryExecution()
+    execution.executedPlan().executeCollect()
+    scan = execution.executedPlan().collectLeaves().head()
+    return scan.metrics().apply("numOutputRows").value()
+
+
+def landed_records(spark, path):
+    """Eight files of a month or so each, written like a harvest lands them."""
+    wide = wide_records(spark, SF001)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        land(wide, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    return wide
+
+
+@pytest.mark.parametrize("mode, pushed", [("canonical", ["EqualTo(_type_key,preprint)"]),
+                                          ("label", ["EqualTo(_label_key,preprint)"]),
+                                          ("both", ["Or(EqualTo(_type_key,preprint),EqualTo(_label_key,preprint))"])])
+def test_selection_pushed_to_parquet_scan(spark, tmp_dir, mode, pushed):
     path = os.path.join(tmp_dir, "wide.parquet")
-    wide_records(spark, SF001).write.parquet(path)
-    landed = spark.read.parquet(path)
-    sel = select_records(landed, "canonical", "Preprint", date_field="registered",
-                         date_start="1996-01-01", date_end="1997-12-31",
-                         client_ids=["n1.c1", "n2.c2"]).select("doi")
-    p = plan(sel)
-    scan = [line for line in p.split("\n") if "FileScan parquet" in line][0]
-    assert "PushedFilters: [IsNotNull(registered)" in scan or "registered" in scan.split("PushedFilters")[1]
-    assert "In(client_id" in scan
+    wide = landed_records(spark, path)
+    options = dict(type_mode=mode, type_id="Preprint", label="preprint", date_field="registered", date_start="1996-01-01",
+                   date_end="1996-03-31", client_ids=["n1.c1", "n2.c2", "n3.c3"])
+    sel = select_landed(spark, path, **options).select("doi")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        scan = [line for line in plan(sel).split("\n") if "FileScan parquet" in line][0]
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    filters = scan.split("PushedFilters: ")[1]
+    for want in ["GreaterThanOrEqual(registered,1996-01-01)", "LessThan(registered,1996-03-32)", "In(client_id", *pushed]:
+        assert want in filters
     read_schema = scan.split("ReadSchema: ")[1]
     assert "title" not in read_schema and "raw_attributes_json" not in read_schema
+    assert sorted(sel.collect()) == sorted(select_records(wide, **options).select("doi").collect())
+
+
+def test_selection_skips_row_groups(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "wide.parquet")
+    wide = landed_records(spark, path)
+    dates = select_landed(spark, path, date_field="registered", date_start="1996-01-01", date_end="1996-03-31").select("doi")
+    assert 0 < dates.count() <= scan_rows(dates) < wide.count() / 2
+    nowhere = by_canonical_type(spark.read.parquet(path), "zz-no-such-type").select("doi")
+    assert scan_rows(nowhere) == 0
 
 
 def test_completeness_renders_nothing(spark):
