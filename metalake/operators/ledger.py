@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import python_sorted_json
 from ..schema import SIGNATURE_KEYS
+from ..session import kept
 from ..sources.files import run_date_range
 from .aggregates import union_all
 
@@ -114,6 +115,77 @@ def page_chain_problems(pages: DataFrame, group_cols, cursor: str = "cursor",
     return union_all([gaps, back, ends])
 
 
+def chain_order(pages: DataFrame, group_cols, cursor: str = "cursor", next_cursor: str = "next_cursor") -> DataFrame:
+    """H5 as a whole: one row per group and page with its ``position`` (0 for
+    the first) on the way from the group's first page along the next cursors,
+    NULL where that way does not lead, and whether the page lies on a cycle.
+
+    The first page is the one with the smallest cursor among those that no
+    other page leads to (in a closed ring, among all). Pages landed twice
+    count once. Pointers are doubled: after k rounds every page knows the page
+    2^k links ahead and all positions below 2^k are known, so that a chain of
+    a million pages takes twenty rounds of two joins, each written to the
+    shared folder. Joins are by group and cursor, so a long chain is no hot key.
+    """
+    group_cols = [group_cols] if isinstance(group_cols, str) else list(group_cols)
+    text = pages.schema[cursor].dataType.simpleString() == "string"
+    here = [F.col(c).alias(f"g{i}") for i, c in enumerate(group_cols)]
+    g = [f"g{i}" for i in range(len(group_cols))]
+    nodes = kept(pages.select(*here, F.col(cursor).alias("c"), F.col(next_cursor).alias("to")).groupBy(*g, "c")
+                 .agg(F.min("to").alias("to")), "chain-pages")
+
+    def ahead(left: DataFrame, jump: DataFrame, key: str) -> DataFrame:
+        """``left`` with ``further``, where the pointer of its column ``key`` leads."""
+        right = jump.select(*[F.col(x).alias(f"r_{x}") for x in g], F.col("c").alias("r_c"), F.col("to").alias("further"))
+        same = [left[x].eqNullSafe(right[f"r_{x}"]) for x in g]
+        return left.join(right, [*same, left[key].eqNullSafe(right["r_c"])]).drop("r_c", *[f"r_{x}" for x in g])
+
+    real = nodes.where("to IS NOT NULL")
+    ends = nodes.select(*g, F.col("c").alias("to"))
+    jump = kept(real.join(ends.select(*[F.col(x).alias(f"e_{x}") for x in g], F.col("to").alias("e_to")),
+                          [*[F.col(x).eqNullSafe(F.col(f"e_{x}")) for x in g], F.col("to") == F.col("e_to")]).select(*g, "c", "to"),
+                "chain-jump")
+    led = jump.where(~F.col("c").eqNullSafe(F.col("to"))).select(*[F.col(x).alias(f"e_{x}") for x in g], F.col("to").alias("e_to")).distinct()
+    open_ = nodes.join(led, [*[F.col(x).eqNullSafe(F.col(f"e_{x}")) for x in g], F.col("c").eqNullSafe(F.col("e_to"))], "left")
+    rank = F.struct(F.col("e_to").isNotNull().alias("led"), F.col("c").isNotNull().alias("known"), cursor_order(F.col("c"), text).alias("at"))
+    reach = kept(open_.groupBy(*g).agg(F.min_by(F.struct("c"), rank).alias("first")).select(*g, F.col("first.c").alias("c"),
+                 F.lit(0).cast("long").alias("position")), "chain-reach")
+    longest = nodes.groupBy(*g).count().agg(F.max("count")).first()[0] or 0
+    step = 1
+    while step <= longest and not jump.isEmpty():
+        more = ahead(reach, jump, "c").select(*g, F.col("further").alias("c"), (F.col("position") + step).alias("position"))
+        reach = kept(reach.unionByName(more).groupBy(*g, "c").agg(F.min("position").alias("position")), "chain-reach")
+        jump = kept(ahead(jump, jump.select("*"), "to").select(*g, "c", F.col("further").alias("to")), "chain-jump")
+        step *= 2
+    ring = jump.select(*g, F.col("to").alias("c")).distinct().withColumn("on_cycle", F.lit(True))
+
+    def beside(left: DataFrame, right: DataFrame) -> DataFrame:
+        right = right.withColumnsRenamed({x: f"r_{x}" for x in [*g, "c"]})
+        same = [left[x].eqNullSafe(right[f"r_{x}"]) for x in [*g, "c"]]
+        return left.join(right, same, "left").drop(*[f"r_{x}" for x in [*g, "c"]])
+
+    placed = beside(beside(nodes, reach), ring)
+    return placed.select(*[F.col(x).alias(c) for x, c in zip(g, group_cols)], F.col("c").alias(cursor), F.col("to").alias(next_cursor),
+                         "position", F.coalesce("on_cycle", F.lit(False)).alias("on_cycle"))
+
+
+def chain_order_problems(pages: DataFrame, group_cols, cursor: str = "cursor", next_cursor: str = "next_cursor") -> DataFrame:
+    """What only the whole chain shows, in the form of ``page_chain_problems``:
+
+    * ``unreachable``: no way leads from the group's first page to the page;
+    * ``cycle``: the page's way comes back to it;
+    * ``doubled_link``: several pages lead to one (the smallest is named).
+    """
+    group_cols = [group_cols] if isinstance(group_cols, str) else list(group_cols)
+    order = kept(chain_order(pages, group_cols, cursor, next_cursor), "chain-order")
+    cols = [*group_cols, cursor, next_cursor]
+    doubled = (order.where(F.col(next_cursor).isNotNull()).groupBy(*group_cols, next_cursor)
+               .agg(F.min(cursor).alias(cursor), F.count(F.lit(1)).alias("_n")).where("_n > 1"))
+    return union_all([order.where("position IS NULL").select(*cols, F.lit("unreachable").alias("problem")),
+                      order.where("on_cycle").select(*cols, F.lit("cycle").alias("problem")),
+                      doubled.select(*cols, F.lit("doubled_link").alias("problem"))])
+
+
 def expected_vs_harvested(expected: DataFrame, harvested: DataFrame, key,
                           expected_col: str = "expected") -> DataFrame:
     """H6: announced totals per pass against harvested rows per pass."""

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from ..operators.joins import merge_with_sheet
-from ..sinks import write_enriched
+from ..sinks import count_rows, write_enriched
 from ..sources.tables import read_sheet
 
 
@@ -17,6 +17,6 @@ def merge_catalog_with_sheet(spark: SparkSession, catalog_csv: str, sheet_csv: s
     catalog = read_sheet(spark, catalog_csv).drop("_file", "_line")
     sheet = read_sheet(spark, sheet_csv)
     merged = merge_with_sheet(catalog, sheet, on_left, on_right, select_cols, how)
-    written = write_enriched(merged, out_csv, out_parquet)
-    rows = spark.read.parquet(written["out_parquet"]).count() if out_parquet else merged.count()
-    return {"data": merged, **written, "rows": rows, "cols": len(merged.columns)}
+    seen, counted = count_rows(merged, "sheet")
+    written = write_enriched(counted, out_csv, out_parquet)
+    return {"data": merged, **written, "rows": seen() if out_csv or out_parquet else merged.count(), "cols": len(merged.columns)}

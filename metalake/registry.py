@@ -15,27 +15,28 @@ from pyspark.sql import functions as F
 from . import adapters
 from .functions import canon, html_unescape, norm_date, query_param
 from .operators.aggregates import (completeness, distinct_client_ids, duplicate_stats,
-                                   providers_summary, run_summary, top_values, trend_per_year)
+                                   providers_summary, run_summary, top_values, trend_per_year, union_all)
 from .operators.dedup import dedup_first, dedup_richest
 from .operators.flatten import flatten_clients, flatten_items
 from .operators.joins import join_on_doi, label_server_name, merge_with_sheet, new_ids
 from .operators.labels import label_records
-from .operators.ledger import (expected_vs_harvested, page_chain_problems, read_checkpoints,
-                               run_ledger, signature_hash_col)
-from .operators.quality import (column_check, counts_vs_external, duplicate_gate, quality_gates, share_vs_expected,
-                                yearly_growth)
+from .operators.ledger import (chain_order, chain_order_problems, expected_vs_harvested, page_chain_problems,
+                               read_checkpoints, run_ledger, signature_hash_col)
+from .operators.quality import counts_vs_external, duplicate_gate, quality_gates, share_vs_expected, yearly_growth
 from .operators.select import by_clients, by_label_type, by_type, in_range
-from .operators.shards import shard_report, unify_shards
-from .plans.enrich import enrich_catalog
+from .operators.shards import read_footers, shard_columns, shard_report, unify_shards
+from .plans.enrich import enrich_catalog, enrich_folder
+from .plans.harvest import land, select_landed
 from .plans.merge import merge_shards
+from .plans.sheet import merge_catalog_with_sheet
 from .schema import CLIENT_COLUMNS, SLIM_COLUMNS, WIDE_COLUMNS
 from .session import scratch_path
 from .sinks import write_catalog, write_chunks, write_csv, write_labelled, write_ndjson
 from .sources.files import latest_dataset, shard_files
 from .sources.items import items_from_text, page_meta, read_items, read_pages, read_rejects
 from .sources.tables import read_catalog, read_client_ids, read_sheet
-from .streaming.ingest import (compact_best_rows, ingest_records, maintain_best_rows,
-                               read_best_rows, record_stream)
+from .streaming.ingest import (compact_best_rows, ingest_records, maintain_best_rows, read_best_rows, read_best_state,
+                               read_ingest_rejects, read_ingested, record_stream)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -562,7 +563,7 @@ def q35_shard_report(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select(
         F.expr(adapters.DOI).alias("doi"), F.expr(adapters.CID).alias("client_id"))
     write_chunks(rows, f"{root}/batches", max_rows=1000)
-    rep = shard_report(unify_shards(spark, shard_files(spark, root), with_source=True), 1000)
+    rep = shard_report(read_footers(spark, shard_files(spark, root)), 1000)
     return rep.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("n_rows"),
                    F.count_if("over_limit").alias("n_over_limit"),
                    F.count_if("empty").alias("n_empty"),
@@ -628,30 +629,32 @@ SELECT user_id, event_id, event_type, value FROM (
 ) t WHERE rn = 1"""
 
 
-def _best_events(spark, sf_dir, name: str, compact: bool):
-    root = scratch_path(spark, name)
+def _best_events(spark, sf_dir, root: str, log: str | None):
     fmt = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
     ev = table(spark, sf_dir, "events")
     ev.repartitionByRange("event_id").write.option("timestampFormat", fmt).json(f"{root}/landing")
     stream = (spark.readStream.schema(ev.schema).option("timestampFormat", fmt)
               .option("maxFilesPerTrigger", spark.sparkContext.defaultParallelism).json(f"{root}/landing"))
-    maintain_best_rows(spark, stream, f"{root}/log", f"{root}/_checkpoint", key="user_id",
+    maintain_best_rows(spark, stream, log, f"{root}/_checkpoint", key="user_id",
                        rich=("props", "value"), order=("ts", "event_id"),
                        state_partitions=spark.sparkContext.defaultParallelism)
-    if compact:
-        compact_best_rows(spark, f"{root}/log", "user_id")
-    return read_best_rows(spark, f"{root}/log", "user_id").select("user_id", "event_id", "event_type", "value")
 
 
 @query("q37_stream_ingest", BEST_EVENTS_SQL)
 def q37_stream_ingest(spark, sf_dir):
-    return _best_events(spark, sf_dir, "stream", compact=False)
+    """The best rows as the state store holds them."""
+    root = scratch_path(spark, "stream")
+    _best_events(spark, sf_dir, root, None)
+    return read_best_state(spark, f"{root}/_checkpoint", "user_id").select("user_id", "event_id", "event_type", "value")
 
 
 @query("q37b_stream_best_rows_state", BEST_EVENTS_SQL)
 def q37b_stream_best_rows_state(spark, sf_dir):
-    """The same, read from a compacted base."""
-    return _best_events(spark, sf_dir, "stream-state", compact=True)
+    """The same from the log of updates, read from a compacted base."""
+    root = scratch_path(spark, "stream-state")
+    _best_events(spark, sf_dir, root, f"{root}/log")
+    compact_best_rows(spark, f"{root}/log", "user_id")
+    return read_best_rows(spark, f"{root}/log", "user_id").select("user_id", "event_id", "event_type", "value")
 
 
 @query("q38_latest_dataset", """
@@ -721,8 +724,9 @@ def q42_page_meta(spark, sf_dir):
 def q43_stream_ingest_records(spark, sf_dir):
     landing = _land_pages(spark, sf_dir)
     root = scratch_path(spark, "ingest")
-    ingest_records(spark, landing, f"{root}/out", f"{root}/_checkpoint", max_files_per_trigger=2)
-    return spark.read.parquet(f"{root}/out")
+    ingest_records(spark, landing, f"{root}/out", f"{root}/_checkpoint",
+                   max_files_per_trigger=spark.sparkContext.defaultParallelism)
+    return read_ingested(spark, f"{root}/out")
 
 
 @query("q44_stream_dedup_records", SQL["q12b_dedup_records"])
@@ -731,12 +735,13 @@ def q44_stream_dedup_records(spark, sf_dir):
     per DOI kept in the state store, equal to the batch flagship (q12b)."""
     landing = _land_pages(spark, sf_dir)
     root = scratch_path(spark, "stream-harvest")
-    wide = flatten_items(record_stream(spark, landing, max_files_per_trigger=2))
-    maintain_best_rows(spark, wide, f"{root}/log", f"{root}/_checkpoint", key="doi",
+    cores = spark.sparkContext.defaultParallelism
+    wide = flatten_items(record_stream(spark, landing, max_files_per_trigger=cores))
+    maintain_best_rows(spark, wide, None, f"{root}/_checkpoint", key="doi",
                        rich=("provider_id", "alternate_ids_json"),
                        order=("registered", "updated", "created"), tie_break="raw_attributes_json",
-                       state_partitions=spark.sparkContext.defaultParallelism)
-    return read_best_rows(spark, f"{root}/log", "doi").select(
+                       state_partitions=cores)
+    return read_best_state(spark, f"{root}/_checkpoint", "doi").select(
         "doi", "client_id", "provider_id", "alternate_ids_json", "registered", "updated", "created")
 
 
@@ -758,23 +763,45 @@ def q45_catalog_in_place(spark, sf_dir):
     return read_catalog(spark, path)
 
 
-@query("q46_quarantine", f"""
+_MIXED_SQL = f"""
 SELECT CASE o_orderkey % 10 WHEN 1 THEN 'malformed' WHEN 2 THEN 'error' ELSE 'kept' END AS reason,
-       {adapters.DOI} AS doi FROM orders""")
-def q46_quarantine(spark, sf_dir):
+       {adapters.DOI} AS doi FROM orders"""
+
+
+def _land_mixed(spark, sf_dir) -> str:
     """Landed lines of which some are cut off and some are error answers."""
     line = F.expr(f"""CASE o_orderkey % 10
       WHEN 1 THEN '{{"id": "' || {adapters.DOI} || '", "attributes": {{'
       WHEN 2 THEN '{{"errors": [{{"status": "404", "title": "' || {adapters.DOI} || '"}}]}}'
-      ELSE '{{"id": "' || {adapters.DOI} || '", "attributes": {{"doi": "x"}}}}' END""")
-    path = scratch_path(spark, "q46") + "/landing"
+      ELSE '{{"id": "' || {adapters.DOI} || '", "attributes": {{"doi": "' || {adapters.DOI} || '"}}}}' END""")
+    path = scratch_path(spark, "mixed") + "/landing"
     table(spark, sf_dir, "orders").select(line.alias("value")).write.text(path)
-    bad = read_rejects(spark, path).select("reason", F.regexp_extract("raw", '"(?:id|title)": "([^"]*)"', 1).alias("doi"))
+    return path
+
+
+def _rejected_doi(raw):
+    return F.regexp_extract(raw, '"(?:id|title)": "([^"]*)"', 1).alias("doi")
+
+
+@query("q46_quarantine", _MIXED_SQL)
+def q46_quarantine(spark, sf_dir):
+    path = _land_mixed(spark, sf_dir)
+    bad = read_rejects(spark, path).select("reason", _rejected_doi("raw"))
     good = read_items(spark, path).select(F.lit("kept").alias("reason"),
                                           F.try_variant_get("v", "$.id", "string").alias("doi"))
     return bad.unionByName(good)
 
 
+@query("q46b_stream_quarantine", _MIXED_SQL)
+def q46b_stream_quarantine(spark, sf_dir):
+    """The same lines as a stream that writes items and rejects in one pass."""
+    root = scratch_path(spark, "q46b")
+    ingest_records(spark, _land_mixed(spark, sf_dir), f"{root}/out", f"{root}/_checkpoint",
+                   max_files_per_trigger=spark.sparkContext.defaultParallelism)
+    bad = read_ingest_rejects(spark, f"{root}/out").select("reason", _rejected_doi("raw"))
+    return bad.unionByName(read_ingested(spark, f"{root}/out").select(F.lit("kept").alias("reason"), "doi"))
+
+
 @query("q47_client_lookup_docs", SQL["q17_client_flatten"])
 def q47_client_lookup_docs(spark, sf_dir):
     """Client records landed as answers to single lookups."""
@@ -818,30 +845,34 @@ def q48b_shard_faults(spark, sf_dir):
             .withColumn("some_unreadable", F.lit(unreadable)))
 
 
-_CHUNK_ROWS = 3000
+_CHUNK_KEYS = 1500  # keys of one chunk; the second and the third share a file, so there is a gap after them
 
 
 @query("q52_shard_checks", f"""
 WITH c AS (
-  SELECT 'main' AS folder, o_orderkey % 6 + CASE WHEN o_orderkey % 6 >= 3 THEN 2 ELSE 0 END AS chunk_index FROM orders
-  UNION ALL SELECT 'odd', 0 FROM orders),
+  SELECT 'main' AS folder, CASE o_orderkey // {_CHUNK_KEYS} WHEN 2 THEN 1 ELSE o_orderkey // {_CHUNK_KEYS} END AS chunk_index
+  FROM orders
+  UNION ALL SELECT 'odd', o_orderkey // {3 * _CHUNK_KEYS} FROM orders WHERE o_orderkey % 3 = 0),
 n AS (SELECT folder, chunk_index, count(*) AS n_rows FROM c GROUP BY ALL)
-SELECT folder, chunk_index, n_rows, n_rows > {_CHUNK_ROWS} AS over_limit, n_rows = 0 AS empty,
-       folder = 'main' AND chunk_index = 5 AS gap_before, folder = 'main' AS schema_equal FROM n""")
+SELECT folder, chunk_index, n_rows, n_rows > {_CHUNK_KEYS} AS over_limit, n_rows = 0 AS empty,
+       coalesce(chunk_index - lag(chunk_index) OVER (PARTITION BY folder ORDER BY chunk_index) > 1, false) AS gap_before,
+       folder = 'main' AS schema_equal FROM n""")
 def q52_shard_checks(spark, sf_dir):
-    """Chunks with a gap, one over the limit and one of another layout."""
+    """Chunks by key range, so that their number follows the table: with a gap,
+    one over the limit, and a folder of another layout."""
     root = scratch_path(spark, "q52")
-    k = F.col("o_orderkey") % 6
-    place = F.when(k >= 3, k + 2).otherwise(k).cast("int")
     orders = table(spark, sf_dir, "orders")
-    orders.select(F.expr(adapters.DOI).alias("doi"), place.alias("n")).repartitionById(8, F.col("n")).select("doi") \
+    last = (orders.agg(F.max("o_orderkey")).first()[0] or 0) // _CHUNK_KEYS
+    q = F.floor(F.col("o_orderkey") / _CHUNK_KEYS).cast("int")
+    doi = F.expr(adapters.DOI).alias("doi")
+    orders.select(doi, F.when(q == 2, 1).otherwise(q).alias("n")).repartitionById(last + 1, F.col("n")).select("doi") \
         .write.parquet(f"{root}/main")
-    orders.select(F.expr(adapters.DOI).alias("doi"), F.lit(0).alias("n")).repartitionById(1, F.col("n")) \
-        .write.parquet(f"{root}/odd")
-    shards = unify_shards(spark, shard_files(spark, root), with_source=True)
-    rep = shard_report(shards, max_rows=_CHUNK_ROWS, chunk_pattern=r"part-(\d+)")
-    return rep.select(F.regexp_extract("folder", "([^/]*)$", 1).alias("folder"), "chunk_index", "n_rows", "over_limit",
-                      "empty", "gap_before", "schema_equal")
+    orders.where("o_orderkey % 3 = 0").select(doi, F.floor(q / 3).cast("int").alias("n")) \
+        .repartitionById(last // 3 + 1, F.col("n")).write.parquet(f"{root}/odd")
+    rep = shard_report(read_footers(spark, shard_files(spark, root)), max_rows=_CHUNK_KEYS, chunk_pattern=r"part-(\d+)")
+    # partition 0 is written even without rows
+    return rep.where("n_rows > 0").select(F.regexp_extract("folder", "([^/]*)$", 1).alias("folder"), "chunk_index", "n_rows",
+                                          "over_limit", "empty", "gap_before", "schema_equal")
 
 
 @query("q53_merged_output", SHARDS_SQL)
@@ -864,11 +895,31 @@ def q55_keep_server_name(spark, sf_dir):
     return label_server_name(rows, label_catalog(spark, sf_dir), keep_existing=True)
 
 
-@query("q56_column_check", "SELECT 'unexpected' AS problem, 'o_comment' AS \"column\"" + "".join(
-    f" UNION ALL SELECT 'missing', '{c}'" for c in WIDE_COLUMNS if c not in ("doi", "client_id")))
+_Q56 = {"a": ("doi", "client_id", "o_comment"), "b": ("doi", "registered")}
+
+
+@query("q56_column_check", "\nUNION ALL\n".join(
+    f"SELECT '{folder}' AS folder, c AS \"column\", CASE WHEN c = 'o_comment' THEN 'unexpected' WHEN c IN "
+    f"({', '.join(repr(c) for c in have)}) THEN NULL ELSE 'missing' END AS problem, count(*) AS n_rows, "
+    f"CASE WHEN c = 'registered' AND '{folder}' = 'b' THEN min({adapters.DAY}) END AS low, "
+    f"CASE WHEN c = 'registered' AND '{folder}' = 'b' THEN max({adapters.DAY}) END AS high, "
+    f"CASE WHEN c IN ({', '.join(repr(c) for c in have)}) THEN CAST(count_if(CASE c WHEN 'doi' THEN {adapters.DOI} "
+    f"WHEN 'client_id' THEN {adapters.CID} WHEN 'registered' THEN {adapters.DAY} ELSE '' END IS NULL) AS BIGINT) END AS n_null "
+    f"FROM orders, (SELECT unnest({[*WIDE_COLUMNS, 'o_comment']}) AS c) "
+    f"WHERE o_orderkey % 2 = {i} AND (c <> 'o_comment' OR '{folder}' = 'a') GROUP BY c"
+    for i, (folder, have) in enumerate(_Q56.items())))
 def q56_column_check(spark, sf_dir):
-    return column_check(table(spark, sf_dir, "orders").select(
-        F.expr(adapters.DOI).alias("doi"), F.expr(adapters.CID).alias("client_id"), F.lit("").alias("o_comment")))
+    """Columns of landed shards against the expected ones, by the files' footers."""
+    root = scratch_path(spark, "q56")
+    cols = {"doi": F.expr(adapters.DOI), "client_id": F.expr(adapters.CID), "registered": F.expr(adapters.DAY), "o_comment": F.lit("")}
+    orders = table(spark, sf_dir, "orders")
+    for i, (folder, have) in enumerate(_Q56.items()):
+        write_chunks(orders.where(F.col("o_orderkey") % 2 == i).select(*[cols[c].alias(c) for c in have]), f"{root}/{folder}", 2000)
+    checked = shard_columns(read_footers(spark, shard_files(spark, root)))
+    text = lambda c: F.when(F.col("column") == "registered", F.col(c))  # noqa: E731 - the other columns' bounds may be cut
+    return (checked.withColumn("folder", F.regexp_extract("path", "([^/]*)/[^/]*$", 1)).groupBy("folder", "column", "problem")
+            .agg(F.sum("n_rows").alias("n_rows"), F.min(text("low")).alias("low"), F.max(text("high")).alias("high"),
+                 F.sum("n_null").alias("n_null")))
 
 
 # ------------------------------------------------- landed pages: chain and totals
@@ -948,5 +999,124 @@ def q57_canonical_json_of_texts(spark, sf_dir):
     return docs.select("doc_id", canon(F.try_parse_json(raw), "$").alias("canonical"))
 
 
+# ------------------------------------------------- selections on landed rows
+
+_LANDED = [("canonical", "Preprint", None, ("1996-01-01", "1997-12-31")), ("label", "Preprint", "preprint", ("1995-06-01", "1996")),
+           ("both", "Preprint", "preprint", (None, "1996-12-31T00:00:00Z"))]
+
+
+def _landed_sql() -> str:
+    fits = {"canonical": "(lower(resource_type_general) = 'preprint')::INT", "label": "(lower(trim(resource_type)) = 'preprint')::INT"}
+    fits["both"] = f"coalesce({fits['canonical']}, 0) + coalesce({fits['label']}, 0)"
+    return WIDE_CTE + "\nUNION ALL\n".join(
+        f"SELECT '{mode}' AS selection, doi, client_id, registered, coalesce({fits[mode]}, 0) AS times FROM recs "
+        f"WHERE coalesce({fits[mode]}, 0) > 0 AND substr(registered, 1, 10) <= '{until}'"
+        + (f" AND substr(registered, 1, 10) >= '{since}'" if since else "") for mode, _, _, (since, until) in _LANDED)
+
+
+@query("q58_landed_selections", _landed_sql())
+def q58_landed_selections(spark, sf_dir):
+    """Selections over rows landed with folded types and in date order; a row
+    that "both" finds twice counts twice."""
+    path = scratch_path(spark, "q58") + "/landed"
+    land(wide_records(spark, sf_dir), path)
+    parts = []
+    for mode, type_id, label, (since, until) in _LANDED:
+        got = select_landed(spark, path, type_mode=mode, type_id=type_id, label=label, date_start=since, date_end=until)
+        parts.append(got.groupBy("doi", "client_id", "registered", "raw_attributes_json").agg(F.count(F.lit(1)).cast("int").alias("times"))
+                     .select(F.lit(mode).alias("selection"), "doi", "client_id", "registered", "times"))
+    return union_all(parts)
+
+
+# ------------------------------------------------- enriched sheet and labelled folder
+
+@query("q59_enriched_catalog", SHEET_CTE.replace("source AS name, lang FROM documents", "coalesce(source, '') AS name, "
+       "coalesce(lang, '') AS lang FROM documents") + "SELECT * FROM (" + SHEET_SELECT + "LEFT JOIN sheet ON cat.id = sheet.source_id), "
+       "(SELECT unnest(['csv', 'parquet']) AS sink)")
+def q59_enriched_catalog(spark, sf_dir):
+    """Catalogue x sheet as a plan: both written files, read again."""
+    root = scratch_path(spark, "q59")
+    cat, sheet = _sheet_inputs(spark, sf_dir)
+    write_csv(cat, f"{root}/catalog.csv")
+    write_csv(sheet.select("source_id", "quality", "toxic", "name", F.col("_line.row").alias("_line")), f"{root}/sheet.csv")
+    done = merge_catalog_with_sheet(spark, f"{root}/catalog.csv", f"{root}/sheet.csv", select_cols=["quality", "toxic", "name"],
+                                    out_csv=f"{root}/out.csv", out_parquet=f"{root}/out.parquet")
+    back = spark.read.parquet(done["out_parquet"])
+    if back.count() != done["rows"]:
+        raise AssertionError(f"{done['rows']} rows were counted while {back.count()} were written")
+    # a CSV file does not tell an empty field from a missing one: unmatched rows are told by their key
+    text = spark.read.schema(back.schema).option("header", True).option("escape", '"').option("multiLine", True).csv(done["out_csv"])
+    blank = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("id", "name_x", "lang")]
+    matched = F.col("quality").isNotNull()
+    keyed = [F.when(matched, F.coalesce(F.col(c), F.lit(""))).alias(c) for c in ("source_id", "quality", "toxic", "name_y")]
+    return back.withColumn("sink", F.lit("parquet")).unionByName(text.select(*blank, *keyed).withColumn("sink", F.lit("csv")))
+
+
+@query("q60_labelled_folder", SQL["q21_labelled_slim"])
+def q60_labelled_folder(spark, sf_dir):
+    """The usual run over a folder of merged datasets: its newest one extends
+    the catalogue in place and is labelled from it."""
+    root = scratch_path(spark, "q60")
+    wide = wide_records(spark, sf_dir)
+    wide.limit(0).write.parquet(f"{root}/merged/merged_20240101_000000.parquet")
+    wide.write.parquet(f"{root}/merged/merged_20240102_000000.parquet")
+    names = label_catalog(spark, sf_dir)
+    write_catalog(names.select(*[F.col(c) if c in names.columns else F.lit("").alias(c) for c in CLIENT_COLUMNS]), f"{root}/catalog.csv")
+    done = enrich_folder(spark, f"{root}/merged", "merged_", f"{root}/catalog.csv", client_records(spark, sf_dir))
+    return spark.read.parquet(done["labelled_path"])
+
+
+# ------------------------------------------------- whole chains (H5)
+
+_CHAIN_SQL = """
+WITH RECURSIVE mx AS (SELECT conv_id, max(turn) AS mt FROM conversations GROUP BY conv_id),
+pages AS (
+  SELECT c.conv_id, c.turn, CASE WHEN c.conv_id % 5 = 1 AND c.turn = mt THEN least(1, mt) WHEN c.turn = mt THEN NULL
+    WHEN c.conv_id % 5 = 2 AND c.turn = 1 AND mt >= 3 THEN 3 WHEN c.conv_id % 5 = 3 AND c.turn = 1 THEN 1000
+    ELSE c.turn + 1 END AS next_turn
+  FROM conversations c JOIN mx ON c.conv_id = mx.conv_id),
+led AS (SELECT DISTINCT conv_id, next_turn AS turn FROM pages WHERE next_turn <> turn),
+first AS (SELECT p.conv_id, coalesce(min(CASE WHEN l.turn IS NULL THEN p.turn END), min(p.turn)) AS turn
+          FROM pages p LEFT JOIN led l ON l.conv_id = p.conv_id AND l.turn = p.turn GROUP BY p.conv_id),
+walk AS (SELECT conv_id, turn, 0 AS pos FROM first
+         UNION SELECT p.conv_id, p.next_turn, pos + 1 FROM walk w JOIN pages p ON p.conv_id = w.conv_id AND p.turn = w.turn
+         JOIN mx ON mx.conv_id = p.conv_id WHERE p.next_turn IS NOT NULL AND p.next_turn <= mt AND pos <= mt),
+ring AS (SELECT conv_id, turn AS origin, next_turn AS turn, 1 AS n FROM pages WHERE next_turn IS NOT NULL
+         UNION SELECT p.conv_id, r.origin, p.next_turn, n + 1 FROM ring r JOIN pages p ON p.conv_id = r.conv_id AND p.turn = r.turn
+         JOIN mx ON mx.conv_id = p.conv_id WHERE p.next_turn IS NOT NULL AND n <= mt AND r.turn <> r.origin),
+place AS (SELECT conv_id, turn, min(pos) AS position FROM walk GROUP BY ALL),
+cycle AS (SELECT DISTINCT conv_id, origin AS turn FROM ring WHERE origin = turn)
+"""
+
+
+def _chain_pages(spark, sf_dir):
+    """Conversations as chains of pages: some close to a ring, some leave a
+    page out that still leads back in, some break off."""
+    conv = table(spark, sf_dir, "conversations")
+    last = conv.groupBy("conv_id").agg(F.max("turn").alias("mt"))
+    kind, turn, mt = F.col("conv_id") % 5, F.col("turn"), F.col("mt")
+    to = (F.when((kind == 1) & (turn == mt), F.least(F.lit(1), mt)).when(turn == mt, None)
+          .when((kind == 2) & (turn == 1) & (mt >= 3), 3).when((kind == 3) & (turn == 1), 1000).otherwise(turn + 1))
+    return conv.join(last, "conv_id").select("conv_id", "turn", to.cast("long").alias("next_turn"))
+
+
+@query("q61_chain_order", _CHAIN_SQL + """
+SELECT p.conv_id, p.turn, p.next_turn, CAST(position AS BIGINT) AS position, c.turn IS NOT NULL AS on_cycle
+FROM pages p LEFT JOIN place ON place.conv_id = p.conv_id AND place.turn = p.turn
+LEFT JOIN cycle c ON c.conv_id = p.conv_id AND c.turn = p.turn""")
+def q61_chain_order(spark, sf_dir):
+    return chain_order(_chain_pages(spark, sf_dir), "conv_id", "turn", "next_turn")
+
+
+@query("q61b_chain_order_problems", _CHAIN_SQL + """
+SELECT p.conv_id, p.turn, p.next_turn, 'unreachable' AS problem FROM pages p
+LEFT JOIN place ON place.conv_id = p.conv_id AND place.turn = p.turn WHERE position IS NULL
+UNION ALL SELECT p.conv_id, p.turn, p.next_turn, 'cycle' FROM pages p JOIN cycle c ON c.conv_id = p.conv_id AND c.turn = p.turn
+UNION ALL SELECT conv_id, min(turn), next_turn, 'doubled_link' FROM pages WHERE next_turn IS NOT NULL
+GROUP BY conv_id, next_turn HAVING count(*) > 1""")
+def q61b_chain_order_problems(spark, sf_dir):
+    return chain_order_problems(_chain_pages(spark, sf_dir), "conv_id", "turn", "next_turn")
+
+
 QUERIES = Q
 ORACLE = SQL

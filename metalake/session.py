@@ -129,8 +129,7 @@ _LOCAL_ROOT: str | None = None
 MB = 1 << 20
 
 
-def scale_conf(shuffle_bytes: int, total_cores: int, target_partition_mb: int = 256,
-               max_partitions: int = 50_000) -> dict:
+def scale_conf(shuffle_bytes: int, total_cores: int, target_partition_mb: int = 256) -> dict:
     """Shuffle sizing for a given expected shuffle volume.
 
     One initial shuffle partition per ``target_partition_mb`` of shuffled
@@ -172,6 +171,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/metalake-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def kept(df, name: str):
+    """``df`` written to the shared scratch folder and read back. A join with
+    it is a join of two plain shuffles, whose skewed partitions Spark splits;
+    it does not split those next to an aggregation or a window."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_path(path: str) -> str | None:
     """Filesystem path for ``file:`` URIs or plain paths, else ``None``."""
     if path.startswith("file:"):

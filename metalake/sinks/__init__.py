@@ -3,14 +3,24 @@ dataset that is replaced in place goes through ``versions``."""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from ..schema import CLIENT_COLUMNS, SLIM_COLUMNS
 from ..versions import replace
 
 
+def count_rows(df: DataFrame, name: str) -> tuple[Callable[[], int], DataFrame]:
+    """``df`` and the number of its rows, counted by the action that writes it
+    (of several, by the first)."""
+    seen = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
+    return (lambda: seen.get["n"]), df.observe(seen, F.count(F.lit(1)).alias("n"))
+
+
 def write_chunks(df: DataFrame, path: str, max_rows: int = 100_000, mode: str = "append") -> str:
     """A3: Parquet part files of at most ``max_rows`` rows each. Appends get
     unique part names, so a resumed run never overwrites earlier chunks."""
@@ -28,8 +38,10 @@ def write_ndjson(df: DataFrame, path: str, gzip: bool = False, mode: str = "appe
 
 
 def _csv_writer(df: DataFrame, mode: str):
+    # Spark's writer trims values unless told not to.
     return (df.write.mode(mode).option("header", True).option("quote", '"')
-            .option("escape", '"').option("quoteAll", False))
+            .option("escape", '"').option("quoteAll", False)
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
 
 
 def write_catalog(df: DataFrame, path: str) -> str:

@@ -74,31 +74,52 @@ def _re_escape(s: str) -> str:
     return re.escape(s)
 
 
-#: A full date in a folder name.
-_DAY = r"[0-9]{4}-[0-9]{2}-[0-9]{2}"
+# --- fixed values: how run folders and files name their dates ---------------
+#: A day; the most characters between two days that belong together; the words
+#: before the first and the second day where both are named, each followed by
+#: one separator or none.
+_DAY = "[0-9]{4}-[0-9]{2}-[0-9]{2}"
+_NEAR = 5
+_OPENING, _CLOSING = "from", "until"
+_SEPARATORS = ("_", "-")
+
+
+def _without_separator(text: Column) -> Column:
+    last = F.right(text, F.lit(1)).isin(*_SEPARATORS)
+    return F.when(last, F.left(text, F.length(text) - 1)).otherwise(text)
+
+
+def _day_pairs(text: Column) -> Column:
+    """All neighbouring days of a text with what stands before and between them."""
+    days, around = F.regexp_extract_all(text, F.lit(_DAY), F.lit(0)), F.split(text, _DAY, -1)
+    return F.transform(F.slice(days, 2, F.greatest(F.size(days) - 1, F.lit(0))), lambda end, i: F.struct(
+        F.get(days, i).alias("start"), end.alias("end"), _without_separator(F.get(around, i)).alias("before"),
+        F.get(around, i + 1).alias("between")))
 
 
 def run_date_range(path_col) -> Column:
-    """``struct(start, end)`` of a run folder: the first two dates of the
-    base name that stand close together (at most five characters between
-    them, or a few and the word "until"), else of the whole path; NULLs when
-    there are none."""
-    p = F.col(path_col) if isinstance(path_col, str) else path_col
+    """``struct(start, end)`` of a run folder or file, NULLs without one.
+
+    Two forms are known: ``2020-01-01_2020-02-01``, two days at most five
+    characters apart, and ``from_2020-01-01_until_2020-02-01``, where "from"
+    stands before the first day and "until" before the second, with at most
+    five characters between the first day and "until". The last part of the
+    path is searched for the first form, then for the second; then the whole
+    path likewise. Of several pairs the first counts.
+    """
+    path = F.col(path_col) if isinstance(path_col, str) else path_col
+
+    def near(pair: Column) -> Column:
+        return F.length(pair["between"]) <= _NEAR
+
+    def named(pair: Column) -> Column:
+        between = _without_separator(pair["between"])
+        return (pair["before"].endswith(_OPENING) & between.endswith(_CLOSING)
+                & (F.length(between) <= _NEAR + len(_CLOSING)))
 
-    def first_pair(text: Column) -> Column:
-        dates = F.regexp_extract_all(text, F.lit(_DAY), F.lit(0))
-        gaps = F.split(text, _DAY, -1)  # gaps[i + 1] stands between dates i and i + 1
-        n = F.size(dates)
-        pairs = F.transform(F.when(n > 1, F.sequence(F.lit(0), n - 2)).otherwise(F.array().cast("array<int>")),
-                            lambda i: F.struct(F.get(dates, i).alias("start"), F.get(dates, i + 1).alias("end"),
-                                               F.get(gaps, i + 1).alias("gap")))
-        return F.get(F.filter(pairs, lambda x: (F.length(x["gap"]) <= 5) | x["gap"].rlike("^.{0,5}until[_-]?$")),
-                     F.lit(0))
-
-    base = first_pair(file_name(p))
-    whole = first_pair(p)
-    return F.struct(F.coalesce(base["start"], whole["start"]).alias("start"),
-                    F.coalesce(base["end"], whole["end"]).alias("end"))
+    found = F.coalesce(*[F.get(F.filter(_day_pairs(text), form), F.lit(0))
+                         for text in (file_name(path), path) for form in (near, named)])
+    return F.struct(found["start"].alias("start"), found["end"].alias("end"))
 
 
 def latest_dataset(spark: SparkSession, directory: str, prefix: str, ext: str) -> DataFrame:

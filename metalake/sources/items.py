@@ -44,13 +44,26 @@ def _only(documents: DataFrame, kinds: tuple, made: Column, name: str, keep: lis
     return documents.select(F.explode(F.when(F.col("kind").isin(*kinds), made).otherwise(empty)).alias(name), *keep)
 
 
+def _found(v: Column, kind: Column) -> Column:
+    """The items of a document as an array; NULL for a reject."""
+    return (F.when(kind == "item", F.array(v)).when(kind == "page", F.try_variant_get(v, "$.data", "array<variant>"))
+            .when(kind == "lookup", F.array(F.try_variant_get(v, "$.data", "variant"))))
+
+
 def items_of(documents: DataFrame) -> DataFrame:
     """One item per row (``v``) of readable documents, with their other columns."""
-    v, kind = F.col("v"), F.col("kind")
-    found = (F.when(kind == "item", F.array(v)).when(kind == "page", F.try_variant_get(v, "$.data", "array<variant>"))
-             .when(kind == "lookup", F.array(F.try_variant_get(v, "$.data", "variant"))))
     keep = [c for c in documents.columns if c not in ("v", "raw", "kind")]
-    return documents.select(F.explode(found).alias("v"), *keep)  # NULL (a reject) gives no row
+    return documents.select(F.explode(_found(F.col("v"), F.col("kind"))).alias("v"), *keep)  # NULL (a reject) gives no row
+
+
+def landed_of(documents: DataFrame) -> DataFrame:
+    """Items and rejects of documents in one pass: one row per item (``v``) and
+    one per document that holds none (``v`` NULL, with its ``reason``)."""
+    kind = F.col("kind")
+    reject = kind.isin("malformed", "error")
+    found = F.when(reject, F.array(F.lit(None).cast("variant"))).otherwise(_found(F.col("v"), kind))
+    keep = [c for c in documents.columns if c not in ("v", "kind")]
+    return documents.select(F.explode(found).alias("v"), F.when(reject, kind).alias("reason"), *keep)
 
 
 def rejected_of(documents: DataFrame) -> DataFrame:

@@ -2,14 +2,15 @@
 "best row per key", on Structured Streaming.
 
 * H1 ``ingest_records``: the landing folder is a file stream; every
-  micro-batch is exploded, flattened and appended to a Parquet table by the
-  file sink. The checkpoint location records which files were consumed and
-  which sink files were committed, so a restart continues where it stopped
-  and never duplicates rows (the position bookkeeping of a page-cursor
-  harvester, done by the engine). Documents that cannot be read go to a
-  reject table by a second stream with a checkpoint of its own.
+  micro-batch is parsed once and written by one job into one Parquet table,
+  its wide rows and its rejects side by side, under a partition of the
+  batch's own. The checkpoint location records which files were consumed, so
+  a restart continues where it stopped; a batch that is replayed after a
+  failure overwrites its own partition, so nothing is lost or doubled (the
+  position bookkeeping of a page-cursor harvester, done by the engine).
 * H2 ``maintain_best_rows``: a streaming ``min_by`` aggregation keeps the
-  best row per key in the state store (RocksDB), and each batch appends only
+  best row per key in the state store (RocksDB). ``read_best_state`` reads
+  that store; where a log of updates is wanted too, each batch appends only
   the keys it changed.
 """
 
@@ -19,12 +20,24 @@ import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.utils import AnalysisException
 
+from ..functions import is_missing, vget
 from ..operators.dedup import richness, tie_hash, top1
 from ..operators.flatten import flatten_items
-from ..sources.items import items_of, parsed_documents, rejected_of
+from ..schema import WIDE_COLUMNS, WIDE_SCHEMA
+from ..sources.items import items_of, landed_of, parsed_documents
+
+#: An ingested table: wide rows, reject columns, and its two partition columns.
+INGEST_SCHEMA = T.StructType(
+    list(WIDE_SCHEMA) + [T.StructField(c, T.StringType()) for c in ("raw", "reason", "source_file")]
+    + [T.StructField("batch_id", T.LongType()), T.StructField("outcome", T.StringType())])
+
+
+#: How long the listener bus may lag behind a query that has ended.
+EVENTS_S = 300
 
 
 class _Totals(StreamingQueryListener):
@@ -58,7 +71,10 @@ def run_available(spark: SparkSession, writer, start) -> dict:
     spark.streams.addListener(totals)
     try:
         start(writer.queryName(totals.name).trigger(availableNow=True)).awaitTermination()
-        totals.ended.wait(60)  # events arrive after the query itself has ended
+        # Events arrive after the query itself has ended; totals without the
+        # last of them would be short.
+        if not totals.ended.wait(EVENTS_S):
+            raise TimeoutError(f"the stream ended, but its progress events did not arrive within {EVENTS_S} s")
     finally:
         spark.streams.removeListener(totals)
     return {"batches": totals.batches, "rows": totals.rows}
@@ -81,32 +97,60 @@ def record_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger:
     return items_of(document_stream(spark, landing_dir, max_files_per_trigger, multiline)).select("v")
 
 
+def landed_rows(documents: DataFrame) -> DataFrame:
+    """Items (``v``) and rejects (``raw`` with ``reason``) of parsed documents,
+    with their ``source_file``, in one pass over them."""
+    kept = F.when(F.col("reason").isNull(), F.lit(None)).otherwise(F.col("raw"))
+    return landed_of(documents).select("v", kept.alias("raw"), "reason", "source_file")
+
+
+def write_landed(batch: DataFrame, batch_id: int, out_dir: str, max_rows_per_file: int, partitions: int | None = None) -> None:
+    """One micro-batch of ``landed_rows`` as the partition of its own. The
+    same batch written again replaces it, whatever the session's overwrite mode."""
+    rows = batch.repartition(partitions) if partitions else batch
+    rows = rows.where(F.col("reason").isNotNull() | ~is_missing(vget("v", "$.attributes")))
+    wide = flatten_items(rows, keep=["raw", "reason", "source_file"], drop_without_attributes=False)
+    outcome = F.when(F.col("reason").isNull(), "item").otherwise("reject")
+    (wide.withColumns({"batch_id": F.lit(batch_id).cast("long"), "outcome": outcome})
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max_rows_per_file)
+     .partitionBy("batch_id", "outcome").parquet(out_dir))
+
+
 def ingest_records(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint_dir: str,
                    max_files_per_trigger: int | None = None, multiline: bool = False,
-                   max_rows_per_file: int = 100_000, partitions: int | None = None,
-                   reject_dir: str | None = None) -> dict:
+                   max_rows_per_file: int = 100_000, partitions: int | None = None) -> dict:
     """H1: flatten everything landed so far into ``out_dir`` and stop
     (``availableNow``); run again later to pick up only new files.
 
-    Malformed and error documents go to ``reject_dir`` (default:
-    ``<out_dir>_rejects``) with file and reason. ``partitions`` round-robins
-    each micro-batch's items before the flatten, for landings of a few large
-    gzip files (one task per file otherwise).
+    ``read_ingested`` gives the wide rows, ``read_ingest_rejects`` the
+    malformed and error documents with file and reason. ``partitions``
+    round-robins each micro-batch's rows before the flatten, for landings of
+    a few large gzip files (one task per file otherwise).
     """
-    items = record_stream(spark, landing_dir, max_files_per_trigger, multiline)
-    if partitions:
-        items = items.repartition(partitions)
-    writer = (flatten_items(items).writeStream.format("parquet")
-              .option("checkpointLocation", checkpoint_dir)
-              .option("maxRecordsPerFile", max_rows_per_file).outputMode("append"))
-    done = run_available(spark, writer, lambda w: w.start(out_dir))
-    reject_dir = reject_dir or f"{out_dir.rstrip('/')}_rejects"
-    bad = rejected_of(document_stream(spark, landing_dir, max_files_per_trigger, multiline))
-    run_available(spark, bad.writeStream.format("json").outputMode("append")
-                  .option("checkpointLocation", f"{checkpoint_dir.rstrip('/')}_rejects"),
-                  lambda w: w.start(reject_dir))
+    rows = landed_rows(document_stream(spark, landing_dir, max_files_per_trigger, multiline))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_landed(batch, batch_id, out_dir, max_rows_per_file, partitions)
+
+    done = run_available(spark, rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_dir),
+                         lambda w: w.start())
     # Input rows of a text stream are landed documents (pages), not items.
-    return {"batches": done["batches"], "input_docs": done["rows"], "rejects": reject_dir}
+    return {"batches": done["batches"], "input_docs": done["rows"]}
+
+
+def _ingested(spark: SparkSession, out_dir: str, outcome: str) -> DataFrame:
+    return (spark.read.schema(INGEST_SCHEMA).option("basePath", out_dir).parquet(out_dir)
+            .where(F.col("outcome") == outcome))
+
+
+def read_ingested(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The wide rows of all batches."""
+    return _ingested(spark, out_dir, "item").select(*WIDE_COLUMNS)
+
+
+def read_ingest_rejects(spark: SparkSession, out_dir: str) -> DataFrame:
+    """``raw, reason, source_file`` of the landed documents that hold no item."""
+    return _ingested(spark, out_dir, "reject").select("raw", "reason", "source_file")
 
 
 # ----------------------------------------------- H2 on the state store
@@ -136,37 +180,46 @@ def best_row_updates(stream: DataFrame, key: str, rich, order,
     return best.select(key, "_best.*")
 
 
-def maintain_best_rows(spark: SparkSession, stream: DataFrame, log_dir: str,
+def maintain_best_rows(spark: SparkSession, stream: DataFrame, log_dir: str | None,
                        checkpoint_dir: str, key: str, rich, order,
                        tie_break: str | None = None,
                        state_partitions: int | None = None) -> dict:
-    """H2 with per-key state: every micro-batch's updated best rows are
-    written to ``log_dir/batch_id=N``, and only that partition is replaced
-    when a batch is replayed, whatever the session's overwrite mode.
-    ``read_best_rows`` returns the latest row per key.
+    """H2 with per-key state, which ``read_best_state`` reads from the
+    checkpoint. With ``log_dir`` every micro-batch's updated best rows are
+    written to ``log_dir/batch_id=N`` too, and only that partition is replaced
+    when a batch is replayed, whatever the session's overwrite mode;
+    ``read_best_rows`` returns the latest row per key of the log.
 
     ``state_partitions`` fixes the number of state-store partitions (each
     one is a RocksDB instance per micro-batch; AQE cannot coalesce them).
     It applies when the query first starts and is then kept in the
     checkpoint; size it to the cluster, not to the session default.
     """
-    updates = best_row_updates(stream, key, rich, order, tie_break)
+    updates = best_row_updates(stream, key, rich, order, tie_break).writeStream.outputMode("update")
 
     def _fn(batch: DataFrame, batch_id: int) -> None:
         (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(log_dir))
 
+    updates = updates.foreachBatch(_fn) if log_dir else updates.format("noop")
     previous = spark.conf.get("spark.sql.shuffle.partitions")
     if state_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     try:
-        return run_available(spark, updates.writeStream.outputMode("update").foreachBatch(_fn)
-                             .option("checkpointLocation", checkpoint_dir), lambda w: w.start())
+        return run_available(spark, updates.option("checkpointLocation", checkpoint_dir), lambda w: w.start())
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", previous)
 
 
+def read_best_state(spark: SparkSession, checkpoint_dir: str, key: str) -> DataFrame:
+    """The best row per key as the state store holds it after the last
+    committed batch: one row per key is read, no log and no compaction."""
+    state = spark.read.format("statestore").load(checkpoint_dir)
+    best = next(f.name for f in state.schema["value"].dataType if f.name.startswith("valueWith"))
+    return state.select(F.col(f"key.`{key}`").alias(key), f"value.{best}.*")
+
+
 def _compacted(spark: SparkSession, log_dir: str) -> DataFrame | None:
     """The compacted bases, one partition ``upto`` each. Only a folder that is
     not there means that there are none; any other failure is raised."""

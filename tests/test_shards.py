@@ -6,7 +6,9 @@ import os
 
 import pandas as pd
 
-from metalake.operators.shards import shard_report, unify_shards
+from pyspark.sql import functions as F
+
+from metalake.operators.shards import read_footers, shard_columns, shard_report, unify_shards
 from metalake.sources.files import list_files, run_date_range, shard_files
 from metalake.plans.merge import merge_shards
 
@@ -98,3 +100,56 @@ def test_run_date_range(spark):
                                 ("/x/y/run_2021-03-04_2021-05-06.parquet",)], "p string")
     got = [(r[0]["start"], r[0]["end"]) for r in df.select(run_date_range("p")).collect()]
     assert got == [("2020-01-01", "2020-02-01")] * 3 + [(None, None), ("2021-03-04", "2021-05-06")]
+
+
+def test_many_layouts_in_one_pass(spark, tmp_dir):
+    """Every file has a layout of its own; the plan does not know how many there are."""
+    d = os.path.join(tmp_dir, "batches")
+    os.makedirs(d)
+    kinds = [lambda i: i, lambda i: float(i), lambda i: str(i), lambda i: None]
+    for i in range(500):
+        pd.DataFrame({"doi": [f"10.1/{i}"], f"extra_{i % 60}": [kinds[i % 4](i)], "published_year": [kinds[i % 3](i)]}).to_parquet(
+            f"{d}/chunk_{i:05d}.parquet")
+    shards = unify_shards(spark, shard_files(spark, d))
+    plan = shards.data._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Union" not in plan and "chunk_" not in plan and "FileScan" not in plan.replace(
+        "FileScan parquet [path", "")
+    got = {r["doi"]: r for r in shards.data.collect()}
+    assert len(got) == 500 and all(got[f"10.1/{i}"]["published_year"] == i for i in range(500))
+    assert got["10.1/6"]["extra_6"] == "6" and got["10.1/7"]["extra_7"] is None and len(shards.target) == 62
+    assert shards.rejects.count() == 0
+    few = unify_shards(spark, shard_files(spark, d), columns=["doi"]).data
+    assert few.columns == ["doi"] and few.count() == 500
+
+
+def test_row_groups_of_a_large_file_are_dealt_out(spark, tmp_dir):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    rows = pa.table({"doi": [f"10.1/{i}" for i in range(5000)], "n": list(range(5000)), "d": pa.array(["x", "y"] * 2500).dictionary_encode(),
+                     "u": pa.array(range(5000), pa.uint64()), "t": pa.array([0] * 5000, pa.timestamp("ns"))})
+    pq.write_table(rows, os.path.join(tmp_dir, "large.parquet"), row_group_size=250)
+    shards = unify_shards(spark, shard_files(spark, tmp_dir), unit_bytes=20_000)
+    data = shards.data
+    assert data.rdd.getNumPartitions() >= 8 and data.count() == 5000
+    assert data.agg({"n": "sum"}).first()[0] == sum(range(5000))
+    assert [t for _, t in data.dtypes] == ["string", "bigint", "string", "double", "timestamp"]
+    per_task = data.groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) >= 8 and max(r["count"] for r in per_task) < 1500
+
+
+def test_report_and_columns_read_no_data_page(spark, tmp_dir):
+    """The footers answer: the data pages of this file are overwritten with noise."""
+    path = os.path.join(tmp_dir, "chunk_00000.parquet")
+    pd.DataFrame({"doi": [f"10.1/{i:04d}" for i in range(1000)], "registered": [None, "2020-01-01"] * 500}).to_parquet(path)
+    size = os.path.getsize(path)
+    with open(path, "r+b") as fh:
+        fh.seek(4)
+        fh.write(b"\0" * 2000)
+    assert os.path.getsize(path) == size
+    files = read_footers(spark, shard_files(spark, tmp_dir))
+    rep = shard_report(files, max_rows=999).first()
+    assert (rep["n_rows"], rep["over_limit"], rep["empty"], rep["readable"]) == (1000, True, False, True)
+    cols = {r["column"]: r for r in shard_columns(files, ["doi", "registered", "url"]).collect()}
+    assert (cols["doi"]["low"], cols["doi"]["high"], cols["doi"]["n_null"], cols["doi"]["problem"]) == ("10.1/0000", "10.1/0999", 0, None)
+    assert cols["registered"]["n_null"] == 500 and cols["url"]["problem"] == "missing"
+    assert shard_columns(files, ["doi"]).where("problem = 'unexpected'").select("column").collect()[0][0] == "registered"
