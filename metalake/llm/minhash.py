@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +45,15 @@ def shingles(words: list[bytes], size: int) -> set[tuple[bytes, ...]]:
     return set(zip(*[words[i:] for i in range(size)]))
 
 
+def packed(words: list[bytes]) -> bytes:
+    """A sequence of words as it is kept and shuffled."""
+    return zstandard.compress(b" ".join(words), 1)
+
+
+def unpacked(kept: bytes) -> list[bytes]:
+    return zstandard.decompress(kept).split()
+
+
 def hash_family(hashes: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Multiply-add-shift functions x -> (a x + b mod 2^64) >> 32, a universal family over 32 bits."""
     rng = np.random.default_rng(seed)
@@ -65,14 +75,13 @@ def signature(keys: np.ndarray, a: np.ndarray, b: np.ndarray, step: int = 512) -
 
 
 def signatures(docs: DataFrame, size: int, hashes: int, seed: int) -> DataFrame:
-    """One row per document: its words joined by single spaces, their SHA-256,
-    the number of distinct shingles and the signature of their set."""
+    """One row per document: the packed sequence of its words, its SHA-256, the
+    number of distinct shingles and the signature of their set."""
     a, b = hash_family(hashes, seed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_rows(batches, 128):
             texts = [words_of(t) for t in text_bytes(batch.column(2))]
-            joined = [b" ".join(w) for w in texts]
             held = pa.array([w for words in texts for w in words], pa.large_binary()).dictionary_encode()
             known = held.dictionary.to_pylist()
             word_hash = np.array([int.from_bytes(hashlib.blake2b(w, digest_size=8).digest()) for w in known], np.uint64)
@@ -99,8 +108,8 @@ def signatures(docs: DataFrame, size: int, hashes: int, seed: int) -> DataFrame:
                     key = _mixed(key * _SEED + word_hash[grams[:, k]])
                 signs.append(signature(key >> np.uint64(32), a, b).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([hashlib.sha256(w).digest() for w in joined], pa.binary()),
-                 pa.array(counts, pa.int64()), pa.array(joined, pa.binary()), pa.array(signs, pa.binary())],
+                [batch.column(0), batch.column(1), pa.array([hashlib.sha256(b" ".join(w)).digest() for w in texts], pa.binary()),
+                 pa.array(counts, pa.int64()), pa.array([packed(w) for w in texts], pa.binary()), pa.array(signs, pa.binary())],
                 names=["row", "doc_id", "digest", "n_shingles", "words", "signature"])
 
     return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
@@ -137,10 +146,10 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, share: int) -> Data
         last, held = None, set()
         for batch in arrow_rows(batches, 64):
             keep = []
-            for left, right in zip(text_bytes(batch.column(2)), text_bytes(batch.column(3))):
+            for left, right in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 if left != last:
-                    last, held = left, shingles(left.split(), size)
-                other = shingles(right.split(), size)
+                    last, held = left, shingles(unpacked(left), size)
+                other = shingles(unpacked(right), size)
                 both = len(held & other)
                 keep.append(100 * both >= share * (len(held) + len(other) - both))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
@@ -192,13 +201,13 @@ def overlaps(left: list[set], right: list[set], step: int = 8192) -> np.ndarray:
 
 
 def block_links(active: DataFrame, near: DataFrame, size: int, share: int, hashes: int, block: int = 256,
-                block_bytes: int = 8 << 20) -> DataFrame:
+                block_bytes: int = 4 << 20) -> DataFrame:
     """Links among the components of each bucket, found block by block.
 
     In every bucket the commonest component is left out of the left side, so
     that a large group with a few strangers costs one comparison of the
     strangers with it. A block holds about ``block`` rows and ``block_bytes``
-    of words. Each task sifts its pairs of different components by signature,
+    of packed words. Each task sifts its pairs of different components by signature,
     compares full sets, and passes on a spanning forest of its links.
     """
     least = least_agreeing(hashes, share)
@@ -234,7 +243,7 @@ def block_links(active: DataFrame, near: DataFrame, size: int, share: int, hashe
                 maybe[i] &= (signs_a[i] == signs_b).sum(axis=1) >= least
             rows, others = np.flatnonzero(maybe.any(axis=1)), np.flatnonzero(maybe.any(axis=0))
             if len(rows):
-                sets = [[shingles(t["words"][int(i)].as_py().split(), size) for i in some] for t, some in ((a, rows), (b, others))]
+                sets = [[shingles(unpacked(t["words"][int(i)].as_py()), size) for i in some] for t, some in ((a, rows), (b, others))]
                 both = overlaps(*sets)
                 union = counts[0][rows][:, None] + counts[1][others] - both
                 hit = np.argwhere((100 * both >= share * union) & maybe[np.ix_(rows, others)])
