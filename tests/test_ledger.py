@@ -9,8 +9,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from metalake.operators.ledger import (decoded_cursor, expected_vs_harvested, page_chain_problems, read_checkpoints,
-                                       run_ledger, signature_hash, signature_hash_col)
+from metalake.operators.ledger import (chain_order, chain_order_problems, decoded_cursor, expected_vs_harvested,
+                                       page_chain_problems, read_checkpoints, run_ledger, signature_hash, signature_hash_col)
 
 # Golden samples: the filter objects of three real runs and the 12-hex hash
 # their checkpoint files are named after.
@@ -87,3 +87,39 @@ def test_base64_cursors_are_ordered_by_their_number(spark):
     ], "g string, cursor string, next_cursor string")
     got = sorted((r["g"], r["problem"]) for r in page_chain_problems(pages, "g").collect())
     assert got == [("b", "not_advancing"), ("c", "gap")]
+
+
+def chain(spark, links, kind="long"):
+    return spark.createDataFrame(links, f"run string, cursor {kind}, next_cursor {kind}")
+
+
+def placed(df):
+    return {(r["run"], r["cursor"]): (r["position"], r["on_cycle"]) for r in df.collect()}
+
+
+def test_whole_chain_order(spark):
+    links = ([("long", i, i + 1) for i in range(99)] + [("long", 99, None)]
+             + [("ring", 1, 2), ("ring", 2, 3), ("ring", 3, 1)] + [("self", 5, 5)]
+             + [("branch", 1, 3), ("branch", 2, 3), ("branch", 3, 4), ("branch", 4, None)]
+             + [("broken", 1, 2), ("broken", 2, 70), ("broken", 7, 8), ("broken", 8, None)]
+             + [("rho", 1, 2), ("rho", 2, 3), ("rho", 3, 2)] + [("twice", 1, 2), ("twice", 1, 2), ("twice", 2, None)]
+             + [(None, 1, 2), (None, 2, None)] + [("first", None, 4), ("first", 4, None)])
+    got = placed(chain_order(chain(spark, links), "run"))
+    assert [got["long", i] for i in range(100)] == [(i, False) for i in range(100)]
+    assert [got["ring", i] for i in (1, 2, 3)] == [(0, True), (1, True), (2, True)] and got["self", 5] == (0, True)
+    assert [got["branch", i][0] for i in (1, 2, 3, 4)] == [0, None, 1, 2]
+    assert [got["broken", i][0] for i in (1, 2, 7, 8)] == [0, 1, None, None]
+    assert [got["rho", i] for i in (1, 2, 3)] == [(0, False), (1, True), (2, True)]
+    assert [got["twice", i][0] for i in (1, 2)] == [0, 1] and [got[None, i][0] for i in (1, 2)] == [0, 1]
+    assert got["first", None] == (0, False) and got["first", 4] == (1, False)
+    problems = {tuple(r) for r in chain_order_problems(chain(spark, links), "run").collect()}
+    assert {(r, c, p) for r, c, _, p in problems if r == "branch"} == {("branch", 2, "unreachable"), ("branch", 1, "doubled_link")}
+    assert {(r, c, p) for r, c, _, p in problems if r == "rho"} == {("rho", 2, "cycle"), ("rho", 3, "cycle"), ("rho", 1, "doubled_link")}
+    assert not [p for p in problems if p[0] in ("long", "twice", None, "first")]
+    assert chain_order(chain(spark, []), "run").count() == 0
+
+
+def test_chain_of_text_cursors(spark):
+    names = [base64.b64encode(f"{n},10.1/x".encode()).decode() for n in (9, 10, 200)]
+    got = placed(chain_order(chain(spark, list(zip("rrr", names, names[1:] + [None])), "string"), "run"))
+    assert [got["r", n][0] for n in names] == [0, 1, 2]

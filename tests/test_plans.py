@@ -11,9 +11,11 @@ import pytest
 from conftest import SF001
 
 from metalake.operators.dedup import dedup_richest
+from metalake.operators.joins import label_server_name
 from metalake.operators.select import by_canonical_type
 from metalake.plans.harvest import land, select_landed, select_records
 from metalake.registry import QUERIES, wide_records
+from metalake.session import apply_sql_conf
 
 
 def plan(df) -> str:
@@ -124,3 +126,26 @@ def test_hot_key_is_pruned_before_the_shuffle(spark):
     assert len(hot) == 1
     assert hot[0]["raw_attributes_json"] == min(earliest, key=lambda t: hashlib.sha256(t.encode()).hexdigest())
     assert best.count() == n - n // 3 + 1
+
+
+def test_hot_client_is_split(spark):
+    """Without a broadcast, the partition of a client that holds a third of the rows is split."""
+    from pyspark.sql import functions as F
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    rows = spark.range(60_000).repartition(8).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot.client")).otherwise(F.concat(F.lit("c."), F.col("id") % 997)).alias("client_id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("doi"))
+    catalog = spark.createDataFrame([("hot.client", "Hot", "")] + [(f"c.{i}", f"C{i}", "") for i in range(0, 997, 2)],
+                                    "id string, name string, displayName string")
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        got = label_server_name(rows, catalog)
+        assert sum(r["server_name"] == "Hot" for r in got.collect()) == 20_000
+        assert "SortMergeJoin(skew=true)" in plan(got)
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+        apply_sql_conf(spark)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 import pandas as pd
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -84,7 +85,7 @@ def test_merge_plan_dedups(spark, tmp_dir):
     out = merge_shards(spark, base_dir=tmp_dir, leaf_name="batches",
                        out_base=os.path.join(tmp_dir, "merged", "preprints_merged"))
     merged = spark.read.parquet(out["parquet"])
-    assert merged.count() == 7  # 8 rows, one DOI twice
+    assert merged.count() == 7 == out["rows_written"]  # 8 rows, one DOI twice
     assert os.path.basename(out["parquet"]).startswith("preprints_merged_")
 
 
@@ -92,14 +93,22 @@ def test_listing_skips_missing_parent(spark, tmp_dir):
     assert list_files(spark, [os.path.join(tmp_dir, "nope")]).count() == 0
 
 
-def test_run_date_range(spark):
-    df = spark.createDataFrame([("/x/2020-01-01_2020-02-01/a.parquet",),
-                                ("/x/from_2020-01-01_until_2020-02-01/a.parquet",),
-                                ("/x/from2020-01-01-until-2020-02-01/a.parquet",),
-                                ("/x/no_dates/a.parquet",),
-                                ("/x/y/run_2021-03-04_2021-05-06.parquet",)], "p string")
-    got = [(r[0]["start"], r[0]["end"]) for r in df.select(run_date_range("p")).collect()]
-    assert got == [("2020-01-01", "2020-02-01")] * 3 + [(None, None), ("2021-03-04", "2021-05-06")]
+A, B, C, D = "2020-01-01", "2021-01-01", "2022-01-01", "2022-02-01"
+
+
+@pytest.mark.parametrize("path, want", [
+    (f"/x/{A}_{B}", (A, B)), (f"/x/run_{A}_{B}.parquet", (A, B)), (f"/x/{A}{B}", (A, B)), (f"/x/{A}12345{B}", (A, B)),
+    (f"/x/{A}123456{B}", (None, None)),
+    (f"/x/from_{A}_until_{B}", (A, B)), (f"/x/from{A}-until-{B}", (A, B)), (f"/x/from-{A}until{B}", (A, B)),
+    (f"/x/from_{A}_abcd_until_{B}", (None, None)), (f"/x/from_{A}abc_until_{B}", (A, B)),
+    (f"/x/run_{A}_ab_until_{B}", (None, None)), (f"/x/from__{A}_until_{B}", (None, None)), (f"/x/from_{A}_until__{B}", (None, None)),
+    (f"/x/{A}abcuntil{B} and {C}_{D}", (B, C)), (f"/x/from_{A}_until_{B} or else {C}_{D}", (C, D)),
+    (f"/x/{A}_until_{B}", (None, None)), (f"/x/{A}", (None, None)), ("/x/no_dates", (None, None)), (None, (None, None)),
+    (f"/{A}_{B}/{C}.parquet", (A, B)), (f"/{A}_{B}/from_{C}_until_{D}.parquet", (C, D)), (f"/from_{A}_until_{B}/a.parquet", (A, B)),
+    (f"/from_{A}_until_{B}/{C}_{D}/a.parquet", (B, C)), (f"/x/{A}_{B}_{C}", (A, B)), (f"/x/{A}xxxxxx{B}_{C}", (B, C))])
+def test_run_date_range(spark, path, want):
+    got = spark.createDataFrame([(path,)], "p string").select(run_date_range("p").alias("r")).first()["r"]
+    assert (got["start"], got["end"]) == want
 
 
 def test_many_layouts_in_one_pass(spark, tmp_dir):

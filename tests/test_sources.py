@@ -10,6 +10,7 @@ import time
 
 import pytest
 
+from metalake.operators.dedup import dedup_first
 from metalake.operators.flatten import flatten_items
 from metalake.schema import CLIENT_COLUMNS
 from metalake.sinks import write_catalog, write_chunks, write_ndjson
@@ -104,6 +105,36 @@ def test_sheet_keeps_file_order(spark, tmp_dir):
     assert got == [("1", "https://a, b", "x"), ("", "blank", ""), ("1", "dup", "multi\nline")]
 
 
+def test_sheet_without_line_breaks_is_read_by_many_tasks(spark, tmp_dir):
+    """A file is cut at line ends unless a quoted field holds one."""
+    path, other = (os.path.join(tmp_dir, n) for n in ("sheet.csv", "broken.csv"))
+    rows = [(f"{i % 700}", f'he said ""{i}"", twice' if i % 3 else "  kept blanks ", "") for i in range(5000)]
+    with open(path, "w") as fh:
+        fh.write("source_id,note,empty\n" + "".join(f'{a},"{b}",{c}\n' for a, b, c in rows))
+    with open(other, "w") as fh:
+        fh.write('source_id,note,empty\nx,"two\nlines",\ny,plain,\n')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        sheet = read_sheet(spark, path)
+        assert sheet.rdd.getNumPartitions() >= 5
+        got = [(r["source_id"], r["note"], r["empty"]) for r in sheet.orderBy("_file", "_line").collect()]
+        assert got == [(a, b.replace('""', '"'), c) for a, b, c in rows]
+        both = read_sheet(spark, tmp_dir)
+        assert both.count() == 5002 and both.where("source_id = 'x'").first()["note"] == "two\nlines"
+        assert dedup_first(sheet, "source_id", ["_file", "_line"]).where("source_id = '7'").first()["note"] == rows[7][1].replace('""', '"')
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_blanks_survive_the_catalogue(spark, tmp_dir):
+    schema = ", ".join(f"`{c}` string" for c in CLIENT_COLUMNS)
+    write_catalog(spark.createDataFrame([tuple([" a", "clients", "  "] + ["x "] * 17)], schema), os.path.join(tmp_dir, "c.csv"))
+    row = read_catalog(spark, os.path.join(tmp_dir, "c.csv")).first()
+    assert (row["id"], row["name"], row["raw_json"]) == (" a", "  ", "x ")
+
+
 def test_client_ids_scan_is_pruned(spark, tmp_dir):
     df = spark.createDataFrame([("c.a", "x" * 10), (" c.b ", "y")], "client_id string, other string")
     df.write.parquet(os.path.join(tmp_dir, "m.parquet"))
