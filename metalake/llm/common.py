@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -54,6 +56,19 @@ def arrow_rows(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Reco
             yield b.slice(at, rows)
 
 
+def arrow_bytes(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """The same batches cut so that a text column holds about ``limit`` bytes:
+    many short texts or one long one."""
+    for b in batches:
+        ends = np.cumsum(pc.binary_length(b.column(column)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < b.num_rows:
+            before = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
+            yield b.slice(at, to - at)
+            at = to
+
+
 def row_key(doc_id: str) -> Column:
     """A join key that a null id has too."""
     return F.coalesce(F.col(doc_id).cast("string"), F.lit(""))

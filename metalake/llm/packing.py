@@ -16,14 +16,16 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, prepare
+from .common import arrow_bytes, prepare
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
@@ -31,27 +33,8 @@ _TOKENS = "grp long, doc_id long, doc_tokens long, block_crcs array<long>, rest
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 
 
-class _Chunks(dict):
-    """Token ids (little-endian bytes) of text between two single spaces.
-
-    A byte-level BPE never merges across such a space, so each chunk is
-    encoded once per worker. A chunk that is empty or has white space at an
-    edge maps to None: its neighbours decide how it is cut.
-    """
-
-    def __init__(self, encode, lead: str, room: int):
-        super().__init__()
-        self.encode, self.lead, self.room = encode, lead, room
-
-    def __missing__(self, chunk: str):
-        if len(self) >= self.room:
-            self.clear()
-        known = None
-        if chunk and not chunk[0].isspace() and not chunk[-1].isspace():
-            known = self.encode(self.lead + chunk)
-        if len(chunk) <= 64:
-            self[chunk] = known
-        return known
+#: A chunk that its neighbours decide how to cut, and one not met before.
+_ODD, _NEW = object(), object()
 
 
 class Encoder:
@@ -79,31 +62,86 @@ class Encoder:
         ranks = {bytes(letters[c] for c in piece): i
                  for piece, i in self.tokenizer.get_vocab(with_added_tokens=False).items()}
         self.latin = tiktoken.Encoding("latin", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.first = _Chunks(self._encode, "", cache_room // 8)
-        self.spaced = _Chunks(self._encode, " ", cache_room)
+        self.spaces = np.zeros(max(ranks.values()) + 1, bool)  # ids whose bytes start with a space
+        self.spaces[[i for piece, i in ranks.items() if piece[:1] == b" "]] = True
+        self.known: dict[str, object] = {}
+        self.room = cache_room
 
     def _encode(self, text: str) -> bytes:
         if text.isascii() or max(text) < "\u0250":
             ids = self.latin.encode_ordinary(text)
         else:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, self.dtype).tobytes()
+        return array(self.dtype.char, ids).tobytes()
 
     def __call__(self, text: str) -> bytes:
+        """The ids of one text, cut only at single spaces between solid letters."""
         if not text:
             return b""
         if any(t in text for t in self.added):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
-        head, *more = text.split(" ")
-        try:
-            return self.first[head] + b"".join(map(self.spaced.__getitem__, more))
-        except TypeError:  # white space beside a space: cut only where both sides are solid
-            head, *more = _SAFE.split(text)
-            known = [self._encode(head)]
-            for chunk in more:
-                ids = self.spaced[chunk]
-                known.append(self._encode(" " + chunk) if ids is None else ids)
-            return b"".join(known)
+        head, *more = _SAFE.split(text)
+        known = iter(self._spaced([c for c in more if " " not in c]))
+        ids = [_ODD if " " in c else next(known) for c in more]
+        return self._encode(head) + b"".join(self._encode(" " + c) if x is _ODD else x for c, x in zip(more, ids))
+
+    def _spaced(self, chunks: list[str]) -> list:
+        """Ids (bytes) of every chunk after a space, or ``_ODD`` for one that is
+        empty or has white space at an edge. New Latin chunks are encoded in
+        one call: an id that starts with a space starts a chunk."""
+        if len(self.known) > self.room:
+            self.known.clear()
+        get = self.known.get
+        out = [get(c, _NEW) for c in chunks]
+        new = [i for i, x in enumerate(out) if x is _NEW]
+        plain = []
+        for i in new:
+            c = chunks[i]
+            if not c or c[0].isspace() or c[-1].isspace():
+                out[i] = _ODD
+            elif c.isascii() or max(c) < "\u0250":
+                plain.append(i)
+            else:
+                out[i] = self._encode(" " + c)
+        if plain:
+            ids = self.latin.encode_to_numpy(" " + " ".join([chunks[i] for i in plain]), disallowed_special=()).astype(self.dtype)
+            at = np.flatnonzero(self.spaces[ids])
+            if len(at) != len(plain):
+                raise ValueError("the vocabulary merges across a space between words")
+            raw, at = ids.tobytes(), (at * self.dtype.itemsize).tolist()
+            for i, a, b in zip(plain, at, [*at[1:], len(raw)]):
+                out[i] = raw[a:b]
+        for i in new:
+            if len(chunks[i]) <= 64:
+                self.known[chunks[i]] = out[i]
+        return out
+
+    def batch(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of many texts. Chunks are cut and told apart in Arrow, every
+        different one is looked up once, and the ids are gathered by their
+        places, so that little is done for each word."""
+        texts = texts.fill_null("")
+        cut = pc.split_pattern(texts, " ")
+        first = cut.offsets.to_numpy().astype(np.int64)
+        told = cut.flatten().dictionary_encode()
+        chunks = told.dictionary.to_numpy(zero_copy_only=False).tolist()
+        code = told.indices.to_numpy().astype(np.int64)
+        known = self._spaced(chunks)
+        heads = [b"" if known[i] is _ODD else self._encode(chunks[i]) for i in code[first[:-1]]]
+        # chunks that their neighbours cut, and texts with added tokens, go the long way
+        odd = np.add.reduceat(np.array([k is _ODD for k in known], np.int64)[code], first[:-1]) > 0 if len(code) else np.zeros(0, bool)
+        for t in self.added:
+            odd |= np.asarray(pc.match_substring(texts, t))
+        parts = [b"" if x is _ODD else x for x in known] + heads
+        size = np.fromiter(map(len, parts), np.int64, len(parts)) // self.dtype.itemsize
+        start = np.cumsum(size) - size
+        code[first[:-1]] = len(chunks) + np.arange(len(texts))
+        ends = np.cumsum(size[code])
+        at = np.repeat(start[code] - (ends - size[code]), size[code]) + np.arange(ends[-1] if len(ends) else 0)
+        ids = np.frombuffer(b"".join(parts), self.dtype)[at]
+        bounds = np.concatenate(([0], ends[first[1:] - 1])) if len(texts) else [0]
+        return [np.frombuffer(self(texts[i].as_py()), self.dtype) if odd[i] else ids[bounds[i]:bounds[i + 1]]
+                for i in range(len(texts))]
 
 
 def _byte_letters() -> list[str]:
@@ -198,11 +236,11 @@ def tokenise(docs: DataFrame, tokenizer: str, seq_len: int, eos_id: int, groups:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder(tokenizer)
-        eos = np.array([eos_id], encode.dtype).tobytes()
-        for b in arrow_rows(batches, 256):
+        eos = np.array([eos_id], encode.dtype)
+        for b in arrow_bytes(batches, 2, 8 << 20):
             sizes, crcs, rests = [], [], []
-            for text in b.column(2).to_pylist():
-                ids = np.frombuffer(encode(text or "") + eos, encode.dtype)
+            for ids in encode.batch(b.column(2)):
+                ids = np.concatenate((ids, eos))
                 whole = len(ids) - len(ids) % seq_len
                 sizes.append(len(ids))
                 crcs.append([crc(ids[i:i + seq_len]) for i in range(0, whole, seq_len)])

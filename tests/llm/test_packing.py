@@ -4,11 +4,13 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 from conftest import SF001
 from helpers import AWKWARD, docs, empty, texts
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from metalake.llm.common import arrow_bytes
 from metalake.llm.packing import Encoder, first_fit_decreasing, pack_documents, pack_group
 from metalake.llm.queries import op1_packing, tokenizer_file
 
@@ -85,6 +87,21 @@ def test_added_tokens_are_matched_as_by_the_file(parts):
     assert np.frombuffer(ENC(text), ENC.dtype).tolist() == want
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="ab \t\n'.é1\x1c <|>中\u0301", max_size=40),
+                          st.lists(st.sampled_from(["the", "word", "<|endoftext|>", "Ünï", "x" * 80, "中文", "", "\n"]), max_size=9)
+                          .map(" ".join)), max_size=12))
+def test_batches_are_encoded_like_texts(texts):
+    got = ENC.batch(pa.array(texts, pa.string()))
+    assert [g.tolist() for g in got] == [ENC.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_batches_hold_so_many_bytes():
+    texts = ["a" * n for n in (3, 4, 50, 0, 0, 1)] + [None, "b" * 9]
+    parts = list(arrow_bytes(iter([pa.record_batch({"n": range(8), "t": pa.array(texts, pa.string())})]), 1, 10))
+    assert [p.column(1).to_pylist() for p in parts] == [texts[:2], texts[2:3], texts[3:8]]
+
+
 def test_added_token_is_one_id(spark):
     assert np.frombuffer(ENC("a <|endoftext|> b"), ENC.dtype).tolist() == [64, 220, 50256, 275]
     got = pack_documents(docs(spark, [(1, "a <|endoftext|> b")]), FILE).collect()
