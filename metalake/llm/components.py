@@ -22,11 +22,12 @@ def connected_components(links: DataFrame) -> DataFrame:
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        # written, so that what is joined are plain shuffles, whose hot keys Spark splits
+        least = materialise(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "cc-least")
         # large star: neighbours above a node hang below the node's smallest neighbour
-        large = (edges.join(least.withColumnRenamed("a", "b"), "b").select("a", F.col("m").alias("b")).distinct())
+        large = materialise(edges.join(least.withColumnRenamed("a", "b"), "b").select("a", F.col("m").alias("b")).distinct(), "cc-large")
         # small star: neighbours below a node, and the node, hang below the smallest of them
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        low = materialise(large.groupBy("a").agg(F.min("b").alias("m")), "cc-low")
         small = large.join(low, "a").select(F.explode(F.array(
             F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
         edges = materialise(small.select("e.*").where("a <> b").distinct(), "cc-round")

@@ -11,7 +11,9 @@ and the rest are verified bit by bit.
 
 Equal fingerprints are folded before indexing (a group of copies costs one
 posting per plane), and a posting gives the edges of a spanning forest rather
-than its pairs.
+than its pairs. A posting that grows beyond a fixed size is taken apart by
+further bytes and half bytes, with the same guarantee, until twelve bits are
+free at most: no task holds more than some thousand fingerprints at once.
 """
 
 from __future__ import annotations
@@ -116,17 +118,60 @@ def spanning_links(fps: np.ndarray, bits: int) -> list[tuple[int, int]]:
     return out
 
 
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def masks(level: int) -> list[list[int]]:
+    """For every mask of a level of the index the finer masks of the next: a
+    pair within three bits that agrees under one mask agrees under one of those.
+
+    Level 0 has a quadruple of bytes; of the other four bytes one is the same
+    (level 1); of the six half bytes that are left three are the same (level
+    2). Under a mask of level 2 only twelve bits are free, so a posting of it
+    holds at most 4096 fingerprints.
+    """
+    first = [sum(0xFF << (8 * p) for p in q) for q in PLANES]
+    if level == 0:
+        return [[m | 0xFF << (8 * p) for p in range(8) if not m >> (8 * p) & 1] for m in first]
+    halves = lambda m: [0xF << (4 * h) for h in range(16) if not m >> (4 * h) & 1]
+    return [[m | sum(c) for c in combinations(halves(m), 3)] for finer in masks(0) for m in finer]
+
+
+def postings(nodes: DataFrame, crowded: int = 2048) -> DataFrame:
+    """``label, key, fp``: the fingerprints under every mask. A posting of more
+    than ``crowded`` is taken apart by the finer masks instead."""
+    keyed = lambda ms, at: F.array(*[F.struct(F.lit(at + i).alias("label"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key"))
+                                     for i, m in enumerate(ms)])
+    first = [sum(0xFF << (8 * p) for p in q) for q in PLANES]
+    rows = nodes.select(F.explode(keyed(first, 0)).alias("at"), "fp").select("at.*", "fp")
+    done, low = None, 0
+    for level in (0, 1):
+        full = materialise(rows.groupBy("label", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowded)
+                           .select("label", "key"), "simhash-crowded")
+        if full.isEmpty():
+            break
+        calm = rows.join(full, ["label", "key"], "left_anti")
+        done = calm if done is None else done.unionByName(calm)
+        finer = masks(level)
+        high = low + len(finer)
+        by_label, at = [], high
+        for ms in finer:
+            by_label.append(keyed(ms, at))
+            at += len(ms)
+        choice = F.coalesce(*[F.when(F.col("label") == low + i, c) for i, c in enumerate(by_label)])
+        rows = materialise(rows.join(full, ["label", "key"], "left_semi").select(F.explode(choice).alias("at"), "fp")
+                           .select("at.*", "fp").distinct(), "simhash-finer")
+        low = high
+    return rows if done is None else done.unionByName(rows)
+
+
 def links(nodes: DataFrame, bits: int = 3) -> DataFrame:
     """Links (``a``, ``b``) among distinct fingerprints (``fp``) that connect
     exactly the fingerprints connected by pairs of at most ``bits`` bits."""
     if not 0 <= bits <= 3:
         raise ValueError("the quadruple index guarantees pairs of at most three bits")
-    masks = [sum(0xFF << (8 * p) for p in q) for q in PLANES]
-    masks = [m - (1 << 64) if m >> 63 else m for m in masks]
-    keys = F.explode(F.array(*[F.struct(F.lit(i).alias("plane"), F.col("fp").bitwiseAND(F.lit(m)).alias("key"))
-                               for i, m in enumerate(masks)])).alias("at")
-    postings = (nodes.select(keys, "fp").select("at.plane", "at.key", "fp")
-                .repartition("plane", "key").sortWithinPartitions("plane", "key"))
+    ordered = postings(nodes).select(F.col("label").alias("plane"), "key", "fp").repartition("plane", "key").sortWithinPartitions("plane", "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Postings arrive one after the other; one may go on in later batches."""
@@ -161,7 +206,7 @@ def links(nodes: DataFrame, bits: int = 3) -> DataFrame:
         if open_run:
             yield done(spanning_links(np.concatenate(open_run), bits))
 
-    return postings.mapInArrow(run, "a long, b long").distinct()
+    return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
 def _grouped(docs: DataFrame, shingle: int, bits: int, seed: int) -> tuple[DataFrame, DataFrame]:
@@ -169,12 +214,13 @@ def _grouped(docs: DataFrame, shingle: int, bits: int, seed: int) -> tuple[DataF
     prepare(docs.sparkSession)
     rows = materialise(fingerprints(docs, shingle, seed), "simhash-fps")
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tid")
-    nodes = rows.groupBy("fp").agg(F.min(row).alias("least"))
+    nodes = materialise(rows.groupBy("fp").agg(F.min(row).alias("least")), "simhash-nodes")
     roots = connected_components(links(nodes.select("fp"), bits))
-    placed = (nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-              .withColumn("root", F.coalesce("root", "fp")))
-    least = placed.groupBy("root").agg(F.min("least").alias("first"))
-    return rows, placed.select("fp", "root").join(least, "root").select("fp", "first")
+    placed = materialise(nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+                         .withColumn("root", F.coalesce("root", "fp")), "simhash-placed")
+    # written before they are joined: a group or fingerprint that holds a third of all rows is then split
+    least = materialise(placed.groupBy("root").agg(F.min("least").alias("first")), "simhash-least")
+    return rows, materialise(placed.select("fp", "root").join(least, "root").select("fp", "first"), "simhash-first")
 
 
 def simhash_groups(docs: DataFrame, shingle: int = 3, bits: int = 3, seed: int = 42) -> DataFrame:

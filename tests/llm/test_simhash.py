@@ -102,6 +102,47 @@ def test_links_connect_what_all_pairs_connect(spark, seed):
     assert components(got, fps) == components(want, fps)
 
 
+@pytest.mark.parametrize("crowded", [1, 30])
+def test_crowded_postings_are_taken_apart(spark, monkeypatch, crowded):
+    """Fingerprints that share four bytes, in few and in many further bits."""
+    rnd = random.Random(crowded)
+    fps = set()
+    for _ in range(15):
+        base = 0x1122334400000000 | rnd.getrandbits(32)
+        for _ in range(20):
+            f = base
+            for _ in range(rnd.randrange(4)):
+                f ^= 1 << rnd.randrange(32)
+            fps.add(f)
+    fps |= {0x1122334455000000 | i for i in range(100)}
+    fps = sorted(fps)
+    want = [(a, b) for i, a in enumerate(fps) for b in fps[:i] if (a ^ b).bit_count() <= 3]
+    whole, sizes = simhash.postings, []
+
+    def small(nodes, **_):
+        got = whole(nodes, crowded)
+        sizes.append(max(r["count"] for r in got.groupBy("label", "key").count().collect()))
+        return got
+    monkeypatch.setattr(simhash, "postings", small)
+    got = [tuple(r) for r in links(spark.createDataFrame([(f,) for f in fps], "fp long")).collect()]
+    assert components(got, fps) == components(want, fps) and sizes[0] < len(fps) / 2
+
+
+def test_every_close_pair_agrees_under_a_finer_mask():
+    rnd = random.Random(3)
+    for level in (0, 1):
+        above = [m for ms in simhash.masks(level - 1) for m in ms] if level else [
+            sum(0xFF << (8 * p) for p in q) for q in simhash.PLANES]
+        finer = simhash.masks(level)
+        assert len(above) == len(finer)
+        for m, ms in zip(above, finer):
+            free = [b for b in range(64) if not m >> b & 1]
+            for _ in range(200):
+                differ = sum(1 << b for b in rnd.sample(free, rnd.randrange(4)))
+                assert any(differ & f == 0 for f in ms)
+    assert all((~f & (1 << 64) - 1).bit_count() == 12 for ms in simhash.masks(1) for f in ms)
+
+
 def test_dense_posting_gives_a_forest_not_its_pairs():
     fps = np.array([1 << i for i in range(62)], np.int64)
     assert len(spanning_links(fps, 3)) == 61
