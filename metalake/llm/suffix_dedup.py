@@ -28,7 +28,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +35,7 @@ from .common import arrow_rows, materialise, prepare, text_bytes
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 _SEGMENT = 1 << 18
+DIGEST = ("d1", "d2")
 _ODD = 0x9E3779B97F4A7C15
 
 
@@ -93,12 +93,18 @@ class Anchors:
             yield first + at, last + at, place + at, low[first].view(np.int64)
 
 
+def digest(data: bytes | memoryview) -> bytes:
+    """What decides that bytes are equal without looking at them again: 128
+    bits of BLAKE2b, for which no two inputs can be made to collide."""
+    return hashlib.blake2b(data, digest_size=16).digest()
+
+
 def stretches(docs: DataFrame, width: int, gram: int) -> DataFrame:
     """One row per stretch: document, first and last window, place and hash of
-    the anchor, and a hash of all bytes the stretch covers."""
+    the anchor, and the digest of all bytes the stretch covers in two numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchors, digest = Anchors(width, gram), xxhash.xxh3_64_intdigest
+        anchors = Anchors(width, gram)
         for b in arrow_rows(batches, 128):
             ids, tids = b.column(0).to_pylist(), b.column(1).to_pylist()
             out: list[list] = [[], [], [], [], [], [], []]
@@ -109,16 +115,17 @@ def stretches(docs: DataFrame, width: int, gram: int) -> DataFrame:
                     out[1] += [tids[i]] * len(first)
                     for c, v in zip(out[2:6], (first, last, place, key)):
                         c.append(v)
-                    out[6].append(np.fromiter((digest(view[s:e + width]) for s, e in zip(first.tolist(), last.tolist())),
-                                              np.uint64, len(first)).view(np.int64))
+                    out[6].append(np.frombuffer(b"".join(digest(view[s:e + width]) for s, e in zip(first.tolist(), last.tolist())),
+                                                np.int64).reshape(-1, 2))
             if out[2]:
                 cols = [np.concatenate(c) for c in out[2:]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), *map(pa.array, cols)],
-                    names=["doc_id", "tid", "lo", "hi", "at", "anchor", "bytes"])
+                    [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), *map(pa.array, cols[:-1]),
+                     *(pa.array(np.ascontiguousarray(cols[-1][:, i])) for i in (0, 1))],
+                    names=["doc_id", "tid", "lo", "hi", "at", "anchor", "d1", "d2"])
 
     return docs.where(F.octet_length("text") >= width).mapInArrow(
-        run, "doc_id long, tid long, lo long, hi long, at long, anchor long, bytes long")
+        run, "doc_id long, tid long, lo long, hi long, at long, anchor long, d1 long, d2 long")
 
 
 # --- suffix sorting -----------------------------------------------------------
@@ -234,7 +241,7 @@ def _sort_bucket(batches: Iterator[pa.RecordBatch], width: int, rows_at_once: in
             first[order] = np.concatenate(([True], group[1:] != group[:-1])) if len(order) else True
             for x in np.flatnonzero(open_[owner] & first):
                 r = rows[owner[x]]
-                d = xxhash.xxh3_128_digest(r["content"][inside[x]:inside[x] + width])
+                d = digest(r["content"][inside[x]:inside[x] + width])
                 add(r, r["lo"] + int(inside[x]), None, int.from_bytes(d[:8], "big", signed=True),
                     int.from_bytes(d[8:], "big", signed=True), bool(hit[x] or settled[owner[x]]))
         kinds = [pa.int64()] * 6 + [pa.bool_()]
@@ -275,20 +282,20 @@ def remove_repeats(docs: DataFrame, width: int = 400, gram: int = 200, piece_row
     # (counts are written before they are joined: both sides of the join are
     # then plain shuffles, and Spark can split an anchor that holds many rows)
     often = materialise(found.groupBy("anchor")
-                        .agg(F.count(F.lit(1)).alias("n"), F.min("bytes").alias("a"), F.max("bytes").alias("b"))
-                        .where("n > 1").select("anchor", (F.col("a") != F.col("b")).alias("mixed")), "suffix-often")
+                        .agg(F.count(F.lit(1)).alias("n"), *[f(d).alias(f"{d}_{f.__name__}") for d in DIGEST for f in (F.min, F.max)])
+                        .where("n > 1").select("anchor", F.expr("d1_min <> d1_max OR d2_min <> d2_max").alias("mixed")), "suffix-often")
     suspects = materialise(found.join(often, "anchor"), "suffix-suspects")
     where = F.struct("doc_id", "tid", "lo", "hi", "at")
-    kinds = materialise(suspects.where("mixed").groupBy("anchor", "bytes")
+    kinds = materialise(suspects.where("mixed").groupBy("anchor", *DIGEST)
                         .agg(F.count(F.lit(1)).alias("n"), F.min(where).alias("one")), "suffix-kinds")
-    equal = suspects.join(kinds.where("n > 1").select("anchor", "bytes"), ["anchor", "bytes"], "left_semi")
+    equal = suspects.join(kinds.where("n > 1").select("anchor", *DIGEST), ["anchor", *DIGEST], "left_semi")
     whole = (suspects.where("NOT mixed").unionByName(equal)
              .select("doc_id", "tid", F.col("lo").alias("start"), (F.col("hi") + width).alias("stop")))
     sizes = materialise(kinds.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / piece_rows).alias("pieces")),
                         "suffix-sizes")
     shown = (kinds.join(sizes, "anchor")
              .select("one.*", "anchor", (F.col("n") > 1).alias("settled"), "pieces",
-                     F.pmod(F.xxhash64("bytes", F.lit(9)), F.col("pieces")).alias("piece")))
+                     F.pmod(F.xxhash64(*DIGEST, F.lit(9)), F.col("pieces")).alias("piece")))
     of_doc = (whole.withColumn("w", F.lit(None).cast(
         "struct<lo:bigint,hi:bigint,at:bigint,anchor:bigint,piece:bigint,pieces:bigint,settled:boolean>"))
         .unionByName(shown.select("doc_id", "tid", F.lit(None).cast("long").alias("start"), F.lit(None).cast("long").alias("stop"),
