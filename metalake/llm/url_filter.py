@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import UPPER
+from .common import UPPER, materialise, prepare
 
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LEVELS = ("suffix", "domain", "host")
@@ -66,13 +66,15 @@ def host_reputation(outcomes: DataFrame, z: float = 1.645, most: float = 10_000.
     ``good``: good labelled pages, ``n``: labelled pages; either may be 0).
 
     Hosts are counted before anything is joined, so a host that holds a third
-    of all pages costs one row. Only the corpus mean and one prior strength
+    of all pages costs one row; the counts are written, and all levels start
+    from them. Only the corpus mean and one prior strength
     per level are brought to the driver. ``most`` bounds a prior's strength.
     """
-    hosts = (outcomes.groupBy("host").agg(F.sum("good").cast("double").alias("good"), F.sum("n").cast("double").alias("n"))
-             .withColumn("suffix", F.regexp_extract("host", r"[^.]*$", 0))
-             .withColumn("domain", F.when(F.col("host").contains("."), F.regexp_extract("host", r"[^.]*\.[^.]*$", 0))
-                         .otherwise(F.col("host"))))
+    prepare(outcomes.sparkSession)
+    hosts = outcomes.groupBy("host").agg(F.sum("good").cast("double").alias("good"), F.sum("n").cast("double").alias("n"))
+    hosts = materialise(hosts.withColumn("suffix", F.regexp_extract("host", r"[^.]*$", 0)).withColumn(
+        "domain", F.when(F.col("host").contains("."), F.regexp_extract("host", r"[^.]*\.[^.]*$", 0)).otherwise(F.col("host"))),
+        "url-hosts")
     whole = hosts.agg(F.sum("good"), F.sum("n")).first()
     mean = ((whole[0] or 0.0) + 1) / ((whole[1] or 0.0) + 2)
     above = None
