@@ -24,8 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import arrow_rows, held_out, prepare
+from .common import arrow_rows, held_out, materialise, prepare
 
 UND = "und"
 _CHUNK = 512
@@ -170,30 +171,35 @@ def code_lengths(model: Automaton, texts: list[bytes]) -> np.ndarray:
     return out
 
 
-def sample_texts(docs: DataFrame, per_lang: int, max_bytes: int) -> dict[str, list[str]]:
+def sample_texts(docs: DataFrame, per_lang: int, max_bytes: int, all_bytes: int) -> dict[str, list[str]]:
     """At most about ``per_lang`` texts a language (twice that for certain), of
-    at most ``max_bytes`` bytes each, picked by a hash of id and text."""
+    at most ``max_bytes`` bytes each and ``all_bytes`` over all languages,
+    picked by a hash of id and text."""
     ready = docs.where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id"), 3, 1) & F.col("text").isNotNull()
                        & (F.octet_length("text") <= max_bytes))
-    counts = {r["lang"]: r["count"] for r in ready.groupBy("lang").count().collect()}
-    if not counts:
+    counts = materialise(ready.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "language-counts")
+    langs = counts.count()
+    if not langs:
         return {}
-    share = F.create_map(*[F.lit(x) for lg, c in counts.items() for x in (lg, min(1.0, per_lang / c))])
     dice = F.pmod(F.xxhash64("doc_id", "text", F.lit(7)), F.lit(1 << 40)) / float(1 << 40)
-    rows = (ready.where(dice < share[F.col("lang")]).select("lang", "text")
-            .limit(2 * per_lang * len(counts)).collect())
-    out: dict[str, list[str]] = {lg: [] for lg in counts}
+    one = Window.partitionBy("lang").orderBy("dice", "doc_id", "text")
+    rows = (ready.select("doc_id", "lang", "text", dice.alias("dice")).join(counts, "lang")
+            .where(F.col("dice") < F.lit(float(per_lang)) / F.col("n"))
+            .withColumn("nth", F.row_number().over(one)).where(F.col("nth") <= 2 * per_lang)
+            .withColumn("sum", F.sum(F.octet_length("text")).over(one)).where(F.col("sum") <= all_bytes // langs)
+            .select("lang", "text").collect())
+    out: dict[str, list[str]] = {}
     for r in rows:
-        out[r["lang"]].append(r["text"])
-    return {lg: t for lg, t in out.items() if t}
+        out.setdefault(r["lang"], []).append(r["text"])
+    return out
 
 
-def identify(docs: DataFrame, per_lang: int = 300, max_bytes: int = 1 << 16, order: int = 4,
+def identify(docs: DataFrame, per_lang: int = 300, max_bytes: int = 1 << 16, all_bytes: int = 64 << 20, order: int = 4,
              max_contexts: int = 12_000) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` for every document.
 
     Learns from a bounded sample (``per_lang`` texts of at most ``max_bytes``
-    bytes per language) of rows with a language whose crc32(doc_id) mod 3 is
+    bytes per language, ``all_bytes`` in all) of rows with a language whose crc32(doc_id) mod 3 is
     not 1 (a null id has no remainder: it is not held out). Every whole text
     is scored; case is folded. ``score`` is the predicted language's share of
     2^-bits over all languages. A text that is null or has no letter is
@@ -205,7 +211,7 @@ def identify(docs: DataFrame, per_lang: int = 300, max_bytes: int = 1 << 16, ord
     prepare(spark)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang"))
-    samples = sample_texts(base, per_lang, max_bytes)
+    samples = sample_texts(base, per_lang, max_bytes, all_bytes)
     model = spark.sparkContext.broadcast(train(samples, order, max_contexts)) if samples else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

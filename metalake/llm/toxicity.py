@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from .common import arrow_rows, held_out, prepare
 
@@ -125,9 +126,10 @@ def score_texts(features: Features, dense: np.ndarray, intercept: float, texts:
     return 1 / (1 + np.exp(-np.clip(out, -35, 35)))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int, max_bytes: int) -> tuple[DataFrame, float]:
-    """At most ``per_class`` labelled documents of each class, by a hash of the
-    id, and the log odds to add back for taking the classes at different rates."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int, max_bytes: int,
+                    class_bytes: int) -> tuple[DataFrame, float]:
+    """At most ``per_class`` labelled documents and ``class_bytes`` bytes of each
+    class, by a hash of id and text, and the log odds to add back for taking the classes at different rates."""
     ready = (labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), 5, 0))
              .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")))
     counts = {r["toxic"]: r["count"] for r in ready.groupBy("toxic").count().collect()}
@@ -139,13 +141,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int, max_byte
         - np.log(max(1, counts.get(0, 0)) / max(1, min(per_class, counts.get(0, 0))))
     texts = (docs.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= max_bytes)
              .join(F.broadcast(picked), "doc_id"))  # at most 2 * per_class rows of two numbers
+    # ids may repeat in the documents: which of their rows count does not depend on the order of tasks
+    one = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), F.xxhash64("text"), "text")
+    texts = (texts.withColumn("nth", F.row_number().over(one)).where(F.col("nth") <= per_class)
+             .withColumn("sum", F.sum(F.octet_length("text")).over(one)).where(F.col("sum") <= class_bytes))
     return texts.select("text", "toxic"), float(odds)
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 3000, max_bytes: int = 1 << 16, bits: int = 20,
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 3000, max_bytes: int = 1 << 16,
+          class_bytes: int = 32 << 20, bits: int = 20,
           alpha: float = 0.5, beta: float = 1.0, l1: float = 4.0, l2: float = 1.0, passes: int = 3,
           seed: int = 11) -> Weights | None:
-    sample, odds = labelled_sample(docs, labels, per_class, max_bytes)
+    sample, odds = labelled_sample(docs, labels, per_class, max_bytes, class_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features(bits)
@@ -153,7 +160,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 3000, max_bytes:
             raw = [features.of(t or "").tobytes() for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(raw, pa.binary())], names=["toxic", "at"])
 
-    rows = sample.mapInArrow(run, "toxic int, at binary").limit(4 * per_class).collect()
+    rows = sample.mapInArrow(run, "toxic int, at binary").collect()
     if not rows:
         return None
     examples = sorted((r["toxic"], bytes(r["at"])) for r in rows)
@@ -167,7 +174,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, columns: bool = False, **
     ``columns``, the documents' own columns as a struct ``row`` and ``predicted``.
 
     Learns ``labels.toxic`` from a bounded sample (``per_class`` documents of
-    each class of at most ``max_bytes`` bytes) of rows whose crc32(doc_id) mod
+    each class of at most ``max_bytes`` bytes, ``class_bytes`` in all) of rows whose crc32(doc_id) mod
     5 is not 0. Every whole text is scored; null counts as empty and scores
     by the intercept. Null ids are not held out. Without any label every
     score is 0. Rows repeated under one id are scored alike (and, in the
