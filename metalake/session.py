@@ -11,6 +11,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 # SQL settings the operators rely on. AQE re-plans joins/aggregations from
@@ -66,7 +67,7 @@ def ship_package(spark: SparkSession) -> None:
     executors or passed with ``--py-files``."""
     try:
         sc = spark.sparkContext
-    except Exception:  # Spark Connect: ship with the server's artifact mechanism instead
+    except PySparkException:  # Spark Connect: ship with the server's artifact mechanism instead
         return
     key = id(sc._jsc)
     if key in _SHIPPED:
@@ -103,7 +104,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
-    except Exception:  # Spark Connect: no SparkContext on the client
+    except PySparkException:  # Spark Connect: no SparkContext on the client
         sc = None
     if root:
         if sc is not None and sc.getCheckpointDir() is None:
@@ -161,14 +162,30 @@ def spread(df, min_partitions: int | None = None):
     try:
         want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         have = df.rdd.getNumPartitions()
-    except Exception:  # Spark Connect: leave partitioning to the server
+    except PySparkException:  # Spark Connect: leave partitioning to the server
         return df
     return df.repartition(want) if have < want else df
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's own folder under the shared checkpoint root."""
+    try:
+        app = spark.sparkContext.applicationId
+    except PySparkException:  # Spark Connect: no SparkContext on the client
+        app = spark.session_id
+    return f"{checkpoint_root(spark)}/metalake-scratch/{app}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/metalake-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder of this application's scratch space."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch tables. Results that have not been
+    written elsewhere read from them, so this comes last."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def kept(df, name: str):
