@@ -1,5 +1,10 @@
 """Cleaning pipeline over ``documents``: toxicity, exact and near duplicates,
-personal data, packing. Each stage calls one operator of ``metalake.llm``."""
+personal data, packing. Each stage calls one operator of ``metalake.llm``.
+
+In every stage null texts count as empty, rows repeated under one id and null
+ids are rows like any other, and an empty table stays empty. All stages but
+the last return the columns of ``documents``, whatever else the table holds
+besides ``doc_id`` and ``text``."""
 
 from __future__ import annotations
 
@@ -16,17 +21,19 @@ from metalake.llm.toxicity import drop_toxic
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents predicted toxic go."""
+    """Documents predicted toxic go; without any label all stay."""
     return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts (A-Z folded) the document with the largest id stays."""
+    """Of equal texts (A-Z folded) the document with the largest id stays; of rows
+    repeated under one id and text, one."""
     return drop_exact_duplicates(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every SimHash group the document with the smallest id stays."""
+    """Of every SimHash group the document with the smallest id stays (a null id
+    only where the group has no other). Wordless texts form one group."""
     return drop_near_duplicates(docs)
 
 
@@ -37,7 +44,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of 2048 ids."""
+    """Pieces of all documents in sequences of 2048 ids; an empty text is one id."""
     return pack_documents(docs, tokenizer_file("byte_bpe_50k.json"))
 
 

@@ -8,7 +8,9 @@ calibrated: a set of calibration queries is answered by brute force over all
 vectors, and visits widen until the wanted share of their true neighbours
 lies in the visited leaves.
 
-Leaves are cut into blocks of bounded size, and so are the queries that visit
+The radius of every leaf bounds the inner product that a query can have in it;
+once a query has its first neighbours, leaves that cannot reach their scores
+are left out. Leaves are cut into blocks of bounded size, and so are the queries that visit
 a leaf; each task scores one block of vectors against one block of queries
 and passes on the best of each query: after a few leaves only what reaches the
 score that the query's best already have.
@@ -42,6 +44,11 @@ class Tree:
     def leaves(self) -> int:
         return int(self.leaf.max()) + 1
 
+    def leaf_centroids(self) -> np.ndarray:
+        out = np.zeros((self.leaves, self.centroids.shape[1]))
+        out[self.leaf[self.leaf >= 0]] = self.centroids[self.leaf >= 0]
+        return out
+
     def assign(self, x: np.ndarray) -> np.ndarray:
         """Leaf of each row: at every level the child with the nearest centroid."""
         node = np.zeros(len(x), np.int64)
@@ -233,14 +240,22 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, per_le
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            leaf = shipped.value.assign(_matrix(b.column(1), dim)) if b.num_rows else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(leaf, pa.int64())], names=["vec_id", "embedding", "leaf"])
-
-    indexed = materialise(good.mapInArrow(place, "vec_id long, embedding array<double>, leaf long"), "ann-index")
-    held = {r["leaf"]: r["count"] for r in indexed.groupBy("leaf").count().collect()}  # one row per leaf
-    queries = (good.where(F.col("vec_id").isNotNull()).groupBy("vec_id")
-               .agg(F.min(F.when(is_query, F.col("embedding"))).alias("embedding"), F.count(F.lit(1)).alias("own"))
-               .where(F.col("embedding").isNotNull()))
+            v = _matrix(b.column(1), dim)
+            leaf = shipped.value.assign(v) if b.num_rows else np.zeros(0, np.int64)
+            off = np.linalg.norm(v - centres[leaf], axis=1)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(leaf, pa.int64()), pa.array(off, pa.float64())],
+                                             names=["vec_id", "embedding", "leaf", "off"])
+
+    centres = tree.leaf_centroids()
+    indexed = materialise(good.mapInArrow(place, "vec_id long, embedding array<double>, leaf long, off double"), "ann-index")
+    rows = indexed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.max("off").alias("off")).collect()  # one row per leaf
+    held = {r["leaf"]: r["n"] for r in rows}
+    radius = np.zeros(tree.leaves)
+    for r in rows:
+        radius[r["leaf"]] = r["off"]
+    queries = materialise(good.where(F.col("vec_id").isNotNull()).groupBy("vec_id")
+                          .agg(F.min(F.when(is_query, F.col("embedding"))).alias("embedding"), F.count(F.lit(1)).alias("own"))
+                          .where(F.col("embedding").isNotNull()), "ann-queries")
     trial = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(calibration).collect()
     if not trial:
         return spark.createDataFrame([], RESULT)
@@ -250,7 +265,7 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, per_le
         for b in batches:
             if not b.num_rows:
                 continue
-            bins = []
+            bins, most = [], []
             for q, own in zip(_matrix(b.column(1), dim), b.column(2).to_pylist()):
                 leaves, others = [], -own  # own rows may lie in any leaf
                 for leaf in shipped.value.best_bins(q):
@@ -259,12 +274,17 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, per_le
                     leaves.append(leaf)
                     others += held.get(leaf, 0)
                 bins.append(leaves)
-            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(bins, pa.list_(pa.int64()))],
-                                             names=["vec_id", "embedding", "leaves"])
+                # no vector of a leaf can have a larger inner product with the query
+                most.append((centres[leaves] @ q + np.linalg.norm(q) * radius[leaves]).tolist())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bins, pa.list_(pa.int64())), pa.array(most, pa.list_(pa.float64()))],
+                                             names=["vec_id", "leaves", "most"])
+
+    asked = (queries.mapInArrow(walk, "vec_id long, leaves array<long>, most array<double>")
+             .select(F.col("vec_id").alias("query_id"), F.posexplode(F.arrays_zip("leaves", "most")).alias("visit", "at"))
+             .select("query_id", "visit", F.col("at.leaves").alias("leaf"), F.col("at.most").alias("most")))
+    asked = materialise(asked, "ann-visits")  # numbers only: vectors are joined to the visits that are made
+    vectors_of = queries.select(F.col("vec_id").alias("query_id"), "embedding")
 
-    asked = (queries.mapInArrow(walk, "vec_id long, embedding array<double>, leaves array<long>")
-             .select(F.col("vec_id").alias("query_id"), "embedding", F.posexplode("leaves").alias("visit", "leaf")))
-    asked = materialise(asked, "ann-visits")
     def score(key: tuple[pa.Scalar, ...], asks: pa.Table, held: pa.Table) -> pa.Table:
         cols: list[list] = [[], [], []]
         if asks.num_rows and held.num_rows:
@@ -294,7 +314,7 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, per_le
             indexed.groupBy("leaf").count().withColumnRenamed("count", "held")
             .join(some.groupBy("leaf").count().withColumnRenamed("count", "visited"), "leaf")
             .select("leaf", F.ceil(F.col("held") / block).alias("vs"), F.ceil(F.col("visited") / block).alias("qs")))
-        left = (some.join(counts, "leaf").withColumn("q", _spread(F.col("query_id"), F.col("qs")))
+        left = (some.join(counts, "leaf").withColumn("q", _spread(F.col("query_id"), F.col("qs"))).join(vectors_of, "query_id")
                 .select("leaf", F.explode(F.sequence(F.lit(0), F.col("vs") - 1)).alias("v"), "q", "query_id", "embedding", "floor"))
         right = (indexed.withColumn("nth", F.monotonically_increasing_id()).join(counts, "leaf")
                  .withColumn("v", _spread(F.col("nth"), F.col("vs")))
@@ -311,8 +331,10 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, per_le
         if best is None:
             some = some.withColumn("floor", F.lit(None).cast("double"))
         else:
+            # leaves whose bound lies below a query's floor are certified to hold none of its neighbours
             some = some.join(best.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("worst"))
                              .select("query_id", F.when(F.col("n") >= k, F.col("worst")).alias("floor")), "query_id", "left")
+            some = some.where("floor IS NULL OR most >= floor - 1e-9 * greatest(1, abs(floor))")
         found = visit(some)
         best = materialise(_best_of(found if best is None else best.unionByName(found), k).drop("rank"), "ann-best")
         low, high = high, high * widen

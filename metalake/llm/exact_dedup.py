@@ -238,7 +238,11 @@ def _decide(rows: DataFrame, groups: DataFrame, *by: str) -> DataFrame:
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
+    """The rows of ``docs`` that stay, with all their columns.
+
+    Null and empty texts are equal and leave one row; of rows repeated under
+    one id and text the first stays; null ids are smaller than any other. An
+    empty table stays empty."""
     kept = exact_dedup(docs).where("kept").select(row_key("doc_id").alias("id"), F.col("text_sha256").alias("tid"))
     lower = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), UPPER, UPPER.lower())
     return first_of_repeated(docs, F.sha2(lower.cast("binary"), 256), kept)

@@ -230,8 +230,8 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, bits: int = 3, seed: int =
 
     Null and empty texts have no words and the fingerprint zero, which links
     like any other. Texts of fewer words than a shingle are one shingle.
-    Rows repeated under an id are rows of their own. Null ids are reachable
-    but never the smallest (``component_id`` is null if all are). An empty
+    Very long texts are read in steps of a megabyte, whole. Rows repeated under
+    an id are rows of their own. Null ids are reachable but never the smallest (``component_id`` is null if all are). An empty
     table gives no rows; other columns are ignored.
     """
     rows, first = _grouped(docs, shingle, bits, seed)
@@ -241,7 +241,10 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, bits: int = 3, seed: int =
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 3, seed: int = 42) -> DataFrame:
     """One row of every group, with all its columns: the one with the smallest
-    ``doc_id`` (null ids last; texts of one id in the order of their hash)."""
+    ``doc_id`` (null ids last; texts of one id in the order of their hash).
+    Null, empty and wordless texts have the fingerprint zero and form a group
+    like any other; rows repeated under one id and text leave one. An empty
+    table stays empty."""
     _, first = _grouped(docs, shingle, bits, seed)
     stays = first.select(row_key("first.doc_id").alias("id"), F.col("first.tid").alias("tid")).distinct()
     return first_of_repeated(docs, F.xxhash64("text"), stays)

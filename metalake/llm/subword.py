@@ -254,13 +254,23 @@ def encode_documents(docs: DataFrame, model: str, dropout: float = 0.1, seed: in
 
 
 def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
-    """``doc_id``, ``text`` of ``doc_id``, ``ids`` (null ids: null text)."""
+    """``doc_id``, ``text`` of ``doc_id``, ``ids`` (null ids: null text; no ids:
+    the empty text). An id that is null or outside the model is U+FFFD, and so
+    are bytes that are no UTF-8. An empty table gives no rows; other columns
+    are ignored."""
     prepare(encoded.sparkSession)
 
+    def text_of(codec: Codec, ids: list) -> str:
+        if all(i is not None and 0 <= i < len(codec.raw) for i in ids):
+            whole = b"".join(map(codec.raw.__getitem__, ids))
+        else:
+            whole = b"".join(codec.raw[i] if i is not None and 0 <= i < len(codec.raw) else "\ufffd".encode() for i in ids)
+        return whole[whole[:1] == b" ":].decode("utf-8", "replace")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(model)
         for b in arrow_rows(batches, 64):
-            texts = [None if x is None else codec.decode(np.array(x, np.int32)) for x in b.column(1).to_pylist()]
+            texts = [None if x is None else text_of(codec, x) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")

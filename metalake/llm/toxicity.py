@@ -208,5 +208,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, columns: bool = False, **
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
-    """The documents that are not predicted toxic, with all their columns."""
+    """The documents that are not predicted toxic, with all their columns.
+
+    Null and empty texts score by the intercept alone, repeated rows alike; a
+    null id is no hindrance. Without any label nothing is dropped, and an empty
+    table stays empty."""
     return score_toxicity(docs, labels, columns=True, **settings).where("predicted = 0").select("row.*")

@@ -94,3 +94,27 @@ def test_tree_walk_reaches_every_leaf_once():
     assert set(tree.assign(x)) <= set(range(tree.leaves))
     promise = [max((x[0] @ tree.centroids[v]) for v in np.flatnonzero(tree.leaf == leaf)) for leaf in tree.best_bins(x[0])]
     assert promise[0] >= np.median(promise)
+
+
+def test_leaf_bounds_hold():
+    """No vector of a leaf scores above the bound by which the leaf is left out."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(3000, 6)) + 8 * np.eye(6)[rng.integers(0, 6, 3000)]
+    tree = grow(x[:500], 20)
+    leaf, centres = tree.assign(x), tree.leaf_centroids()
+    off = np.linalg.norm(x - centres[leaf], axis=1)
+    radius = np.array([off[leaf == i].max(initial=0) for i in range(tree.leaves)])
+    most = x[:40] @ centres.T + np.linalg.norm(x[:40], axis=1)[:, None] * radius
+    assert all((x[:40] @ x[leaf == i].T).max(axis=1, initial=-np.inf).max() <= most[:, i].max() + 1e-9 for i in range(tree.leaves))
+    best = np.sort(x[:40] @ x.T, axis=1)[:, -10]
+    assert ((most < best[:, None]).mean() > 0.5)  # and leaves out most leaves of clustered vectors
+
+
+def test_clustered_vectors_through_rounds(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(30, 8)) * 5
+    rows = [(i, (centres[i % 30] + rng.normal(size=8) * 0.2).round(3).tolist()) for i in range(1500)]
+    got = ranked(nearest_neighbours(table(spark, rows), F.col("vec_id") % 20 == 0, k=5, per_leaf=20, first=1, widen=2))
+    want = exact([(i, np.float32(e)) for i, e in rows], 5)
+    hit = sum(len({i for i, _ in want[q]} & {r.vec_id for r in got[q]}) for q in want)
+    assert set(got) == set(want) and hit / (5 * len(want)) >= 0.9

@@ -103,3 +103,11 @@ def test_awkward_rows(spark):
     assert LONG in {r.text for r in back}
     assert round_trip(empty(spark), FILE).count() == 0
     assert encode_documents(empty(spark), FILE).count() == 0
+
+
+def test_ids_outside_the_model(spark):
+    codec = Codec(FILE)
+    word = codec.encode("abc").tolist()
+    rows = [(1, [*word, 10 ** 6]), (2, [None, *word]), (3, [-1]), (4, []), (5, None), (None, word)]
+    got = decode_documents(spark.createDataFrame(rows, "doc_id long, ids array<int>"), FILE).collect()
+    assert {r.doc_id: r.text for r in got} == {1: "abc\ufffd", 2: "\ufffd abc", 3: "\ufffd", 4: "", 5: None, None: "abc"}
