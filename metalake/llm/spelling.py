@@ -53,9 +53,11 @@ def vocabulary(docs: DataFrame, least: int = 7, twice: int = 2, one_in: int = 31
 def rotations(words: DataFrame, literal: int = 64) -> DataFrame:
     """``prefix, last, first_of_run`` of all rotations of ``word``: ``last`` is
     the skipped code point, or empty where the prefix is the whole rotation.
+    Turned back, the two give the word, so that it need not travel along.
 
     Prefixes over ``literal`` code points are replaced by their SHA-256, so
-    that a word of length L takes L rows of bounded size.
+    that a word of length L takes L rows of bounded size; ``word`` is carried
+    there, and null elsewhere.
     """
     turned = words.select("word", "n", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.length("word")),
@@ -68,17 +70,28 @@ def rotations(words: DataFrame, literal: int = 64) -> DataFrame:
         F.when(F.col("i") > 0, F.struct(
             F.substring("turn", F.lit(1), F.length("turn") - 1).alias("prefix"), last.alias("last"),
             ((F.col("i") == 1) | (before != last)).alias("first_of_run"))))).alias("at"))
-    key = F.when(F.length("at.prefix") > literal, F.sha2(F.col("at.prefix"), 256)).otherwise(F.col("at.prefix"))
-    return both.where("at IS NOT NULL").select(key.alias("prefix"), "at.last", "at.first_of_run", "word", "n")
+    long = F.length("at.prefix") > literal
+    key = F.when(long, F.sha2(F.col("at.prefix"), 256)).otherwise(F.col("at.prefix"))
+    return both.where("at IS NOT NULL").select(key.alias("prefix"), "at.last", "at.first_of_run",
+                                               F.when(long, F.col("word")).alias("word"), "n")
+
+
+def turned_back(prefix: Column, last: Column) -> Column:
+    """The word whose rotation is ``prefix`` followed by ``last``."""
+    return F.concat(F.substring_index(prefix, END, -1), last, F.substring_index(prefix, END, 1))
 
 
 def neighbours(words: DataFrame, literal: int = 64) -> DataFrame:
     """``word, near, near_n``: both directions of every pair of ``words``
     (``word, n``) that differ by one inserted, deleted or replaced code point."""
     held = F.struct("last", "first_of_run", "word", "n")
+    # a short table makes some twenty times its rows: dealt to all tasks first
+    words = words.repartition(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ranges = (rotations(words, literal).repartitionByRange("prefix").sortWithinPartitions("prefix", "last")
               .groupBy("prefix").agg(F.collect_list(held).alias("held")).where(F.size("held") > 1)
-              .select(F.sort_array("held").alias("held")))
+              .select(F.transform("held", lambda x: F.struct(
+                  x["last"].alias("last"), x["first_of_run"].alias("first_of_run"),
+                  F.coalesce(x["word"], turned_back(F.col("prefix"), x["last"])).alias("word"), x["n"].alias("n"))).alias("held")))
     # Within a range: two code points are a replacement; a word that is the
     # prefix itself (empty ``last``) and one code point are an indel.
     differ = lambda x, y: (x["last"] != y["last"]) & ((x["last"] != "") | y["first_of_run"]) & (
