@@ -935,21 +935,41 @@ c AS (SELECT n, to_base64(encode(cast(n * {adapters.PAGE_SIZE} AS VARCHAR))) AS
 SELECT 'gap' AS problem, cursor, lost AS next_cursor FROM c WHERE n % 7 = {_CUT}
 UNION ALL SELECT 'not_advancing', cursor, cursor FROM c WHERE n % 7 = {_BACK}""")
 def q49_landed_page_chain(spark, sf_dir):
-    n = F.col("page_no")
+    return page_chain_problems(_broken_pages(spark, sf_dir), "run").select("problem", "cursor", "next_cursor")
+
 
-    def cursor(number):
-        return F.base64(F.encode(number.cast("string"), "UTF-8"))
+def _cursor(number):
+    return F.base64(F.encode(number.cast("string"), "UTF-8"))
 
+
+def _broken_pages(spark, sf_dir):
+    """Landed pages of which some lead to no page and some to themselves."""
+    n = F.col("page_no")
     to = F.when(n % 7 == _CUT, n * adapters.PAGE_SIZE + 1).when(n % 7 == _BACK, n * adapters.PAGE_SIZE)
-    link = F.concat(F.lit("page%5Bcursor%5D="), F.url_encode(cursor(to)))
+    link = F.concat(F.lit("page%5Bcursor%5D="), F.url_encode(_cursor(to)))
     path = scratch_path(spark, "q49") + "/pages"
     adapters.pages_from_orders(spark, sf_dir).select(F.when(
         to.isNotNull(), F.regexp_replace("value", F.lit('page%5Bcursor%5D=[^&"]*'), link)).otherwise(
         F.col("value")).alias("value")).write.text(path)
     pages = read_pages(spark, path).withColumn("page_no", F.try_variant_get("v", "$.meta.page", "bigint"))
-    meta = page_meta(pages, keep=["page_no"]).select(
-        F.lit("run").alias("run"), cursor(n * adapters.PAGE_SIZE).alias("cursor"), "next_cursor")
-    return page_chain_problems(meta, "run").select("problem", "cursor", "next_cursor")
+    return page_meta(pages, keep=["page_no"]).select(
+        F.lit("run").alias("run"), _cursor(n * adapters.PAGE_SIZE).alias("cursor"), "next_cursor")
+
+
+@query("q49b_landed_chain_order", f"""
+WITH p AS (SELECT DISTINCT {adapters.K} // {adapters.PAGE_SIZE} AS n FROM orders),
+last AS (SELECT max(n) AS n FROM p),
+c AS (SELECT p.n, p.n < last.n AS linked, to_base64(encode(cast(p.n * {adapters.PAGE_SIZE} AS VARCHAR))) AS cursor,
+             CASE p.n % 7 WHEN {_CUT} THEN p.n * {adapters.PAGE_SIZE} + 1 WHEN {_BACK} THEN p.n * {adapters.PAGE_SIZE}
+                  ELSE (p.n + 1) * {adapters.PAGE_SIZE} END AS to_number FROM p, last),
+l AS (SELECT n, linked, cursor, CASE WHEN linked THEN to_base64(encode(cast(to_number AS VARCHAR))) END AS next_cursor FROM c)
+SELECT 'unreachable' AS problem, cursor, next_cursor FROM l WHERE n > {_CUT}
+UNION ALL SELECT 'cycle', cursor, next_cursor FROM l WHERE linked AND n % 7 = {_BACK}
+UNION ALL SELECT 'doubled_link', least(a.cursor, b.cursor), b.cursor FROM l a JOIN l b ON b.n = a.n + 1
+WHERE b.linked AND b.n % 7 = {_BACK}""")
+def q49b_landed_chain_order(spark, sf_dir):
+    """The same pages as a whole: what the first page does not lead to, and rings."""
+    return chain_order_problems(_broken_pages(spark, sf_dir), "run").select("problem", "cursor", "next_cursor")
 
 
 @query("q50_landed_totals", """
