@@ -13,6 +13,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 POINTER = "_current"
@@ -47,16 +48,32 @@ class _Files:
         finally:
             stream.close()
 
-    def put(self, text: str, content: str) -> None:
-        """The whole file at once, over an old one: written beside it, then moved."""
-        beside = f"{text}.{uuid.uuid4().hex[:12]}"
-        stream = self.fs.create(self.path(beside), True)
+    def _write(self, text: str, content: str) -> None:
+        stream = self.fs.create(self.path(text), True)
         stream.write(bytearray(content, "utf-8"))
         stream.close()
+
+    def _context(self):
+        """Hadoop's interface with a rename that replaces; None where the file
+        system has none, as some object stores."""
+        try:
+            return self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.getUri(), self.conf)
+        except Py4JJavaError as e:
+            if "UnsupportedFileSystemException" in str(e.java_exception):
+                return None
+            raise
+
+    def put(self, text: str, content: str) -> None:
+        """The whole file at once, over an old one: written beside it, then
+        moved; an object store shows an object when it is whole anyway."""
+        where = self._context()
+        if where is None:
+            return self._write(text, content)
+        beside = f"{text}.{uuid.uuid4().hex[:12]}"
+        self._write(beside, content)
         rename = getattr(self.jvm.org.apache.hadoop.fs, "Options$Rename")
         options = self.gateway.new_array(rename, 1)
         options[0] = rename.OVERWRITE
-        where = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.getUri(), self.conf)
         where.rename(self.fs.makeQualified(self.path(beside)), self.fs.makeQualified(self.path(text)), options)
 
     def move(self, old: str, new: str) -> None:

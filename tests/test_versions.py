@@ -105,3 +105,12 @@ def test_remains_of_another_swap_are_no_empty_catalogue(spark, tmp_dir):
     catalog(spark, "a").write.option("header", True).csv(path + ".before-0123456789ab")
     with pytest.raises(OSError, match="before-0123456789ab"):
         read_catalog(spark, path)
+
+
+def test_a_store_without_a_replacing_rename(spark, tmp_dir, monkeypatch):
+    path = os.path.join(tmp_dir, "catalog.csv")
+    assert versions._Files(spark, path)._context() is not None
+    monkeypatch.setattr(versions._Files, "_context", lambda self: None)
+    for names in ("ab", "abc"):
+        write_catalog(catalog(spark, *names), path)
+        assert ids(spark, path) == list(names)
