@@ -160,10 +160,11 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 3000, max_bytes:
             raw = [features.of(t or "").tobytes() for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(raw, pa.binary())], names=["toxic", "at"])
 
-    rows = sample.mapInArrow(run, "toxic int, at binary").collect()
-    if not rows:
+    # small partitions, so that no task's result is large; Arrow, so that the driver holds them once
+    rows = sample.repartition(64, F.xxhash64("text")).mapInArrow(run, "toxic int, at binary").toArrow()
+    if not rows.num_rows:
         return None
-    examples = sorted((r["toxic"], bytes(r["at"])) for r in rows)
+    examples = sorted(zip(rows["toxic"].to_pylist(), rows["at"].to_pylist()))
     weights = ftrl([(y, np.frombuffer(a, np.int32)) for y, a in examples], bits, alpha, beta, l1, l2, passes, seed)
     weights.intercept += odds
     return weights
