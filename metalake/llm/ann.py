@@ -334,7 +334,7 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, per_le
             # leaves whose bound lies below a query's floor are certified to hold none of its neighbours
             some = some.join(best.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("worst"))
                              .select("query_id", F.when(F.col("n") >= k, F.col("worst")).alias("floor")), "query_id", "left")
-            some = some.where("floor IS NULL OR most >= floor - 1e-9 * greatest(1, abs(floor))")
+            some = materialise(some.where("floor IS NULL OR most >= floor - 1e-9 * greatest(1, abs(floor))"), "ann-open")
         found = visit(some)
         best = materialise(_best_of(found if best is None else best.unionByName(found), k).drop("rank"), "ann-best")
         low, high = high, high * widen
