@@ -16,9 +16,9 @@ expected beside those of their form with a cue word, seen that confirmed ones
 lack one so often, or (cards) by how far sound checksums are above chance. How
 common a form is does not change its share. Thresholds are calibrated on the candidates
 that can be added, so the precision asked for is that of the added spans. The
-candidates of a bounded sample of documents are counted by feature vector in
-Spark; only those counts (at most one row per cell of the feature grid) reach
-the driver, and the fitted trees go back as a column expression.
+candidates of all documents are counted by feature vector in Spark; only those
+counts (at most one row per cell of the feature grid) reach the driver, and the
+fitted trees go back as a column expression.
 
 Positions come from cutting the text at the matches: with the pieces between
 matches and the matches themselves, every offset is a running sum of lengths.
@@ -273,20 +273,23 @@ def shares(x: np.ndarray, covered: np.ndarray, free: np.ndarray) -> np.ndarray:
     return share
 
 
-def fit(docs: DataFrame, sample_docs: int = 20_000, precision: float = 0.95) -> Model:
-    """Trees and thresholds from a bounded sample of about ``sample_docs``
-    documents, picked by a hash of id and text; a fifth of it calibrates."""
-    share = min(1.0, sample_docs / max(1, docs.count()))
-    dice = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
-    # written first: candidates are made of the sample alone, whatever filters
-    # Spark derives from what follows
-    some = materialise(docs.where(dice < int(share * (1 << 30))).select("doc_id", "text"), "pii-sample")
-    rows = (candidates(base_spans(some, "doc_id"), "doc_id")
-            # of explode() Spark would infer a filter on ``wide`` and push the whole of its expression down
-            .select(held_out(F.col("doc_id"), 5, 0).alias("later"), "shut", F.explode_outer("wide").alias("c"))
-            .where("c IS NOT NULL")
-            .select("later", "c", _covered(F.col("c"), of_kind=True).cast("int").alias("y"),
-                    _covered(F.col("c")).cast("int").alias("closed")))
+def fit(docs: DataFrame, sample_docs: int | None = None, precision: float = 0.95) -> Model:
+    """Trees and thresholds from the candidates of all documents; a fifth of
+    the documents calibrates. With ``sample_docs``, only about so many of them
+    count, picked by a hash of id and text."""
+    some = docs.select("doc_id", "text")
+    if sample_docs is not None:
+        share = min(1.0, sample_docs / max(1, docs.count()))
+        dice = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
+        # written first: candidates are made of the sample alone, whatever filters
+        # Spark derives from what follows
+        some = materialise(some.where(dice < int(share * (1 << 30))), "pii-sample")
+    # what covers a candidate is told before the explode, which would copy the base spans to each
+    told = F.transform("wide", lambda c: F.struct(c.alias("c"), _covered(c, of_kind=True).cast("int").alias("y"),
+                                                  _covered(c).cast("int").alias("closed")))
+    rows = (candidates(base_spans(some, "doc_id"), "doc_id").select(held_out(F.col("doc_id"), 5, 0).alias("later"), told.alias("told"))
+            # of explode() Spark would infer a filter on ``told`` and push the whole of its expression down
+            .select("later", F.explode_outer("told").alias("t")).where("t IS NOT NULL").select("later", "t.*"))
     cells = (rows.groupBy("later", *[F.col(f"c.{f}").alias(f) for f in FEATURES])
              .agg(F.sum("y").alias("covered"), F.sum(1 - F.col("y")).alias("free"),
                   F.sum(1 - F.col("closed")).alias("open")).collect())

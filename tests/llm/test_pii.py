@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from conftest import SF001, SF01
 from helpers import AWKWARD, docs, empty, texts
+from pyspark.sql import functions as F
 
 from metalake.llm import boosting, pii
 from metalake.llm.queries import op5_pii
@@ -183,3 +184,13 @@ def test_sample_is_written_before_candidates_are_made(spark, monkeypatch):
         spans._jdf.queryExecution().analyzed().toString()) or made(spans, *c))
     pii.fit(docs(spark), sample_docs=5)
     assert len(seen) == 1 and "xxhash64" not in seen[0]
+
+
+def test_model_counts_the_candidates_of_every_document(spark, monkeypatch):
+    """More documents than the bound of the former sample: every candidate counts."""
+    n, seen = 21_000, []
+    monkeypatch.setattr(pii, "shares", lambda x, covered, free, made=pii.shares: seen.append(
+        (covered.sum(), free.sum())) or made(x, covered, free))
+    d = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("write to p"), "id", F.lit("@example.com")).alias("text"))
+    pii.fit(d)
+    assert seen == [(n, 0)]
