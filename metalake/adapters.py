@@ -290,8 +290,8 @@ def run_sql(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:
 
 def records_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON record per order in column ``raw`` (see ``records_sql``)."""
-    from .session import spread
-    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet"))
+    from .session import spread_rows
+    orders = spread_rows(spark.read.parquet(f"{sf_dir}/orders.parquet"))
     return run_sql(spark, records_sql("spark", "@orders@"), orders=orders)
 
 
@@ -404,12 +404,16 @@ def pages_from_orders(spark: SparkSession, sf_dir: str, page_size: int = PAGE_SI
     order keys (a bounded group); the next link carries the base64 cursor
     of the following page, percent-encoded."""
     from pyspark.sql import functions as F
-    recs = records_from_orders(spark, sf_dir)
-    stats = recs.agg(F.count(F.lit(1)).alias("n"), F.max(K).alias("mx")).collect()[0]
+
+    from .session import tasks_for
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    stats = orders.agg(F.count(F.lit(1)).alias("n"), F.max(K).alias("mx")).collect()[0]
     last_page = int(stats["mx"]) // page_size if stats["mx"] is not None else 0
-    page_no = F.expr(f"{K} div {page_size}")
-    pages = recs.groupBy(page_no.alias("page_no")).agg(
-        F.concat_ws(", ", F.collect_list("raw")).alias("items"))
+    # the narrow rows are dealt by page, to tasks of a bounded number of rows;
+    # the records are made where their page is, and are not shuffled
+    paged = orders.withColumn("page_no", F.expr(f"{K} div {page_size}")).repartition(tasks_for(spark, stats["n"]), "page_no")
+    recs = run_sql(spark, f"SELECT page_no, {render(record_node('spark'), canonical=False)} AS raw FROM @orders@", orders=paged)
+    pages = recs.groupBy("page_no").agg(F.concat_ws(", ", F.collect_list("raw")).alias("items"))
     cursor = F.base64(F.encode(((F.col("page_no") + 1) * page_size).cast("string"), "UTF-8"))
     nxt = F.when(F.col("page_no") < last_page,
                  F.concat(F.lit('"' + NEXT_URL), F.url_encode(cursor),

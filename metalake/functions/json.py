@@ -78,6 +78,33 @@ def canon_or(v, path: str, default: str) -> Column:
     return F.when(is_missing(x) | text.isin(_FALSY_JSON), F.lit(default)).otherwise(text)
 
 
+def json_members(v, path: str) -> Column:
+    """The members of the object at ``path`` as a map of their canonical JSON
+    text, in the order of their keys; NULL if there is no object."""
+    members = F.try_variant_get(col_(v), path, "map<string,variant>")
+    return F.transform_values(members, lambda _, x: F.coalesce(_to_json(x), F.lit("null")))
+
+
+def member(members, key: str) -> Column:
+    """``canon`` of one member of ``json_members``."""
+    return F.nullif(col_(members)[key], F.lit("null"))
+
+
+def member_or(members, key: str, default: str) -> Column:
+    """``canon_or`` of one member of ``json_members``."""
+    text = col_(members)[key]
+    return F.when(text.isNull() | text.isin(_FALSY_JSON), F.lit(default)).otherwise(text)
+
+
+def joined_members(members, v) -> Column:
+    """``canon`` of the whole value ``v`` that ``json_members`` were made of.
+    The value itself is rendered only if it is no object or a key needs escapes."""
+    m = col_(members)
+    odd = F.array_join(F.map_keys(m), "").rlike(r'["\\\x00-\x1F]')
+    pairs = F.transform(F.map_entries(m), lambda e: F.concat(F.lit('"'), e["key"], F.lit('":'), e["value"]))
+    return F.when(m.isNull() | odd, canon(v, "$")).otherwise(F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}")))
+
+
 def vstring(v, path: str) -> Column:
     """Scalar at ``path`` as text; objects/arrays come out as JSON text."""
     return vget(v, path, "string")

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (canon, canon_or, doi_prefix, first_truthy, html_unescape,
-                         infer_provider, is_missing, is_object, is_string, norm_date, truthy,
-                         vget, vstring)
+                         infer_provider, is_missing, is_object, is_string, json_members, joined_members,
+                         member, member_or, norm_date, truthy, vget, vstring)
 from ..schema import JSON_ATTRIBUTE_COLUMNS, WIDE_COLUMNS
 
 
@@ -21,8 +21,10 @@ def _attr(key: str) -> str:
     return f"$.attributes.{key}"
 
 
-def _extracted(v: str) -> list[Column]:
+def _extracted(v: str, render: bool = True) -> list[Column]:
     """Step 1: every VARIANT path looked up exactly once, as its own column.
+    With ``render`` the members of ``attributes`` are made JSON text here, each
+    once: the columns of single members and the whole text are taken from them.
 
     The derived rules in step 2 reference these columns several times; an
     expensive expression referenced more than once is not re-inlined by the
@@ -40,15 +42,15 @@ def _extracted(v: str) -> list[Column]:
         vstring(v, "$.attributes.types.resourceType").alias("resource_type"),
         vstring(v, "$.attributes.types.resourceTypeGeneral").alias("resource_type_general"),
         vget(v, "$.attributes.publicationYear", "int").alias("published_year"),
-        x("$.attributes.types", "_x_types"), x("$.attributes.titles", "_x_titles"),
         is_object(v, first).alias("_t0_is_object"),
         vstring(v, first + ".title").alias("_t0_title"), vstring(v, first).alias("_t0_text"),
         x("$.attributes", "_x_attributes"), x("$.relationships", "_x_relationships"),
     ]
     for d in ("created", "registered", "updated"):
         cols += [is_string(v, _attr(d)).alias(f"_is_str_{d}"), s(d)]
-    cols += [x(_attr(key), f"_x_{name}") for name, key in JSON_ATTRIBUTE_COLUMNS]
-    return cols
+    if render:
+        return cols + [json_members(v, "$.attributes").alias("_json")]
+    return cols + [x(_attr(key), f"_x_{name}") for name, key in JSON_ATTRIBUTE_COLUMNS]
 
 
 def _derived(render: bool = True) -> list[Column]:
@@ -56,8 +58,12 @@ def _derived(render: bool = True) -> list[Column]:
     ``render`` no JSON or title text is made: such a column is ``""`` where it
     would hold a text and NULL where it would be NULL."""
     c = F.col
-    js, js_or, decoded = (canon, canon_or, html_unescape) if render else (
-        lambda x, _: F.when(~is_missing(c(x)), ""), lambda *_: F.lit(""), lambda x: x)
+    if render:
+        js, js_or, decoded = (lambda _, key: member("_json", key)), (lambda key, default: member_or("_json", key, default)), html_unescape
+        raw, relationships = joined_members("_json", "_x_attributes"), canon_or("_x_relationships", "$", "{}")
+    else:
+        js, js_or, decoded = (lambda name, _: F.when(~is_missing(c(f"_x_{name}")), "")), (lambda *_: F.lit("")), (lambda x: x)
+        raw, relationships = F.when(~is_missing(c("_x_attributes")), ""), F.lit("")
     client_id = first_truthy("_rel_client", "_s_clientId")
     out = {
         "doi": c("_s_doi"), "url": c("_s_url"), "publisher": c("_s_publisher"),
@@ -68,18 +74,18 @@ def _derived(render: bool = True) -> list[Column]:
         "provider_id": infer_provider("_rel_provider", "_s_providerId", client_id),
         "resource_type": c("resource_type"),
         "resource_type_general": c("resource_type_general"),
-        "types_json": js_or("_x_types", "$", "{}"),
+        "types_json": js_or("types", "{}"),
         "title": decoded(F.when(c("_t0_is_object"), c("_t0_title")).otherwise(c("_t0_text"))),
-        "titles_json": js_or("_x_titles", "$", "[]"),
+        "titles_json": js_or("titles", "[]"),
         "published": c("_s_published"),
         "published_year": c("published_year"),
-        "raw_attributes_json": js("_x_attributes", "$"),
-        "raw_relationships_json": js_or("_x_relationships", "$", "{}"),
+        "raw_attributes_json": raw,
+        "raw_relationships_json": relationships,
     }
     for d in ("created", "registered", "updated"):
         out[d] = F.when(c(f"_is_str_{d}"), norm_date(c(f"_s_{d}")))
-    for name, _ in JSON_ATTRIBUTE_COLUMNS:
-        out[name] = js(f"_x_{name}", "$")
+    for name, key in JSON_ATTRIBUTE_COLUMNS:
+        out[name] = js(name, key)
     return [out[col].alias(col) for col in WIDE_COLUMNS]
 
 
@@ -91,7 +97,7 @@ def flatten_items(items: DataFrame, v: str = "v", keep=(), drop_without_attribut
     if drop_without_attributes:
         items = items.filter(~is_missing(vget(v, "$.attributes")))
     keep = list(keep)
-    return items.select(*_extracted(v), *keep).select(*_derived(render), *keep)
+    return items.select(*_extracted(v, render), *keep).select(*_derived(render), *keep)
 
 
 _CLIENT_PATHS = {

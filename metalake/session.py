@@ -167,6 +167,27 @@ def spread(df, min_partitions: int | None = None):
     return df.repartition(want) if have < want else df
 
 
+#: Rows of a task that makes, parses and flattens JSON records: half a minute or so of one core.
+ROWS_PER_TASK = 100_000
+
+
+def tasks_for(spark: SparkSession, rows: int, rows_per_task: int = ROWS_PER_TASK) -> int:
+    """Tasks for so many rows: one a core at least, and none that grows with the input."""
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except PySparkException:  # Spark Connect: no SparkContext on the client
+        cores = 1
+    return max(cores, -(-rows // rows_per_task))
+
+
+def spread_rows(df, rows_per_task: int = ROWS_PER_TASK):
+    """``df``, a table whose rows each expand into heavy work, dealt round-robin
+    to tasks of a bounded number of rows. How the input is cut says nothing of
+    that: a Parquet file has as many splits as bytes call for, but only those
+    that hold the middle of a row group have rows."""
+    return df.repartition(tasks_for(df.sparkSession, df.count(), rows_per_task))
+
+
 def scratch_root(spark: SparkSession) -> str:
     """This application's own folder under the shared checkpoint root."""
     try:

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
+from metalake import adapters, session
 from metalake.operators.flatten import flatten_clients, flatten_items
 from metalake.schema import CLIENT_COLUMNS, WIDE_COLUMNS
 from metalake.sources.items import items_from_text, quarantine
@@ -97,3 +100,57 @@ def test_flatten_clients(spark):
     assert a["isActive"] == "True" and b["isActive"] == "False" and a["year"] == "2015"
     assert a["provider_id"] == "x" and a["provider_type"] == "providers" and b["provider_id"] == ""
     assert json.loads(a["raw_json"]) == CLIENTS[0]
+
+
+def order_rows(spark, n):
+    return spark.range(n).selectExpr(
+        "id AS o_orderkey", "id % 97 AS o_custkey", "'F' AS o_orderstatus", "cast(id * 1.5 as double) AS o_totalprice",
+        "timestamp'1995-01-01' + make_interval(0, 0, 0, cast(id % 900 as int)) AS o_orderdate", "'1-URGENT' AS o_orderpriority")
+
+
+def test_records_of_one_row_group_are_dealt_to_all_tasks(spark, tmp_dir):
+    """A file with one row group has as many splits as its bytes call for; only one of them has rows."""
+    n, conf = 8000, {"spark.sql.files.maxPartitionBytes": "4k", "spark.sql.files.openCostInBytes": "1k"}
+    order_rows(spark, n).coalesce(1).write.parquet(f"{tmp_dir}/orders.parquet")
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        records = adapters.records_from_orders(spark, tmp_dir)
+        sizes = [r["count"] for r in records.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert sum(sizes) == n and max(sizes) <= n // 4 + 1
+
+
+def test_tasks_follow_the_rows(spark):
+    assert session.tasks_for(spark, 10) == 4 and session.tasks_for(spark, 54_000_000) == 540
+    assert session.spread_rows(spark.range(1000), 100).rdd.getNumPartitions() == 10
+
+
+def test_members_are_rendered_once(spark):
+    p = flatten_items(items_from_text(spark.createDataFrame([("{}",)], "raw string")))._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("to_json") <= 4  # members, relationships twice, attributes that are no plain object
+
+
+@pytest.mark.parametrize("attributes", [
+    {"z": 1, "a": None, "sizes": ["\x0b\x1f"], "types": {"b": "\\\x0e", "a": [1, {"y": True, "x": "é😀"}]}},
+    {"quo\"te": 1, "back\\slash": {"a": 2}, "ctl\x01": "\x0c", "titles": 0}, {}, [], [1, {"b": 1, "a": 2}], "text", 7])
+def test_whole_text_is_the_members_joined(spark, attributes):
+    raw = json.dumps({"attributes": attributes})
+    got = flatten_items(items_from_text(spark.createDataFrame([(raw,)], "raw string"))).first()
+    assert got["raw_attributes_json"] == json.dumps(attributes, sort_keys=True, ensure_ascii=False, separators=(",", ":"))
+    if isinstance(attributes, dict):
+        want = attributes.get("sizes")
+        assert got["sizes_json"] == (want and json.dumps(want, ensure_ascii=False, separators=(",", ":")))
+        assert got["titles_json"] == "[]"
+
+
+def test_pages_are_made_where_their_records_are(spark, tmp_dir):
+    order_rows(spark, 2500).write.parquet(f"{tmp_dir}/orders.parquet")
+    pages = adapters.pages_from_orders(spark, tmp_dir)
+    p = pages._jdf.queryExecution().executedPlan().toString()
+    assert p.count("Exchange") == 1 and p.index("Exchange") > p.index("collect_list")
+    got = {r.page_no: json.loads(r.value) for r in pages.collect()}
+    assert [len(got[i]["data"]) for i in range(3)] == [1000, 1000, 500] and got[0]["meta"]["total"] == 2500
+    assert got[2]["links"]["next"] is None and got[1]["links"]["next"] is not None
