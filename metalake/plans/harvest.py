@@ -8,12 +8,13 @@ One lazy plan: the scan, one hash shuffle on ``doi`` (after the per-map
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.dedup import dedup_richest
 from ..operators.flatten import flatten_items
 from ..operators.select import (LABEL_KEY, TYPE_KEY, by_clients, by_date_range, by_type, check_type_mode,
                                 with_type_keys)
-from ..session import spread
+from ..session import kept, spread, tasks_for
 from ..sinks import write_chunks, write_ndjson
 from ..sources.items import read_items
 
@@ -45,9 +46,15 @@ def select_records(wide: DataFrame, type_mode: str = "canonical", type_id: str =
 def land(wide: DataFrame, path: str, date_field: str = "registered", max_rows: int = 100_000) -> str:
     """Wide rows as Parquet that selections can prune: folded type columns
     beside the rows, and files and row groups that each cover a short range of
-    one date. The range shuffle is paid once, at landing."""
-    keyed = with_type_keys(wide).repartitionByRange(date_field).sortWithinPartitions(date_field, TYPE_KEY)
-    return write_chunks(keyed, path, max_rows)
+    one date. The range shuffle is paid once, at landing.
+
+    The rows are written first: the ranges are found by a look at all of them,
+    which would make them twice. A partition holds about ``max_rows`` rows,
+    those of one date (or without one) dealt to several if they are many."""
+    spark = wide.sparkSession
+    keyed = kept(with_type_keys(wide), "land")
+    ranges = keyed.repartitionByRange(tasks_for(spark, keyed.count(), max_rows), date_field, TYPE_KEY, F.xxhash64("doi", "url"))
+    return write_chunks(ranges.sortWithinPartitions(date_field, TYPE_KEY), path, max_rows)
 
 
 def select_landed(spark: SparkSession, path: str, **selection) -> DataFrame:

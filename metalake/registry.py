@@ -16,7 +16,7 @@ from . import adapters
 from .functions import canon, html_unescape, norm_date, query_param
 from .operators.aggregates import (completeness, distinct_client_ids, duplicate_stats,
                                    providers_summary, run_summary, top_values, trend_per_year, union_all)
-from .operators.dedup import dedup_first, dedup_richest
+from .operators.dedup import dedup_first, dedup_richest, tie_hash
 from .operators.flatten import flatten_clients, flatten_items
 from .operators.joins import join_on_doi, label_server_name, merge_with_sheet, new_ids
 from .operators.labels import label_records
@@ -1043,7 +1043,9 @@ def q58_landed_selections(spark, sf_dir):
     parts = []
     for mode, type_id, label, (since, until) in _LANDED:
         got = select_landed(spark, path, type_mode=mode, type_id=type_id, label=label, date_start=since, date_end=until)
-        parts.append(got.groupBy("doi", "client_id", "registered", "raw_attributes_json").agg(F.count(F.lit(1)).cast("int").alias("times"))
+        # the digest stands for the whole text, which stays out of the shuffle
+        parts.append(got.groupBy("doi", "client_id", "registered", tie_hash("raw_attributes_json").alias("record"))
+                     .agg(F.count(F.lit(1)).cast("int").alias("times"))
                      .select(F.lit(mode).alias("selection"), "doi", "client_id", "registered", "times"))
     return union_all(parts)
 

@@ -9,6 +9,7 @@ import re
 
 import pytest
 from conftest import SF001
+from pyspark.sql import functions as F
 
 from metalake.operators.dedup import dedup_richest
 from metalake.operators.joins import label_server_name
@@ -149,3 +150,25 @@ def test_hot_client_is_split(spark):
         for k in conf:
             spark.conf.unset(k)
         apply_sql_conf(spark)
+
+
+def test_landing_makes_rows_once_and_deals_one_date(spark, tmp_dir):
+    """The rows come from their source once, and those without a date are not one task's."""
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(i):
+        made.add(1)
+        return f"10.1/{i}"
+
+    wide = spark.range(4000).select(F.udf(seen)("id").alias("doi"), F.col("id").cast("string").alias("url"),
+                                    F.lit("Text").alias("resource_type_general"), F.lit("a").alias("resource_type"),
+                                    F.expr("if(id < 40, '1996-01-01', NULL)").alias("registered"))
+    path = land(wide, os.path.join(tmp_dir, "wide.parquet"), max_rows=500)
+    assert made.value == 4000 and spark.read.parquet(path).count() == 4000
+    parts = {f.split("-")[1] for f in os.listdir(path) if f.startswith("part-")}
+    assert len(parts) == 8
+
+
+def test_landed_selections_group_by_a_digest(spark):
+    p = plan(QUERIES["q58_landed_selections"](spark, SF001))
+    assert "hashpartitioning(doi" in p and not re.search(r"hashpartitioning\([^)]*raw_attributes_json", p)
