@@ -34,6 +34,24 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sieved(rows: DataFrame, wanted: DataFrame, column: str, bits: int = 1 << 25) -> DataFrame:
+    """``rows`` whose ``column`` (never null) may be among that of ``wanted``: all
+    that are, and few of the others.
+
+    The hashes of the wanted values set bits of a bitmap of a fixed size (4 MB),
+    which goes to all tasks, so that an exact join that follows shuffles little
+    more than the rows it keeps. With far more wanted values than bits nothing
+    is sieved out.
+    """
+    at = F.pmod(F.xxhash64(column), F.lit(bits)) + 1  # Spark numbers the bits of its bitmaps from 1
+    bucket, bit = F.bitmap_bucket_number(at), F.bitmap_bit_position(at)
+    maps = wanted.select(bucket.alias("_bucket"), bit.alias("_bit")).groupBy("_bucket").agg(
+        F.bitmap_construct_agg("_bit").alias("_bitmap"))
+    byte = F.conv(F.hex(F.substring("_bitmap", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return (rows.withColumn("_bucket", bucket).join(F.broadcast(maps), "_bucket")
+            .where(F.getbit(byte, (bit % 8).cast("int")) == 1).select(rows.columns))
+
+
 def text_bytes(col: pa.ChunkedArray | pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column, null as empty."""
     return [b"" if x is None else x for x in col.cast(pa.binary()).to_pylist()]

@@ -25,7 +25,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         # written, so that what is joined are plain shuffles, whose hot keys Spark splits
         least = materialise(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "cc-least")
         # large star: neighbours above a node hang below the node's smallest neighbour
-        large = materialise(edges.join(least.withColumnRenamed("a", "b"), "b").select("a", F.col("m").alias("b")).distinct(), "cc-large")
+        large = materialise(edges.join(least.withColumnRenamed("a", "b"), "b").select("a", F.col("m").alias("b")), "cc-large")
         # small star: neighbours below a node, and the node, hang below the smallest of them
         low = materialise(large.groupBy("a").agg(F.min("b").alias("m")), "cc-low")
         small = large.join(low, "a").select(F.explode(F.array(

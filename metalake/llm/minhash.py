@@ -5,7 +5,9 @@ of minima are the keys of buckets in which similar sets meet; the share of
 equal minima sifts the pairs of a bucket, and pairs that remain are compared
 on their full sets. With 32 bands of 4 minima a pair at a similarity of 0.8
 misses all buckets with a probability of 5e-8, and the signature check leaves
-out pairs more than six standard deviations below the threshold.
+out pairs more than six standard deviations below the threshold. Of a band
+six bytes of a hash are kept, of a minimum its last byte: equal ones stay
+equal, so that no pair is lost; one in 256 unequal minima counts as equal.
 
 Pairs of a bucket are not all emitted. First its smallest row is compared with
 its other members, and links that hold join components (alternating
@@ -26,11 +28,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, materialise, prepare, text_bytes
+from .common import arrow_rows, materialise, prepare, sieved, text_bytes
 from .components import connected_components
 
-_ROWS = "row long, doc_id long, digest binary, n_shingles long, words binary, signature binary"
+_ROWS = "row long, doc_id long, digest binary, n_shingles long, words binary, bands binary, signature binary"
 _SEED = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes kept of a band's hash.
+_BAND = 6
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -74,9 +78,18 @@ def signature(keys: np.ndarray, a: np.ndarray, b: np.ndarray, step: int = 512) -
     return (least >> np.uint64(32)).astype(">u4")
 
 
-def signatures(docs: DataFrame, size: int, hashes: int, seed: int) -> DataFrame:
+def band_bytes(minima: np.ndarray, bands: int) -> bytes:
+    """``_BAND`` bytes of a hash of every band's minima."""
+    key = np.zeros(bands, np.uint64)
+    for column in minima.astype(np.uint64).reshape(bands, -1).T:
+        key = _mixed(key * _SEED + column)
+    return key.astype(">u8").view(np.uint8).reshape(bands, 8)[:, :_BAND].tobytes()
+
+
+def signatures(docs: DataFrame, size: int, bands: int, hashes: int, seed: int) -> DataFrame:
     """One row per document: the packed sequence of its words, its SHA-256, the
-    number of distinct shingles and the signature of their set."""
+    number of distinct shingles, the hashes of the bands of their set's
+    signature and the last byte of each minimum."""
     a, b = hash_family(hashes, seed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,7 +99,7 @@ def signatures(docs: DataFrame, size: int, hashes: int, seed: int) -> DataFrame:
             known = held.dictionary.to_pylist()
             word_hash = np.array([int.from_bytes(hashlib.blake2b(w, digest_size=8).digest()) for w in known], np.uint64)
             code = held.indices.to_numpy().astype(np.int64)
-            counts, signs, at = [], [], 0
+            counts, keys, signs, at = [], [], [], 0
             for words in texts:
                 ids = code[at:at + len(words)]
                 at += len(words)
@@ -101,16 +114,20 @@ def signatures(docs: DataFrame, size: int, hashes: int, seed: int) -> DataFrame:
                         grams = np.unique(grams, axis=0)
                 counts.append(len(grams))
                 if not len(grams):
+                    keys.append(None)
                     signs.append(None)
                     continue
                 key = np.full(len(grams), grams.shape[1], np.uint64)
                 for k in range(grams.shape[1]):
                     key = _mixed(key * _SEED + word_hash[grams[:, k]])
-                signs.append(signature(key >> np.uint64(32), a, b).tobytes())
+                minima = signature(key >> np.uint64(32), a, b)
+                keys.append(band_bytes(minima, bands))
+                signs.append(minima.astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([hashlib.sha256(b" ".join(w)).digest() for w in texts], pa.binary()),
-                 pa.array(counts, pa.int64()), pa.array([packed(w) for w in texts], pa.binary()), pa.array(signs, pa.binary())],
-                names=["row", "doc_id", "digest", "n_shingles", "words", "signature"])
+                 pa.array(counts, pa.int64()), pa.array([packed(w) for w in texts], pa.binary()),
+                 pa.array(keys, pa.binary()), pa.array(signs, pa.binary())],
+                names=["row", "doc_id", "digest", "n_shingles", "words", "bands", "signature"])
 
     return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("string").alias("text")).mapInArrow(run, _ROWS)
@@ -131,7 +148,7 @@ def _agreeing(pairs: DataFrame, signs: DataFrame, hashes: int, share: int) -> Da
 
     def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), ">u4").reshape(-1, hashes) for i in (2, 3))
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, hashes) for i in (2, 3))
             yield batch.filter(pa.array((x == y).sum(axis=1) >= least)).select(["a", "b"])
 
     fit = 100 * F.least("n_a", "n_b") >= share * F.greatest("n_a", "n_b")
@@ -159,17 +176,15 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, share: int) -> Data
             .mapInArrow(compare, "a long, b long"))
 
 
-def banded(rows: DataFrame, bands: int, hashes: int) -> DataFrame:
+def banded(rows: DataFrame, bands: int) -> DataFrame:
     """``key, row`` for every band of every signature."""
-    width = 4 * hashes // bands
-    keys = F.array(*[F.xxhash64(F.lit(i), F.substring("signature", 1 + i * width, width)) for i in range(bands)])
+    keys = F.array(*[F.xxhash64(F.lit(i), F.substring("bands", 1 + i * _BAND, _BAND)) for i in range(bands)])
     return rows.select(F.explode(keys).alias("key"), "row")
 
 
 def star_links(active: DataFrame, near: DataFrame, size: int, share: int, hashes: int) -> DataFrame:
     """Links of every bucket's smallest row with the bucket's other members."""
-    pivots = materialise(active.groupBy("key").agg(F.min("row").alias("a")), "minhash-pivots")
-    pairs = (active.join(pivots, "key").where("a < row").select("a", F.col("row").alias("b")).distinct())
+    pairs = active.where("a < row").select("a", F.col("row").alias("b")).distinct()
     maybe = materialise(_agreeing(materialise(pairs, "minhash-pairs"), near, hashes, share), "minhash-maybe")
     return materialise(confirmed(maybe, near, size, share), "minhash-links")
 
@@ -177,9 +192,7 @@ def star_links(active: DataFrame, near: DataFrame, size: int, share: int, hashes
 def unsettled(active: DataFrame, roots: DataFrame) -> DataFrame:
     """``key, row, root`` of the buckets that hold several components, without
     the smallest rows: what these link with is known."""
-    pivots = materialise(active.groupBy("key").agg(F.min("row").alias("row")), "minhash-known")
-    rest = materialise(active.select("key", "row").join(pivots, ["key", "row"], "left_anti")
-                       .join(roots.withColumnRenamed("node", "row"), "row", "left")
+    rest = materialise(active.where("a < row").join(roots.withColumnRenamed("node", "row"), "row", "left")
                        .select("key", "row", F.coalesce("root", "row").alias("root")), "minhash-rest")
     several = materialise(rest.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
                           .where("low <> high").select("key"), "minhash-open")
@@ -233,7 +246,7 @@ def block_links(active: DataFrame, near: DataFrame, size: int, share: int, hashe
         found: list[tuple[int, int]] = []
         if a.num_rows and b.num_rows:
             ids, roots, counts = ([np.asarray(t[c]) for t in (a, b)] for c in ("row", "root", "n_shingles"))
-            signs_a, signs_b = (np.frombuffer(b"".join(t["signature"].to_pylist()), ">u4").reshape(-1, hashes) for t in (a, b))
+            signs_a, signs_b = (np.frombuffer(b"".join(t["signature"].to_pylist()), np.uint8).reshape(-1, hashes) for t in (a, b))
             maybe = roots[0][:, None] != roots[1]
             if key[1].as_py() == key[2].as_py():
                 maybe &= ids[0][:, None] < ids[1]
@@ -272,19 +285,25 @@ def forest(links: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def links(rows: DataFrame, size: int, share: int, bands: int, hashes: int) -> DataFrame:
-    """``node, root`` of all linked ones among ``rows`` (``row``, ``n_shingles``,
-    ``words``, ``signature``; one row per distinct sequence of words)."""
-    all_keys = materialise(banded(rows, bands, hashes), "minhash-bands")
-    shared = materialise(all_keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "minhash-shared")
+def links(rows: DataFrame, firsts: DataFrame, size: int, share: int, bands: int, hashes: int) -> DataFrame:
+    """``node, root`` of all linked ones among ``firsts`` (``row``), one for each
+    distinct sequence of words in ``rows`` (see ``signatures``)."""
+    all_keys = materialise(banded(rows.select("row", "bands").join(firsts, "row", "left_semi"), bands), "minhash-bands")
+    shared = materialise(all_keys.groupBy("key").agg(F.min("row").alias("a"), F.count(F.lit(1)).alias("n"))
+                         .where("n > 1").select("key", "a"), "minhash-shared")
     active = materialise(all_keys.join(shared, "key"), "minhash-active")
-    near = materialise(rows.join(active.select("row").distinct(), "row", "left_semi")
-                       .select("row", "n_shingles", "words", "signature"), "minhash-near")
-    found = star_links(active, near, size, share, hashes)
-    active = unsettled(active, connected_components(found))
-    if not active.isEmpty():
-        found = found.unionByName(block_links(active, near, size, share, hashes))
-    return connected_components(found)
+    met = materialise(active.select("row").distinct(), "minhash-met")
+    # the words of rows that met no other stay where they are: only those of the others are shuffled
+    near = materialise(sieved(rows.select("row", "n_shingles", "words", "signature"), met, "row")
+                       .join(met, "row", "left_semi"), "minhash-near")
+    roots = connected_components(star_links(active, near, size, share, hashes))
+    active = unsettled(active, roots)
+    if active.isEmpty():
+        return roots
+    more = block_links(active, near, size, share, hashes)
+    if more.isEmpty():
+        return roots
+    return connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
 
 def minhash_groups(docs: DataFrame, size: int = 5, share: int = 80, bands: int = 32, rows: int = 4,
@@ -305,11 +324,10 @@ def minhash_groups(docs: DataFrame, size: int = 5, share: int = 80, bands: int =
     """
     prepare(docs.sparkSession)
     hashes = bands * rows
-    all_rows = materialise(signatures(docs, size, hashes, seed), "minhash-rows")
+    all_rows = materialise(signatures(docs, size, bands, hashes, seed), "minhash-rows")
     texts = all_rows.where("n_shingles > 0").groupBy("digest").agg(F.min("row").alias("row"), F.min("doc_id").alias("least"))
     texts = materialise(texts, "minhash-texts")
-    distinct = all_rows.join(texts.select("row"), "row", "left_semi")
-    roots = links(distinct, size, share, bands, hashes)
+    roots = links(all_rows, texts.select("row"), size, share, bands, hashes)
     placed = materialise(texts.join(roots.withColumnRenamed("node", "row"), "row", "left")
                          .select("digest", "least", F.coalesce("root", "row").alias("root")), "minhash-placed")
     smallest = materialise(placed.groupBy("root").agg(F.min("least").alias("component_id")), "minhash-smallest")

@@ -6,9 +6,12 @@ import re
 import numpy as np
 from conftest import SF001
 from helpers import AWKWARD, docs, empty, texts
+from pyspark.sql import functions as F
 
 from metalake.llm import minhash
-from metalake.llm.minhash import forest, hash_family, least_agreeing, minhash_groups, overlaps, shingles, signature
+from metalake.llm.common import sieved
+from metalake.llm.minhash import (forest, hash_family, least_agreeing, minhash_groups, overlaps, shingles, signature,
+                                   signatures)
 from metalake.llm.queries import op12_minhash_near_dedup
 
 
@@ -112,3 +115,32 @@ def test_overlaps_in_steps():
 
 def test_forest_joins_what_the_links_join():
     assert forest([(1, 2), (2, 3), (3, 1), (4, 5), (5, 4), (3, 5)]) == [(1, 2), (2, 3), (4, 5), (3, 5)]
+
+
+def test_words_of_strangers_are_not_shuffled(spark):
+    """Only rows that met another one, and few others, pass the sieve before the exact join."""
+    rows = spark.range(20_000).select(F.col("id").alias("row"), F.lit("words").alias("words"))
+    wanted = spark.range(0, 20_000, 40).select(F.col("id").alias("row"))
+    passed = {r.row for r in sieved(rows, wanted, "row").collect()}
+    assert set(range(0, 20_000, 40)) <= passed and len(passed) < 520
+    assert sieved(rows, wanted, "row").columns == ["row", "words"]
+    assert sieved(rows, wanted.where("row < 0"), "row").count() == 0
+    assert sieved(rows, wanted, "row", bits=1).count() == 20_000
+
+
+def test_signatures_are_kept_small(spark):
+    got = signatures(docs(spark, [(1, "a b c d"), (2, "a b c d"), (3, "e f g")]), 2, 32, 128, 1).collect()
+    assert [len(r.bands) + len(r.signature) for r in got] == [32 * 6 + 128] * 3
+    assert got[0].bands == got[1].bands and got[0].signature == got[1].signature
+    bands = [{r.bands[i:i + 6] for i in range(0, 192, 6)} for r in got]
+    assert not bands[0] & bands[2]
+
+
+def test_settled_buckets_are_not_joined_again(spark, monkeypatch):
+    """Copies but for a word: the first links settle their buckets, and components are sought once."""
+    base = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join([*base, f"e{i}"])) for i in range(12)]
+    calls, components = [], minhash.connected_components
+    monkeypatch.setattr(minhash, "connected_components", lambda found: calls.append(1) or components(found))
+    assert got(minhash_groups(docs(spark, rows), 2)) == brute(rows)
+    assert len(calls) == 1
