@@ -285,6 +285,12 @@ def forest(links: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def near_rows(rows: DataFrame, met: DataFrame) -> DataFrame:
+    """``rows`` that are in ``met`` (each ``row`` once). No semi join: Spark moves
+    one below the sieve, and all rows are shuffled once ``met`` is not broadcast."""
+    return sieved(rows, met, "row").join(met, "row")
+
+
 def links(rows: DataFrame, firsts: DataFrame, size: int, share: int, bands: int, hashes: int) -> DataFrame:
     """``node, root`` of all linked ones among ``firsts`` (``row``), one for each
     distinct sequence of words in ``rows`` (see ``signatures``)."""
@@ -294,8 +300,7 @@ def links(rows: DataFrame, firsts: DataFrame, size: int, share: int, bands: int,
     active = materialise(all_keys.join(shared, "key"), "minhash-active")
     met = materialise(active.select("row").distinct(), "minhash-met")
     # the words of rows that met no other stay where they are: only those of the others are shuffled
-    near = materialise(sieved(rows.select("row", "n_shingles", "words", "signature"), met, "row")
-                       .join(met, "row", "left_semi"), "minhash-near")
+    near = materialise(near_rows(rows.select("row", "n_shingles", "words", "signature"), met), "minhash-near")
     roots = connected_components(star_links(active, near, size, share, hashes))
     active = unsettled(active, roots)
     if active.isEmpty():

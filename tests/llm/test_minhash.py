@@ -144,3 +144,20 @@ def test_settled_buckets_are_not_joined_again(spark, monkeypatch):
     monkeypatch.setattr(minhash, "connected_components", lambda found: calls.append(1) or components(found))
     assert got(minhash_groups(docs(spark, rows), 2)) == brute(rows)
     assert len(calls) == 1
+
+
+def test_rows_are_sieved_before_they_are_shuffled(spark):
+    """Where the wanted rows are too many to be broadcast, the exact join comes after the sieve."""
+    rows = spark.range(2000).select(F.col("id").alias("row"), F.lit("words").alias("words"))
+    met = spark.createDataFrame([(i,) for i in range(0, 2000, 40)], "row long")
+    before = {c: spark.conf.get(c, None) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for c in before:
+            spark.conf.set(c, "-1")
+        kept = minhash.near_rows(rows, met)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("SortMergeJoin") < plan.index("BroadcastHashJoin")
+        assert sorted(r.row for r in kept.collect()) == list(range(0, 2000, 40)) and kept.columns == ["row", "words"]
+    finally:
+        for c, v in before.items():
+            spark.conf.unset(c) if v is None else spark.conf.set(c, v)
