@@ -8,11 +8,9 @@ segmentation, on any machine and after any retry. Pieces never run past the end
 of a word, so stretches (the spaces before a word, and the word) are encoded on
 their own, and every occurrence draws its own skips.
 
-What is remembered are merges by the skips that led to them, as a tree for each
-stretch: a node holds the ids and the candidates met if nothing more is skipped,
-and a child for each candidate whose skip has occurred. The candidates' hashes
-of a whole text are tested at once; only outcomes not met before are merged.
-The memory decides nothing: with any room the ids are the same.
+The agendas of many stretches are walked side by side: a column for each, a row
+for each character, and in every step the least entry of each column is merged
+or skipped. How many go together decides nothing: the ids are the same.
 
 Without dropout the ids are those of the SentencePiece library, except that
 the character U+2581 itself, which the library turns into a space, is kept by
@@ -24,7 +22,6 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, prepare
+from .common import arrow_bytes, arrow_rows, prepare
 
 SPACE = "▁"
 _MASK = (1 << 64) - 1
@@ -41,9 +38,15 @@ _MASK = (1 << 64) - 1
 _PLACE, _MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _NEVER = float("inf")
 _STRETCH = re.compile(r" *[^ ]+| +")
-#: Stretches up to this length are remembered; longer ones are merged each time.
+#: Stretches up to this length are merged side by side, longer ones each by itself.
 _WORD = 48
-_LONG: list = [b"", b"", 0, {}, ()]
+#: Most characters of the stretches that share a table.
+_WIDTHS = (3, 5, 7, 9, 12, 16, 24, _WORD)
+#: Rows of such a table take so many bits; an entry of the agenda from here on is none.
+_ROW_BITS, _NO_ENTRY = 6, 1 << 60
+_CUT = re.compile("[^ ](?= )")
+#: Text encoded at a time, in bytes.
+_BATCH = 1 << 19
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -56,7 +59,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 class Codec:
     """Encoder and decoder of one model file."""
 
-    def __init__(self, path: str, dropout: float = 0.1, seed: int = 0, room: int = 400_000):
+    def __init__(self, path: str, dropout: float = 0.1, seed: int = 0, room: int = 1 << 18):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -78,9 +81,59 @@ class Codec:
         self.limit = int(dropout * (1 << 64))
         # keyed hashing: a random number for each piece, mixed with key and place in _skips
         self.of_piece = [xxhash.xxh64_intdigest(f"piece {i}", seed) for i in range(len(self.raw))]
-        self.wide = [i.to_bytes(4, "little") for i in range(len(self.raw))]
-        self.room, self.nodes = room, 0
-        self.known: dict[str, list] = {}
+        self.drawn = np.array(self.of_piece, np.uint64)
+        self.room = room  # characters whose stretches are merged side by side
+        self._tabulate()
+
+    def _tabulate(self) -> None:
+        """What the merging of many stretches looks up: the symbol of each
+        character, the piece of each two symbols, the order of the pieces."""
+        n = len(self.raw)
+        symbols = dict(self.pieces)
+        for c in sorted(set().union(*self.pieces) - symbols.keys()):
+            symbols[c] = n + len(symbols) - len(self.pieces)  # no piece itself, but part of one
+        self.none = n + len(symbols)  # any other character: takes part in no merge
+        self.symbol = np.full(0x110000, self.none, np.int32)
+        for c, i in symbols.items():
+            if len(c) == 1:
+                self.symbol[ord(c)] = i
+        self.symbol[ord(" ")], self.symbol[ord(SPACE)] = self.symbol[ord(SPACE)], self.none
+        _, order = np.unique(self.rank, return_inverse=True)
+        self.order = np.append(order.astype(np.int64) << _ROW_BITS, _NO_ENTRY)  # the last one is of the piece -1
+        pairs = [(symbols[w[:k]] * (self.none + 1) + symbols[w[k:]], i) for w, i in self.pieces.items()
+                 for k in range(1, len(w)) if w[:k] in symbols and w[k:] in symbols]
+        keys, found = np.array(pairs, np.int64).reshape(-1, 2).T
+        self.shift = np.uint64(64 - max(4, (16 * len(keys)).bit_length()))
+        self.slot_key = np.full(1 << 64 - int(self.shift), -1, np.int64)
+        self.slot_piece = np.full(len(self.slot_key), -1, np.int32)
+        at = self._slots(keys)
+        while len(keys):  # the next free slot from its own one on; keys that met there go on
+            free = self.slot_key[at] < 0
+            self.slot_key[at[free]] = keys[free]
+            here = self.slot_key[at] == keys
+            self.slot_piece[at[here]] = found[here]
+            keys, found, at = keys[~here], found[~here], (at[~here] + 1) % len(self.slot_key)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(_PLACE) >> self.shift).view(np.int64)
+
+    def _pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The piece that each two symbols make; -1: none."""
+        keys = a.astype(np.int64) * (self.none + 1) + b
+        at = self._slots(keys)
+        there = self.slot_key[at]
+        out = self.slot_piece[at]
+        missed = there != keys
+        out[missed] = -1
+        on = np.flatnonzero(missed & (there >= 0))
+        keys, at = keys[on], at[on]
+        while len(on):
+            at = (at + 1) % len(self.slot_key)
+            there = self.slot_key[at]
+            here = there == keys
+            out[on[here]] = self.slot_piece[at[here]]
+            on, keys, at = (x[~here & (there >= 0)] for x in (on, keys, at))
+        return out
 
     def _symbols(self, stretch: str) -> list[str | None]:
         if SPACE in stretch:  # a literal U+2581 is no space: it takes part in no merge and is written by its bytes
@@ -110,12 +163,10 @@ class Codec:
         h = (h ^ h >> 29) * _MIX & _MASK
         return h ^ h >> 32 < self.limit
 
-    def _short(self, symbols: list[str | None], key: int, skipped: tuple[int, ...] = (),
-               met: list[int] | None = None) -> list[str | None]:
+    def _short(self, symbols: list[str | None], key: int) -> list[str | None]:
         """The agenda as a list with one entry per neighbouring pair: its least
         entry (the first of equal ones) comes next. For words this is faster
-        than a heap; the merges are the same. With ``met`` the candidates are
-        noted there, and those numbered in ``skipped`` are dropped instead."""
+        than a heap; the merges are the same."""
         find, rank, limit = self.pieces.get, self.rank, self.limit
         ids = [None if a is None or b is None else find(a + b) for a, b in zip(symbols, symbols[1:])]
         agenda = [_NEVER if i is None else rank[i] for i in ids]
@@ -125,12 +176,7 @@ class Codec:
             if best == _NEVER:
                 break
             k = agenda.index(best)
-            if met is not None:
-                drop = len(met) in skipped
-                met.append(place[k] * _PLACE & _MASK ^ self.of_piece[ids[k]])
-            else:
-                drop = limit and self._skips(key, place[k], ids[k])
-            if drop:
+            if limit and self._skips(key, place[k], ids[k]):
                 agenda[k] = _NEVER
                 continue
             joined = symbols[k] = symbols[k] + symbols[k + 1]
@@ -174,60 +220,147 @@ class Codec:
             offer(a, right[a])
         return [s for s in symbols if s != ""]
 
-    def _node(self, stretch: str, skipped: tuple[int, ...] = ()) -> list:
-        """Ids, candidates met after the last skip, their number, children by
-        skipped candidate, and the skips so far."""
-        met: list[int] | None = [] if self.limit else None
-        merged = self._short(self._symbols(stretch), 0, skipped, met)
-        rest = met[skipped[-1] + 1 if skipped else 0:] if met else []
-        self.nodes += 1
-        return [b"".join([self.wide[i] for i in self._ids(merged)]), array("Q", rest).tobytes(), len(rest), {}, skipped]
-
-    def _root(self, stretch: str) -> list:
-        if len(stretch) > _WORD:
-            return _LONG
-        node = self.known[stretch] = self._node(stretch)
-        return node
+    def _side_by_side(self, table: np.ndarray, keys: np.ndarray) -> None:
+        """Merges every column of symbols as ``_short`` does, in place: a merged
+        symbol stands in the row of its first character, its other rows are -1.
+        The first and the last row are no symbols, so that all have neighbours."""
+        rows, n = table.shape
+        row = np.arange(rows)[:, None]
+        after = np.repeat(row + 1, n, 1).ravel()
+        before = np.repeat(row - 1, n, 1).ravel()
+        symbols, pieces = table.ravel(), self._pairs(table[:-1].ravel(), table[1:].ravel())
+        agenda = self.order[pieces].reshape(rows - 1, n) + row[:-1]
+        column = np.arange(n)
+        while True:
+            best = agenda.min(0)
+            left = np.flatnonzero(best < _NO_ENTRY)
+            if len(left) < len(column):
+                if not len(left):
+                    return
+                agenda, column, best = agenda.take(left, 1), column[left], best[left]
+            entries, width, at = agenda.ravel(), len(column), np.arange(len(column))
+            k = best & (1 << _ROW_BITS) - 1
+            here = k * n + column
+            piece = pieces[here]
+            if self.limit:
+                skip = _mixed(keys[column] ^ (k - 1).view(np.uint64) * np.uint64(_PLACE) ^ self.drawn[piece]) <= np.uint64(self.limit - 1)
+                entries[k[skip] * width + at[skip]] = _NO_ENTRY
+                go = np.flatnonzero(~skip)
+                at, k, here, piece = at[go], k[go], here[go], piece[go]
+            of = column[at]
+            gone = after[here]
+            there = gone * n + of
+            last, first = after[there], before[here]
+            symbols[here], symbols[there] = piece, -1
+            after[here] = last
+            before[last * n + of] = k
+            entries[gone * width + at] = _NO_ENTRY
+            there = first * n + of
+            found = self._pairs(np.concatenate([piece, symbols[there]]), np.concatenate([symbols[last * n + of], piece]))
+            pieces[here], pieces[there] = found[:len(k)], found[len(k):]
+            ranks = self.order[found]
+            entries[k * width + at] = ranks[:len(k)] + k
+            entries[first * width + at] = ranks[len(k):] + first
+
+    def _encode(self, texts: list[str], starts: list[bool], numbers: np.ndarray, keys: np.ndarray) -> list[np.ndarray]:
+        """Ids of some texts or parts of texts that begin with a stretch. ``starts``:
+        whether a text begins there. ``numbers``: how many stretches of the text
+        came before (moved on), ``keys``: the numbers of their documents."""
+        whole = "".join([" " + t if s else t for t, s in zip(texts, starts)])  # the model's dummy prefix
+        codes = np.frombuffer(whole.encode("utf-32-le"), "<u4")
+        ends = np.cumsum([len(t) + s for t, s in zip(texts, starts)])
+        begins = np.append(0, ends[:-1])
+        blank = codes == ord(" ")
+        first = blank & ~np.append(True, blank[:-1])
+        first[begins] = True
+        first = np.flatnonzero(first)
+        sizes = np.diff(first, append=len(codes))
+        text = np.searchsorted(begins, first, "right") - 1
+        counts = np.bincount(text, minlength=len(texts))
+        place = np.arange(len(first)) - (np.cumsum(counts) - counts)[text] + numbers[text]
+        numbers += counts
+        drawn = _mixed(place.astype(np.uint64) * np.uint64(_PLACE) ^ keys[text])
+        symbols, wide = self.symbol[codes], {}
+        low = 1
+        for width in _WIDTHS:
+            some = np.flatnonzero((sizes > low) & (sizes <= width))
+            low = width
+            if len(some):
+                row = np.arange(width)[:, None]
+                inside = row < sizes[some]
+                at = (first[some] + row)[inside]
+                table = np.full((width + 2, len(some)), self.none, np.int32)
+                table[1:-1][inside] = symbols[at]
+                self._side_by_side(table, drawn[some])
+                symbols[at] = table[1:-1][inside]
+        for i in np.flatnonzero(sizes > _WORD).tolist():
+            at = int(first[i])
+            symbols[at:at + sizes[i]] = -1
+            wide[at] = self.merge(whole[at:at + int(sizes[i])], int(drawn[i]))
+        # every symbol left gives an id, or one for each of its bytes
+        n_ids = (symbols >= 0).astype(np.int64)
+        odd = np.flatnonzero(symbols >= len(self.raw))
+        kinds, kind = np.unique(codes[odd], return_inverse=True)
+        spelt = [[self.byte[x] for x in (SPACE if c == ord(" ") else chr(c)).encode()] for c in kinds.tolist()]
+        n_ids[odd] = np.array([len(x) for x in spelt], np.int64)[kind]
+        for at, ids in wide.items():
+            n_ids[at] = len(ids)
+        to = np.cumsum(n_ids)
+        out = np.empty(int(to[-1]), "<i4")
+        plain = np.flatnonzero((symbols >= 0) & (symbols < len(self.raw)))
+        out[to[plain] - 1] = symbols[plain]
+        for j in range(max(map(len, spelt), default=0)):
+            has = np.array([len(x) > j for x in spelt])[kind]
+            out[(to - n_ids)[odd[has]] + j] = np.array([x[j] if len(x) > j else 0 for x in spelt])[kind[has]]
+        for at, ids in wide.items():
+            out[to[at] - len(ids):to[at]] = ids
+        return np.split(out, to[ends[:-1] - 1])
+
+    def _parts(self, text: str) -> Iterator[str]:
+        """A text cut before stretches, into parts of about ``room`` characters."""
+        at = 0
+        while len(text) - at > self.room:
+            cut = _CUT.search(text, at + self.room - 1)
+            if not cut:
+                break
+            yield text[at:cut.end()]
+            at = cut.end()
+        yield text[at:]
+
+    def encode_all(self, texts: list[str], keys: list[int]) -> list[np.ndarray]:
+        """Ids of whole texts; a key (a document's number) draws the skips."""
+        out: list[list[np.ndarray]] = [[] for _ in texts]
+        numbers, keys = np.zeros(len(texts), np.int64), np.array([k & _MASK for k in keys], np.uint64)
+        parts: list[tuple[int, str, bool]] = []
+        size = 0
+
+        def flush() -> None:
+            of = np.array([i for i, _, _ in parts])
+            before = numbers[of]
+            for i, ids in zip(of.tolist(), self._encode([p for _, p, _ in parts], [s for _, _, s in parts], before, keys[of])):
+                out[i].append(ids)
+            numbers[of] = before
+            parts.clear()
+
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            for j, part in enumerate(self._parts(text)):
+                if j and parts:  # the next part of a text counts on from the one before
+                    flush()
+                    size = 0
+                parts.append((i, part, not j))
+                size += len(part)
+                if size >= self.room:
+                    flush()
+                    size = 0
+        if parts:
+            flush()
+        return [x[0] if len(x) == 1 else np.concatenate([np.zeros(0, "<i4"), *x]) for x in out]
 
     def encode(self, text: str, key: int = 0) -> np.ndarray:
         """Ids of a whole text; ``key`` (a document's number) draws the skips."""
-        if not text:
-            return np.zeros(0, "<i4")
-        if self.nodes >= self.room:
-            self.known.clear()
-            self.nodes = 0
-        stretches = _STRETCH.findall(" " + text)  # the model's dummy prefix
-        known, root = self.known.get, self._root
-        nodes = [known(s) or root(s) for s in stretches]
-        out = [n[0] for n in nodes]
-        keys = _mixed(np.arange(len(nodes), dtype=np.uint64) * np.uint64(_PLACE) ^ np.uint64(key & _MASK))
-        if max(map(len, stretches)) > _WORD:
-            for i, s in enumerate(stretches):
-                if len(s) > _WORD:
-                    out[i] = b"".join([self.wide[x] for x in self.merge(s, int(keys[i]))])
-        at, limit = np.arange(len(nodes)), np.uint64(max(0, self.limit - 1))
-        while self.limit:  # each round finds the next skip of every stretch that had one in the last
-            sizes = np.array([n[2] for n in nodes])
-            met = np.frombuffer(b"".join([n[1] for n in nodes]), np.uint64)
-            hits = np.flatnonzero(_mixed(np.repeat(keys[at], sizes) ^ met) <= limit)
-            if not len(hits):
-                break
-            ends = np.cumsum(sizes)
-            owner = np.searchsorted(ends, hits, "right")
-            first = np.append(True, owner[1:] != owner[:-1])
-            owner, hits = owner[first], hits[first]
-            at, below = at[owner], []
-            for i, o, j in zip(at.tolist(), owner.tolist(), (hits - (ends - sizes)[owner]).tolist()):
-                n = nodes[o]
-                child = n[3].get(j)
-                if child is None:
-                    skipped = n[4]
-                    step = j + (skipped[-1] + 1 if skipped else 0)
-                    child = n[3][j] = self._node(stretches[i], (*skipped, step))
-                out[i] = child[0]
-                below.append(child)
-            nodes = below
-        return np.frombuffer(b"".join(out), "<i4")
+        return self.encode_all([text], [key])[0]
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.raw.__getitem__, ids.tolist()))[1:].decode("utf-8")
@@ -243,8 +376,8 @@ def encode_documents(docs: DataFrame, model: str, dropout: float = 0.1, seed: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(model, dropout, seed)
-        for b in arrow_rows(batches, 64):
-            ids = [codec.encode(t or "", _key(i, seed)) for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+        for b in arrow_bytes(batches, 1, _BATCH):
+            ids = codec.encode_all([t or "" for t in b.column(1).to_pylist()], [_key(i, seed) for i in b.column(0).to_pylist()])
             ends = np.cumsum([0] + [len(x) for x in ids])
             values = pa.array(np.concatenate(ids).astype(np.int32))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)],
@@ -293,11 +426,10 @@ def round_trip(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(model, dropout, seed)
-        for b in arrow_rows(batches, 64):
+        for b in arrow_bytes(batches, 1, _BATCH):
             cols: list[list] = [[], [], [], []]
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                text = text or ""
-                ids = codec.encode(text, _key(doc_id, seed))
+            texts = [t or "" for t in b.column(1).to_pylist()]
+            for text, ids in zip(texts, codec.encode_all(texts, [_key(i, seed) for i in b.column(0).to_pylist()])):
                 for c, v in zip(cols, (len(text.encode()), len(ids), zlib.crc32(ids.tobytes()), codec.decode(ids) == text)):
                     c.append(v)
             yield pa.RecordBatch.from_arrays(

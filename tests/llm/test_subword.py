@@ -13,6 +13,7 @@ from metalake.llm.subword import _PLACE, _STRETCH, SPACE, Codec, _mixed, decode_
 FILE = tokenizer_file("piece_bpe_32k.model")
 LIBRARY = sentencepiece.SentencePieceProcessor(model_file=FILE)
 PLAIN, DROPPED = Codec(FILE, dropout=0.0), Codec(FILE, dropout=0.3, seed=4)
+ROOMS: dict = {}
 ANY = st.text(alphabet="ab theringo \n\té😀\x00<s>/▁0x", max_size=80)
 
 
@@ -87,6 +88,28 @@ def test_remembered_merges_are_the_direct_ones(text, key):
     assert DROPPED.encode(text, key).tolist() == direct
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.one_of(ANY, st.text(alphabet="the rnig▁q", max_size=200)), st.integers(0, 2)), max_size=4),
+       st.sampled_from([7, 60, 1 << 18]))
+def test_texts_merged_side_by_side_are_the_direct_ones(rows, room):
+    codec = ROOMS.setdefault(room, Codec(FILE, dropout=0.3, seed=4, room=room))
+    for (text, key), ids in zip(rows, codec.encode_all([t for t, _ in rows], [k for _, k in rows]), strict=True):
+        stretches = _STRETCH.findall(" " + text) if text else []
+        keys = _mixed(np.arange(len(stretches), dtype=np.uint64) * np.uint64(_PLACE) ^ np.uint64(key))
+        assert ids.tolist() == [i for s, k in zip(stretches, keys.tolist()) for i in codec.merge(s, k)]
+
+
+def test_no_word_is_merged_by_itself(monkeypatch):
+    """Outcomes not met before cost no agenda of their own in Python."""
+    words = " ".join(f"{a}{b}ing" for a in PLAIN.pieces if a.isalpha() for b in "xyz")[:200_000]
+    want = DROPPED.encode(words, 9).tolist()
+    assert len(want) > len(PLAIN.encode(words))
+    codec = Codec(FILE, dropout=0.3, seed=4)
+    monkeypatch.setattr(codec, "_short", None)
+    assert codec.encode(words, 9).tolist() == want
+    assert codec.decode(codec.encode(words, 9)) == words
+
+
 def test_query_is_lossless_on_the_whole_table(spark):
     got = {r.doc_id: r for r in op6_sentencepiece(spark, SF001).collect()}
     for i, t in texts(SF001):
